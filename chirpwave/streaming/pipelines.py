@@ -22,9 +22,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import window_time_ms
 from ..functions.records import valid
-from ..operators.windows import state_sentiment_agg, state_temperature, windowed_counts
+from ..operators.windows import state_sentiment_agg, state_temperature
 from ..plans import pipelines as P
 
 # Fixed value: default watermark delay (the reference has no late data).
@@ -88,8 +87,3 @@ def stream_sentiment_weather(posts: DataFrame, weather: DataFrame, ts: str = "ts
     return j.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
                     "place", "sentiment", "temperature")
 
-
-__all__ = [
-    "DEFAULT_DELAY", "with_event_time", "stream_classify", "stream_state_sentiment", "stream_hashtag_counts",
-    "top_k_writer", "parquet_epoch_sink", "stream_sentiment_weather", "windowed_counts", "window_time_ms",
-]

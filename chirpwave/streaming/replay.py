@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans import pipelines as P
 from ..plans import queries as Q
 from ..session import scratch_path
 from ..sources import feeds
@@ -42,29 +41,23 @@ def _ntz(df: DataFrame) -> DataFrame:
 
 def _landing(spark: SparkSession, df: DataFrame, ts: str, base: str, name: str,
              key: str | None) -> tuple[str, T.StructType, list[DataFrame], object]:
-    """Materialise one feed once and prepare its slices and sentinel."""
+    """Materialise one feed once, partitioned by time slice, and prepare
+    the slice reads (each reads only its own folder) and the sentinel."""
     df = df.withColumn(ts, F.col(ts).cast("timestamp"))
     full = f"{base}/{name}-all"
-    df.write.parquet(full)
+    # one bounded aggregate row for the time range
+    lo, hi = df.agg(F.unix_micros(F.min(ts)), F.unix_micros(F.max(ts))).first()
+    width = max(1, -(-(hi - lo + 1) // SLICES))
+    sliced = df.withColumn("_slice", ((F.unix_micros(F.col(ts)) - F.lit(lo)) / F.lit(width)).cast("int"))
+    sliced.write.partitionBy("_slice").parquet(full)
     stored = spark.read.parquet(full)
-    lo, hi = stored.agg(F.min(ts), F.max(ts)).first()
-    span = (hi - lo) / SLICES
-    bounds = [lo + span * i for i in range(1, SLICES)]
-    slices = []
-    prev = None
-    for b in bounds + [None]:
-        cond = F.lit(True)
-        if prev is not None:
-            cond = cond & (F.col(ts) >= F.lit(prev))
-        if b is not None:
-            cond = cond & (F.col(ts) < F.lit(b))
-        slices.append(stored.where(cond))
-        prev = b
-    sentinel = stored.limit(1).withColumn(ts, F.col(ts) + F.expr(f"INTERVAL {SENTINEL_GAP_DAYS} DAYS"))
+    slices = [stored.where(F.col("_slice") == i).drop("_slice") for i in range(SLICES)]
+    first = slices[0]
+    sentinel = first.limit(1).withColumn(ts, F.col(ts) + F.expr(f"INTERVAL {SENTINEL_GAP_DAYS} DAYS"))
     if key:
         sentinel = sentinel.withColumn(key, F.lit(SENTINEL_KEY))
     slices.append(sentinel)
-    return f"{base}/{name}-in", stored.schema, slices, hi
+    return f"{base}/{name}-in", first.schema, slices, hi
 
 
 def replay(spark: SparkSession, inputs: dict[str, tuple[DataFrame, str, str | None]],
@@ -80,6 +73,13 @@ def replay(spark: SparkSession, inputs: dict[str, tuple[DataFrame, str, str | No
     """
     base = scratch_path(spark, "replay")
     prepared = {name: _landing(spark, df, ts, base, name, key) for name, (df, ts, key) in inputs.items()}
+
+    def land(i: int) -> None:
+        for path, _, slices, _ in prepared.values():
+            if i < len(slices):
+                slices[i].write.mode("append").parquet(path)
+
+    land(0)  # a file source needs its folder before the query is defined
     streams = {name: read_parquet_stream(spark, path, schema)
                for name, (path, schema, _, _) in prepared.items()}
     result = build(streams)
@@ -96,9 +96,8 @@ def replay(spark: SparkSession, inputs: dict[str, tuple[DataFrame, str, str | No
 
     n_steps = max(len(s) for (_, _, s, _) in prepared.values())
     for i in range(n_steps):
-        for name, (path, _, slices, _) in prepared.items():
-            if i < len(slices):
-                slices[i].write.mode("append").parquet(path)
+        if i:
+            land(i)
         run_once()
     run_once()  # a last run with no new data lets the final watermark close windows
 
@@ -107,7 +106,7 @@ def replay(spark: SparkSession, inputs: dict[str, tuple[DataFrame, str, str | No
         got = got.drop("epoch")
     if window_filter and "window_start" in got.columns:
         last = max(hi for (_, _, _, hi) in prepared.values())
-        got = got.where(F.col("window_start") <= F.lit(last))
+        got = got.where(F.col("window_start").cast("timestamp") <= F.timestamp_micros(F.lit(last)))
     if "key" in got.columns:
         got = got.where(F.col("key").isNull() | (F.col("key") != SENTINEL_KEY))
     return _ntz(got)
@@ -156,4 +155,3 @@ def stream_oracle() -> dict[str, str]:
     }
 
 
-__all__ = ["replay", "STREAM", "stream_oracle", "P"]
