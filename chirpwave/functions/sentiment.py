@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,20 +76,27 @@ def sentiment(text: Column | str, lexicon: dict[str, int] | None = None,
     return F.when(longest.isNull(), F.lit(None).cast("int")).otherwise(class_to_sentiment(cls))
 
 
+# models already loaded in this Python worker
+_MODELS: dict[str, Callable[[list[str]], list[int]]] = {}
+
+
 def model_scorer(load_model: Callable[[], Callable[[list[str]], list[int]]],
-                 batch_size: int = 512) -> Callable[[Column], Column]:
+                 batch_size: int = 512, model_key: str | None = None) -> Callable[[Column], Column]:
     """Wrap a user model as a scorer of sentences -> class 0..4.
 
     ``load_model()`` runs once per Python worker (not per row, not per
     batch) and returns a function from a list of sentences to classes.
     The UDF is Arrow-batched; only the longest sentence of each post
-    reaches Python.
+    reaches Python.  ``model_key`` names the model in the per-worker cache
+    (Python workers are reused across tasks).
     """
-    import pandas as pd
+    key = model_key or f"{load_model.__module__}.{load_model.__qualname__}"
 
     @F.pandas_udf(T.IntegerType())
     def _score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = load_model()
+        model = _MODELS.get(key)
+        if model is None:
+            model = _MODELS[key] = load_model()
         for s in batches:
             out = pd.Series([None] * len(s), dtype="Int32", index=s.index)
             mask = s.notna()
