@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.rows import with_computed
+
 # The fields read from each input stream and their kinds.
 POST_FIELDS = {"id": "string", "text": "string", "place_full_name": "string"}
 WEATHER_FIELDS = {"state": "string", "temperature": "int"}
@@ -35,27 +37,38 @@ def parse_records(records: DataFrame, fields: dict[str, str], value_col: str = "
     ``_reject``: NULL for a good record, else the first reason found
     (``malformed``, ``missing:<field>``, ``type:<field>``).  Split with
     ``valid()`` / ``rejects()``.  Row-local: no shuffle, streaming-safe.
+
+    The work is staged in projections -- parse once, pull each field's
+    sub-value once, then type and check it -- because Spark does not merge
+    a projection whose expensive result is used more than once, every
+    record is parsed exactly once.
     """
+    for kind in fields.values():
+        if kind not in ("string", "int"):
+            raise ValueError(f"unsupported field kind {kind!r}")
+    cols = [k for k in keep if k in records.columns]
     value = F.col(value_col)
-    v = F.try_parse_json(value)
-    reason = F.when(v.isNull() | ~F.schema_of_variant(v).startswith("OBJECT"), F.lit("malformed"))
-    typed = []
+    staged = records.select(*cols, value, F.try_parse_json(value).alias("_v"))
+    staged = staged.select(*cols, value_col, F.schema_of_variant("_v").alias("_vt"), *[
+        F.try_variant_get("_v", f"$.{name}", "variant").alias(f"_f_{name}") for name in fields])
+
+    reason = F.when(F.col("_vt").isNull() | ~F.col("_vt").startswith("OBJECT"), F.lit("malformed"))
+    typed: dict[str, Column] = {}
     for name, kind in fields.items():
-        sub = F.try_variant_get(v, f"$.{name}", "variant")
+        sub = F.col(f"_f_{name}")
         jtype = F.schema_of_variant(sub)
+        text = F.try_variant_get(sub, "$", "string")
         reason = reason.when(sub.isNull() | (jtype == "VOID"), F.lit(f"missing:{name}"))
-        text = F.try_variant_get(v, f"$.{name}", "string")
         if kind == "string":
             reason = reason.when(jtype != "STRING", F.lit(f"type:{name}"))
-            typed.append(text.alias(name))
-        elif kind == "int":
+            typed[name] = text
+        else:
             as_int = json_int(text)
             reason = reason.when(as_int.isNull(), F.lit(f"type:{name}"))
-            typed.append(as_int.alias(name))
-        else:
-            raise ValueError(f"unsupported field kind {kind!r}")
-    cols = [k for k in keep if k in records.columns]
-    return records.select(*cols, value, *typed, reason.alias("_reject"))
+            typed[name] = as_int
+    # fenced, so a later filter on ``_reject`` does not re-run the parse
+    fenced = with_computed(staged, **typed, _reject=reason)
+    return fenced.select(*cols, value_col, *fields, "_reject")
 
 
 def valid(parsed: DataFrame) -> DataFrame:

@@ -55,9 +55,10 @@ def lexicon_score(sentence: Column, lexicon: dict[str, int] | None = None) -> Co
 
 
 def class_to_sentiment(cls: Column) -> Column:
-    """Step 4: class 0..4 -> -2..2; anything outside becomes 0."""
-    v = cls - 2
-    return F.when(cls.isNull(), F.lit(None)).when((v < -2) | (v > 2), F.lit(0)).otherwise(v).cast("int")
+    """Step 4: class 0..4 -> -2..2; anything outside becomes 0 (a reset,
+    not a clamp); NULL stays NULL.  A model UDF is evaluated once in its
+    own plan node, so repeating ``cls`` here does not re-run the model."""
+    return F.when(cls.between(0, 4), cls - 2).when(cls.isNotNull(), F.lit(0)).cast("int")
 
 
 def sentiment(text: Column | str, lexicon: dict[str, int] | None = None,
@@ -65,15 +66,17 @@ def sentiment(text: Column | str, lexicon: dict[str, int] | None = None,
     """Sentiment -2..2 of a post text; NULL for NULL or empty text.
 
     ``scorer`` maps the longest sentence to a class 0..4 (for example
-    ``model_scorer(...)``); without one the lexicon is used.
+    ``model_scorer(...)``); without one the lexicon is used.  The longest
+    sentence is computed once per row.
     """
     text = F.col(text) if isinstance(text, str) else text
-    longest = longest_sentence(text)
+    longest = longest_sentence(text, guard=False)
     if scorer is None:
-        cls = lexicon_score(longest, lexicon) + 2
+        # a clamped lexicon score is already in -2..2: step 4 is the identity
+        score = lexicon_score(longest, lexicon)
     else:
-        cls = scorer(longest)
-    return F.when(longest.isNull(), F.lit(None).cast("int")).otherwise(class_to_sentiment(cls))
+        score = class_to_sentiment(scorer(longest))
+    return F.when(text.isNull() | (F.length(text) == 0), F.lit(None).cast("int")).otherwise(score)
 
 
 # models already loaded in this Python worker

@@ -19,6 +19,7 @@ NORMAL_DELIMITER = r"[ \t\n\x0B\f\r]+|,"
 SENTENCE_DELIMITER = r"[.!?\n]+"
 # characters stripped from both ends of a sentence
 SENTENCE_PAD = " \t\x0b\f\r"
+SENTENCE_SPLIT = r"[ \t\x0B\f\r]*[.!?\n]+[ \t\x0B\f\r]*"
 # characters stripped by a Java-style trim: every code point <= U+0020
 JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
@@ -51,20 +52,25 @@ def hashtags(c: Column | str, mode: str = "normal") -> Column:
 
 
 def sentences(c: Column | str) -> Column:
-    """Array of sentences, each stripped of surrounding blanks."""
-    return F.transform(F.split(_col(c), SENTENCE_DELIMITER), lambda s: F.btrim(s, F.lit(SENTENCE_PAD)))
+    """Array of sentences, each stripped of surrounding blanks.
+
+    Equivalent to splitting on the delimiters and trimming every piece,
+    done in one native split: the blanks next to a delimiter belong to
+    the delimiter, the text's own ends are trimmed first.
+    """
+    return F.split(F.btrim(_col(c), F.lit(SENTENCE_PAD)), SENTENCE_SPLIT)
 
 
-def longest_sentence(c: Column | str) -> Column:
+def longest_sentence(c: Column | str, guard: bool = True) -> Column:
     """The longest sentence by characters; the first one wins a tie.
 
-    One pass with ``aggregate`` carrying ``(sentence, length)``; a strict
-    ``>`` keeps the earliest of equal lengths.  NULL for NULL or empty text.
+    ``array_max`` over ``(length, -position, sentence)`` picks the greatest
+    length and, among equals, the smallest position.  NULL for NULL or
+    empty text (``guard=False`` leaves that test to the caller).
     """
     c = _col(c)
-    init = F.struct(F.lit(None).cast("string").alias("s"), F.lit(-1).alias("n"))
-    best = F.aggregate(
-        sentences(c), init,
-        lambda acc, s: F.when(F.length(s) > acc["n"], F.struct(s.alias("s"), F.length(s).alias("n"))).otherwise(acc),
-    )
-    return F.when(c.isNull() | (F.length(c) == 0), F.lit(None).cast("string")).otherwise(best["s"])
+    keyed = F.transform(sentences(c), lambda s, i: F.struct(F.length(s).alias("n"), (-i).alias("p"), s.alias("s")))
+    best = F.array_max(keyed)["s"]
+    if not guard:
+        return best
+    return F.when(c.isNull() | (F.length(c) == 0), F.lit(None).cast("string")).otherwise(best)

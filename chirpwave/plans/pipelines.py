@@ -24,6 +24,7 @@ from ..functions.records import (POST_FIELDS, WEATHER_FIELDS, enrich_json, parse
 from ..functions.sentiment import sentiment
 from ..functions.text import hashtags
 from ..operators.joins import join_windows
+from ..operators.rows import with_computed
 from ..operators.topk import top_k_per_group
 from ..operators.windows import state_sentiment_agg, state_temperature, windowed_counts
 from ..sources.states import state_dim
@@ -47,9 +48,16 @@ def parse_weather(records: DataFrame, keep: tuple[str, ...] = ("key", "timestamp
     return parse_records(records, WEATHER_FIELDS, keep=keep)
 
 
-def _add_reject(df: DataFrame, cond: Column, reason: str) -> DataFrame:
-    prior = F.col("_reject") if "_reject" in df.columns else F.lit(None).cast("string")
-    return df.withColumn("_reject", F.when(prior.isNotNull(), prior).when(cond, F.lit(reason)))
+def _add_reject(df: DataFrame, checks: list[tuple[Column, str]]) -> DataFrame:
+    """Set ``_reject`` to the first failing check's reason; a reason set
+    earlier (parsing) wins.  Checks must be cheap tests on columns that
+    are already computed (fenced by ``with_computed``)."""
+    reason = F.when(checks[0][0], F.lit(checks[0][1]))
+    for cond, why in checks[1:]:
+        reason = reason.when(cond, F.lit(why))
+    if "_reject" in df.columns:
+        reason = F.coalesce(F.col("_reject"), reason)
+    return df.withColumn("_reject", reason)
 
 
 def score_posts(posts: DataFrame, lexicon: dict[str, int] | None = None,
@@ -57,17 +65,17 @@ def score_posts(posts: DataFrame, lexicon: dict[str, int] | None = None,
                 text_col: str = "text", place_col: str = "place_full_name") -> DataFrame:
     """Add ``sentiment`` (-2..2) and ``place`` (state code).  NULL or empty
     text, or a NULL place, marks the row in ``_reject``."""
-    out = posts.withColumn("sentiment", sentiment(text_col, lexicon, scorer)) \
-               .withColumn("place", state_code(place_col, trim=trim))
-    out = _add_reject(out, F.col("sentiment").isNull(), f"empty:{text_col}")
-    return _add_reject(out, F.col("place").isNull(), f"missing:{place_col}")
+    scored = with_computed(posts, sentiment=sentiment(text_col, lexicon, scorer),
+                           place=state_code(place_col, trim=trim))
+    return _add_reject(scored, [(F.col("sentiment").isNull(), f"empty:{text_col}"),
+                                (F.col("place").isNull(), f"missing:{place_col}")])
 
 
 def score_weather(weather: DataFrame, trim: bool = True, state_col: str = "state") -> DataFrame:
     """Add ``place`` (state code); a NULL state or temperature is a reject."""
-    out = weather.withColumn("place", state_code(state_col, trim=trim))
-    out = _add_reject(out, F.col("place").isNull(), f"missing:{state_col}")
-    return _add_reject(out, F.col("temperature").isNull(), "missing:temperature")
+    scored = with_computed(weather, place=state_code(state_col, trim=trim))
+    return _add_reject(scored, [(F.col("place").isNull(), f"missing:{state_col}"),
+                                (F.col("temperature").isNull(), "missing:temperature")])
 
 
 # --------------------------------------------------------------------------
@@ -79,8 +87,8 @@ def classify_posts(records: DataFrame, lexicon: dict[str, int] | None = None,
     field kept.  Output ``key, timestamp, value, sentiment, _reject``."""
     # P1 reads only the text; the place is neither needed nor checked
     parsed = parse_records(records, {"text": POST_FIELDS["text"]})
-    scored = parsed.withColumn("sentiment", sentiment("text", lexicon, scorer))
-    scored = _add_reject(scored, F.col("sentiment").isNull(), "empty:text")
+    scored = with_computed(parsed, sentiment=sentiment("text", lexicon, scorer))
+    scored = _add_reject(scored, [(F.col("sentiment").isNull(), "empty:text")])
     cols = [c for c in ("key", "timestamp") if c in scored.columns]
     return scored.select(*cols, enrich_json("value", "sentiment", F.col("sentiment")).alias("value"),
                          "sentiment", "_reject")
