@@ -51,7 +51,11 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     s = state_dim(spark)
-    joined = (e.join(d, e.event_id == d.doc_id, "left")
+    # Documents carry whole texts: never broadcast them (their compressed
+    # parquet size understates their memory size several times).  A
+    # sort-merge join on the id also spreads the per-text work that follows
+    # (sentence split, tokenising) over all shuffle partitions.
+    joined = (e.join(d.hint("merge"), e.event_id == d.doc_id, "left")
                .join(s, (e.user_id % 50) == s.state_idx, "inner"))
     tag = F.when(F.col("value") > 60,
                  F.concat(F.lit(",#Topic"), (F.col("user_id") % 7).cast("string"))).otherwise(F.lit(" #"))
