@@ -1,11 +1,12 @@
 """Joins (J1-J3).
 
 ``join_windows`` is the windowed equi-join of two per-(window, place)
-aggregates.  Both inputs come out of an aggregate hash-partitioned on the
-same keys, so in batch Spark joins them without re-shuffling either side
-(or broadcasts one at runtime when AQE measures it small); on a stream
-it is a stream-stream inner join in append mode, bounded by the
-watermarks of both sides.
+aggregates, on their grouping keys (the ``window`` struct and the
+place).  Both inputs come out of an aggregate hash-partitioned on exactly
+those keys, so in batch Spark joins them without re-shuffling either
+side (or broadcasts one at runtime when AQE measures it small); on a
+stream it is a stream-stream inner join in append mode whose state is
+dropped once both watermarks pass a window (the struct carries them).
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..sources.states import state_dim
 
-WINDOW_KEYS = ("window_start", "window_end", "place")
+WINDOW_KEYS = ("window", "place")
 
 
 def join_windows(left: DataFrame, right: DataFrame, keys: Sequence[str] = WINDOW_KEYS,

@@ -155,12 +155,22 @@ def sentiment_weather(posts: DataFrame, weather: DataFrame, ts: str = "ts", weat
                       lexicon: dict[str, int] | None = None,
                       scorer: Callable[[Column], Column] | None = None) -> DataFrame:
     """Per window and state, post sentiment joined with mean temperature:
-    ``window_start, window_end, place, sentiment, temperature``."""
-    s = state_sentiment(posts, ts, size, None, exact, trim, lexicon, scorer).select(
-        "window_start", "window_end", "place", "sentiment")
-    w = weather_by_state(weather, weather_ts or ts, size, None, trim).select(
-        "window_start", "window_end", "place", "temperature")
-    return join_windows(s, w)
+    ``window_start, window_end, place, sentiment, temperature``.
+
+    The two aggregates are joined on their own grouping keys
+    ``(window, place)``: each side is already hash-partitioned on them, so
+    a sort-merge join needs no further shuffle (and AQE may still
+    broadcast a side it measures small).  On streams the ``window`` struct
+    carries the watermark that lets Spark drop join state.
+    """
+    weather_ts = weather_ts or ts
+    scored = valid(score_posts(posts, lexicon, scorer, trim=trim)).select(ts, "place", "sentiment")
+    s = state_sentiment_agg(scored, ts, size, exact=exact, flatten=False).select("window", "place", "sentiment")
+    wt = valid(score_weather(weather, trim=trim)).select(weather_ts, "place", "temperature")
+    t = state_temperature(wt, weather_ts, size, flatten=False).select("window", "place", "temperature")
+    j = join_windows(s, t)
+    return j.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                    "place", "sentiment", "temperature")
 
 
 # --------------------------------------------------------------------------

@@ -22,8 +22,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.records import valid
-from ..operators.windows import state_sentiment_agg, state_temperature
 from ..plans import pipelines as P
 
 # Fixed value: default watermark delay (the reference has no late data).
@@ -77,13 +75,5 @@ def stream_sentiment_weather(posts: DataFrame, weather: DataFrame, ts: str = "ts
     """P4 on two streams: two watermarked windowed aggregates joined on
     ``(window, place)`` in append mode."""
     weather_ts = weather_ts or ts
-    p = with_event_time(posts, ts, delay)
-    w = with_event_time(weather, weather_ts, delay)
-    scored = valid(P.score_posts(p, lexicon, trim=trim)).select(ts, "place", "sentiment")
-    s = state_sentiment_agg(scored, ts, size, exact=exact, flatten=False).select("window", "place", "sentiment")
-    wt = valid(P.score_weather(w, trim=trim)).select(weather_ts, "place", "temperature")
-    t = state_temperature(wt, weather_ts, size, flatten=False).select("window", "place", "temperature")
-    j = s.join(t, ["window", "place"], "inner")
-    return j.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                    "place", "sentiment", "temperature")
-
+    return P.sentiment_weather(with_event_time(posts, ts, delay), with_event_time(weather, weather_ts, delay),
+                               ts, weather_ts, size, exact, trim, lexicon)
