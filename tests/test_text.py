@@ -27,3 +27,23 @@ def test_longest_sentence(spark):
 
 def test_sentences_trimmed(spark):
     assert one(spark, sentences(F.col("x")), " a b .\t c!") == ["a b", "c", ""]
+
+
+def test_hashtags_equal_filtered_tokens(spark):
+    """The one-scan extractor equals 'tokens that start with #' (property
+    check over random strings built from delimiters, '#' and letters)."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    alphabet = st.sampled_from(list(" \t\n\x0b\f\r,#aAbZé."))
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.text(alphabet=alphabet, max_size=40), min_size=100, max_size=100))
+    def check(texts):
+        df = spark.createDataFrame([(t,) for t in texts], "x string")
+        for mode in ("normal", "raw"):
+            ref = F.filter(tokens(F.col("x"), mode), lambda t: (F.length(t) > 0) & t.startswith("#"))
+            bad = df.where(~F.equal_null(hashtags(F.col("x"), mode), ref)).count()
+            assert bad == 0, mode
+
+    check()
