@@ -14,9 +14,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from ..sources.states import state_dim
 
 WINDOW_KEYS = ("window", "place")
 
@@ -25,8 +22,3 @@ def join_windows(left: DataFrame, right: DataFrame, keys: Sequence[str] = WINDOW
                  how: str = "inner") -> DataFrame:
     return left.join(right, list(keys), how)
 
-
-def with_state_names(df: DataFrame, code_col: str = "code") -> DataFrame:
-    """Left join the 50-row state dimension (broadcast: its size is fixed)."""
-    dim = state_dim(df.sparkSession).select(F.col("state"), F.col("code").alias(code_col))
-    return df.join(dim, code_col, "left")

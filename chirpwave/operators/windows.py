@@ -37,6 +37,15 @@ def windowed_counts(df: DataFrame, key: str, ts: str = "ts", size: str = "4 seco
     return agg.select(*_flatten(flatten), key, "count")
 
 
+def window_totals(df: DataFrame, ts: str = "ts", size: str = "4 seconds",
+                  slide: str | None = "2 seconds") -> DataFrame:
+    """Rows per window over all keys (W5, the un-keyed window):
+    ``(window_start, window_end, count)``.  Still a partial + final
+    aggregate, so no single task sees a whole window's rows."""
+    agg = df.groupBy(window_col(ts, size, slide).alias("window")).agg(F.count(F.lit(1)).alias("count"))
+    return agg.select(*_flatten(), "count")
+
+
 def state_sentiment_agg(df: DataFrame, ts: str = "ts", size: str = "5 seconds",
                         slide: str | None = None, exact: bool = False, flatten: bool = True) -> DataFrame:
     """Per window and place: sum of sentiment, count, squashed mean.

@@ -144,3 +144,10 @@ def trending(size: str, slide: str | None, k: int, mode: str = "normal") -> str:
     return f"""(SELECT window_start, window_end, word, count, rank FROM
   (SELECT *, row_number() OVER (PARTITION BY window_start, window_end ORDER BY count DESC, word ASC) AS rank
    FROM {hashtag_counts(size, slide, mode)}) WHERE rank <= {k})"""
+
+
+def window_totals(size: str, slide: str | None, mode: str = "normal") -> str:
+    tags = f"(SELECT ts, unnest({hashtags('text', mode)}) AS word FROM {posts_sql()})"
+    return f"""(SELECT window_start, window_start + INTERVAL '{size}' AS window_end, count(*) AS count
+  FROM (SELECT {window_starts('ts', size, slide)} AS window_start FROM {tags})
+  GROUP BY window_start)"""

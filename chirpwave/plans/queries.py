@@ -20,6 +20,7 @@ from ..functions.places import state_code
 from ..functions.sentiment import sentiment
 from ..functions.text import hashtags, longest_sentence
 from ..operators.topk import top_k
+from ..operators.windows import window_totals
 from ..sources import feeds
 from ..sources.states import states_values_sql
 from . import oracle as O
@@ -134,6 +135,11 @@ def q_hashtag_counts_tumbling(spark: SparkSession, sf: str) -> DataFrame:
     return P.hashtag_counts(feeds.posts(spark, sf), "ts", TUMBLING, None)
 
 
+def q_hashtag_window_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashtag occurrences per sliding window over all words."""
+    return window_totals(P.tag_rows(feeds.posts(spark, sf)), "ts", *SLIDING)
+
+
 def q_top_words_global(spark: SparkSession, sf: str) -> DataFrame:
     tags = P.tag_rows(feeds.posts(spark, sf))
     counts = tags.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
@@ -197,6 +203,7 @@ BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hashtags_raw": q_hashtags_raw,
     "hashtag_counts_sliding": q_hashtag_counts_sliding,
     "hashtag_counts_tumbling": q_hashtag_counts_tumbling,
+    "hashtag_window_totals": q_hashtag_window_totals,
     "top_words_global": q_top_words_global,
     "trending_topics": q_trending_topics,
     "trending_topics_raw": q_trending_topics_raw,
@@ -237,6 +244,7 @@ def _oracle() -> dict[str, str]:
         "hashtags_raw": f"SELECT id, unnest({O.hashtags('text', 'raw')}) AS tag FROM {posts}",
         "hashtag_counts_sliding": f"SELECT * FROM {O.hashtag_counts(sliding, slide)}",
         "hashtag_counts_tumbling": f"SELECT * FROM {O.hashtag_counts(TUMBLING, None)}",
+        "hashtag_window_totals": f"SELECT * FROM {O.window_totals(sliding, slide)}",
         "top_words_global": f"""SELECT word, count(*) AS count
   FROM (SELECT unnest({O.hashtags('text')}) AS word FROM {posts})
   GROUP BY word ORDER BY count DESC, word ASC LIMIT {K}""",

@@ -26,8 +26,30 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # the stream-stream join of P4 has two stateful aggregates upstream
     "spark.sql.streaming.statefulOperator.checkCorrectness.enabled": "true",
+    # window state lives in RocksDB (off-heap, spills to local disk) and is
+    # checkpointed incrementally as a changelog, not as full snapshots
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Settings for a large cluster (hundreds of executors, tens of TB per job),
+# to be merged into the cluster's own configuration.  Shuffle partitions
+# start high and AQE coalesces them to ~128 MB; text work is CPU-heavy per
+# byte, so input splits stay at 128 MB rather than growing.
+CLUSTER_CONF = dict(BASE_CONF, **{
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    # broadcast only what the planner or AQE has measured below 64 MB
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+})
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app: str = "chirpwave", extra: dict | None = None) -> SparkSession:

@@ -13,9 +13,16 @@ from pyspark.sql import functions as F
 
 def kafka_source_options(brokers: str, topics: str | list[str],
                          starting_offsets: str = "latest",
+                         max_offsets_per_trigger: int | None = None,
+                         min_partitions: int | None = None,
                          extra: dict | None = None) -> dict[str, str]:
     """Options for ``format("kafka")``: comma list of topics, newest offset
-    by default (the reference starts at ``latest``)."""
+    by default (the reference starts at ``latest``).
+
+    ``max_offsets_per_trigger`` caps a micro-batch (a backlog after a
+    restart is then worked off in bounded batches, not one huge one);
+    ``min_partitions`` splits large topic partitions over more tasks.
+    """
     if not isinstance(topics, str):
         topics = ",".join(topics)
     opts = {
@@ -26,20 +33,26 @@ def kafka_source_options(brokers: str, topics: str | list[str],
         # its offset range instead of losing records.
         "failOnDataLoss": "true",
     }
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     opts.update(extra or {})
     return opts
 
 
 def read_kafka(spark: SparkSession, brokers: str, topics: str | list[str],
                starting_offsets: str = "latest", stream: bool = True,
-               extra: dict | None = None) -> DataFrame:
+               max_offsets_per_trigger: int | None = None, extra: dict | None = None) -> DataFrame:
     """Kafka records as ``(key, value, timestamp, topic, partition, offset)``
     with key and value decoded to strings (S6) and the broker timestamp
     as event time (S7)."""
     reader = spark.readStream if stream else spark.read
     if not stream and starting_offsets == "latest":
         starting_offsets = "earliest"
-    raw = reader.format("kafka").options(**kafka_source_options(brokers, topics, starting_offsets, extra)).load()
+    opts = kafka_source_options(brokers, topics, starting_offsets,
+                                max_offsets_per_trigger if stream else None, extra=extra)
+    raw = reader.format("kafka").options(**opts).load()
     return kafka_values(raw)
 
 
@@ -53,3 +66,9 @@ def kafka_values(raw: DataFrame) -> DataFrame:
         F.col("partition"),
         F.col("offset"),
     )
+
+
+def with_ingestion_time(df: DataFrame, col: str = "timestamp") -> DataFrame:
+    """Stamp rows with the time they enter the job (S7) for sources that
+    carry no time of their own; Kafka records already carry one."""
+    return df.withColumn(col, F.current_timestamp())
