@@ -70,21 +70,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the operator of the cluster sets it to a shared file
-    system path; it is read from the session and never overridden.  Only
-    when it is unset (tests, a laptop) is a private folder created.
+    On a cluster the cluster's configuration names a shared file system
+    folder; it is read from the session and never overridden, and a
+    cluster session without one is an error (a machine-local folder would
+    be lost with its executor).  Only a local-mode session (tests, a
+    laptop) gets a private folder when the setting is absent.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+        current = sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
         current = tempfile.mkdtemp(prefix="chirpwave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # pragma: no cover - Spark Connect has no SparkContext
-        pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current.rstrip("/")
 
 

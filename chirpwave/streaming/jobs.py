@@ -49,12 +49,18 @@ class Sink:
     def files(path: str, fmt: str = "parquet") -> "Sink":
         return Sink(fmt, {"path": path})
 
-    def write_batch(self, df: DataFrame) -> None:
-        """Write one micro-batch (used from ``foreachBatch``)."""
+    def write_batch(self, df: DataFrame, epoch_id: int) -> None:
+        """Write one micro-batch (used from ``foreachBatch``).  A file sink
+        writes each epoch to its own folder in overwrite mode, so a batch
+        replayed after a failure replaces its first attempt; Kafka is
+        at-least-once, as Spark's own Kafka sink is."""
         opts = dict(self.options)
         path = opts.pop("path", None)
-        w = df.write.format(self.format).options(**opts).mode("append")
-        w.save(path) if path else w.save()
+        w = df.write.format(self.format).options(**opts)
+        if path:
+            w.mode("overwrite").save(f"{path}/epoch={epoch_id}")
+        else:
+            w.mode("append").save()
 
 
 def _start(df: DataFrame, sink: Sink, checkpoint: str, trigger: dict | None,
@@ -126,7 +132,7 @@ def trending_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str,
 
     def emit(top: DataFrame, epoch_id: int) -> None:
         top = top.withColumn("time", window_time_ms("window_end"))
-        out.write_batch(to_kafka_rows(top, ["time", "word", "count"]))
+        out.write_batch(to_kafka_rows(top, ["time", "word", "count"]), epoch_id)
 
     q = (counts.writeStream.outputMode("append").option("checkpointLocation", f"{checkpoint}/result")
          .foreachBatch(S.top_k_writer(emit, k)).trigger(**(trigger or {"processingTime": DEFAULT_TRIGGER})).start())
