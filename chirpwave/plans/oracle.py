@@ -103,7 +103,7 @@ def _ratio(size: str, slide: str) -> int:
 
 def squash(total: str, n: str, exact: bool = False) -> str:
     if exact:
-        return f"1.0 / (1.0 + exp(-2.0 * {total} / {n}))"
+        return f"1.0 / (1.0 + exp(CAST(-2 AS DOUBLE) * {total} / {n}))"
     return f"1.0 / (1.0 + exp(CAST((-2 * {total}) // {n} AS DOUBLE)))"
 
 
@@ -142,7 +142,7 @@ def hashtag_counts(size: str, slide: str | None, mode: str = "normal") -> str:
 
 def trending(size: str, slide: str | None, k: int, mode: str = "normal") -> str:
     return f"""(SELECT window_start, window_end, word, count, rank FROM
-  (SELECT *, row_number() OVER (PARTITION BY window_start, window_end ORDER BY count DESC, word ASC) AS rank
+  (SELECT *, CAST(row_number() OVER (PARTITION BY window_start, window_end ORDER BY count DESC, word ASC) AS INTEGER) AS rank
    FROM {hashtag_counts(size, slide, mode)}) WHERE rank <= {k})"""
 
 

@@ -262,7 +262,7 @@ FROM {states_values_sql()} d LEFT JOIN (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY place ORDER BY window_end DESC) AS rn FROM {snapshot_src})
   WHERE rn = 1) l ON l.place = d.code""",
         "window_time_ms": f"SELECT window_start, window_end, place, time FROM {O.state_sentiment(TUMBLING)}",
-        "kafka_rows": f"""SELECT word AS key, to_json({{'time': epoch_ms(window_end) - 1, 'word': word, 'count': count}}) AS value
+        "kafka_rows": f"""SELECT word AS key, CAST(to_json({{'time': epoch_ms(window_end) - 1, 'word': word, 'count': count}}) AS VARCHAR) AS value
   FROM {O.trending(sliding, slide, K)}""",
     }
 

@@ -28,11 +28,14 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("EXACT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return ("nan",)
-        return round(v, 9)
+        return v if EXACT else round(v, 9)
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
@@ -65,6 +68,10 @@ def compare(spark, con, name, fn, sql, sf_dir):
     dc, d = canon(drows, dcols)
     ok = sc == dc and s == d
     detail = ""
+    if os.environ.get("TYPES") == "1":
+        stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        dtypes = dict(zip(dcols, [str(t) for t in res.types]))
+        detail += " types: " + ", ".join(f"{c}={stypes[c]}/{dtypes.get(c)}" for c in scols) + " "
     if not ok:
         if sc != dc:
             detail = f"cols spark={sc} duck={dc}"
