@@ -94,12 +94,20 @@ def replay(spark: SparkSession, inputs: dict[str, tuple[DataFrame, str, str | No
         q = w.trigger(availableNow=True).start()
         q.awaitTermination()
 
-    n_steps = max(len(s) for (_, _, s, _) in prepared.values())
-    for i in range(n_steps):
-        if i:
-            land(i)
-        run_once()
-    run_once()  # a last run with no new data lets the final watermark close windows
+    # State partitions are fixed by the first run of a checkpoint; size
+    # them to the cores available rather than to a generic default.
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        n_steps = max(len(s) for (_, _, s, _) in prepared.values())
+        for i in range(n_steps):
+            if i:
+                land(i)
+            run_once()
+        run_once()  # a last run with no new data lets the final watermark close windows
+    finally:
+        spark.conf.set(key, before)
 
     got = spark.read.parquet(out)
     if "epoch" in got.columns:
