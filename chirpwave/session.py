@@ -8,7 +8,6 @@ operators need, the shared checkpoint folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -94,11 +93,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python can stat local test paths."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def bench_cpus() -> str:
-    return os.environ.get("BENCH_CPUS", "8")

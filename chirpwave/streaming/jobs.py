@@ -32,7 +32,7 @@ from ..functions.numeric import window_time_ms
 from ..functions.records import rejects, valid
 from ..plans import pipelines as P
 from . import pipelines as S
-from .sinks import DEFAULT_TRIGGER, kafka_sink_options, to_kafka_rows
+from .sinks import DEFAULT_TRIGGER, kafka_sink_options, start_foreach_batch, start_query, to_kafka_rows
 
 
 @dataclass
@@ -63,12 +63,8 @@ class Sink:
             w.mode("append").save()
 
 
-def _start(df: DataFrame, sink: Sink, checkpoint: str, trigger: dict | None,
-           output_mode: str = "append") -> StreamingQuery:
-    w = (df.writeStream.format(sink.format).outputMode(output_mode)
-           .option("checkpointLocation", checkpoint).options(**sink.options)
-           .trigger(**(trigger or {"processingTime": DEFAULT_TRIGGER})))
-    return w.start()
+def _start(df: DataFrame, sink: Sink, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    return start_query(df, sink.format, checkpoint, trigger=trigger, options=sink.options)
 
 
 def _reject_rows(df: DataFrame) -> DataFrame:
@@ -134,8 +130,7 @@ def trending_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str,
         top = top.withColumn("time", window_time_ms("window_end"))
         out.write_batch(to_kafka_rows(top, ["time", "word", "count"]), epoch_id)
 
-    q = (counts.writeStream.outputMode("append").option("checkpointLocation", f"{checkpoint}/result")
-         .foreachBatch(S.top_k_writer(emit, k)).trigger(**(trigger or {"processingTime": DEFAULT_TRIGGER})).start())
+    q = start_foreach_batch(counts, S.top_k_writer(emit, k), f"{checkpoint}/result", trigger=trigger)
     return Job(q, [_start(_reject_rows(posts), reject, f"{checkpoint}/rejects", trigger)])
 
 

@@ -65,3 +65,30 @@ def test_kafka_options():
     o = kafka_source_options("b1:9092,b2:9092", ["tweets", "weather"])
     assert o["subscribe"] == "tweets,weather" and o["startingOffsets"] == "latest"
     assert kafka_sink_options("b:9092", "out") == {"kafka.bootstrap.servers": "b:9092", "topic": "out"}
+
+
+def test_state_sentiment_json_shape(spark):
+    import json
+    from chirpwave.plans import pipelines as P
+    from chirpwave.sources import feeds
+    r = P.state_sentiment_json(P.state_sentiment(feeds.posts(spark, SF0001), "ts", "1 day")).first()
+    rec = json.loads(r.value)
+    assert set(rec) == {"time", "place", "sentiment", "count"} and rec["time"] % 1000 == 999
+
+
+def test_ingestion_time(spark):
+    from chirpwave.sources.kafka import with_ingestion_time
+    df = with_ingestion_time(spark.createDataFrame([("a",)], "v string"))
+    assert dict(df.dtypes)["timestamp"] == "timestamp" and df.first().timestamp is not None
+
+
+def test_foreach_batch_helper(spark):
+    from chirpwave.streaming.sinks import start_foreach_batch
+    base = scratch_path(spark, "feb")
+    spark.createDataFrame([("x",), ("y",)], "v string").write.parquet(f"{base}/in")
+    seen = []
+    q = start_foreach_batch(read_parquet_stream(spark, f"{base}/in", spark.read.parquet(f"{base}/in").schema),
+                            lambda df, epoch: seen.append(df.count()), f"{base}/ckpt",
+                            trigger={"availableNow": True})
+    q.awaitTermination()
+    assert sum(seen) == 2
