@@ -30,13 +30,15 @@ def json_int(text: Column) -> Column:
 
 
 def parse_records(records: DataFrame, fields: dict[str, str], value_col: str = "value",
-                  keep: tuple[str, ...] = ("key", "timestamp")) -> DataFrame:
+                  keep: tuple[str, ...] = ("key", "timestamp"), keep_variant: bool = False) -> DataFrame:
     """Parse the JSON ``value`` of each record into typed columns.
 
     ``fields`` maps field name -> ``"string"`` or ``"int"``.  Adds
     ``_reject``: NULL for a good record, else the first reason found
     (``malformed``, ``missing:<field>``, ``type:<field>``).  Split with
     ``valid()`` / ``rejects()``.  Row-local: no shuffle, streaming-safe.
+    ``keep_variant=True`` also returns the parsed record as ``_v`` so a
+    later step (``enrich_variant``) does not parse it again.
 
     The work is staged in projections -- parse once, pull each field's
     sub-value once, then type and check it -- because Spark does not merge
@@ -49,7 +51,7 @@ def parse_records(records: DataFrame, fields: dict[str, str], value_col: str = "
     cols = [k for k in keep if k in records.columns]
     value = F.col(value_col)
     staged = records.select(*cols, value, F.try_parse_json(value).alias("_v"))
-    staged = staged.select(*cols, value_col, F.schema_of_variant("_v").alias("_vt"), *[
+    staged = staged.select(*cols, value_col, "_v", F.schema_of_variant("_v").alias("_vt"), *[
         F.try_variant_get("_v", f"$.{name}", "variant").alias(f"_f_{name}") for name in fields])
 
     reason = F.when(F.col("_vt").isNull() | ~F.col("_vt").startswith("OBJECT"), F.lit("malformed"))
@@ -68,7 +70,8 @@ def parse_records(records: DataFrame, fields: dict[str, str], value_col: str = "
             typed[name] = as_int
     # fenced, so a later filter on ``_reject`` does not re-run the parse
     fenced = with_computed(staged, **typed, _reject=reason)
-    return fenced.select(*cols, value_col, *fields, "_reject")
+    extra = ["_v"] if keep_variant else []
+    return fenced.select(*cols, value_col, *extra, *fields, "_reject")
 
 
 def valid(parsed: DataFrame) -> DataFrame:
@@ -81,17 +84,23 @@ def rejects(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reason")
 
 
-def enrich_json(value: Column | str, name: str, col: Column) -> Column:
-    """``value`` (a JSON object) with field ``name`` set to ``col``; every
-    other field, nested or null, is kept (key order is not kept).  NULL
-    when ``value`` is not a JSON object."""
-    value = F.col(value) if isinstance(value, str) else value
-    obj = F.try_parse_json(value).try_cast("map<string,variant>")
+def enrich_variant(v: Column | str, name: str, col: Column) -> Column:
+    """The JSON text of parsed object ``v`` with field ``name`` set to
+    ``col``; every other field, nested or null, is kept (key order is
+    not).  NULL when ``v`` is not an object."""
+    v = F.col(v) if isinstance(v, str) else v
+    obj = v.try_cast("map<string,variant>")
     kept = F.map_filter(obj, lambda k, _: k != F.lit(name))
     added = F.create_map(F.lit(name), col.cast("variant"))
     return F.when(obj.isNull(), F.lit(None).cast("string")).otherwise(F.to_json(F.map_concat(kept, added)))
 
 
+def enrich_json(value: Column | str, name: str, col: Column) -> Column:
+    """``enrich_variant`` for JSON text: parses ``value`` first."""
+    value = F.col(value) if isinstance(value, str) else value
+    return enrich_variant(F.try_parse_json(value), name, col)
+
+
 def to_json_record(*cols: Column | str) -> Column:
     """A JSON object of the given (named) columns."""
     return F.to_json(F.struct(*cols))

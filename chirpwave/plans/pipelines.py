@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import hover_label, window_time_ms
 from ..functions.places import state_code
-from ..functions.records import (POST_FIELDS, WEATHER_FIELDS, enrich_json, parse_records,
+from ..functions.records import (POST_FIELDS, WEATHER_FIELDS, enrich_variant, parse_records,
                                  to_json_record, valid)
 from ..functions.sentiment import sentiment
 from ..functions.text import hashtags
@@ -86,11 +86,12 @@ def classify_posts(records: DataFrame, lexicon: dict[str, int] | None = None,
     """Each JSON post with a ``sentiment`` field added, every other
     field kept.  Output ``key, timestamp, value, sentiment, _reject``."""
     # P1 reads only the text; the place is neither needed nor checked
-    parsed = parse_records(records, {"text": POST_FIELDS["text"]})
+    # each record is parsed once: the enrichment reuses the parsed variant
+    parsed = parse_records(records, {"text": POST_FIELDS["text"]}, keep_variant=True)
     scored = with_computed(parsed, sentiment=sentiment("text", lexicon, scorer))
     scored = _add_reject(scored, [(F.col("sentiment").isNull(), "empty:text")])
     cols = [c for c in ("key", "timestamp") if c in scored.columns]
-    return scored.select(*cols, enrich_json("value", "sentiment", F.col("sentiment")).alias("value"),
+    return scored.select(*cols, enrich_variant("_v", "sentiment", F.col("sentiment")).alias("value"),
                          "sentiment", "_reject")
 
 
