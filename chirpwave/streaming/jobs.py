@@ -14,7 +14,7 @@ resumes from its offsets and state.
 
 Command line (on a cluster with the Kafka connector)::
 
-    python -m chirpwave.streaming.jobs trending --brokers b:9092 --topics tweets \\
+    python -m chirpwave.streaming.jobs trending --brokers b:9092 --topics posts \\
         --out-topic trending-topics --checkpoint /shared/ckpt/trending
 """
 

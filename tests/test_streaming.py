@@ -62,8 +62,8 @@ def test_kafka_rows_shape(spark):
 
 
 def test_kafka_options():
-    o = kafka_source_options("b1:9092,b2:9092", ["tweets", "weather"])
-    assert o["subscribe"] == "tweets,weather" and o["startingOffsets"] == "latest"
+    o = kafka_source_options("b1:9092,b2:9092", ["posts", "weather"])
+    assert o["subscribe"] == "posts,weather" and o["startingOffsets"] == "latest"
     assert kafka_sink_options("b:9092", "out") == {"kafka.bootstrap.servers": "b:9092", "topic": "out"}
 
 
