@@ -87,3 +87,20 @@ def test_sentiment_weather_job_matches_batch(spark):
     # the far-future copies form a window of their own: not part of the data
     got_rows = sorted(map(tuple, got.where(F.col("time") <= last).collect()))
     assert got_rows == sorted(map(tuple, want.collect()))
+
+
+def test_stream_state_is_evicted_after_the_watermark(spark):
+    """Aggregation and join state hold only open windows: after the
+    far-future rows move the watermark, the closed windows are removed."""
+    base = scratch_path(spark, "job-state")
+    posts = _landed(spark, feeds.post_records(spark, SF0001), base, "posts")
+    weather = _landed(spark, feeds.weather_records(spark, SF0001), base, "weather")
+    job = J.sentiment_weather_job(posts, weather, J.Sink.files(f"{base}/out"), J.Sink.files(f"{base}/rej"),
+                                  f"{base}/ckpt", size="1 day", trigger=ONCE)
+    job.await_all()
+    last = job.result.recentProgress[-1]["stateOperators"]
+    by_op = {}
+    for op in last:
+        by_op.setdefault(op["operatorName"], []).append(op["numRowsTotal"])
+    assert by_op["symmetricHashJoin"] == [0]
+    assert all(n <= 1 for n in by_op["stateStoreSave"])   # only the far-future window is open
