@@ -177,14 +177,19 @@ def sentiment_weather(posts: DataFrame, weather: DataFrame, ts: str = "ts", weat
 # --------------------------------------------------------------------------
 # P5
 
-def state_snapshot(p4: DataFrame) -> DataFrame:
-    """P5: the dashboard's 50-row frame ``state, code, sentiment, weather,
-    text``: for each state its newest P4 row, NULLs where it has none."""
+def newest_per_state(p4: DataFrame) -> DataFrame:
+    """For each of the 50 states, its newest P4 row (at most 50 rows:
+    one per place, restricted to the dimension's codes)."""
     latest = top_k_per_group(p4, ["place"], 1, [F.desc("window_end")], rank_col=None)
     dim = state_dim(p4.sparkSession)
+    return latest.join(dim.select(F.col("code").alias("place")), "place", "left_semi")
+
+
+def snapshot_frame(latest: DataFrame) -> DataFrame:
+    """The dashboard's 50 rows from ``newest_per_state`` output."""
+    dim = state_dim(latest.sparkSession)
     # at most one row per dimension code: a proven bound of 50 rows
-    matched = latest.join(dim.select(F.col("code").alias("place")), "place", "left_semi")
-    snap = dim.join(F.broadcast(matched), dim.code == matched.place, "left")
+    snap = dim.join(F.broadcast(latest), dim.code == latest.place, "left")
     temp = F.round(F.col("temperature")).cast("int")
     return snap.select(
         "state", "code", "sentiment",
@@ -192,3 +197,10 @@ def state_snapshot(p4: DataFrame) -> DataFrame:
         hover_label(F.col("state"), temp).alias("text"),
         F.col("window_end").alias("as_of"),
     )
+
+
+def state_snapshot(p4: DataFrame) -> DataFrame:
+    """P5: the dashboard's 50-row frame ``state, code, sentiment, weather,
+    text, as_of``: for each state its newest P4 row, NULLs where it has
+    none."""
+    return snapshot_frame(newest_per_state(p4))

@@ -32,6 +32,7 @@ from ..functions.numeric import window_time_ms
 from ..functions.records import rejects, valid
 from ..plans import pipelines as P
 from . import pipelines as S
+from .snapshot import snapshot_writer
 from .sinks import DEFAULT_TRIGGER, kafka_sink_options, start_foreach_batch, start_query, to_kafka_rows
 
 
@@ -138,16 +139,35 @@ def trending_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str,
 
 def sentiment_weather_job(post_records: DataFrame, weather_records: DataFrame, out: Sink, reject: Sink,
                           checkpoint: str, size: str = "2 seconds", delay: str = S.DEFAULT_DELAY,
-                          trigger: dict | None = None) -> Job:
-    """Per closed window and state, ``{time, place, sentiment, temperature}``."""
+                          trigger: dict | None = None, snapshot: str | None = None) -> Job:
+    """Per closed window and state, ``{time, place, sentiment, temperature}``.
+
+    With ``snapshot`` (a folder), the same micro-batches also keep the
+    dashboard's newest-row-per-state table (P5) up to date there; read it
+    with ``streaming.snapshot.read_snapshot``.
+    """
     posts = P.parse_posts(post_records)
     weather = P.parse_weather(weather_records)
     joined = S.stream_sentiment_weather(valid(posts), valid(weather), "timestamp", "timestamp", size, delay)
-    result = to_kafka_rows(joined.withColumn("time", window_time_ms("window_end")),
-                           ["time", "place", "sentiment", "temperature"])
+    joined = joined.withColumn("time", window_time_ms("window_end"))
     bad = _reject_rows(P.score_posts(posts)).unionByName(_reject_rows(P.score_weather(weather)))
-    return Job(_start(result, out, f"{checkpoint}/result", trigger),
-               [_start(bad, reject, f"{checkpoint}/rejects", trigger)])
+    rejects_q = _start(bad, reject, f"{checkpoint}/rejects", trigger)
+    if snapshot is None:
+        result = to_kafka_rows(joined, ["time", "place", "sentiment", "temperature"])
+        return Job(_start(result, out, f"{checkpoint}/result", trigger), [rejects_q])
+
+    fold = snapshot_writer(snapshot)
+
+    def emit(batch: DataFrame, epoch_id: int) -> None:
+        # one computation of the batch feeds both outputs
+        batch.persist()
+        try:
+            out.write_batch(to_kafka_rows(batch, ["time", "place", "sentiment", "temperature"]), epoch_id)
+            fold(batch, epoch_id)
+        finally:
+            batch.unpersist()
+
+    return Job(start_foreach_batch(joined, emit, f"{checkpoint}/result", trigger=trigger), [rejects_q])
 
 
 # ---------------------------------------------------------------- command line
@@ -171,6 +191,7 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - needs Kaf
     ap.add_argument("--reject-topic", default=None)
     ap.add_argument("--checkpoint", required=True, help="shared folder for offsets and state")
     ap.add_argument("--trigger", default=DEFAULT_TRIGGER)
+    ap.add_argument("--snapshot", default=None, help="P4 only: folder for the live 50-state table (P5)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"chirpwave-{a.job}").getOrCreate()
     out = Sink.kafka(a.brokers, a.out_topic)
@@ -179,7 +200,8 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - needs Kaf
     posts = read_kafka(spark, a.brokers, a.topics)
     if a.job == "sentiment-weather":
         weather = read_kafka(spark, a.brokers, a.weather_topics)
-        job = sentiment_weather_job(posts, weather, out, reject, a.checkpoint, trigger=trigger)
+        job = sentiment_weather_job(posts, weather, out, reject, a.checkpoint, trigger=trigger,
+                                    snapshot=a.snapshot)
     else:
         job = JOBS[a.job](posts, out, reject, a.checkpoint, trigger=trigger)
     job.await_all()

@@ -92,3 +92,24 @@ def test_foreach_batch_helper(spark):
                             trigger={"availableNow": True})
     q.awaitTermination()
     assert sum(seen) == 2
+
+
+def test_snapshot_writer_versions(spark):
+    import datetime as dt
+    from chirpwave.streaming.snapshot import _versions, read_snapshot, snapshot_writer
+    path = scratch_path(spark, "snap")
+    fold = snapshot_writer(path, keep=2)
+    schema = "place string, window_start timestamp, window_end timestamp, sentiment double, temperature double"
+    t = dt.datetime(2024, 1, 1)
+    batches = [
+        [("TX", t, t + dt.timedelta(days=1), 0.5, 20.0), ("UND", t, t + dt.timedelta(days=1), 0.1, 1.0)],
+        [("TX", t, t + dt.timedelta(days=2), 0.7, 22.0)],
+        [("CA", t, t + dt.timedelta(days=2), 0.3, 18.0)],
+        [("TX", t, t + dt.timedelta(days=1), 0.9, 99.0)],   # older window: must not replace the newer TX row
+    ]
+    for epoch, rows in enumerate(batches):
+        fold(spark.createDataFrame(rows, schema), epoch)
+    fold(spark.createDataFrame(batches[-1], schema), len(batches) - 1)   # a replayed epoch is harmless
+    assert _versions(spark, path) == [2, 3]
+    snap = {r.code: (r.sentiment, r.weather) for r in read_snapshot(spark, path).collect()}
+    assert len(snap) == 50 and snap["TX"] == (0.7, 22) and snap["CA"] == (0.3, 18) and snap["NY"] == (None, None)
