@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import hover_label, window_time_ms
 from ..functions.places import state_code
-from ..functions.records import (POST_FIELDS, WEATHER_FIELDS, enrich_variant, parse_records,
+from ..functions.records import (POST_FIELDS, WEATHER_FIELDS, add_json_field, parse_records,
                                  to_json_record, valid)
 from ..functions.sentiment import sentiment
 from ..functions.text import hashtags
@@ -91,7 +91,7 @@ def classify_posts(records: DataFrame, lexicon: dict[str, int] | None = None,
     scored = with_computed(parsed, sentiment=sentiment("text", lexicon, scorer))
     scored = _add_reject(scored, [(F.col("sentiment").isNull(), "empty:text")])
     cols = [c for c in ("key", "timestamp") if c in scored.columns]
-    return scored.select(*cols, enrich_variant("_v", "sentiment", F.col("sentiment")).alias("value"),
+    return scored.select(*cols, add_json_field("value", "_v", "sentiment", F.col("sentiment")).alias("value"),
                          "sentiment", "_reject")
 
 

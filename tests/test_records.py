@@ -37,3 +37,19 @@ def test_enrich_keeps_fields(spark):
     got = json.loads(rows[0].e)
     assert got == {"text": "hi", "n": 1.5, "a": [1, 2], "o": {"k": None}, "z": None, "sentiment": 2}
     assert rows[1].e is None
+
+
+def test_enrich_splices_without_reencoding(spark):
+    cases = ['{"b":"x\\u00e9","a":[1,2]}', '{}', '{ }\n', '{"t":"s"}  ', '{"sentiment":1,"z":2}', "[1]", "nope"]
+    df = spark.createDataFrame([(c,) for c in cases], "v string")
+    got = [r.e for r in df.select(enrich_json("v", "sentiment", F.lit(-2)).alias("e")).collect()]
+    # new field: original text kept byte for byte, field appended
+    assert got[0] == '{"b":"x\\u00e9","a":[1,2],"sentiment":-2}'
+    assert got[1] == '{"sentiment":-2}'
+    assert json.loads(got[2]) == {"sentiment": -2}
+    assert got[3] == '{"t":"s","sentiment":-2}'
+    # existing field: replaced, others kept
+    assert json.loads(got[4]) == {"sentiment": -2, "z": 2}
+    assert got[5] is None and got[6] is None
+    nul = df.limit(1).select(enrich_json("v", "s", F.lit(None).cast("int")).alias("e")).first().e
+    assert json.loads(nul) == {"b": "xé", "a": [1, 2], "s": None}
