@@ -7,8 +7,10 @@ rejected, not read as ``"5"``); an int field accepts a number (truncated)
 or a numeric string.  Records that fail are not dropped and do not fail
 the job: they carry a reason and go to the reject output.
 
-Output records are ``to_json(struct(...))``; adding a field to an
-arbitrary object keeps every other field through ``MAP<STRING,VARIANT>``.
+Output records are ``to_json(struct(...))``.  Adding a field to an
+arbitrary object (``add_json_field``) splices it into the original text,
+or goes through ``MAP<STRING,VARIANT>`` when an existing field must be
+replaced; every other field is kept either way.
 """
 
 from __future__ import annotations
@@ -41,12 +43,14 @@ def parse_records(records: DataFrame, fields: dict[str, str], value_col: str = "
     (``malformed``, ``missing:<field>``, ``type:<field>``).  Split with
     ``valid()`` / ``rejects()``.  Row-local: no shuffle, streaming-safe.
     ``keep_variant=True`` also returns the parsed record as ``_v`` so a
-    later step (``enrich_variant``) does not parse it again.
-
-    The work is staged in projections -- parse once, pull each field's
-    sub-value once, then type and check it -- because Spark does not merge
-    a projection whose expensive result is used more than once, every
-    record is parsed exactly once.
+    later step (``add_json_field``) does not parse it again.
+
+    The work is staged -- parse once, pull each field's sub-value once,
+    then type and check it.  Spark does not merge a projection whose
+    expensive result is used more than once, and the typed columns and
+    reason leave through a generator fence (``with_computed``), so a later
+    filter on ``_reject`` cannot push the parse into a second evaluation:
+    every record is parsed exactly once.
     """
     for kind in fields.values():
         if kind not in ("string", "int"):

@@ -147,6 +147,7 @@ def trending_topics(posts: DataFrame, ts: str = "ts", size: str = "4 seconds", s
 
 def weather_by_state(weather: DataFrame, ts: str = "ts", size: str = "2 seconds", slide: str | None = None,
                      trim: bool = True) -> DataFrame:
+    """A5: per window and state, mean temperature and reading count."""
     scored = valid(score_weather(weather, trim=trim)).select(ts, "place", "temperature")
     return state_temperature(scored, ts, size, slide)
 
@@ -180,9 +181,11 @@ def sentiment_weather(posts: DataFrame, weather: DataFrame, ts: str = "ts", weat
 def newest_per_state(p4: DataFrame) -> DataFrame:
     """For each of the 50 states, its newest P4 row (at most 50 rows:
     one per place, restricted to the dimension's codes)."""
-    latest = top_k_per_group(p4, ["place"], 1, [F.desc("window_end")], rank_col=None)
     dim = state_dim(p4.sparkSession)
-    return latest.join(dim.select(F.col("code").alias("place")), "place", "left_semi")
+    # the 50-row dimension is broadcast: rows of other places (UND, foreign
+    # codes) are dropped before the per-place shuffle
+    known = p4.join(dim.select(F.col("code").alias("place")), "place", "left_semi")
+    return top_k_per_group(known, ["place"], 1, [F.desc("window_end")], rank_col=None)
 
 
 def snapshot_frame(latest: DataFrame) -> DataFrame:
