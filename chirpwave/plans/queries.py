@@ -37,11 +37,13 @@ CORRUPT_EVERY = 97  # every 97th record is corrupted, cycling through 4 kinds
 # ---------------------------------------------------------------- C1-C3
 
 def q_parse_posts(spark: SparkSession, sf: str) -> DataFrame:
+    """Post JSON records parsed back to typed columns (valid rows)."""
     parsed = P.parse_posts(feeds.post_records(spark, sf))
     return R.valid(parsed).select("id", F.col("timestamp").alias("ts"), "text", "place_full_name")
 
 
 def q_parse_weather(spark: SparkSession, sf: str) -> DataFrame:
+    """Weather JSON records parsed back (int field from number or text)."""
     parsed = P.parse_weather(feeds.weather_records(spark, sf))
     return R.valid(parsed).select(F.col("timestamp").alias("ts"), "state", "temperature")
 
@@ -62,6 +64,7 @@ def corrupted_post_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_reject_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Damaged records and the reason each is rejected."""
     scored = P.score_posts(P.parse_posts(corrupted_post_records(spark, sf)))
     return R.rejects(scored).select("key", "reason")
 
@@ -69,16 +72,19 @@ def q_reject_records(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- C6
 
 def q_state_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """State code of every post's place (trimmed)."""
     p = feeds.posts(spark, sf)
     return p.select("id", "place_full_name", state_code("place_full_name").alias("code"))
 
 
 def q_state_codes_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """State code with the two-letter part untrimmed (parity mode)."""
     p = feeds.posts(spark, sf)
     return p.select("id", "place_full_name", state_code("place_full_name", trim=False).alias("code"))
 
 
 def q_weather_state_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """C6 on the weather feed's place spellings, with row counts."""
     w = feeds.weather(spark, sf)
     return w.groupBy("state").agg(F.count(F.lit(1)).alias("n")).select(
         "state", state_code("state").alias("code"), "n")
@@ -87,11 +93,13 @@ def q_weather_state_codes(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- C12
 
 def q_longest_sentence(spark: SparkSession, sf: str) -> DataFrame:
+    """Longest sentence of every post's whole text."""
     p = feeds.posts(spark, sf)
     return p.select("id", longest_sentence("text").alias("longest"))
 
 
 def q_sentiment_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Sentiment -2..2 of every post."""
     p = feeds.posts(spark, sf)
     return p.select("id", sentiment("text").alias("sentiment"))
 
@@ -105,6 +113,7 @@ def _read_back(df: DataFrame) -> DataFrame:
 
 
 def q_enrich_json(spark: SparkSession, sf: str) -> DataFrame:
+    """C4: each post record with a sentiment field added, read back."""
     recs = feeds.post_records(spark, sf)
     enriched = recs.select(R.enrich_json("value", "sentiment", sentiment(
         F.get_json_object("value", "$.text"))).alias("value"))
@@ -112,6 +121,7 @@ def q_enrich_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_classify_posts(spark: SparkSession, sf: str) -> DataFrame:
+    """Classified post records, read back."""
     out = R.valid(P.classify_posts(feeds.post_records(spark, sf)))
     return _read_back(out.select("value")).drop("n_fields")
 
@@ -119,20 +129,24 @@ def q_classify_posts(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- C9, A1, T1-T3, P3
 
 def q_hashtags(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashtags of every post (normal tokenizer)."""
     p = feeds.posts(spark, sf)
     return p.select("id", F.explode(hashtags("text", "normal")).alias("tag"))
 
 
 def q_hashtags_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashtags of every post (raw tokenizer)."""
     p = feeds.posts(spark, sf)
     return p.select("id", F.explode(hashtags("text", "raw")).alias("tag"))
 
 
 def q_hashtag_counts_sliding(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashtag counts per 4 h window sliding by 2 h."""
     return P.hashtag_counts(feeds.posts(spark, sf), "ts", *SLIDING)
 
 
 def q_hashtag_counts_tumbling(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashtag counts per 1 h window."""
     return P.hashtag_counts(feeds.posts(spark, sf), "ts", TUMBLING, None)
 
 
@@ -142,47 +156,57 @@ def q_hashtag_window_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_top_words_global(spark: SparkSession, sf: str) -> DataFrame:
+    """The 5 most frequent hashtags overall."""
     tags = P.tag_rows(feeds.posts(spark, sf))
     counts = tags.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
     return top_k(counts, K, P.topk_order())
 
 
 def q_trending_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """Top-5 hashtags of every 4 h / 2 h window."""
     return P.trending_topics(feeds.posts(spark, sf), "ts", *SLIDING, k=K)
 
 
 def q_trending_topics_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """P3 with the raw tokenizer."""
     return P.trending_topics(feeds.posts(spark, sf), "ts", *SLIDING, k=K, mode="raw")
 
 
 # ---------------------------------------------------------------- P2, A5, P4, P5, C13, K1
 
 def q_state_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    """Squashed mean sentiment and count per state and day."""
     return P.state_sentiment(feeds.posts(spark, sf), "ts", DAY)
 
 
 def q_state_sentiment_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """P2 with the exact (non-integer) mean, D1."""
     return P.state_sentiment(feeds.posts(spark, sf), "ts", DAY, exact=True)
 
 
 def q_state_temperature(spark: SparkSession, sf: str) -> DataFrame:
+    """A5: mean temperature per state and day."""
     return P.weather_by_state(feeds.weather(spark, sf), "ts", DAY)
 
 
 def q_sentiment_weather(spark: SparkSession, sf: str) -> DataFrame:
+    """Per state and day, sentiment joined with temperature."""
     return P.sentiment_weather(feeds.posts(spark, sf), feeds.weather(spark, sf), "ts", size=DAY)
 
 
 def q_state_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """P5: the dashboard's 50-state frame from P4."""
     return P.state_snapshot(q_sentiment_weather(spark, sf))
 
 
 def q_window_time_ms(spark: SparkSession, sf: str) -> DataFrame:
+    """Window end as epoch milliseconds (1 h windows)."""
     r = P.state_sentiment(feeds.posts(spark, sf), "ts", TUMBLING)
     return r.select("window_start", "window_end", "place", window_time_ms("window_end").alias("time"))
 
 
 def q_kafka_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """K1: P3 rows shaped as Kafka key/value JSON records."""
     from ..streaming.sinks import to_kafka_rows
     r = P.trending_topics(feeds.posts(spark, sf), "ts", *SLIDING, k=K)
     r = r.withColumn("time", window_time_ms("window_end"))

@@ -123,22 +123,26 @@ def replay(spark: SparkSession, inputs: dict[str, tuple[DataFrame, str, str | No
 # ---------------------------------------------------------------- registered stream queries
 
 def q_stream_classify(spark: SparkSession, sf: str) -> DataFrame:
+    """P1 as a stream (replayed slices), read back."""
     out = replay(spark, {"posts": (feeds.post_records(spark, sf), "timestamp", "key")},
                  lambda s: S.stream_classify(s["posts"]).where(F.col("_reject").isNull()).drop("_reject"))
     return Q._read_back(out.select("value")).drop("n_fields")
 
 
 def q_stream_state_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    """P2 as a stream: append mode, watermark, state store."""
     return replay(spark, {"posts": (feeds.posts(spark, sf), "ts", "id")},
                   lambda s: S.stream_state_sentiment(s["posts"], "ts", Q.DAY))
 
 
 def q_stream_trending(spark: SparkSession, sf: str) -> DataFrame:
+    """P3 as a stream: append-mode counts, foreachBatch top-k."""
     return replay(spark, {"posts": (feeds.posts(spark, sf), "ts", "id")},
                   lambda s: S.stream_hashtag_counts(s["posts"], "ts", *Q.SLIDING), sink="topk", k=Q.K)
 
 
 def q_stream_sentiment_weather(spark: SparkSession, sf: str) -> DataFrame:
+    """P4 as two streams joined on closed windows."""
     return replay(spark, {"posts": (feeds.posts(spark, sf), "ts", "id"),
                           "weather": (feeds.weather(spark, sf), "ts", None)},
                   lambda s: S.stream_sentiment_weather(s["posts"], s["weather"], "ts", size=Q.DAY))
