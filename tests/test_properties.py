@@ -95,3 +95,25 @@ def test_longest_sentence_matches_model(spark):
 
 def test_sentiment_matches_model(spark):
     _check(spark, TEXT_PIECES, 300, sentiment, model_sentiment)
+
+
+def test_large_lexicon_matches_model(spark):
+    """A user lexicon of thousands of words (hash-set lookups) gives the
+    same scores as the brute-force model."""
+    import random
+    rnd = random.Random(7)
+    letters = "abcdefghij"
+    vocab = sorted({"".join(rnd.choice(letters) for _ in range(rnd.randint(2, 6))) for _ in range(6000)})
+    lex = {w: rnd.choice([-3, -2, -1, 1, 2, 3]) for w in vocab[:3000]}
+    texts = [" ".join(rnd.choice(vocab) for _ in range(rnd.randint(0, 15))) + rnd.choice([".", "!", ""]) +
+             " ".join(rnd.choice(vocab) for _ in range(rnd.randint(0, 8))) for _ in range(400)]
+
+    def model(text):
+        if not text:
+            return None
+        words = re.split(r"[^a-z]+", model_longest(text).lower())
+        return max(-2, min(2, sum(lex.get(w, 0) for w in words)))
+
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = [r.r for r in df.select(sentiment(F.col("x"), lexicon=lex).alias("r")).collect()]
+    assert got == [model(t) for t in texts]
