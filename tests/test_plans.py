@@ -71,3 +71,10 @@ def test_no_python_in_the_default_path(spark):
     for name in ("classify_posts", "state_sentiment", "trending_topics", "sentiment_weather"):
         p = plan(spark, name, "executed")
         assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p, name
+
+
+def test_weather_filter_reaches_the_scan(spark):
+    p = plan(spark, "state_temperature", "executed")
+    scan = next(line for line in p.splitlines() if "FileScan parquet" in line and "events.parquet" in line)
+    assert re.search(r"PushedFilters: \[[^\]]*In\(event_type, \[click,view\]\)", scan), scan
+    assert "props" not in scan and "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint" in scan
