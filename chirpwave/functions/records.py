@@ -28,6 +28,12 @@ POST_FIELDS = {"id": "string", "text": "string", "place_full_name": "string"}
 WEATHER_FIELDS = {"state": "string", "temperature": "int"}
 
 
+def json_path(name: str) -> str:
+    """Variant path of a top-level field; bracket form, so names with dots
+    or spaces work."""
+    return "$['" + name.replace("'", "\\'") + "']"
+
+
 def json_int(text: Column) -> Column:
     """An int from the text of a JSON scalar: ``12`` -> 12, ``"12"`` -> 12,
     ``12.9`` -> 12 (truncated toward zero); anything else -> NULL."""
@@ -59,12 +65,12 @@ def parse_records(records: DataFrame, fields: dict[str, str], value_col: str = "
     value = F.col(value_col)
     staged = records.select(*cols, value, F.try_parse_json(value).alias("_v"))
     staged = staged.select(*cols, value_col, "_v", F.schema_of_variant("_v").alias("_vt"), *[
-        F.try_variant_get("_v", f"$.{name}", "variant").alias(f"_f_{name}") for name in fields])
+        F.try_variant_get("_v", json_path(name), "variant").alias(f"_f{i}") for i, name in enumerate(fields)])
 
     reason = F.when(F.col("_vt").isNull() | ~F.col("_vt").startswith("OBJECT"), F.lit("malformed"))
     typed: dict[str, Column] = {}
-    for name, kind in fields.items():
-        sub = F.col(f"_f_{name}")
+    for i, (name, kind) in enumerate(fields.items()):
+        sub = F.col(f"_f{i}")
         jtype = F.schema_of_variant(sub)
         text = F.try_variant_get(sub, "$", "string")
         reason = reason.when(sub.isNull() | (jtype == "VOID"), F.lit(f"missing:{name}"))
@@ -78,7 +84,7 @@ def parse_records(records: DataFrame, fields: dict[str, str], value_col: str = "
     # fenced, so a later filter on ``_reject`` does not re-run the parse
     fenced = with_computed(staged, **typed, _reject=reason)
     extra = ["_v"] if keep_variant else []
-    return fenced.select(*cols, value_col, *extra, *fields, "_reject")
+    return fenced.select(*cols, value_col, *extra, *[F.col(f"`{n}`") for n in fields], "_reject")
 
 
 def valid(parsed: DataFrame) -> DataFrame:
@@ -115,7 +121,7 @@ def add_json_field(value: Column | str, v: Column | str, name: str, col: Column)
     value = F.col(value) if isinstance(value, str) else value
     v = F.col(v) if isinstance(v, str) else v
     obj_type = F.schema_of_variant(v)
-    absent = F.try_variant_get(v, f"$.{name}", "variant").isNull()
+    absent = F.try_variant_get(v, json_path(name), "variant").isNull()
     encoded = F.to_json(F.struct(col.alias(name)), {"ignoreNullFields": "false"})   # {"name":...}
     field = encoded.substr(F.lit(2), F.length(encoded) - 2)                         # "name":...
     body = F.rtrim(value, F.lit(JSON_BLANKS))                                        # ends with '}'

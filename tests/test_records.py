@@ -53,3 +53,10 @@ def test_enrich_splices_without_reencoding(spark):
     assert got[5] is None and got[6] is None
     nul = df.limit(1).select(enrich_json("v", "s", F.lit(None).cast("int")).alias("e")).first().e
     assert json.loads(nul) == {"b": "xé", "a": [1, 2], "s": None}
+
+
+def test_field_names_with_dots_and_spaces(spark):
+    vals = ['{"a.b": "x", "c d": 7}', '{"a": {"b": "nested"}, "c d": 1}']
+    p = _parse(spark, vals, {"a.b": "string", "c d": "int"}).collect()
+    assert (p[0]["a.b"], p[0]["c d"], p[0]._reject) == ("x", 7, None)
+    assert p[1]._reject == "missing:a.b"
