@@ -113,3 +113,13 @@ def test_snapshot_writer_versions(spark):
     assert _versions(spark, path) == [2, 3]
     snap = {r.code: (r.sentiment, r.weather) for r in read_snapshot(spark, path).collect()}
     assert len(snap) == 50 and snap["TX"] == (0.7, 22) and snap["CA"] == (0.3, 18) and snap["NY"] == (None, None)
+
+
+def test_kafka_values_decode(spark):
+    import datetime as dt
+    from chirpwave.sources.kafka import kafka_values
+    raw = spark.createDataFrame(
+        [(bytearray(b"k1"), bytearray(b'{"text":"hi"}'), "posts", 0, 5, dt.datetime(2024, 1, 1))],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
+    r = kafka_values(raw).first()
+    assert (r.key, r.value, r.topic, r.offset) == ("k1", '{"text":"hi"}', "posts", 5)
