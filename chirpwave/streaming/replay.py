@@ -24,6 +24,7 @@ from ..session import scratch_path
 from ..sources import feeds
 from ..sources.tables import read_parquet_stream
 from . import pipelines as S
+from .snapshot import read_snapshot, snapshot_writer
 
 # Fixed parameters of the replay.
 SLICES = 4
@@ -40,7 +41,8 @@ def _ntz(df: DataFrame) -> DataFrame:
 
 
 def _landing(spark: SparkSession, df: DataFrame, ts: str, base: str, name: str,
-             key: str | None) -> tuple[str, T.StructType, list[DataFrame], object]:
+             key: str | None, overrides: dict[str, str] | None = None
+             ) -> tuple[str, T.StructType, list[DataFrame], object]:
     """Materialise one feed once, partitioned by time slice, and prepare
     the slice reads (each reads only its own folder) and the sentinel."""
     df = df.withColumn(ts, F.col(ts).cast("timestamp"))
@@ -56,23 +58,29 @@ def _landing(spark: SparkSession, df: DataFrame, ts: str, base: str, name: str,
     sentinel = first.limit(1).withColumn(ts, F.col(ts) + F.expr(f"INTERVAL {SENTINEL_GAP_DAYS} DAYS"))
     if key:
         sentinel = sentinel.withColumn(key, F.lit(SENTINEL_KEY))
+    for col, value in (overrides or {}).items():
+        sentinel = sentinel.withColumn(col, F.lit(value))
     slices.append(sentinel)
     return f"{base}/{name}-in", first.schema, slices, hi
 
 
-def replay(spark: SparkSession, inputs: dict[str, tuple[DataFrame, str, str | None]],
+def replay(spark: SparkSession, inputs: dict[str, tuple],
            build: Callable[[dict[str, DataFrame]], DataFrame],
            sink: str = "parquet", k: int | None = None,
            window_filter: bool = True) -> DataFrame:
     """Run ``build(streams)`` as a streaming query over ``inputs``
-    (name -> (batch feed, event-time column, key column or None)) and
-    return what reached the sink, sentinel rows removed.
+    (name -> (batch feed, event-time column, key column or None[, column
+    overrides for the sentinel row])) and return what reached the sink,
+    sentinel rows removed.
 
     ``sink="topk"`` ranks each micro-batch with ``top_words(k)`` in
-    ``foreachBatch`` (P3); otherwise rows go to a parquet file sink.
+    ``foreachBatch`` (P3); ``sink="snapshot"`` folds every micro-batch into
+    the live 50-state table and returns ``read_snapshot`` (P5); otherwise
+    rows go to a parquet file sink.
     """
     base = scratch_path(spark, "replay")
-    prepared = {name: _landing(spark, df, ts, base, name, key) for name, (df, ts, key) in inputs.items()}
+    prepared = {name: _landing(spark, spec[0], spec[1], base, name, spec[2], spec[3] if len(spec) > 3 else None)
+                for name, spec in inputs.items()}
 
     def land(i: int) -> None:
         for path, _, slices, _ in prepared.values():
@@ -89,6 +97,8 @@ def replay(spark: SparkSession, inputs: dict[str, tuple[DataFrame, str, str | No
         w = result.writeStream.outputMode("append").option("checkpointLocation", ckpt)
         if sink == "topk":
             w = w.foreachBatch(S.top_k_writer(S.parquet_epoch_sink(out), k or 5))
+        elif sink == "snapshot":
+            w = w.foreachBatch(snapshot_writer(out))
         else:
             w = w.format("parquet").option("path", out)
         q = w.trigger(availableNow=True).start()
@@ -109,6 +119,8 @@ def replay(spark: SparkSession, inputs: dict[str, tuple[DataFrame, str, str | No
     finally:
         spark.conf.set(key, before)
 
+    if sink == "snapshot":
+        return _ntz(read_snapshot(spark, out))
     got = spark.read.parquet(out)
     if "epoch" in got.columns:
         got = got.drop("epoch")
@@ -148,11 +160,22 @@ def q_stream_sentiment_weather(spark: SparkSession, sf: str) -> DataFrame:
                   lambda s: S.stream_sentiment_weather(s["posts"], s["weather"], "ts", size=Q.DAY))
 
 
+def q_stream_state_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """P5 kept live by the P4 stream (versioned 50-row table)."""
+    # the far-future rows that close the windows get a place outside the
+    # 50 states, so they move the watermark but never enter the snapshot
+    return replay(spark, {"posts": (feeds.posts(spark, sf), "ts", "id", {"place_full_name": "Nowhere"}),
+                          "weather": (feeds.weather(spark, sf), "ts", None, {"state": "Nowhere"})},
+                  lambda s: S.stream_sentiment_weather(s["posts"], s["weather"], "ts", size=Q.DAY),
+                  sink="snapshot")
+
+
 STREAM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_classify": q_stream_classify,
     "stream_state_sentiment": q_stream_state_sentiment,
     "stream_trending": q_stream_trending,
     "stream_sentiment_weather": q_stream_sentiment_weather,
+    "stream_state_snapshot": q_stream_state_snapshot,
 }
 
 
@@ -164,6 +187,7 @@ def stream_oracle() -> dict[str, str]:
         "stream_state_sentiment": state,
         "stream_trending": o["trending_topics"],
         "stream_sentiment_weather": o["sentiment_weather"],
+        "stream_state_snapshot": o["state_snapshot"],
     }
 
 

@@ -15,7 +15,7 @@ from oracle_compare import canon, duck
 
 
 @pytest.mark.parametrize("name", ["stream_state_sentiment", "stream_trending", "stream_sentiment_weather",
-                                  "stream_classify"])
+                                  "stream_classify", "stream_state_snapshot"])
 def test_stream_equals_batch(spark, name):
     df = E.queries()[name](spark, SF0001)
     res = duck(SF0001).sql(E.oracle_sql()[name])
