@@ -118,14 +118,16 @@ def state_sentiment_job(records: DataFrame, out: Sink, reject: Sink, checkpoint:
 def trending_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str,
                  size: str = "4 seconds", slide: str = "2 seconds", k: int = 5,
                  delay: str = S.DEFAULT_DELAY, mode: str = "normal",
-                 trigger: dict | None = None) -> Job:
+                 trigger: dict | None = None, text_col: str = "text") -> Job:
     """Every closed window's top-k hashtags, ``{time, word, count}``.
 
     Counts are emitted in append mode and ranked per micro-batch in
     ``foreachBatch`` (a window's counts all arrive in the batch that closes
-    it)."""
+    it).  ``mode="raw", text_col="value"`` tokenises the whole raw record,
+    case kept (the reference's Spark variant); the default lower-cases the
+    ``text`` field."""
     posts = P.parse_records(records, {"text": "string"})
-    counts = S.stream_hashtag_counts(valid(posts), "timestamp", size, slide, delay, mode)
+    counts = S.stream_hashtag_counts(valid(posts), "timestamp", size, slide, delay, mode, text_col)
 
     def emit(top: DataFrame, epoch_id: int) -> None:
         top = top.withColumn("time", window_time_ms("window_end"))

@@ -49,9 +49,9 @@ def stream_state_sentiment(posts: DataFrame, ts: str = "ts", size: str = "5 seco
 
 def stream_hashtag_counts(posts: DataFrame, ts: str = "ts", size: str = "4 seconds",
                           slide: str | None = "2 seconds", delay: str = DEFAULT_DELAY,
-                          mode: str = "normal") -> DataFrame:
+                          mode: str = "normal", text_col: str = "text") -> DataFrame:
     """A1 on a stream: closed-window hashtag counts (append mode)."""
-    return P.hashtag_counts(with_event_time(posts, ts, delay), ts, size, slide, mode)
+    return P.hashtag_counts(with_event_time(posts, ts, delay), ts, size, slide, mode, text_col)
 
 
 def top_k_writer(sink: Callable[[DataFrame, int], None], k: int = 5) -> Callable[[DataFrame, int], None]:
