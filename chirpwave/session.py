@@ -32,17 +32,21 @@ BASE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# Settings for a large cluster (hundreds of executors, tens of TB per job),
-# to be merged into the cluster's own configuration.  Shuffle partitions
-# start high and AQE coalesces them to ~128 MB; text work is CPU-heavy per
-# byte, so input splits stay at 128 MB rather than growing.
+# Settings for a large cluster (hundreds of executors, ~100 TB per job),
+# to be merged into the cluster's own configuration.  Sizing rule: the
+# largest shuffle (the whole-text join of the feeds, ~100 TB) should start
+# at about 1 GB per partition, because AQE only merges small partitions
+# (it splits large ones only for skew joins); smaller shuffles are coalesced
+# to the 256 MB advisory size.  Input splits of 256 MB keep each task's
+# CPU-heavy text work to seconds.
 CLUSTER_CONF = dict(BASE_CONF, **{
-    "spark.sql.shuffle.partitions": "8000",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.shuffle.partitions": "100000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
     # broadcast only what the planner or AQE has measured below 64 MB
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
