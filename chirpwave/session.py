@@ -54,6 +54,24 @@ CLUSTER_CONF = dict(BASE_CONF, **{
 })
 
 
+def apply_cluster_conf(spark: SparkSession, conf: dict | None = None) -> dict[str, str]:
+    """Apply ``CLUSTER_CONF`` (or ``conf``) to a running session, but only
+    for keys the launcher did not set explicitly (spark-submit ``--conf``
+    and the cluster's defaults win) and only for runtime-settable SQL
+    settings.  Returns what was applied."""
+    given = spark.sparkContext.getConf()
+    applied = {}
+    for key, value in (conf or CLUSTER_CONF).items():
+        if given.contains(key) or not key.startswith("spark.sql."):
+            continue
+        try:
+            spark.conf.set(key, value)
+            applied[key] = value
+        except Exception:  # a static setting: leave it to the launcher
+            pass
+    return applied
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app: str = "chirpwave", extra: dict | None = None) -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""

@@ -196,6 +196,10 @@ def main(argv: list[str] | None = None) -> None:  # pragma: no cover - needs Kaf
     ap.add_argument("--snapshot", default=None, help="P4 only: folder for the live 50-state table (P5)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"chirpwave-{a.job}").getOrCreate()
+    from ..session import apply_cluster_conf, ensure_checkpoint_dir
+    if not spark.sparkContext.master.startswith("local"):
+        apply_cluster_conf(spark)
+    ensure_checkpoint_dir(spark)
     out = Sink.kafka(a.brokers, a.out_topic)
     reject = Sink.kafka(a.brokers, a.reject_topic or f"{a.out_topic}-rejects")
     trigger = {"processingTime": a.trigger}

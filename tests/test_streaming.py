@@ -123,3 +123,18 @@ def test_kafka_values_decode(spark):
         "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
     r = kafka_values(raw).first()
     assert (r.key, r.value, r.topic, r.offset) == ("k1", '{"text":"hi"}', "posts", 5)
+
+
+def test_apply_cluster_conf_keeps_launcher_settings(spark):
+    from chirpwave.session import apply_cluster_conf
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    applied = apply_cluster_conf(spark, {"spark.sql.shuffle.partitions": "123",
+                                         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+                                         "spark.ui.enabled": "true"})
+    try:
+        # shuffle.partitions was set by the session builder: kept; non-SQL keys are never touched
+        assert "spark.sql.shuffle.partitions" not in applied and "spark.ui.enabled" not in applied
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        assert applied == {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m"}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
