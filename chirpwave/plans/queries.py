@@ -205,6 +205,11 @@ def q_window_time_ms(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("window_start", "window_end", "place", window_time_ms("window_end").alias("time"))
 
 
+def q_state_sentiment_records(spark: SparkSession, sf: str) -> DataFrame:
+    """P2 as the JSON records its sink writes ({time, place, sentiment, count})."""
+    return P.state_sentiment_json(P.state_sentiment(feeds.posts(spark, sf), "ts", DAY))
+
+
 def q_kafka_rows(spark: SparkSession, sf: str) -> DataFrame:
     """K1: P3 rows shaped as Kafka key/value JSON records."""
     from ..streaming.sinks import to_kafka_rows
@@ -239,6 +244,7 @@ BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_snapshot": q_state_snapshot,
     "window_time_ms": q_window_time_ms,
     "kafka_rows": q_kafka_rows,
+    "state_sentiment_records": q_state_sentiment_records,
 }
 
 
@@ -286,6 +292,8 @@ FROM {states_values_sql()} d LEFT JOIN (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY place ORDER BY window_end DESC) AS rn FROM {snapshot_src})
   WHERE rn = 1) l ON l.place = d.code""",
         "window_time_ms": f"SELECT window_start, window_end, place, time FROM {O.state_sentiment(TUMBLING)}",
+        "state_sentiment_records": f"""SELECT CAST(to_json({{'time': time, 'place': place, 'sentiment': sentiment,
+  'count': count}}) AS VARCHAR) AS value FROM {O.state_sentiment(DAY)}""",
         "kafka_rows": f"""SELECT word AS key, CAST(to_json({{'time': epoch_ms(window_end) - 1, 'word': word, 'count': count}}) AS VARCHAR) AS value
   FROM {O.trending(sliding, slide, K)}""",
     }
