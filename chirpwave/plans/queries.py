@@ -210,6 +210,12 @@ def q_state_sentiment_records(spark: SparkSession, sf: str) -> DataFrame:
     return P.state_sentiment_json(P.state_sentiment(feeds.posts(spark, sf), "ts", DAY))
 
 
+def q_sentiment_weather_records(spark: SparkSession, sf: str) -> DataFrame:
+    """K1: P4 as the JSON records its sink writes ({time, place, sentiment, temperature})."""
+    r = q_sentiment_weather(spark, sf).withColumn("time", window_time_ms("window_end"))
+    return r.select(F.to_json(F.struct("time", "place", "sentiment", "temperature")).alias("value"))
+
+
 def q_kafka_rows(spark: SparkSession, sf: str) -> DataFrame:
     """K1: P3 rows shaped as Kafka key/value JSON records."""
     from ..streaming.sinks import to_kafka_rows
@@ -245,6 +251,7 @@ BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_time_ms": q_window_time_ms,
     "kafka_rows": q_kafka_rows,
     "state_sentiment_records": q_state_sentiment_records,
+    "sentiment_weather_records": q_sentiment_weather_records,
 }
 
 
@@ -294,6 +301,8 @@ FROM {states_values_sql()} d LEFT JOIN (
         "window_time_ms": f"SELECT window_start, window_end, place, time FROM {O.state_sentiment(TUMBLING)}",
         "state_sentiment_records": f"""SELECT CAST(to_json({{'time': time, 'place': place, 'sentiment': sentiment,
   'count': count}}) AS VARCHAR) AS value FROM {O.state_sentiment(DAY)}""",
+        "sentiment_weather_records": f"""SELECT CAST(to_json({{'time': epoch_ms(window_end) - 1, 'place': place,
+  'sentiment': sentiment, 'temperature': temperature}}) AS VARCHAR) AS value FROM {snapshot_src}""",
         "kafka_rows": f"""SELECT word AS key, CAST(to_json({{'time': epoch_ms(window_end) - 1, 'word': word, 'count': count}}) AS VARCHAR) AS value
   FROM {O.trending(sliding, slide, K)}""",
     }
