@@ -19,6 +19,7 @@ Scorers:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -101,9 +102,10 @@ def model_scorer(load_model: Callable[[], Callable[[list[str]], list[int]]],
     batch) and returns a function from a list of sentences to classes.
     The UDF is Arrow-batched; only the longest sentence of each post
     reaches Python.  ``model_key`` names the model in the per-worker cache
-    (Python workers are reused across tasks).
+    (Python workers are reused across tasks); by default every scorer gets
+    its own key, so two scorers never share a model.
     """
-    key = model_key or f"{load_model.__module__}.{load_model.__qualname__}"
+    key = model_key or f"model-{uuid.uuid4().hex}"
 
     @F.pandas_udf(T.IntegerType())
     def _score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -44,3 +44,11 @@ def test_model_scorer_hook(spark):
     got = [r.s for r in df.select(sentiment(F.col("x"), scorer=scorer).alias("s")).collect()]
     # 3 words -> class 3 -> 1; 5 words -> class 5 -> out of range -> 0; empty -> NULL
     assert got == [1, 0, None]
+
+
+def test_two_lambda_scorers_do_not_share_a_model(spark):
+    a = model_scorer(lambda: (lambda sents: [4 for _ in sents]))
+    b = model_scorer(lambda: (lambda sents: [0 for _ in sents]))
+    df = spark.createDataFrame([("some text",)], "x string")
+    r = df.select(sentiment(F.col("x"), scorer=a).alias("a"), sentiment(F.col("x"), scorer=b).alias("b")).first()
+    assert (r.a, r.b) == (2, -2)
