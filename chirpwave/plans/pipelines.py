@@ -71,6 +71,26 @@ def score_posts(posts: DataFrame, lexicon: dict[str, int] | None = None,
                                 (F.col("place").isNull(), f"missing:{place_col}")])
 
 
+def post_rejects(posts: DataFrame, text_col: str = "text", place_col: str | None = "place_full_name") -> DataFrame:
+    """The rows ``score_posts`` rejects, with the same reasons, found by
+    cheap checks on the input alone: the lexicon sentiment is NULL exactly
+    when the text is NULL or empty, and the state code exactly when the
+    place is NULL.  A reject output built on this never runs the sentence
+    split.  ``place_col=None`` checks the text only (P1)."""
+    checks = [(F.col(text_col).isNull() | (F.length(text_col) == 0), f"empty:{text_col}")]
+    if place_col:
+        checks.append((F.col(place_col).isNull(), f"missing:{place_col}"))
+    out = _add_reject(posts, checks)
+    return out.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reason")
+
+
+def weather_rejects(weather: DataFrame, state_col: str = "state") -> DataFrame:
+    """The rows ``score_weather`` rejects, by the same cheap checks."""
+    out = _add_reject(weather, [(F.col(state_col).isNull(), f"missing:{state_col}"),
+                                (F.col("temperature").isNull(), "missing:temperature")])
+    return out.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reason")
+
+
 def score_weather(weather: DataFrame, trim: bool = True, state_col: str = "state") -> DataFrame:
     """Add ``place`` (state code); a NULL state or temperature is a reject."""
     scored = with_computed(weather, place=state_code(state_col, trim=trim))

@@ -8,8 +8,10 @@ Each job takes streaming record frames ``(key, value, timestamp)`` (from
   output sink, append mode, with a checkpoint;
 * the reject query: records that could not be parsed or scored, with the
   reason, to the reject sink (the reference fails the whole job instead).
+  It uses cheap input checks, never the scoring itself, so the expensive
+  per-row work runs once.
 
-Both queries checkpoint under the given folder, so a restarted job
+All queries checkpoint under the given folder, so a restarted job
 resumes from its offsets and state.
 
 Command line (on a cluster with the Kafka connector)::
@@ -68,9 +70,9 @@ def _start(df: DataFrame, sink: Sink, checkpoint: str, trigger: dict | None) ->
     return start_query(df, sink.format, checkpoint, trigger=trigger, options=sink.options)
 
 
-def _reject_rows(df: DataFrame) -> DataFrame:
+def _reject_rows(df: DataFrame, already_split: bool = False) -> DataFrame:
     cols = [c for c in ("key", "timestamp") if c in df.columns]
-    return rejects(df).select(*cols, "value", "reason")
+    return (df if already_split else rejects(df)).select(*cols, "value", "reason")
 
 
 @dataclass
@@ -95,8 +97,10 @@ def classify_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str,
     """Every post with its sentiment added, as JSON."""
     scored = S.stream_classify(records, lexicon)
     result = valid(scored).select(F.lit(None).cast("string").alias("key"), "value")
+    # rejects by cheap checks: the sentence split runs in the result query only
+    bad = _reject_rows(P.post_rejects(P.parse_records(records, {"text": "string"}), place_col=None), True)
     return Job(_start(result, out, f"{checkpoint}/result", trigger),
-               [_start(_reject_rows(scored), reject, f"{checkpoint}/rejects", trigger)])
+               [_start(bad, reject, f"{checkpoint}/rejects", trigger)])
 
 
 # ---------------------------------------------------------------- P2
@@ -106,11 +110,11 @@ def state_sentiment_job(records: DataFrame, out: Sink, reject: Sink, checkpoint:
                         trigger: dict | None = None, exact: bool = False) -> Job:
     """Per closed window and state, ``{time, place, sentiment, count}``."""
     posts = P.parse_posts(records)
-    scored = P.score_posts(posts)
     agg = S.stream_state_sentiment(valid(posts), "timestamp", size, delay, exact=exact)
     result = to_kafka_rows(agg, ["time", "place", "sentiment", "count"])
+    bad = _reject_rows(P.post_rejects(posts), already_split=True)
     return Job(_start(result, out, f"{checkpoint}/result", trigger),
-               [_start(_reject_rows(scored), reject, f"{checkpoint}/rejects", trigger)])
+               [_start(bad, reject, f"{checkpoint}/rejects", trigger)])
 
 
 # ---------------------------------------------------------------- P3
@@ -152,7 +156,7 @@ def sentiment_weather_job(post_records: DataFrame, weather_records: DataFrame, o
     weather = P.parse_weather(weather_records)
     joined = S.stream_sentiment_weather(valid(posts), valid(weather), "timestamp", "timestamp", size, delay)
     joined = joined.withColumn("time", window_time_ms("window_end"))
-    bad = _reject_rows(P.score_posts(posts)).unionByName(_reject_rows(P.score_weather(weather)))
+    bad = _reject_rows(P.post_rejects(posts), True).unionByName(_reject_rows(P.weather_rejects(weather), True))
     rejects_q = _start(bad, reject, f"{checkpoint}/rejects", trigger)
     if snapshot is None:
         result = to_kafka_rows(joined, ["time", "place", "sentiment", "temperature"])

@@ -60,3 +60,15 @@ def test_field_names_with_dots_and_spaces(spark):
     p = _parse(spark, vals, {"a.b": "string", "c d": "int"}).collect()
     assert (p[0]["a.b"], p[0]["c d"], p[0]._reject) == ("x", 7, None)
     assert p[1]._reject == "missing:a.b"
+
+
+def test_cheap_post_rejects_equal_scored_rejects(spark):
+    """post_rejects (input checks only) finds the same rows and reasons as
+    scoring every post."""
+    from chirpwave.plans import pipelines as P
+    from chirpwave.plans.queries import corrupted_post_records
+    from conftest import SF0001
+    parsed = P.parse_posts(corrupted_post_records(spark, SF0001))
+    cheap = {(r.key, r.reason) for r in P.post_rejects(parsed).select("key", "reason").collect()}
+    full = {(r.key, r.reason) for r in rejects(P.score_posts(parsed)).select("key", "reason").collect()}
+    assert cheap == full and len(cheap) > 0
