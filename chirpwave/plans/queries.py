@@ -65,8 +65,8 @@ def corrupted_post_records(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_reject_records(spark: SparkSession, sf: str) -> DataFrame:
     """Damaged records and the reason each is rejected."""
-    scored = P.score_posts(P.parse_posts(corrupted_post_records(spark, sf)))
-    return R.rejects(scored).select("key", "reason")
+    parsed = P.parse_posts(corrupted_post_records(spark, sf))
+    return P.post_rejects(parsed).select("key", "reason")
 
 
 # ---------------------------------------------------------------- C6
