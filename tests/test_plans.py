@@ -29,13 +29,16 @@ def test_top_k_limits_each_window_before_the_shuffle(spark):
 
 
 def test_join_of_aggregates_adds_no_shuffle(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    # the plan a large cluster gets: no broadcast, no runtime re-plan
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
     try:
         p = E.queries()["sentiment_weather"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for k, v in before.items():
+            spark.conf.set(k, v)
     lines = p.splitlines()
     join = next(i for i, line in enumerate(lines) if "SortMergeJoin [window" in line)
     # the join's children are Sort over HashAggregate, not a new Exchange
