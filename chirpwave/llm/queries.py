@@ -11,7 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chirpwave.llm.decontaminate import decontaminate
+from chirpwave.llm.language_id import identify
 from chirpwave.llm.substring_dedup import substring_dedup
+from chirpwave.llm.toxicity import toxicity
 from chirpwave.sources.tables import read_table
 
 
@@ -35,10 +38,52 @@ FROM w LEFT JOIN kept USING (doc_id)
 LEFT JOIN (SELECT doc_id, count(*) AS n FROM cov GROUP BY doc_id) USING (doc_id)
 """
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity(docs, read_table(spark, sf_dir, "labels"))
+    return scored.select(F.col("doc.doc_id").alias("doc_id"), "held_out", "score", "predicted")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+    return marked.select(F.col("doc.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+OP8_SQL = r"""
+WITH b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^ -/:-`{-]+') AS ws FROM benchmark),
+k AS (SELECT DISTINCT item_id, least(len(ws), 13) AS n, array_to_string(ws[i:i + 12], ' ') AS k
+      FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^ -/:-`{-]+') AS ws FROM documents),
+g AS (SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS k
+      FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM k))),
+hit AS (SELECT doc_id, i, n, item_id FROM g JOIN k USING (n, k)),
+cov AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), false) AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs).select(F.col("doc.doc_id").alias("doc_id"), "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_toxicity": op3_toxicity,
+    "op8_decontamination": op8_decontamination,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
+    "op8_decontamination": OP8_SQL,
 }
