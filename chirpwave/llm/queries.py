@@ -53,11 +53,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = r"""
 WITH b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-             'abcdefghijklmnopqrstuvwxyz'), '[^ -/:-`{-]+') AS ws FROM benchmark),
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
 k AS (SELECT DISTINCT item_id, least(len(ws), 13) AS n, array_to_string(ws[i:i + 12], ' ') AS k
       FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
 d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-             'abcdefghijklmnopqrstuvwxyz'), '[^ -/:-`{-]+') AS ws FROM documents),
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 g AS (SELECT doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') AS k
       FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM k))),
 hit AS (SELECT doc_id, i, n, item_id FROM g JOIN k USING (n, k)),
