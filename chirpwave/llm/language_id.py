@@ -130,10 +130,16 @@ def phrases(flat: np.ndarray, offsets: np.ndarray, tables: list[np.ndarray], cod
 def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int, held_out: int,
           train_rows: int, train_bytes: int) -> dict[str, bytes]:
     """Training bytes per language, at most ``train_bytes`` each."""
-    labelled = docs.where((fold(id_col, folds) != held_out) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    labelled = (docs.where((fold(id_col, folds) != held_out) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+                .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id")))
     order = Window.partitionBy("lang").orderBy("h", "text")
-    rows = (labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
-                            F.xxhash64(id_col, text_col).alias("h"))
+    # few rows of a frequent language pass this sieve, so that none gathers in one task
+    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if not sizes:
+        return {}
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 2.0 * train_rows / n))])
+    rows = (labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+            .select("lang", "text", F.xxhash64("id", "text").alias("h"))
             .withColumn("n", F.row_number().over(order)).where(F.col("n") <= train_rows))
 
     def joined(key, table):

@@ -13,10 +13,19 @@ from pyspark.sql import functions as F
 
 from chirpwave.llm.decontaminate import decontaminate
 from chirpwave.llm.language_id import identify
+from chirpwave.llm.lm_score import lm_score
+from chirpwave.llm.merge_dropout import piece_encode
 from chirpwave.llm.substring_dedup import substring_dedup
+from chirpwave.llm.topk_search import topk_search
 from chirpwave.llm.toxicity import toxicity
+from chirpwave.llm.url_filter import path_of, url_filter
+from chirpwave.llm.warc import read_archives, resolve_revisits, write_archives
+from chirpwave.session import scratch_path
 from chirpwave.sources.tables import read_table
 
+#: vocabulary file of a public tokenizer (merge type, with byte pieces)
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -44,6 +53,55 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("doc.doc_id").alias("doc_id"), "held_out", "score", "predicted")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages carry the number of their document in the path; a page is known
+    as bad if that document is labelled toxic or of quality 0."""
+    labels = (read_table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("number"))
+              .agg(F.max(((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int")).alias("bad")))
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url").withColumn(
+        "number", F.try_to_number(F.nullif(F.regexp_extract(path_of(F.col("url")), "([0-9]{1,18})", 1), F.lit("")),
+                                  F.lit("9" * 18)).cast("bigint"))
+    judged = url_filter(pages.join(labels, "number", "left"), F.col("bad"))
+    return judged.select(F.col("page.page_id").alias("page_id"), "host", "path", "rule", "verdict", "template", "purity")
+
+
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score(docs, PIECES).select(F.col("doc.doc_id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens",
+                                         "base_score", "score")
+
+
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP6_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS w FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.w, v.w) AS BIGINT) AS score
+      FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 10
+"""
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    write_archives(read_table(spark, sf_dir, "pages"), path)
+    return resolve_revisits(read_archives(spark, path, payloads=False)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+o AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS m FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 100 AND page_id > m THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id > m THEN m END AS refers_to
+FROM o
+"""
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
@@ -71,6 +129,11 @@ FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+def op9_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return piece_encode(docs, PIECES).select(F.col("doc.doc_id").alias("doc_id"), "n_tokens", "tokens", "lossless")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify(docs).select(F.col("doc.doc_id").alias("doc_id"), "held_out", "lang_pred", "score")
@@ -79,11 +142,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_url_filter": op4_url_filter,
+    "op5_lm_score": op5_lm_score,
+    "op6_topk_search": op6_topk_search,
+    "op7_warc": op7_warc,
     "op8_decontamination": op8_decontamination,
+    "op9_merge_dropout": op9_merge_dropout,
     "op10_language_id": op10_language_id,
 }
 
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
+    "op6_topk_search": OP6_SQL,
+    "op7_warc": OP7_SQL,
     "op8_decontamination": OP8_SQL,
 }
