@@ -107,27 +107,35 @@ def run_starts(*columns: np.ndarray) -> np.ndarray:
     return np.nonzero(new)[0]
 
 
-def _count_bucket(table: pa.Table) -> pa.Table:
-    senders, (keys, counts) = received(table, KEY_COUNT)
-    order = np.argsort(keys, kind="stable")
-    keys, senders = keys[order], senders[order]
-    starts = run_starts(keys)
-    totals = np.add.reduceat(counts[order].astype(np.int64), starts) if len(starts) else np.empty(0, dtype=np.int64)
-    totals = np.repeat(totals, np.diff(np.append(starts, len(keys))))
-    shared = totals > 1
-    return answered(senders[shared], [keys[shared], np.minimum(totals[shared], 2**32 - 1).astype("<u4")])
+def count_keys(asks: DataFrame, least: int = 2) -> DataFrame:
+    """Answers to slices that sent (key, count) records (``KEY_COUNT``): the
+    keys whose counts total ``least`` or more over all slices, with the total."""
+    def count(table):
+        senders, (keys, counts) = received(table, KEY_COUNT)
+        order = np.argsort(keys, kind="stable")
+        keys, senders = keys[order], senders[order]
+        starts = run_starts(keys)
+        totals = np.add.reduceat(counts[order].astype(np.int64), starts) if len(starts) else np.empty(0, dtype=np.int64)
+        totals = np.repeat(totals, np.diff(np.append(starts, len(keys))))
+        enough = totals >= least
+        return answered(senders[enough], [keys[enough], np.minimum(totals[enough], 2**32 - 1).astype("<u4")])
 
+    return asks.groupBy("bucket").applyInArrow(count, ANSWERED)
 
-def shared_keys(slices: DataFrame, n: int, keys_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """For every slice, which of its keys belong to two or more documents of
-    the whole corpus, with that number (fields ``KEY_COUNT``).
+
+def ask_counts(slice_id: int, keys: np.ndarray, counts: np.ndarray, n: int) -> pa.Table:
+    return asked(slice_id, bucket_of(keys, n), [keys, counts.astype("<u4")])
+
+
+def shared_keys(slices: DataFrame, n: int, keys_of: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]],
+                least: int = 2) -> DataFrame:
+    """For every slice, which of its keys belong to ``least`` or more documents
+    of the whole corpus, with that number (fields ``KEY_COUNT``).
 
     ``keys_of(table)`` gives a slice's distinct 64-bit keys and the number of
     its documents that hold each.  Keys that collide are only answered
     needlessly; callers decide on full digests."""
     def ask(key, table):
-        keys, counts = keys_of(table)
-        return asked(key[0].as_py(), bucket_of(keys, n), [keys, counts.astype("<u4")])
+        return ask_counts(key[0].as_py(), *keys_of(table), n)
 
-    return (slices.groupBy("slice").applyInArrow(ask, ASKED)
-            .groupBy("bucket").applyInArrow(_count_bucket, ANSWERED))
+    return count_keys(slices.groupBy("slice").applyInArrow(ask, ASKED), least)

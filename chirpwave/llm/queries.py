@@ -15,6 +15,7 @@ from chirpwave.llm.decontaminate import decontaminate
 from chirpwave.llm.language_id import identify
 from chirpwave.llm.lm_score import lm_score
 from chirpwave.llm.merge_dropout import piece_encode
+from chirpwave.llm.ngram_join import ngram_join
 from chirpwave.llm.substring_dedup import substring_dedup
 from chirpwave.llm.topk_search import topk_search
 from chirpwave.llm.toxicity import toxicity
@@ -47,6 +48,26 @@ FROM w LEFT JOIN kept USING (doc_id)
 LEFT JOIN (SELECT doc_id, count(*) AS n FROM cov GROUP BY doc_id) USING (doc_id)
 """
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+OP2_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS k
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (SELECT u, v FROM (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS x
+                            FROM s AS a JOIN s AS b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY 1, 2)
+          JOIN n AS p ON p.doc_id = u JOIN n AS q ON q.doc_id = v WHERE 100 * x >= 85 * (p.n + q.n - x)),
+reach(u, v) AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach AS r JOIN links AS l ON r.v = l.u)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT u AS doc_id, min(v) AS m FROM reach GROUP BY u) USING (doc_id)
+"""
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity(docs, read_table(spark, sf_dir, "labels"))
@@ -141,6 +162,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_ngram_join": op2_ngram_join,
     "op3_toxicity": op3_toxicity,
     "op4_url_filter": op4_url_filter,
     "op5_lm_score": op5_lm_score,
@@ -153,6 +175,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
+    "op2_ngram_join": OP2_SQL,
     "op6_topk_search": OP6_SQL,
     "op7_warc": OP7_SQL,
     "op8_decontamination": OP8_SQL,

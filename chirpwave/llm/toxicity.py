@@ -9,7 +9,7 @@ regression with L2 penalty is then fitted on the presence vectors scaled by
 r, and a document's score is its probability.
 
 Only labelled rows outside the held-out fold train.  The fit uses at most
-``train_rows`` of them, those with the smallest content hash; the bound is a
+``train_rows`` of them, those with the smallest id hash; the bound is a
 parameter.  Scoring covers all rows and whole texts and is row-local.  Labels,
 language, source and id are never inputs of a score.
 
@@ -25,15 +25,16 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chirpwave.llm.language_id import fold
 from chirpwave.llm.words import LOWER, mix
+from chirpwave.session import scratch_path
 
 ORDERS = (4, 5, 6)
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 10_000
 FEATURES = 1_000
 MIN_DOCS = 5
 SMOOTH = 1.0
@@ -143,10 +144,13 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float, steps: int = 300)
 def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, folds: int, held_out: int,
           train_rows: int, features: int):
     """(n-gram keys, weights already scaled by r, intercept)."""
-    marks = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-             .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y")))
-    chosen = (docs.where(fold(id_col, folds) != held_out).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-              .join(marks, "id").select("y", "text", F.xxhash64("id", "text").alias("h")).orderBy("h", "text").limit(train_rows))
+    marks = (labels.where(F.col(label_col).isin(0, 1) & (fold(id_col, folds) != held_out))
+             .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
+             .orderBy(F.xxhash64("id"), "id").limit(train_rows))  # ids only, at most train_rows: small enough to broadcast
+    path = scratch_path(docs.sparkSession, "toxicity-sample")
+    (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(marks), "id").select("y", "text")
+     .write.parquet(path))
+    chosen = docs.sparkSession.read.schema("y int, text string").parquet(path)
 
     def count(batches):
         for batch in batches:
