@@ -44,7 +44,7 @@ from chirpwave.llm.words import mix
 
 MARK = "▁"
 LONG = 256
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 3 << 20
 NEVER = np.int64(1) << 40
 
 
