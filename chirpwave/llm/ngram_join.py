@@ -309,6 +309,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     again = (members.where("id is not null and class_id is not null").groupBy("id")  # ids with several texts
              .agg(F.min("class_id").alias("u"), F.max("class_id").alias("v")).where("u <> v").select("u", "v"))
     reach = components(stars.unionByName(rest).unionByName(again))
+    named = F.col("id").isNotNull()
     return (members.join(reach.withColumnRenamed("node", "class_id"), "class_id", "left")
-            .select("id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "id").alias("class_id"),
-                    F.coalesce("component", "class_id", "id").alias("component_id")))
+            .select("id", F.col("n").alias("n_shingles"), F.when(named, F.coalesce("class_id", "id")).alias("class_id"),
+                    F.when(named, F.coalesce("component", "class_id", "id")).alias("component_id")))

@@ -9,11 +9,14 @@ no rule fits are judged by their host's template tree:
    the number of labelled and of bad pages among them.  The tree is built on
    these counts, so a host that holds a third of all pages costs no more than
    its number of distinct shapes.
-2. Level by level, a segment stays a literal branch only if it has
-   ``min_support`` pages and its labelled bad rate differs from that of its
-   siblings (two-proportion z test at ``z``); all other siblings are variable
-   or statistically alike and merge into the wildcard ``*``.  Segments below
-   ``depth`` are part of their ancestor's template.
+2. Level by level, segments with fewer than ``min_support`` pages, or too few
+   labels to place their bad rate within ``width``, are variable and
+   generalise into the wildcard ``*``.  The others are compared by the
+   arcsine of their bad rate, whose standard error depends on the number of
+   labels only: siblings in the same band of ``width`` (``z`` standard errors
+   or more) are statistically alike and merge into one branch ``*band``; one
+   that is alone in its band keeps its name.  Segments below ``depth`` are
+   part of their ancestor's template.
 3. A template's purity is its share of good labelled pages, smoothed by
    ``weight`` pages towards its host's, and that towards the whole table's.
    Templates of a purity below ``min_purity`` are blocked.
@@ -61,23 +64,20 @@ def shape_of(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(shaped, r"[0-9]+", "#"), r"[^/]{40,}", "@")
 
 
-def templates(shapes: DataFrame, depth: int, min_support: int, z: float) -> DataFrame:
+def templates(shapes: DataFrame, depth: int, min_support: int, z: float, width: float) -> DataFrame:
     """Adds ``template`` to ``(host, shape, n, labelled, bad)`` rows."""
     tree = shapes.withColumn("parts", F.split("shape", "/")).withColumn("template", F.lit(""))
     for level in range(1, depth + 1):
         tree = tree.withColumn("part", F.coalesce(F.try_element_at("parts", F.lit(level + 1)), F.lit("")))
         child = tree.groupBy("host", "template", "part").agg(
             F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-        parent = child.groupBy("host", "template").agg(F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad"))
-        rest, rest_bad = F.col("all_labelled") - F.col("labelled"), F.col("all_bad") - F.col("bad")
-        pooled = F.col("all_bad") / F.col("all_labelled")
-        spread = pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / rest)
-        gap = F.col("bad") / F.col("labelled") - rest_bad / rest
-        apart = F.when((F.col("labelled") > 0) & (rest > 0) & (pooled > 0) & (pooled < 1), gap * gap >= z * z * spread)
-        literal = (F.col("n") >= min_support) & F.coalesce(apart, F.lit(False))
-        branch = (child.join(parent, ["host", "template"])
-                  .select("host", "template", "part", F.when(F.col("part") == "", F.lit("")).when(literal, F.col("part"))
-                          .otherwise(F.lit("*")).alias("branch")))
+        known = (F.col("part") != "") & (F.col("n") >= min_support) & (F.col("labelled") >= (z / (2 * width)) ** 2)
+        band = F.when(known, F.round(F.asin(F.sqrt(F.col("bad") / F.col("labelled"))) / width).cast("int"))
+        child = child.withColumn("band", F.coalesce(band, F.lit(-1)))
+        alike = child.groupBy("host", "template", "band").agg(F.count(F.lit(1)).alias("siblings"))
+        branch = (child.join(alike, ["host", "template", "band"])
+                  .select("host", "template", "part", F.when(F.col("part") == "", F.lit("")).when(F.col("band") < 0, F.lit("*"))
+                          .when(F.col("siblings") == 1, F.col("part")).otherwise(F.concat(F.lit("*"), "band")).alias("branch")))
         tree = (tree.join(branch, ["host", "template", "part"])
                 .withColumn("template", F.when(F.size("parts") > level, F.concat("template", F.lit("/"), "branch"))
                             .otherwise(F.col("template"))).drop("part", "branch").checkpoint())
@@ -85,7 +85,7 @@ def templates(shapes: DataFrame, depth: int, min_support: int, z: float) -> Data
 
 
 def url_filter(pages: DataFrame, label: Column | None = None, url_col: str = "url", rules=RULES, depth: int = 3,
-               min_support: int = 20, z: float = 1.96, weight: float = 10.0, min_purity: float = 0.7) -> DataFrame:
+               min_support: int = 20, z: float = 1.96, width: float = 0.2, weight: float = 10.0, min_purity: float = 0.7) -> DataFrame:
     """One row per input row: ``page`` (the input row), ``host``, ``path``,
     ``rule``, ``template``, ``purity`` and ``verdict``.  ``label`` is a column
     of ``pages``: 1 for a page known as bad, 0 for good, null for unknown."""
@@ -97,7 +97,7 @@ def url_filter(pages: DataFrame, label: Column | None = None, url_col: str = "ur
     shapes = rows.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"),
                                               F.coalesce(F.sum("label"), F.lit(0)).alias("bad"))
     ensure_checkpoint_dir(pages.sparkSession)
-    tree = templates(shapes.checkpoint(), depth, min_support, z)  # each level is written once and read by the next
+    tree = templates(shapes.checkpoint(), depth, min_support, z, width)  # each level is written once and read by the next
     node = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
     hosts = node.groupBy("host").agg(F.sum("labelled").alias("h_labelled"), F.sum("bad").alias("h_bad"))
     whole = hosts.agg(F.sum("h_labelled").alias("a_labelled"), F.sum("h_bad").alias("a_bad"))  # one row
