@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chirpwave.llm.fm_index import FMIndex
-from chirpwave.llm.words import ALNUM, split_words, vocab_bytes
+from chirpwave.llm.words import ALNUM, shards, split_words, vocab_bytes
 
 SPANS = "array<struct<start:int,length:int>>"
 SHARD_BYTES = 16 << 20
@@ -65,19 +65,6 @@ def windows_of(ids: list, texts: pa.Array, window: int) -> Windows:
                    np.array([len(run) for run in found], dtype=np.int64), [sorted(s) for s in found.values()])
 
 
-def shards(batch: pa.RecordBatch, text_col: str, limit: int = SHARD_BYTES):
-    """Consecutive rows of ``batch`` with at most ``limit`` bytes of text (or one row)."""
-    sizes = np.asarray(pc.fill_null(pc.binary_length(pc.struct_field(batch["doc"], text_col)), 0), dtype=np.int64)
-    total, start = 0, 0
-    for i, size in enumerate(sizes.tolist()):
-        if total + size > limit and i > start:
-            yield batch.slice(start, i - start)
-            total, start = 0, i
-        total += size
-    if batch.num_rows > start:
-        yield batch.slice(start)
-
-
 def occurrences(words, windows: Windows, sample: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """(window, stream position) of every occurrence inside one row."""
     none = np.empty(0, dtype=np.int64)
@@ -153,7 +140,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id"
 
         def mark(batches, windows=windows):
             for batch in batches:
-                for shard in shards(batch, text_col):
+                for shard in shards(batch, pc.struct_field(batch["doc"], text_col), SHARD_BYTES):
                     yield _mark(shard, windows, text_col)
 
         out = out.mapInArrow(mark, schema)

@@ -39,8 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chirpwave.llm.decontaminate import shards
-from chirpwave.llm.words import mix
+from chirpwave.llm.words import mix, shards
 
 MARK = "▁"
 LONG = 256
@@ -252,7 +251,7 @@ def piece_encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     def encode(batches):
         pieces = pa.array(vocabulary.bytes, type=pa.large_binary())
         for batch in batches:
-            for shard in shards(batch, text_col, SHARD_BYTES):
+            for shard in shards(batch, pc.struct_field(batch["doc"], text_col), SHARD_BYTES):
                 texts = pc.struct_field(shard["doc"], text_col)
                 tokens, offsets = encode_texts(texts, np.asarray(shard["variant"], dtype=np.int64), vocabulary, dropout, seed)
                 back = decode(tokens, offsets, pieces)

@@ -4,23 +4,25 @@ A document's set holds its distinct ``shingle``-word runs (lower-cased A-Z;
 fewer words: the whole sequence as one).  Two documents link when
 ``100 * shared >= percent * union``.
 
-1. *Sets.*  One pass over the texts writes, per document, its size, a digest
-   of its set, a signature bitmap, and the smallest token hashes (its
-   prefix).  Equal sets form one class; only the class's smallest id goes on.
+1. *Sets.*  One pass over the texts writes, per document, its size and a
+   digest of its set, and for the first document of each set in a batch a
+   signature bitmap and the smallest token hashes (its prefix).  Equal sets
+   form one class, which goes on under its smallest id: a set that a third of
+   all documents share travels once per batch.
 2. *Routing.*  Linked sets share one of the first ``n - ceil(percent n / 100) + 1``
    tokens of any common token order, so the join runs per prefix token.
    Tokens that only one class holds are dropped by the key exchange.  Tokens
    in more than ``hot`` prefixes come last in the order: unrelated documents
    that share a frequent passage do not meet.  A document whose prefix has too
    few other tokens (*dense*) still meets everyone at its frequent ones.
-3. *Stars.*  In each token's group the smallest id is compared with all
-   others by signature; possible pairs are verified on whole sets.
-   That connects a large group of near copies with one pair per member.
-4. *Signature trees.*  Each token's group becomes a tree; a dual traversal
-   prunes node pairs by size range, by largest possible overlap of the
-   OR-combined bitmaps, and where all sets below are already connected.
-   The surviving pairs are verified on whole sets.  Every link between sets
-   of different components is found, so the components are exact.
+3. *Signature trees.*  Each token's group becomes a tree; a dual traversal
+   prunes node pairs by size range and by largest possible overlap of the
+   OR-combined bitmaps.  Surviving pairs are verified on whole sets.
+4. *Large groups.*  In groups of more than ``star`` classes the smallest id is
+   first compared with all others, which connects a group of near copies
+   with one pair per member.  The tree of such a group then also prunes node
+   pairs below which all sets are already connected.  Every link between
+   sets of different components is found, so the components are exact.
 5. Components are contracted by joins; nothing is collected.
 
 Tokens are 64-bit hashes, class digests 128-bit.
@@ -35,6 +37,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,13 +45,16 @@ from pyspark.sql import functions as F
 from chirpwave.llm import exchange as X
 from chirpwave.llm import signature_tree as S
 from chirpwave.llm.components import components
-from chirpwave.llm.words import LOWER, digests, grams, split_words, vocab_bytes
+from chirpwave.llm.words import LOWER, digests, grams, shards, split_words, vocab_bytes
 from chirpwave.session import scratch_path
 
 SETS = "id bigint, n bigint, digest binary, tokens binary, bits binary"
 CLASSES = 8  # signatures of 64 << class bits
-RECORD = [np.dtype("<u8"), np.dtype("<i8"), np.dtype("<u4"), np.dtype("u1"), np.dtype("<i8")]  # token, id, size, may start, component
+RECORD = [np.dtype("<u8"), np.dtype("<i8"), np.dtype("<u4"), np.dtype("u1")]  # token, id, size, may start a pair
+FOUND = "large boolean, u bigint, v bigint, n bigint, view int, flags int, bits binary"  # a pair, or a large group's record (id, token)
 HOT = 1000
+STAR = 64
+SHARD_BYTES = 4 << 20
 BROADCAST_IDS = 1_000_000
 GROUP_PAIRS = 5_000
 
@@ -88,6 +94,9 @@ class _Part:
     """The classes of one slice, with flat prefix tokens."""
 
     def __init__(self, table: pa.Table, percent: int, hot: np.ndarray):
+        table = table.sort_by([("digest", "ascending"), ("id", "ascending")])
+        digest = np.frombuffer(b"".join(table["digest"].to_pylist()), dtype=np.uint64).reshape(-1, 2)
+        self.table = table = table.take(pa.array(X.run_starts(digest[:, 0], digest[:, 1])))
         self.ids, self.sizes = np.asarray(table["id"], dtype=np.int64), np.asarray(table["n"], dtype=np.int64)
         parts = [np.frombuffer(b, dtype="<u8") for b in table["tokens"].to_pylist()]
         counts = np.array([len(p) for p in parts], dtype=np.int64)
@@ -115,71 +124,103 @@ def _folded(bits: np.ndarray) -> np.ndarray:
 
 
 def _groups(table: pa.Table):
-    """Per bitmap class, the bucket's records of that class and the next
-    larger one (folded): sets that may link differ by one class at most."""
+    """Per bitmap class (view), the bucket's records of that class and the
+    next larger one (folded): sets that may link differ by one class at most."""
     held = {}
     for c in range(CLASSES):
         rows = [p for p, k in zip(table["payload"].to_pylist(), table["class"].to_pylist()) if k == c]
         if rows:
             _, fields = X.unpack(rows, RECORD + [np.dtype(f"V{8 << c}")])
-            fields[5] = np.frombuffer(fields[5].tobytes(), dtype=np.uint64).reshape(len(fields[0]), 1 << c)
+            fields[4] = np.frombuffer(fields[4].tobytes(), dtype=np.uint64).reshape(len(fields[0]), 1 << c)
             held[c] = fields
     for c, own in held.items():
         native = np.ones(len(own[0]), dtype=bool)
         if c + 1 in held:
             above = held[c + 1]
             near = np.isin(above[0], own[0])
-            own = [np.concatenate([x, (_folded(y[near]) if i == 5 else y[near])]) for i, (x, y) in enumerate(zip(own, above))]
+            own = [np.concatenate([x, (_folded(y[near]) if i == 4 else y[near])]) for i, (x, y) in enumerate(zip(own, above))]
             native = np.concatenate([native, np.zeros(near.sum(), dtype=bool)])
-        yield own, native
+        yield c, own, native
 
 
-def _by_token(fields, native, last_key):
-    order = np.lexsort((last_key, fields[4], fields[0]))
-    fields, native = [f[order] for f in fields], native[order]
-    at = X.run_starts(fields[0])
-    several = np.repeat(np.diff(np.append(at, len(order))) > 1, np.diff(np.append(at, len(order))))
-    return [f[several] for f in fields], native[several]
+def _members(token: np.ndarray) -> np.ndarray:
+    """Group size at every record of a sorted token column."""
+    counts = np.diff(np.append(X.run_starts(token), len(token)))
+    return np.repeat(counts, counts)
 
 
-def _pairs(ids: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
-    both = np.concatenate([np.stack(p, axis=1) for p in ids]) if ids else np.empty((0, 2), dtype=np.int64)
-    both = np.unique(np.sort(both[both[:, 0] != both[:, 1]], axis=1), axis=0)
-    return pa.table({"u": pa.array(both[:, 0]), "v": pa.array(both[:, 1])})
+def _tree(token, ids, size, must, bits, component, native, percent: int):
+    """(u, v) of the pairs that the trees of the token groups leave possible."""
+    order = np.lexsort((size, component, token))
+    token, ids, size, must, bits, component, native = (x[order] for x in (token, ids, size, must, bits, component, native))
+    _, group = np.unique(token, return_inverse=True)
+    _, component = np.unique(component, return_inverse=True)
+    out = []
+    for x, y in S.dual_traversal(S.build(bits, size.astype(np.int64), component, must, group), percent):
+        ok = native[x] | native[y]
+        out.append(np.stack([ids[x[ok]], ids[y[ok]]], axis=1))
+    return out
 
 
-def _star_pairs(percent: int):
-    def pairs(table):
-        out = []
-        for fields, native in _groups(table):
-            (token, ids, size, must, _, bits), native = _by_token(fields, native, fields[1])
-            if not len(token):
-                continue
-            at = X.run_starts(token)
-            leader = np.repeat(at, np.diff(np.append(at, len(token))))
-            rest = np.nonzero(leader != np.arange(len(token)))[0]
-            level = S.build(bits, size.astype(np.int64), np.arange(len(token)), must > 0, np.arange(len(token)))[0]
-            ok = S._possible(level, leader[rest], rest, percent) & (native[rest] | native[leader[rest]])
-            out.append((ids[leader[rest[ok]]], ids[rest[ok]]))
-        return _pairs(out)
-    return pairs
-
-
-def _tree_pairs(percent: int):
-    def pairs(table):
-        out = []
-        for fields, native in _groups(table):
-            (token, ids, size, must, component, bits), native = _by_token(fields, native, fields[2])
-            if not len(token):
-                continue
-            _, group = np.unique(token, return_inverse=True)
-            names, component = np.unique(component, return_inverse=True)
-            levels = S.build(bits, size.astype(np.int64), component, must > 0, group)
-            for x, y in S.dual_traversal(levels, percent):
-                ok = native[x] | native[y]
-                out.append((ids[x[ok]], ids[y[ok]]))
-        return _pairs(out)
-    return pairs
+def _distinct(pairs: list[np.ndarray]) -> np.ndarray:
+    both = np.concatenate(pairs) if pairs else np.empty((0, 2), dtype=np.int64)
+    return np.unique(np.sort(both[both[:, 0] != both[:, 1]], axis=1), axis=0)
+
+
+def _first_round(percent: int, star: int):
+    """All possible pairs of small groups; of large ones the star pairs and
+    the records, for the second round."""
+    def search(table):
+        pairs, kept = [], []
+        for view, fields, native in _groups(table):
+            order = np.lexsort((fields[1], fields[0]))
+            token, ids, size, must, bits = (f[order] for f in fields)
+            native, must = native[order], must > 0
+            members = _members(token)
+            small, large = (members > 1) & (members <= star), members > star
+            if small.any():
+                own = np.arange(small.sum())
+                pairs += _tree(token[small], ids[small], size[small], must[small], bits[small], own, native[small], percent)
+            if large.any():
+                token, ids, size, must, bits, native = (x[large] for x in (token, ids, size, must, bits, native))
+                at = X.run_starts(token)
+                leader = np.repeat(at, np.diff(np.append(at, len(token))))
+                rest = np.nonzero(leader != np.arange(len(token)))[0]
+                own = np.arange(len(token))
+                level = S.build(bits, size.astype(np.int64), own, must, own)[0]
+                ok = S._possible(level, leader[rest], rest, percent) & (native[rest] | native[leader[rest]])
+                pairs.append(np.stack([ids[leader[rest[ok]]], ids[rest[ok]]], axis=1))
+                kept.append((view, ids, token, size, must + 2 * native, bits))
+        both = _distinct(pairs)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.zeros(len(both), dtype=bool)), pa.array(both[:, 0]), pa.array(both[:, 1])]
+            + [pa.nulls(len(both), t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.binary())], names=FOUND_NAMES)
+        for view, ids, token, size, flags, bits in kept:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ones(len(ids), dtype=bool)), pa.array(ids), pa.array(token.view(np.int64)), pa.array(size.astype(np.int64)),
+                 pa.array(np.full(len(ids), view, dtype=np.int32)), pa.array(flags.astype(np.int32)),
+                 pa.array([b.tobytes() for b in bits], type=pa.binary())], names=FOUND_NAMES)
+
+    return lambda table: pa.Table.from_batches(list(search(table)))
+
+
+FOUND_NAMES = [f.split()[0] for f in FOUND.split(", ")]
+
+
+def _second_round(percent: int):
+    """Pairs of large groups that join different components."""
+    def search(table):
+        pairs = []
+        for view in sorted(set(table["view"].to_pylist())):
+            part = table.filter(pc.equal(table["view"], view))
+            flags = np.asarray(part["flags"])
+            bits = np.frombuffer(b"".join(part["bits"].to_pylist()), dtype=np.uint64).reshape(part.num_rows, 1 << view)
+            pairs += _tree(np.asarray(part["v"]), np.asarray(part["u"]), np.asarray(part["n"]), flags & 1 > 0, bits,
+                           np.asarray(part["component"]), flags & 2 > 0, percent)
+        both = _distinct(pairs)
+        return pa.table({"u": pa.array(both[:, 0]), "v": pa.array(both[:, 1])})
+
+    return search
 
 
 def verified(pairs: DataFrame, docs: DataFrame, n: int, shingle: int, percent: int) -> DataFrame:
@@ -194,8 +235,10 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, shingle: int, percent: i
 
     def sets_of(batches):
         for batch in batches:
-            sets = token_sets(batch["text"], shingle)
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array([s.tobytes() for s in sets], type=pa.binary())], names=["id", "tokens"])
+            for part in shards(batch, batch["text"], SHARD_BYTES):
+                sets = token_sets(part["text"], shingle)
+                yield pa.RecordBatch.from_arrays([part["id"], pa.array([s.tobytes() for s in sets], type=pa.binary())],
+                                                 names=["id", "tokens"])
 
     sets = docs.join(ids, "id", "left_semi").mapInArrow(sets_of, "id bigint, tokens binary")
     uses = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("uses"))
@@ -224,7 +267,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, shingle: int, percent: i
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, percent: int = 85,
-               hot: int = HOT, slices: int | None = None) -> DataFrame:
+               hot: int = HOT, star: int = STAR, slices: int | None = None) -> DataFrame:
     """``(id, n_shingles, class_id, component_id)`` per input row: the smallest
     id with an equal set, and the smallest id reachable by links."""
     spark = docs.sparkSession
@@ -233,20 +276,28 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def describe(batches):
         for batch in batches:
-            sets = token_sets(batch["text"], shingle)
-            stored = [min(len(s), prefix_size(len(s), percent) * 3 // 2 + 8) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"], pa.array([len(s) for s in sets], type=pa.int64()),
-                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], type=pa.binary()),
-                 pa.array([s[:k].tobytes() for s, k in zip(sets, stored)], type=pa.binary()),
-                 pa.array([signature(s).tobytes() for s in sets], type=pa.binary())], names=["id", "n", "digest", "tokens", "bits"])
+            first: dict[bytes, int] = {}  # the smallest id of each set in this batch
+            done = []
+            for part in shards(batch, batch["text"], SHARD_BYTES):
+                sets, ids = token_sets(part["text"], shingle), part["id"].to_pylist()
+                digest = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+                tokens, bits = [], []
+                for i, d, s in zip(ids, digest, sets):
+                    new = i is not None and len(s) > 0 and i < first.get(d, 1 << 63)
+                    if new:
+                        first[d] = i
+                    tokens.append(s[:prefix_size(len(s), percent) * 3 // 2 + 8].tobytes() if new else None)
+                    bits.append(signature(s).tobytes() if new else None)
+                done.append(pa.RecordBatch.from_arrays(
+                    [part["id"], pa.array([len(s) for s in sets], type=pa.int64()), pa.array(digest, type=pa.binary()),
+                     pa.array(tokens, type=pa.binary()), pa.array(bits, type=pa.binary())], names=["id", "n", "digest", "tokens", "bits"]))
+            yield from done
 
     path = scratch_path(spark, "shingle-sets")
     texts.mapInArrow(describe, SETS).write.parquet(path)
     sets = spark.read.schema(SETS).parquet(path)
-    classes = sets.where("n > 0 and id is not null").groupBy("digest").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("bits").alias("bits"))
-    parts = classes.select(F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("slice"), "id", "n", "tokens", "bits")
+    parts = sets.where("tokens is not null").select(
+        F.pmod(F.xxhash64("digest"), F.lit(n)).cast("int").alias("slice"), "id", "n", "digest", "tokens", "bits")
     none = np.empty(0, dtype=np.uint64)
 
     def first_tokens(table):
@@ -265,10 +316,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return X.ask_counts(key[0].as_py(), *_Part(table, percent, keys_in(replies, 0)).asks(), n)
 
     asks = parts.groupBy("slice").cogroup(frequent.groupBy("slice")).applyInArrow(ask, X.ASKED)
-    path = scratch_path(spark, "shared-shingles")
-    (frequent.unionByName(X.count_keys(asks).withColumn("kind", F.lit(1)))).write.parquet(path)
-    replies = spark.read.schema("slice int, payload binary, kind int").parquet(path).withColumns(
-        {"id": F.lit(None).cast("bigint"), "component": F.lit(None).cast("bigint")})
+    replies = frequent.unionByName(X.count_keys(asks).withColumn("kind", F.lit(1)))
 
     def send(key, table, replies):
         rows = []
@@ -277,38 +325,37 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             live = part.chosen & np.isin(part.tokens, keys_in(replies, 1))
             doc, token = part.doc[live], part.tokens[live]
             start = ~part.hot[live] | part.dense[doc]
-            names = dict(zip(replies["id"].to_pylist(), replies["component"].to_pylist()))
-            component = np.array([names.get(i, i) for i in part.ids.tolist()], dtype=np.int64)
             kind = size_class(part.sizes)
-            bits = table["bits"].to_pylist()
+            bits = part.table["bits"].to_pylist()
             for c in np.unique(kind[doc]).tolist():
                 own = np.nonzero(kind[doc] == c)[0]
-                blob = np.frombuffer(b"".join([bits[i] for i in doc[own].tolist()]), dtype=f"V{8 << c}")
                 at = doc[own]
+                blob = np.frombuffer(b"".join([bits[i] for i in at.tolist()]), dtype=f"V{8 << c}")
                 buckets, blobs = X.pack(X.bucket_of(token[own], n), [
-                    token[own].astype("<u8"), part.ids[at], part.sizes[at].astype("<u4"), start[own].astype("u1"), component[at], blob])
+                    token[own].astype("<u8"), part.ids[at], part.sizes[at].astype("<u4"), start[own].astype("u1"), blob])
                 rows += [(int(b), c, p) for b, p in zip(buckets, blobs)]
         return pa.table({"bucket": pa.array([r[0] for r in rows], type=pa.int32()), "class": pa.array([r[1] for r in rows], type=pa.int32()),
                          "payload": pa.array([r[2] for r in rows], type=pa.binary())})
 
-    def buckets(names):
-        told = replies if names is None else replies.unionByName(names.select(
-            F.pmod(F.xxhash64("node"), F.lit(n)).cast("int").alias("slice"), F.lit(None).cast("binary").alias("payload"),
-            F.lit(2).alias("kind"), F.col("node").alias("id"), "component"))
-        return (parts.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(send, "bucket int, class int, payload binary")
-                .groupBy("bucket"))
+    records = (parts.groupBy("slice").cogroup(replies.groupBy("slice"))
+               .applyInArrow(send, "bucket int, class int, payload binary"))
+    path = scratch_path(spark, "candidates")
+    records.groupBy("bucket").applyInArrow(_first_round(percent, star), FOUND).write.parquet(path)
+    found = spark.read.schema(FOUND).parquet(path)
 
     known = texts.where("id is not null")
-    stars = verified(buckets(None).applyInArrow(_star_pairs(percent), "u bigint, v bigint"), known, n, shingle, percent)
-    path = scratch_path(spark, "star-links")
-    stars.write.parquet(path)
-    stars = spark.read.schema("u bigint, v bigint").parquet(path)
-    joined = components(stars)
-    rest = verified(buckets(joined).applyInArrow(_tree_pairs(percent), "u bigint, v bigint"), known, n, shingle, percent)
-    members = sets.select("id", "n", "digest").join(classes.select("digest", F.col("id").alias("class_id")), "digest", "left")
+    path = scratch_path(spark, "links")
+    verified(found.where("not large").select("u", "v"), known, n, shingle, percent).write.parquet(path)
+    links = spark.read.schema("u bigint, v bigint").parquet(path)
+    large = (found.where("large").join(components(links).withColumnRenamed("node", "u"), "u", "left")
+             .withColumn("component", F.coalesce("component", "u")))
+    rest = (large.groupBy(F.pmod(F.xxhash64("v", "view"), F.lit(n)).alias("bucket"))
+            .applyInArrow(_second_round(percent), "u bigint, v bigint"))
+    classes = sets.where("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("class_id"))
+    members = sets.select("id", "n", "digest").join(classes, "digest", "left")
     again = (members.where("id is not null and class_id is not null").groupBy("id")  # ids with several texts
              .agg(F.min("class_id").alias("u"), F.max("class_id").alias("v")).where("u <> v").select("u", "v"))
-    reach = components(stars.unionByName(rest).unionByName(again))
+    reach = components(links.unionByName(verified(rest, known, n, shingle, percent)).unionByName(again))
     named = F.col("id").isNotNull()
     return (members.join(reach.withColumnRenamed("node", "class_id"), "class_id", "left")
             .select("id", F.col("n").alias("n_shingles"), F.when(named, F.coalesce("class_id", "id")).alias("class_id"),

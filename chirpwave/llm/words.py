@@ -63,16 +63,30 @@ class Words:
         return np.repeat(np.arange(len(self.offsets) - 1, dtype=np.int64), self.counts)
 
 
+def shards(batch: pa.RecordBatch, texts: pa.Array, limit: int):
+    """Consecutive rows of ``batch`` with at most ``limit`` bytes of text (or one row)."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
+    total, start = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if total + size > limit and i > start:
+            yield batch.slice(start, i - start)
+            total, start = 0, i
+        total += size
+    if batch.num_rows > start:
+        yield batch.slice(start)
+
+
 def byte_map(texts: pa.Array, table: np.ndarray) -> pa.Array:
     """``texts`` as bytes with every byte replaced through a 256-entry table."""
     texts = pc.fill_null(texts, "").cast(pa.large_binary())
-    if table is _IDENTITY or len(texts) == 0:
-        return texts
     _, offsets, data = texts.buffers()
-    if data is None:
+    if table is _IDENTITY or data is None:
+        return texts
+    at = np.frombuffer(offsets, dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    if not len(at):
         return texts
-    mapped = table[np.frombuffer(data, dtype=np.uint8)]
-    return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, offsets, pa.py_buffer(mapped)], 0, texts.offset)
+    mapped = table[np.frombuffer(data, dtype=np.uint8)[at[0]:at[-1]]]  # of these rows only
+    return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(at - at[0]), pa.py_buffer(mapped)])
 
 
 def split_words(texts: pa.Array | pa.ChunkedArray, table: np.ndarray = PLAIN) -> Words:
