@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 
 def int_div(a: Column, b: Column) -> Column:
-    """Integer division truncating toward zero (Java ``/`` on ints, SQL
-    ``div``).  ``a - a % b`` is an exact multiple of ``b`` (``%`` keeps the
-    sign of ``a``), so the double quotient is exact."""
-    return ((a - (a % b)) / b).cast("long")
+    """Integer division of bigints truncating toward zero (Java ``/`` on
+    ints, SQL ``div``), exact over the whole range."""
+    return F.call_function("div", a.cast("bigint"), b.cast("bigint"))
 
 
 def squash(total: Column | str, n: Column | str, exact: bool = False) -> Column:

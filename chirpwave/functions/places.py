@@ -28,7 +28,7 @@ def _lookup(name: Column) -> Column:
 def state_code(place: Column | str, trim: bool = True) -> Column:
     """State code of a place string; NULL only for a NULL place."""
     place = F.col(place) if isinstance(place, str) else place
-    parts = F.split(F.regexp_replace(place, ",+$", ""), ",")
+    parts = F.split(F.regexp_replace(place, r",+\z", ""), ",")
     n = F.size(parts)
     first = parts.getItem(0)
     second = F.try_element_at(parts, F.lit(2))

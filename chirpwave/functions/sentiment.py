@@ -12,7 +12,7 @@ Scorers:
 * ``lexicon`` (default): word -> weight; the weights of the sentence's
   words are summed with ``aggregate`` (hash-set lookups) and clamped to
   -2..2.
-  Pure native expressions: codegen, row-local, streaming-safe.
+  Native expressions only: row-local, streaming-safe, no Python.
 * ``model_scorer(load_model)``: an iterator pandas UDF that loads a user
   model once per Python worker and scores only the longest sentence.
 """

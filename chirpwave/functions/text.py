@@ -1,8 +1,9 @@
 """Text helpers (C7, C8, C9 and the sentence split of C12).
 
-All are ``Column -> Column`` built from native functions, so they stay
-inside whole-stage codegen and run row-locally (no shuffle, no state) on
-batch tables and streams alike.
+All are ``Column -> Column`` built from native functions and run row-locally
+(no shuffle, no state) on batch tables and streams alike.  Higher-order
+functions (``transform``, ``aggregate``) are evaluated by the JVM's
+interpreter, not by generated code.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ HASHTAG_RAW = r"(?<![^ ])#[^ ]*"
 # characters stripped from both ends of a sentence
 SENTENCE_PAD = " \t\x0b\f\r"
 # characters stripped by a Java-style trim: every code point <= U+0020
-JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+JAVA_TRIM = r"\A[\x00-\x20]+|[\x00-\x20]+\z"
 
 
 def _col(c: Column | str) -> Column:
@@ -77,13 +78,19 @@ def sentences(c: Column | str) -> Column:
 def longest_sentence(c: Column | str, guard: bool = True) -> Column:
     """The longest sentence by characters; the first one wins a tie.
 
-    ``array_max`` over ``(length, -position, sentence)`` picks the greatest
-    length and, among equals, the smallest position.  NULL for NULL or
-    empty text (``guard=False`` leaves that test to the caller).
+    One ``aggregate`` over the split pieces keeps the longest so far, so no
+    array of all trimmed pieces is built.  NULL for NULL or empty text
+    (``guard=False`` leaves that test to the caller).
     """
     c = _col(c)
-    keyed = F.transform(sentences(c), lambda s, i: F.struct(F.length(s).alias("n"), (-i).alias("p"), s.alias("s")))
-    best = F.array_max(keyed)["s"]
+    pieces = F.split(c, SENTENCE_DELIMITER)
+
+    def longer(best: Column, piece: Column) -> Column:
+        s = F.btrim(piece, F.lit(SENTENCE_PAD))
+        # a piece no longer than the best so far cannot win: it is not even trimmed
+        return F.when((F.length(piece) > F.length(best)) & (F.length(s) > F.length(best)), s).otherwise(best)
+
+    best = F.aggregate(pieces, F.lit(""), longer)
     if not guard:
         return best
     return F.when(c.isNull() | (F.length(c) == 0), F.lit(None).cast("string")).otherwise(best)

@@ -37,6 +37,40 @@ def windowed_counts(df: DataFrame, key: str, ts: str = "ts", size: str = "4 seco
     return agg.select(*_flatten(flatten), key, "count")
 
 
+# Seconds of the units that have a fixed length.
+UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def _seconds(interval: str) -> int | None:
+    """Seconds of ``"<n> <unit>"``, or None for anything else."""
+    number, _, unit = interval.strip().partition(" ")
+    unit = UNIT_SECONDS.get(unit.strip().rstrip("s"))
+    return int(number) * unit if unit and number.isdigit() else None
+
+
+def panes_divide(size: str, slide: str | None) -> bool:
+    """Whether windows of ``size`` are made of whole panes of ``slide``."""
+    a, b = _seconds(size), _seconds(slide) if slide else None
+    return bool(a and b and a > b and a % b == 0)
+
+
+def paned_counts(df: DataFrame, key: str, ts: str, size: str, slide: str) -> DataFrame:
+    """``windowed_counts`` for sliding windows of a batch table.
+
+    Grouping by a sliding window copies every row size/slide times before
+    the first aggregate.  Counting per slide-sized pane copies nothing; only
+    the panes' counts, one per pane and key, are then copied to their windows
+    and added up.  Needs ``panes_divide(size, slide)``."""
+    panes = df.groupBy(window_col(ts, slide).alias("pane"), F.col(key)).agg(F.count(F.lit(1)).alias("n"))
+    step = F.expr(f"INTERVAL {_seconds(slide)} SECONDS")
+    nth = F.explode(F.sequence(F.lit(0), F.lit(_seconds(size) // _seconds(slide) - 1))).alias("nth")
+    start = F.col("pane.start") - F.col("nth") * step
+    copies = panes.select("pane", key, "n", nth).select(start.alias("window_start"), key, "n")
+    agg = copies.groupBy("window_start", key).agg(F.sum("n").alias("count"))
+    end = F.col("window_start") + F.expr(f"INTERVAL {_seconds(size)} SECONDS")
+    return agg.select("window_start", end.alias("window_end"), key, "count")
+
+
 def window_totals(df: DataFrame, ts: str = "ts", size: str = "4 seconds",
                   slide: str | None = "2 seconds") -> DataFrame:
     """Rows per window over all keys (W5, the un-keyed window):

@@ -8,13 +8,32 @@ independent check.  Nothing here runs on Spark.
 
 from __future__ import annotations
 
-from ..functions.sentiment import DEFAULT_LEXICON, WORD_DELIMITER
-from ..functions.text import NORMAL_DELIMITER, SENTENCE_DELIMITER
 from ..sources.feeds import posts_sql, weather_sql
-from ..sources.states import STATES, UNDEFINED
+
+# Fixed values, restated here on purpose: an oracle that imported them from
+# the code under test would agree with any mistake in them.
+POSITIVE = ("love great good happy nice excellent wonderful amazing best beautiful glad fantastic").split()
+NEGATIVE = ("bad terrible awful sad hate worst horrible poor angry ugly boring disappointing").split()
+DEFAULT_LEXICON = {**dict.fromkeys(POSITIVE, 1), **dict.fromkeys(NEGATIVE, -1)}
+WORD_DELIMITER = "[^a-z]+"
+NORMAL_DELIMITER = r"[ \t\n\x0B\f\r]+|,"
+SENTENCE_DELIMITER = r"[.!?\n]+"
+UNDEFINED = "UND"
+STATES = [
+    ("Alabama", "AL"), ("Alaska", "AK"), ("Arizona", "AZ"), ("Arkansas", "AR"), ("California", "CA"),
+    ("Colorado", "CO"), ("Connecticut", "CT"), ("Delaware", "DE"), ("Florida", "FL"), ("Georgia", "GA"),
+    ("Hawaii", "HI"), ("Idaho", "ID"), ("Illinois", "IL"), ("Indiana", "IN"), ("Iowa", "IA"),
+    ("Kansas", "KS"), ("Kentucky", "KY"), ("Louisiana", "LA"), ("Maine", "ME"), ("Maryland", "MD"),
+    ("Massachusetts", "MA"), ("Michigan", "MI"), ("Minnesota", "MN"), ("Mississippi", "MS"), ("Missouri", "MO"),
+    ("Montana", "MT"), ("Nebraska", "NE"), ("Nevada", "NV"), ("New Hampshire", "NH"), ("New Jersey", "NJ"),
+    ("New Mexico", "NM"), ("New York", "NY"), ("North Carolina", "NC"), ("North Dakota", "ND"), ("Ohio", "OH"),
+    ("Oklahoma", "OK"), ("Oregon", "OR"), ("Pennsylvania", "PA"), ("Rhode Island", "RI"), ("South Carolina", "SC"),
+    ("South Dakota", "SD"), ("Tennessee", "TN"), ("Texas", "TX"), ("Utah", "UT"), ("Vermont", "VT"),
+    ("Virginia", "VA"), ("Washington", "WA"), ("West Virginia", "WV"), ("Wisconsin", "WI"), ("Wyoming", "WY"),
+]
 
 PAD = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
-JAVA_TRIM_RE = r"'^[\x00-\x20]+|[\x00-\x20]+$'"
+JAVA_TRIM_RE = r"'\A[\x00-\x20]+|[\x00-\x20]+\z'"
 
 
 def jtrim(x: str) -> str:
@@ -32,7 +51,7 @@ def lexicon_map(lexicon: dict[str, int] | None = None) -> str:
 
 
 def state_code(place: str, trim: bool = True) -> str:
-    parts = f"string_split(regexp_replace({place}, ',+$', ''), ',')"
+    parts = f"string_split(regexp_replace({place}, ',+\\z', ''), ',')"
     p1, p2 = f"({parts})[1]", f"({parts})[2]"
     two = jtrim(p2) if trim else p2
     lookup = f"coalesce({state_map()}[lower({jtrim(p1)})], '{UNDEFINED}')"
@@ -133,17 +152,22 @@ def sentiment_weather(size: str) -> str:
     ON s.window_start = w.window_start AND s.window_end = w.window_end AND s.place = w.place)"""
 
 
-def hashtag_counts(size: str, slide: str | None, mode: str = "normal") -> str:
-    tags = f"(SELECT ts, unnest({hashtags('text', mode)}) AS word FROM {posts_sql()})"
+def raw_records() -> str:
+    """The posts as JSON record texts."""
+    return f"(SELECT id, ts, CAST(to_json({{'id': id, 'text': text, 'place_full_name': place_full_name}}) AS VARCHAR) AS value FROM {posts_sql()})"
+
+
+def hashtag_counts(size: str, slide: str | None, mode: str = "normal", src: str | None = None, col: str = "text") -> str:
+    tags = f"(SELECT ts, unnest({hashtags(col, mode)}) AS word FROM {src or posts_sql()})"
     return f"""(SELECT window_start, window_start + INTERVAL '{size}' AS window_end, word, count(*) AS count
   FROM (SELECT {window_starts('ts', size, slide)} AS window_start, word FROM {tags})
   GROUP BY window_start, word)"""
 
 
-def trending(size: str, slide: str | None, k: int, mode: str = "normal") -> str:
+def trending(size: str, slide: str | None, k: int, mode: str = "normal", src: str | None = None, col: str = "text") -> str:
     return f"""(SELECT window_start, window_end, word, count, rank FROM
   (SELECT *, CAST(row_number() OVER (PARTITION BY window_start, window_end ORDER BY count DESC, word ASC) AS INTEGER) AS rank
-   FROM {hashtag_counts(size, slide, mode)}) WHERE rank <= {k})"""
+   FROM {hashtag_counts(size, slide, mode, src, col)}) WHERE rank <= {k})"""
 
 
 def window_totals(size: str, slide: str | None, mode: str = "normal") -> str:

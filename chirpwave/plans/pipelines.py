@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import hover_label, window_time_ms
 from ..functions.places import state_code
-from ..functions.records import (POST_FIELDS, WEATHER_FIELDS, add_json_field, parse_records,
-                                 to_json_record, valid)
+from ..functions.records import (POST_EXTRAS, POST_FIELDS, TEXT_FIELDS, WEATHER_FIELDS, add_json_field,
+                                 parse_records, to_json_record, valid)
 from ..functions.sentiment import sentiment
 from ..functions.text import hashtags
 from ..operators.joins import join_windows
 from ..operators.rows import with_computed
 from ..operators.topk import top_k_per_group
-from ..operators.windows import state_sentiment_agg, state_temperature, windowed_counts
+from ..operators.windows import paned_counts, panes_divide, state_sentiment_agg, state_temperature, windowed_counts
 from ..sources.states import state_dim
 
 
@@ -39,8 +39,9 @@ def topk_order() -> list[Column]:
 # parsing and scoring (row-local)
 
 def parse_posts(records: DataFrame, keep: tuple[str, ...] = ("key", "timestamp")) -> DataFrame:
-    """JSON post records -> ``id, text, place_full_name`` plus ``_reject``."""
-    return parse_records(records, POST_FIELDS, keep=keep)
+    """JSON post records -> ``text, place_full_name, id`` plus ``_reject``.
+    The id is optional: no analysis reads it."""
+    return parse_records(records, POST_FIELDS, keep=keep, extras=POST_EXTRAS)
 
 
 def parse_weather(records: DataFrame, keep: tuple[str, ...] = ("key", "timestamp")) -> DataFrame:
@@ -60,27 +61,41 @@ def _add_reject(df: DataFrame, checks: list[tuple[Column, str]]) -> DataFrame:
     return df.withColumn("_reject", reason)
 
 
+def _text_checks(text_col: str) -> list[tuple[Column, str]]:
+    """No text is ``empty``; a text that the scorer gave no class is ``unscored``."""
+    return [(F.col(text_col).isNull() | (F.length(text_col) == 0), f"empty:{text_col}"),
+            (F.col("sentiment").isNull(), f"unscored:{text_col}")]
+
+
 def score_posts(posts: DataFrame, lexicon: dict[str, int] | None = None,
                 scorer: Callable[[Column], Column] | None = None, trim: bool = True,
                 text_col: str = "text", place_col: str = "place_full_name") -> DataFrame:
     """Add ``sentiment`` (-2..2) and ``place`` (state code).  NULL or empty
-    text, or a NULL place, marks the row in ``_reject``."""
+    text, a text the scorer gave no class, or a NULL place, marks the row in
+    ``_reject``."""
     scored = with_computed(posts, sentiment=sentiment(text_col, lexicon, scorer),
                            place=state_code(place_col, trim=trim))
-    return _add_reject(scored, [(F.col("sentiment").isNull(), f"empty:{text_col}"),
-                                (F.col("place").isNull(), f"missing:{place_col}")])
-
-
-def post_rejects(posts: DataFrame, text_col: str = "text", place_col: str | None = "place_full_name") -> DataFrame:
-    """The rows ``score_posts`` rejects, with the same reasons, found by
-    cheap checks on the input alone: the lexicon sentiment is NULL exactly
-    when the text is NULL or empty, and the state code exactly when the
-    place is NULL.  A reject output built on this never runs the sentence
-    split.  ``place_col=None`` checks the text only (P1)."""
-    checks = [(F.col(text_col).isNull() | (F.length(text_col) == 0), f"empty:{text_col}")]
+    return _add_reject(scored, [*_text_checks(text_col), (F.col("place").isNull(), f"missing:{place_col}")])
+
+
+def post_rejects(posts: DataFrame, text_col: str = "text", place_col: str | None = "place_full_name",
+                 scorer: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The rows ``score_posts`` rejects, with the same reasons.
+
+    Without a model they are found by cheap checks on the input alone: the
+    lexicon sentiment is NULL exactly when the text is NULL or empty, and the
+    state code exactly when the place is NULL, so this output never runs the
+    sentence split.  With a ``scorer`` they come from the scored rows: only
+    the model knows which texts it gives no class.  ``place_col=None`` checks
+    the text only (P1)."""
+    if scorer is not None:
+        scored = with_computed(posts, sentiment=sentiment(text_col, None, scorer))
+        checks = _text_checks(text_col)
+    else:
+        scored, checks = posts, [(F.col(text_col).isNull() | (F.length(text_col) == 0), f"empty:{text_col}")]
     if place_col:
         checks.append((F.col(place_col).isNull(), f"missing:{place_col}"))
-    out = _add_reject(posts, checks)
+    out = _add_reject(scored, checks)
     return out.where(F.col("_reject").isNotNull()).withColumnRenamed("_reject", "reason")
 
 
@@ -104,15 +119,16 @@ def score_weather(weather: DataFrame, trim: bool = True, state_col: str = "state
 def classify_posts(records: DataFrame, lexicon: dict[str, int] | None = None,
                    scorer: Callable[[Column], Column] | None = None) -> DataFrame:
     """Each JSON post with a ``sentiment`` field added, every other
-    field kept.  Output ``key, timestamp, value, sentiment, _reject``."""
+    field kept; a rejected record's ``value`` is as it came.
+    Output ``key, timestamp, value, sentiment, _reject``."""
     # P1 reads only the text; the place is neither needed nor checked
     # each record is parsed once: the enrichment reuses the parsed variant
-    parsed = parse_records(records, {"text": POST_FIELDS["text"]}, keep_variant=True)
+    parsed = parse_records(records, TEXT_FIELDS, keep_variant=True)
     scored = with_computed(parsed, sentiment=sentiment("text", lexicon, scorer))
-    scored = _add_reject(scored, [(F.col("sentiment").isNull(), "empty:text")])
+    scored = _add_reject(scored, _text_checks("text"))
     cols = [c for c in ("key", "timestamp") if c in scored.columns]
-    return scored.select(*cols, add_json_field("value", "_v", "sentiment", F.col("sentiment")).alias("value"),
-                         "sentiment", "_reject")
+    value = F.when(F.col("_reject").isNull(), add_json_field("value", "_v", "sentiment", F.col("sentiment")))
+    return scored.select(*cols, value.otherwise(F.col("value")).alias("value"), "sentiment", "_reject")
 
 
 # --------------------------------------------------------------------------
@@ -146,8 +162,14 @@ def tag_rows(posts: DataFrame, ts: str = "ts", mode: str = "normal", text_col: s
 
 def hashtag_counts(posts: DataFrame, ts: str = "ts", size: str = "4 seconds", slide: str | None = "2 seconds",
                    mode: str = "normal", text_col: str = "text") -> DataFrame:
-    """Hashtag occurrences per window: ``window_start, window_end, word, count``."""
-    return windowed_counts(tag_rows(posts, ts, mode, text_col), "word", ts, size, slide)
+    """Hashtag occurrences per window: ``window_start, window_end, word, count``.
+
+    Batch inputs count panes where the panes divide the window (see
+    ``paned_counts``); streams count windows, whose state a watermark closes."""
+    tags = tag_rows(posts, ts, mode, text_col)
+    if posts.isStreaming or not panes_divide(size, slide):
+        return windowed_counts(tags, "word", ts, size, slide)
+    return paned_counts(tags, "word", ts, size, slide)
 
 
 def top_words(counts: DataFrame, k: int = 5, group: tuple[str, ...] = ("window_start", "window_end")) -> DataFrame:

@@ -31,7 +31,7 @@ SLIDING = ("4 hours", "2 hours")
 TUMBLING = "1 hour"
 DAY = "1 day"
 K = 5
-CORRUPT_EVERY = 97  # every 97th record is corrupted, cycling through 4 kinds
+CORRUPT_EVERY = 97  # every 97th record is corrupted, cycling through 5 kinds
 
 
 # ---------------------------------------------------------------- C1-C3
@@ -49,16 +49,18 @@ def q_parse_weather(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corrupted_post_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Post records where every 97th one is damaged in one of four ways:
+    """Post records where every 97th one is damaged in one of five ways:
     closing brace lost (malformed), text missing, text a number, text
-    empty.  Every record keeps its whole text."""
+    empty, more text after the object (trailing).  Every record keeps its
+    whole text."""
     p = feeds.posts(spark, sf)
-    kind = (F.col("id").cast("long") % (CORRUPT_EVERY * 4))
+    kind = (F.col("id").cast("long") % (CORRUPT_EVERY * 5))
     ok = F.to_json(F.struct("id", "text", "place_full_name"))
     value = (F.when(kind == 0, F.regexp_replace(ok, "}$", ""))
               .when(kind == CORRUPT_EVERY, F.to_json(F.struct("id", "place_full_name")))
               .when(kind == 2 * CORRUPT_EVERY, F.to_json(F.struct("id", F.length("text").alias("text"), "place_full_name")))
               .when(kind == 3 * CORRUPT_EVERY, F.to_json(F.struct("id", F.lit("").alias("text"), "place_full_name")))
+              .when(kind == 4 * CORRUPT_EVERY, F.concat(ok, F.lit(" "), ok))
               .otherwise(ok))
     return p.select(F.col("id").alias("key"), value.alias("value"), F.col("ts").alias("timestamp"))
 
@@ -73,13 +75,13 @@ def q_reject_records(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_state_codes(spark: SparkSession, sf: str) -> DataFrame:
     """State code of every post's place (trimmed)."""
-    p = feeds.posts(spark, sf)
+    p = feeds.places(spark, sf)
     return p.select("id", "place_full_name", state_code("place_full_name").alias("code"))
 
 
 def q_state_codes_raw(spark: SparkSession, sf: str) -> DataFrame:
     """State code with the two-letter part untrimmed (parity mode)."""
-    p = feeds.posts(spark, sf)
+    p = feeds.places(spark, sf)
     return p.select("id", "place_full_name", state_code("place_full_name", trim=False).alias("code"))
 
 
@@ -135,9 +137,9 @@ def q_hashtags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_hashtags_raw(spark: SparkSession, sf: str) -> DataFrame:
-    """Hashtags of every post (raw tokenizer)."""
-    p = feeds.posts(spark, sf)
-    return p.select("id", F.explode(hashtags("text", "raw")).alias("tag"))
+    """Hashtags of every whole raw record (raw tokenizer)."""
+    p = feeds.post_records(spark, sf)
+    return p.select(F.col("key").alias("id"), F.explode(hashtags("value", "raw")).alias("tag"))
 
 
 def q_hashtag_counts_sliding(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,8 +170,8 @@ def q_trending_topics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_trending_topics_raw(spark: SparkSession, sf: str) -> DataFrame:
-    """P3 with the raw tokenizer."""
-    return P.trending_topics(feeds.posts(spark, sf), "ts", *SLIDING, k=K, mode="raw")
+    """P3 with the raw tokenizer over whole raw records."""
+    return P.trending_topics(feeds.post_records(spark, sf), "timestamp", *SLIDING, k=K, mode="raw", text_col="value")
 
 
 # ---------------------------------------------------------------- P2, A5, P4, P5, C13, K1
@@ -179,6 +181,12 @@ def q_state_sentiment(spark: SparkSession, sf: str) -> DataFrame:
     return P.state_sentiment(feeds.posts(spark, sf), "ts", DAY)
 
 
+def q_state_sentiment_no_id(spark: SparkSession, sf: str) -> DataFrame:
+    """P2 from JSON records of which a third have a numeric id and a third none."""
+    posts = R.valid(P.parse_posts(feeds.post_records_mixed_ids(spark, sf)))
+    return P.state_sentiment(posts.withColumnRenamed("timestamp", "ts"), "ts", DAY)
+
+
 def q_state_sentiment_exact(spark: SparkSession, sf: str) -> DataFrame:
     """P2 with the exact (non-integer) mean, D1."""
     return P.state_sentiment(feeds.posts(spark, sf), "ts", DAY, exact=True)
@@ -244,6 +252,7 @@ BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trending_topics": q_trending_topics,
     "trending_topics_raw": q_trending_topics_raw,
     "state_sentiment": q_state_sentiment,
+    "state_sentiment_no_id": q_state_sentiment_no_id,
     "state_sentiment_exact": q_state_sentiment_exact,
     "state_temperature": q_state_temperature,
     "sentiment_weather": q_sentiment_weather,
@@ -259,27 +268,29 @@ BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def _oracle() -> dict[str, str]:
     posts = feeds.posts_sql()
+    places = feeds.places_sql()
+    records = O.raw_records()
     weather = feeds.weather_sql()
     sliding, slide = SLIDING
     c = CORRUPT_EVERY
-    corrupt_kind = f"CAST(id AS BIGINT) % {c * 4}"
+    corrupt_kind = f"CAST(id AS BIGINT) % {c * 5}"
     snapshot_src = O.sentiment_weather(DAY)
     return {
         "parse_posts": f"SELECT id, ts, text, place_full_name FROM {posts}",
         "parse_weather": f"SELECT ts, state, temperature FROM {weather}",
         "reject_records": f"""SELECT key, reason FROM (
   SELECT id AS key, CASE {corrupt_kind} WHEN 0 THEN 'malformed' WHEN {c} THEN 'missing:text'
-    WHEN {2 * c} THEN 'type:text' WHEN {3 * c} THEN 'empty:text' END AS reason FROM {posts})
+    WHEN {2 * c} THEN 'type:text' WHEN {3 * c} THEN 'empty:text' WHEN {4 * c} THEN 'trailing' END AS reason FROM {posts})
   WHERE reason IS NOT NULL""",
-        "state_codes": f"SELECT id, place_full_name, {O.state_code('place_full_name')} AS code FROM {posts}",
-        "state_codes_raw": f"SELECT id, place_full_name, {O.state_code('place_full_name', trim=False)} AS code FROM {posts}",
+        "state_codes": f"SELECT id, place_full_name, {O.state_code('place_full_name')} AS code FROM {places}",
+        "state_codes_raw": f"SELECT id, place_full_name, {O.state_code('place_full_name', trim=False)} AS code FROM {places}",
         "weather_state_codes": f"SELECT state, {O.state_code('state')} AS code, count(*) AS n FROM {weather} GROUP BY state",
         "longest_sentence": f"SELECT id, longest FROM {O.with_longest(posts)}",
         "sentiment_scores": f"SELECT id, {O.sentiment_expr()} AS sentiment FROM {O.with_longest(posts)}",
         "enrich_json": f"SELECT id, text, place_full_name, {O.sentiment_expr()} AS sentiment, 4 AS n_fields FROM {O.with_longest(posts)}",
         "classify_posts": f"SELECT id, text, place_full_name, {O.sentiment_expr()} AS sentiment FROM {O.with_longest(posts)}",
         "hashtags": f"SELECT id, unnest({O.hashtags('text')}) AS tag FROM {posts}",
-        "hashtags_raw": f"SELECT id, unnest({O.hashtags('text', 'raw')}) AS tag FROM {posts}",
+        "hashtags_raw": f"SELECT id, unnest({O.hashtags('value', 'raw')}) AS tag FROM {records}",
         "hashtag_counts_sliding": f"SELECT * FROM {O.hashtag_counts(sliding, slide)}",
         "hashtag_counts_tumbling": f"SELECT * FROM {O.hashtag_counts(TUMBLING, None)}",
         "hashtag_window_totals": f"SELECT * FROM {O.window_totals(sliding, slide)}",
@@ -287,8 +298,9 @@ def _oracle() -> dict[str, str]:
   FROM (SELECT unnest({O.hashtags('text')}) AS word FROM {posts})
   GROUP BY word ORDER BY count DESC, word ASC LIMIT {K}""",
         "trending_topics": f"SELECT * FROM {O.trending(sliding, slide, K)}",
-        "trending_topics_raw": f"SELECT * FROM {O.trending(sliding, slide, K, 'raw')}",
+        "trending_topics_raw": f"SELECT * FROM {O.trending(sliding, slide, K, 'raw', records, 'value')}",
         "state_sentiment": f"SELECT * FROM {O.state_sentiment(DAY)}",
+        "state_sentiment_no_id": f"SELECT * FROM {O.state_sentiment(DAY)}",
         "state_sentiment_exact": f"SELECT * FROM {O.state_sentiment(DAY, exact=True)}",
         "state_temperature": f"SELECT * FROM {O.state_temperature(DAY)}",
         "sentiment_weather": f"SELECT * FROM {snapshot_src}",

@@ -8,11 +8,15 @@ operators need, the shared checkpoint folder.
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
 # Settings every session of ours uses.  Event time is compared with
 # DuckDB, so the session zone is pinned to UTC.
 BASE_CONF = {
@@ -32,43 +36,67 @@ BASE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# Settings for a large cluster (hundreds of executors, ~100 TB per job),
-# to be merged into the cluster's own configuration.  Sizing rule: the
-# largest shuffle (the whole-text join of the feeds, ~100 TB) should start
-# at about 1 GB per partition, because AQE only merges small partitions
-# (it splits large ones only for skew joins); smaller shuffles are coalesced
-# to the 256 MB advisory size.  Input splits of 256 MB keep each task's
-# CPU-heavy text work to seconds.
+# Settings for a batch job on a large cluster (hundreds of executors, ~100 TB),
+# to be merged into the cluster's own configuration.  The largest shuffle is
+# the whole-text join of the feeds.  Map tasks read 1 GB of input, and 20,000
+# reducers take 5 GB each: a sort-merge join and a partial aggregate spill, so
+# a reducer need not fit in memory, while tasks x reducers (100,000 x 20,000
+# blocks of 50 KB) stays within what the shuffle service and the driver's map
+# status can carry.  AQE merges small partitions up to 256 MB and splits
+# skewed ones above 8 GB.
 CLUSTER_CONF = dict(BASE_CONF, **{
-    "spark.sql.shuffle.partitions": "100000",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
+    "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.files.maxPartitionBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8g",
     # broadcast only what the planner or AQE has measured below 64 MB
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+})
+
+# Settings for a streaming job.  A stateful operator takes its partition count
+# from spark.sql.shuffle.partitions at its checkpoint's first run, keeps it for
+# good, and AQE does not coalesce it: one state store and one task per
+# partition and micro-batch.  So it follows the cores, not the batch rule.
+STREAM_CONF = dict(BASE_CONF, **{
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
 })
 
 
-def apply_cluster_conf(spark: SparkSession, conf: dict | None = None) -> dict[str, str]:
-    """Apply ``CLUSTER_CONF`` (or ``conf``) to a running session, but only
-    for keys the launcher did not set explicitly (spark-submit ``--conf``
-    and the cluster's defaults win) and only for runtime-settable SQL
-    settings.  Returns what was applied."""
+def _apply(spark: SparkSession, conf: dict[str, str]) -> tuple[dict[str, str], dict[str, str]]:
+    """Set the keys the launcher did not set explicitly (spark-submit
+    ``--conf`` and the cluster's defaults win).  Returns what was applied and
+    what the session refused (static settings), with the reason."""
     given = spark.sparkContext.getConf()
-    applied = {}
-    for key, value in (conf or CLUSTER_CONF).items():
+    applied, refused = {}, {}
+    for key, value in conf.items():
         if given.contains(key) or not key.startswith("spark.sql."):
             continue
         try:
             spark.conf.set(key, value)
             applied[key] = value
-        except Exception:  # a static setting: leave it to the launcher
-            pass
+        except AnalysisException as e:
+            refused[key] = str(e).partition("\n")[0]
+            log.warning("%s was not set: %s", key, refused[key])
+    return applied, refused
+
+
+def apply_cluster_conf(spark: SparkSession, conf: dict | None = None) -> dict[str, str]:
+    """Apply ``CLUSTER_CONF`` (or ``conf``) to a batch session; see ``_apply``."""
+    return _apply(spark, conf or CLUSTER_CONF)[0]
+
+
+def apply_stream_conf(spark: SparkSession, state_partitions: int | None = None) -> dict[str, str]:
+    """Apply ``STREAM_CONF`` to a streaming session.  The state gets
+    ``state_partitions`` partitions, else the launcher's shuffle partitions,
+    else one per core of the cluster at this moment."""
+    applied, _ = _apply(spark, dict(STREAM_CONF, **{
+        "spark.sql.shuffle.partitions": str(state_partitions or spark.sparkContext.defaultParallelism)}))
+    if state_partitions:  # an explicit flag wins over the launcher
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        applied["spark.sql.shuffle.partitions"] = str(state_partitions)
     return applied
 
 

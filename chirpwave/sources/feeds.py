@@ -39,6 +39,28 @@ def _mood(event_type: Column) -> Column:
     return expr.otherwise(F.lit(DEFAULT_MOOD))
 
 
+def _place() -> Column:
+    """Six spellings of a place, by event id."""
+    k = F.col("event_id") % 6
+    return (F.when(k == 0, F.col("state"))
+             .when(k == 1, F.concat(F.lit("Somecity, "), F.col("code")))
+             .when(k == 2, F.concat(F.col("state"), F.lit(", USA")))
+             .when(k == 3, F.concat(F.lower(F.col("state")), F.lit(",")))
+             .when(k == 4, F.concat(F.lit("City, County, "), F.col("code")))
+             .otherwise(F.lit("Toronto, Ontario")))
+
+
+def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id STRING, place_full_name STRING)`` of every post, without its
+    text: no documents are read or joined.  Equal to the posts' columns as
+    long as ``documents.doc_id`` is unique; every 60th place ends in a comma
+    and a line end."""
+    e = read_table(spark, sf_dir, "events").select("event_id", "user_id")
+    joined = e.join(state_dim(spark), (F.col("user_id") % 50) == F.col("state_idx"), "inner")
+    place = F.when(F.col("event_id") % 60 == 0, F.concat("state", F.lit(",\n"))).otherwise(_place())
+    return joined.select(F.col("event_id").cast("string").alias("id"), place.alias("place_full_name"))
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id STRING, ts TIMESTAMP_NTZ, text STRING, place_full_name STRING)``.
 
@@ -61,18 +83,11 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.concat(F.lit(",#Topic"), (F.col("user_id") % 7).cast("string"))).otherwise(F.lit(" #"))
     text = F.concat(F.concat_ws(". ", F.col("text"), _mood(F.col("event_type"))),
                     F.lit(". #"), F.col("event_type"), tag)
-    k = F.col("event_id") % 6
-    place = (F.when(k == 0, F.col("state"))
-              .when(k == 1, F.concat(F.lit("Somecity, "), F.col("code")))
-              .when(k == 2, F.concat(F.col("state"), F.lit(", USA")))
-              .when(k == 3, F.concat(F.lower(F.col("state")), F.lit(",")))
-              .when(k == 4, F.concat(F.lit("City, County, "), F.col("code")))
-              .otherwise(F.lit("Toronto, Ontario")))
     return joined.select(
         F.col("event_id").cast("string").alias("id"),
         F.col("ts"),
         text.alias("text"),
-        place.alias("place_full_name"),
+        _place().alias("place_full_name"),
     )
 
 
@@ -103,6 +118,17 @@ def post_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def post_records_mixed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``post_records`` where a third of the posts have a numeric id and a
+    third have none."""
+    p = posts(spark, sf_dir)
+    kind = F.col("id").cast("bigint") % 3
+    value = (F.when(kind == 0, F.to_json(F.struct("id", "text", "place_full_name")))
+             .when(kind == 1, F.to_json(F.struct(F.col("id").cast("bigint").alias("id"), "text", "place_full_name")))
+             .otherwise(F.to_json(F.struct("text", "place_full_name"))))
+    return p.select(F.col("id").alias("key"), value.alias("value"), F.col("ts").alias("timestamp"))
+
+
 def weather_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = weather(spark, sf_dir)
     return w.select(
@@ -120,17 +146,26 @@ def _mood_sql() -> str:
     return f"CASE e.event_type {whens} ELSE '{DEFAULT_MOOD}' END"
 
 
-def posts_sql() -> str:
-    return f"""(SELECT CAST(e.event_id AS VARCHAR) AS id, e.ts AS ts,
-  concat(concat_ws('. ', d.text, {_mood_sql()}), '. #', e.event_type,
-    CASE WHEN e.value > 60 THEN concat(',#Topic', CAST(e.user_id % 7 AS VARCHAR)) ELSE ' #' END) AS text,
-  CASE e.event_id % 6
+PLACE_SQL = """CASE e.event_id % 6
     WHEN 0 THEN s.state
     WHEN 1 THEN concat('Somecity, ', s.code)
     WHEN 2 THEN concat(s.state, ', USA')
     WHEN 3 THEN concat(lower(s.state), ',')
     WHEN 4 THEN concat('City, County, ', s.code)
-    ELSE 'Toronto, Ontario' END AS place_full_name
+    ELSE 'Toronto, Ontario' END"""
+
+
+def places_sql() -> str:
+    return f"""(SELECT CAST(e.event_id AS VARCHAR) AS id,
+  CASE WHEN e.event_id % 60 = 0 THEN concat(s.state, ',', chr(10)) ELSE {PLACE_SQL} END AS place_full_name
+FROM events e JOIN {states_values_sql()} s ON s.state_idx = e.user_id % 50)"""
+
+
+def posts_sql() -> str:
+    return f"""(SELECT CAST(e.event_id AS VARCHAR) AS id, e.ts AS ts,
+  concat(concat_ws('. ', d.text, {_mood_sql()}), '. #', e.event_type,
+    CASE WHEN e.value > 60 THEN concat(',#Topic', CAST(e.user_id % 7 AS VARCHAR)) ELSE ' #' END) AS text,
+  {PLACE_SQL} AS place_full_name
 FROM events e
 LEFT JOIN documents d ON d.doc_id = e.event_id
 JOIN {states_values_sql()} s ON s.state_idx = e.user_id % 50)"""

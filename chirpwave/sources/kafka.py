@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 def kafka_source_options(brokers: str, topics: str | list[str],
                          starting_offsets: str = "latest",
                          max_offsets_per_trigger: int | None = None,
-                         min_partitions: int | None = None,
+                         min_partitions: int | None = None, since_ms: int | None = None,
                          extra: dict | None = None) -> dict[str, str]:
     """Options for ``format("kafka")``: comma list of topics, newest offset
     by default (the reference starts at ``latest``).
@@ -22,6 +22,9 @@ def kafka_source_options(brokers: str, topics: str | list[str],
     ``max_offsets_per_trigger`` caps a micro-batch (a backlog after a
     restart is then worked off in bounded batches, not one huge one);
     ``min_partitions`` splits large topic partitions over more tasks.
+    ``since_ms`` starts at the first record of that time or later instead:
+    several queries given the same time begin at the same records, which
+    ``latest``, resolved by each query on its own, does not promise.
     """
     if not isinstance(topics, str):
         topics = ",".join(topics)
@@ -33,6 +36,10 @@ def kafka_source_options(brokers: str, topics: str | list[str],
         # its offset range instead of losing records.
         "failOnDataLoss": "true",
     }
+    if since_ms is not None:
+        del opts["startingOffsets"]
+        opts["startingTimestamp"] = str(since_ms)
+        opts["startingOffsetsByTimestampStrategy"] = "latest"  # partitions without such a record yet
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     if min_partitions:
@@ -43,7 +50,8 @@ def kafka_source_options(brokers: str, topics: str | list[str],
 
 def read_kafka(spark: SparkSession, brokers: str, topics: str | list[str],
                starting_offsets: str = "latest", stream: bool = True,
-               max_offsets_per_trigger: int | None = None, extra: dict | None = None) -> DataFrame:
+               max_offsets_per_trigger: int | None = None, since_ms: int | None = None,
+               extra: dict | None = None) -> DataFrame:
     """Kafka records as ``(key, value, timestamp, topic, partition, offset)``
     with key and value decoded to strings (S6) and the broker timestamp
     as event time (S7)."""
@@ -51,7 +59,7 @@ def read_kafka(spark: SparkSession, brokers: str, topics: str | list[str],
     if not stream and starting_offsets == "latest":
         starting_offsets = "earliest"
     opts = kafka_source_options(brokers, topics, starting_offsets,
-                                max_offsets_per_trigger if stream else None, extra=extra)
+                                max_offsets_per_trigger if stream else None, since_ms=since_ms, extra=extra)
     raw = reader.format("kafka").options(**opts).load()
     return kafka_values(raw)
 

@@ -8,8 +8,13 @@ Each job takes streaming record frames ``(key, value, timestamp)`` (from
   output sink, append mode, with a checkpoint;
 * the reject query: records that could not be parsed or scored, with the
   reason, to the reject sink (the reference fails the whole job instead).
-  It uses cheap input checks, never the scoring itself, so the expensive
-  per-row work runs once.
+  With the lexicon it uses cheap input checks, never the scoring itself, so
+  the expensive per-row work runs once; with a user model it takes the
+  scored rows, since only the model knows what it could not score.
+
+P1 is one query that routes good and bad records.  In P2-P4 two queries read
+the same source frame; start it at explicit offsets or a timestamp (the
+command line does), so that both begin at the same record.
 
 All queries checkpoint under the given folder, so a restarted job
 resumes from its offsets and state.
@@ -17,25 +22,29 @@ resumes from its offsets and state.
 Command line (on a cluster with the Kafka connector)::
 
     python -m chirpwave.streaming.jobs trending --brokers b:9092 --topics posts \\
-        --out-topic trending-topics --checkpoint /shared/ckpt/trending
+        --out-topic trending-topics --checkpoint /shared/ckpt/trending --delay "10 seconds"
 """
 
 from __future__ import annotations
 
 import argparse
+import importlib
+import json
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numeric import window_time_ms
-from ..functions.records import rejects, valid
+from ..functions.records import TEXT_FIELDS, rejects, valid
 from ..plans import pipelines as P
 from . import pipelines as S
-from .snapshot import snapshot_writer
-from .sinks import DEFAULT_TRIGGER, kafka_sink_options, start_foreach_batch, start_query, to_kafka_rows
+from .sinks import DEFAULT_TRIGGER, LateRows, kafka_sink_options, start_foreach_batch, start_query, to_kafka_rows
+
+Scorer = Callable[[Column], Column]
 
 
 @dataclass
@@ -52,16 +61,17 @@ class Sink:
     def files(path: str, fmt: str = "parquet") -> "Sink":
         return Sink(fmt, {"path": path})
 
-    def write_batch(self, df: DataFrame, epoch_id: int) -> None:
+    def write_batch(self, df: DataFrame, epoch_id: int, checkpoint: str) -> None:
         """Write one micro-batch (used from ``foreachBatch``).  A file sink
-        writes each epoch to its own folder in overwrite mode, so a batch
-        replayed after a failure replaces its first attempt; Kafka is
-        at-least-once, as Spark's own Kafka sink is."""
+        writes each epoch of the query that owns ``checkpoint`` to its own
+        folder in overwrite mode, so a batch replayed after a failure replaces
+        its first attempt and nothing else; Kafka is at-least-once, as Spark's
+        own Kafka sink is."""
         opts = dict(self.options)
         path = opts.pop("path", None)
         w = df.write.format(self.format).options(**opts)
         if path:
-            w.mode("overwrite").save(f"{path}/epoch={epoch_id}")
+            w.mode("overwrite").save(S.epoch_path(df.sparkSession, path, checkpoint, epoch_id))
         else:
             w.mode("append").save()
 
@@ -81,38 +91,75 @@ class Job:
     result: StreamingQuery
     rejects: list[StreamingQuery]
 
+    @property
+    def queries(self) -> list[StreamingQuery]:
+        return [self.result, *self.rejects]
+
     def stop(self) -> None:
-        for q in [self.result, *self.rejects]:
+        for q in self.queries:
             q.stop()
 
-    def await_all(self) -> None:
-        for q in [self.result, *self.rejects]:
-            q.awaitTermination()
+    def await_all(self, poll_seconds: float = 0.2) -> None:
+        """Wait until all queries of the job have ended (as they do with an
+        ``availableNow`` trigger) or one has failed; then stop the others and
+        raise.  A job never goes on without one of its outputs."""
+        while True:
+            active = [q for q in self.queries if q.isActive]
+            failed = [q.exception() for q in self.queries if q not in active and q.exception() is not None]
+            if failed:
+                self.stop()
+                raise failed[0]
+            if not active:
+                return
+            time.sleep(poll_seconds)
 
 
 # ---------------------------------------------------------------- P1
 
-def classify_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str,
-                 trigger: dict | None = None, lexicon: dict[str, int] | None = None) -> Job:
-    """Every post with its sentiment added, as JSON."""
-    scored = S.stream_classify(records, lexicon)
-    result = valid(scored).select(F.lit(None).cast("string").alias("key"), "value")
-    # rejects by cheap checks: the sentence split runs in the result query only
-    bad = _reject_rows(P.post_rejects(P.parse_records(records, {"text": "string"}), place_col=None), True)
-    return Job(_start(result, out, f"{checkpoint}/result", trigger),
-               [_start(bad, reject, f"{checkpoint}/rejects", trigger)])
+def route_rows(scored: DataFrame, good_topic: str, bad_topic: str) -> DataFrame:
+    """``key, value, topic`` rows: good records as they are, bad ones with the reason."""
+    good = F.col("_reject").isNull()
+    bad = F.to_json(F.struct("value", F.col("_reject").alias("reason")))
+    return scored.select(F.lit(None).cast("string").alias("key"), F.when(good, F.col("value")).otherwise(bad).alias("value"),
+                         F.when(good, F.lit(good_topic)).otherwise(F.lit(bad_topic)).alias("topic"))
+
+
+def classify_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str, trigger: dict | None = None,
+                 lexicon: dict[str, int] | None = None, scorer: Scorer | None = None) -> Job:
+    """Every post with its sentiment added, as JSON.
+
+    One query scores each record once and routes it: two Kafka topics of the
+    same brokers through a per-row ``topic`` column, other sinks from each
+    micro-batch."""
+    scored = S.stream_classify(records, lexicon, scorer)
+    if out.format == reject.format == "kafka" and {**out.options, "topic": ""} == {**reject.options, "topic": ""}:
+        options = {k: v for k, v in out.options.items() if k != "topic"}
+        routed = route_rows(scored, out.options["topic"], reject.options["topic"])
+        return Job(_start(routed, Sink("kafka", options), f"{checkpoint}/result", trigger), [])
+
+    path = f"{checkpoint}/result"
+
+    def emit(batch: DataFrame, epoch_id: int) -> None:
+        batch.persist()
+        try:
+            out.write_batch(valid(batch).select(F.lit(None).cast("string").alias("key"), "value"), epoch_id, path)
+            reject.write_batch(_reject_rows(batch), epoch_id, path)
+        finally:
+            batch.unpersist()
+
+    return Job(start_foreach_batch(scored, emit, path, trigger=trigger), [])
 
 
 # ---------------------------------------------------------------- P2
 
 def state_sentiment_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str,
-                        size: str = "5 seconds", delay: str = S.DEFAULT_DELAY,
-                        trigger: dict | None = None, exact: bool = False) -> Job:
+                        size: str = "5 seconds", delay: str = S.DEFAULT_DELAY, trigger: dict | None = None,
+                        exact: bool = False, lexicon: dict[str, int] | None = None, scorer: Scorer | None = None) -> Job:
     """Per closed window and state, ``{time, place, sentiment, count}``."""
     posts = P.parse_posts(records)
-    agg = S.stream_state_sentiment(valid(posts), "timestamp", size, delay, exact=exact)
+    agg = S.stream_state_sentiment(valid(posts), "timestamp", size, delay, exact=exact, lexicon=lexicon, scorer=scorer)
     result = to_kafka_rows(agg, ["time", "place", "sentiment", "count"])
-    bad = _reject_rows(P.post_rejects(posts), already_split=True)
+    bad = _reject_rows(P.post_rejects(posts, scorer=scorer), already_split=True)
     return Job(_start(result, out, f"{checkpoint}/result", trigger),
                [_start(bad, reject, f"{checkpoint}/rejects", trigger)])
 
@@ -130,14 +177,15 @@ def trending_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str,
     it).  ``mode="raw", text_col="value"`` tokenises the whole raw record,
     case kept (the reference's Spark variant); the default lower-cases the
     ``text`` field."""
-    posts = P.parse_records(records, {"text": "string"})
+    posts = P.parse_records(records, TEXT_FIELDS)
     counts = S.stream_hashtag_counts(valid(posts), "timestamp", size, slide, delay, mode, text_col)
+    path = f"{checkpoint}/result"
 
     def emit(top: DataFrame, epoch_id: int) -> None:
         top = top.withColumn("time", window_time_ms("window_end"))
-        out.write_batch(to_kafka_rows(top, ["time", "word", "count"]), epoch_id)
+        out.write_batch(to_kafka_rows(top, ["time", "word", "count"]), epoch_id, path)
 
-    q = start_foreach_batch(counts, S.top_k_writer(emit, k), f"{checkpoint}/result", trigger=trigger)
+    q = start_foreach_batch(counts, S.top_k_writer(emit, k), path, trigger=trigger)
     return Job(q, [_start(_reject_rows(posts), reject, f"{checkpoint}/rejects", trigger)])
 
 
@@ -145,35 +193,20 @@ def trending_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str,
 
 def sentiment_weather_job(post_records: DataFrame, weather_records: DataFrame, out: Sink, reject: Sink,
                           checkpoint: str, size: str = "2 seconds", delay: str = S.DEFAULT_DELAY,
-                          trigger: dict | None = None, snapshot: str | None = None) -> Job:
+                          trigger: dict | None = None, exact: bool = False, lexicon: dict[str, int] | None = None,
+                          scorer: Scorer | None = None) -> Job:
     """Per closed window and state, ``{time, place, sentiment, temperature}``.
 
-    With ``snapshot`` (a folder), the same micro-batches also keep the
-    dashboard's newest-row-per-state table (P5) up to date there; read it
-    with ``streaming.snapshot.read_snapshot``.
-    """
+    P5 is ``plans.pipelines.state_snapshot`` over the emitted rows."""
     posts = P.parse_posts(post_records)
     weather = P.parse_weather(weather_records)
-    joined = S.stream_sentiment_weather(valid(posts), valid(weather), "timestamp", "timestamp", size, delay)
+    joined = S.stream_sentiment_weather(valid(posts), valid(weather), "timestamp", "timestamp", size, delay, exact,
+                                        lexicon=lexicon, scorer=scorer)
     joined = joined.withColumn("time", window_time_ms("window_end"))
-    bad = _reject_rows(P.post_rejects(posts), True).unionByName(_reject_rows(P.weather_rejects(weather), True))
-    rejects_q = _start(bad, reject, f"{checkpoint}/rejects", trigger)
-    if snapshot is None:
-        result = to_kafka_rows(joined, ["time", "place", "sentiment", "temperature"])
-        return Job(_start(result, out, f"{checkpoint}/result", trigger), [rejects_q])
-
-    fold = snapshot_writer(snapshot)
-
-    def emit(batch: DataFrame, epoch_id: int) -> None:
-        # one computation of the batch feeds both outputs
-        batch.persist()
-        try:
-            out.write_batch(to_kafka_rows(batch, ["time", "place", "sentiment", "temperature"]), epoch_id)
-            fold(batch, epoch_id)
-        finally:
-            batch.unpersist()
-
-    return Job(start_foreach_batch(joined, emit, f"{checkpoint}/result", trigger=trigger), [rejects_q])
+    bad = _reject_rows(P.post_rejects(posts, scorer=scorer), True).unionByName(_reject_rows(P.weather_rejects(weather), True))
+    result = to_kafka_rows(joined, ["time", "place", "sentiment", "temperature"])
+    return Job(_start(result, out, f"{checkpoint}/result", trigger),
+               [_start(bad, reject, f"{checkpoint}/rejects", trigger)])
 
 
 # ---------------------------------------------------------------- command line
@@ -182,39 +215,86 @@ JOBS: dict[str, Callable[..., Job]] = {
     "classify": classify_job,
     "state-sentiment": state_sentiment_job,
     "trending": trending_job,
+    "sentiment-weather": sentiment_weather_job,
 }
 
+# the job parameters each command takes from the command line
+PARAMETERS = {
+    "classify": ("lexicon", "scorer"),
+    "state-sentiment": ("size", "delay", "exact", "lexicon", "scorer"),
+    "trending": ("size", "slide", "k", "delay", "mode", "text_col"),
+    "sentiment-weather": ("size", "delay", "exact", "lexicon", "scorer"),
+}
 
-def main(argv: list[str] | None = None) -> None:  # pragma: no cover - needs Kafka
-    from ..sources.kafka import read_kafka
 
+def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="chirpwave.streaming.jobs")
-    ap.add_argument("job", choices=[*JOBS, "sentiment-weather"])
+    ap.add_argument("job", choices=list(JOBS))
     ap.add_argument("--brokers", required=True)
     ap.add_argument("--topics", required=True, help="comma list of input topics")
-    ap.add_argument("--weather-topics", help="P4 only")
+    ap.add_argument("--weather-topics", help="sentiment-weather only (required there)")
     ap.add_argument("--out-topic", required=True)
     ap.add_argument("--reject-topic", default=None)
     ap.add_argument("--checkpoint", required=True, help="shared folder for offsets and state")
     ap.add_argument("--trigger", default=DEFAULT_TRIGGER)
-    ap.add_argument("--snapshot", default=None, help="P4 only: folder for the live 50-state table (P5)")
-    a = ap.parse_args(argv)
+    ap.add_argument("--starting-offsets", default="now", help="now (both queries from this moment), earliest, or the connector's JSON")
+    ap.add_argument("--max-offsets-per-trigger", type=int, default=None, help="bounds a micro-batch, so a backlog is worked off in steps")
+    ap.add_argument("--state-partitions", type=int, default=None,
+                    help="partitions of the window state, fixed by a checkpoint's first run (default: the cores at start)")
+    ap.add_argument("--delay", help='watermark delay, e.g. "10 seconds"; required by the windowed jobs')
+    ap.add_argument("--size", help="window size")
+    ap.add_argument("--slide", help="trending only")
+    ap.add_argument("--k", type=int, help="trending only")
+    ap.add_argument("--mode", choices=["normal", "raw"], help="trending only: tokenizer")
+    ap.add_argument("--text-col", choices=["text", "value"], help="trending only: the text field or the whole raw record")
+    ap.add_argument("--exact", action="store_true", default=None, help="exact instead of integer means")
+    ap.add_argument("--lexicon", help="JSON file of word weights")
+    ap.add_argument("--model", help="module:function that loads a sentiment model (see functions.sentiment.model_scorer)")
+    return ap
+
+
+def job_parameters(a: argparse.Namespace) -> dict:
+    """Keyword arguments of the job from the command line."""
+    given = {"size": a.size, "slide": a.slide, "k": a.k, "delay": a.delay, "mode": a.mode, "text_col": a.text_col, "exact": a.exact,
+             "lexicon": None, "scorer": None}
+    if a.lexicon:
+        with open(a.lexicon, encoding="utf-8") as f:
+            given["lexicon"] = json.load(f)
+    if a.model:
+        from ..functions.sentiment import model_scorer
+        module, _, name = a.model.partition(":")
+        given["scorer"] = model_scorer(getattr(importlib.import_module(module), name), model_key=a.model)
+    given = {k: v for k, v in given.items() if v is not None}
+    unknown = sorted(set(given) - set(PARAMETERS[a.job]))
+    if unknown:
+        raise SystemExit(f"{a.job} does not take: {', '.join(unknown)}")
+    if "delay" in PARAMETERS[a.job] and "delay" not in given:
+        raise SystemExit(f"{a.job} needs --delay: rows later than the watermark are dropped (and counted in the log)")
+    if a.job == "sentiment-weather" and not a.weather_topics:
+        raise SystemExit("sentiment-weather needs --weather-topics")
+    return given
+
+
+def main(argv: list[str] | None = None) -> None:  # pragma: no cover - needs Kafka
+    from ..session import apply_stream_conf
+    from ..sources.kafka import read_kafka
+
+    a = parser().parse_args(argv)
+    params = job_parameters(a)
     spark = SparkSession.builder.appName(f"chirpwave-{a.job}").getOrCreate()
-    from ..session import apply_cluster_conf, ensure_checkpoint_dir
-    if not spark.sparkContext.master.startswith("local"):
-        apply_cluster_conf(spark)
-    ensure_checkpoint_dir(spark)
+    apply_stream_conf(spark, a.state_partitions)
+    spark.streams.addListener(LateRows())
     out = Sink.kafka(a.brokers, a.out_topic)
     reject = Sink.kafka(a.brokers, a.reject_topic or f"{a.out_topic}-rejects")
-    trigger = {"processingTime": a.trigger}
-    posts = read_kafka(spark, a.brokers, a.topics)
-    if a.job == "sentiment-weather":
-        weather = read_kafka(spark, a.brokers, a.weather_topics)
-        job = sentiment_weather_job(posts, weather, out, reject, a.checkpoint, trigger=trigger,
-                                    snapshot=a.snapshot)
-    else:
-        job = JOBS[a.job](posts, out, reject, a.checkpoint, trigger=trigger)
-    job.await_all()
+    now_ms = int(time.time() * 1000)
+    offsets, since = (None, now_ms) if a.starting_offsets == "now" else (a.starting_offsets, None)
+
+    def read(topics: str) -> DataFrame:
+        return read_kafka(spark, a.brokers, topics, starting_offsets=offsets or "latest", since_ms=since,
+                          max_offsets_per_trigger=a.max_offsets_per_trigger)
+
+    sources = [read(a.topics)] + ([read(a.weather_topics)] if a.job == "sentiment-weather" else [])
+    JOBS[a.job](*sources, out, reject, a.checkpoint, trigger={"processingTime": a.trigger}, **params).await_all()
 
 
 if __name__ == "__main__":  # pragma: no cover

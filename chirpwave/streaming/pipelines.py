@@ -17,14 +17,19 @@ Streaming only allows in a particular form:
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import pipelines as P
 
-# Fixed value: default watermark delay (the reference has no late data).
+Scorer = Callable[[Column], Column]
+
+# Default watermark delay of the functions.  Rows stamped on arrival are never
+# late; Kafka timestamps can be (several partitions or topics, a backlog after
+# a restart), so the command line asks for a delay.
 DEFAULT_DELAY = "0 seconds"
 
 
@@ -42,9 +47,9 @@ def stream_classify(records: DataFrame, lexicon: dict[str, int] | None = None,
 
 def stream_state_sentiment(posts: DataFrame, ts: str = "ts", size: str = "5 seconds",
                            delay: str = DEFAULT_DELAY, exact: bool = False, trim: bool = True,
-                           lexicon: dict[str, int] | None = None) -> DataFrame:
+                           lexicon: dict[str, int] | None = None, scorer: Scorer | None = None) -> DataFrame:
     """P2 on a stream (append mode: one row per closed window and state)."""
-    return P.state_sentiment(with_event_time(posts, ts, delay), ts, size, exact=exact, trim=trim, lexicon=lexicon)
+    return P.state_sentiment(with_event_time(posts, ts, delay), ts, size, exact=exact, trim=trim, lexicon=lexicon, scorer=scorer)
 
 
 def stream_hashtag_counts(posts: DataFrame, ts: str = "ts", size: str = "4 seconds",
@@ -61,19 +66,32 @@ def top_k_writer(sink: Callable[[DataFrame, int], None], k: int = 5) -> Callable
     return _rank
 
 
-def parquet_epoch_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """Idempotent ``foreachBatch`` sink: each epoch overwrites its own
-    folder, so a batch replayed after a failure does not duplicate rows."""
+def query_tag(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that owns a checkpoint: the same after a restart
+    from it, another one for a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
+def epoch_path(spark: SparkSession, path: str, checkpoint: str, epoch_id: int) -> str:
+    """Where an epoch's output goes.  A batch replayed after a failure
+    overwrites its first attempt; a query with a new checkpoint, whose epochs
+    count from 0 again, writes beside the earlier output."""
+    return f"{path}/query={query_tag(spark, checkpoint)}/epoch={epoch_id}"
+
+
+def parquet_epoch_sink(path: str, checkpoint: str) -> Callable[[DataFrame, int], None]:
+    """Idempotent ``foreachBatch`` sink (see ``epoch_path``)."""
     def _write(df: DataFrame, epoch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
+        df.write.mode("overwrite").parquet(epoch_path(df.sparkSession, path, checkpoint, epoch_id))
     return _write
 
 
 def stream_sentiment_weather(posts: DataFrame, weather: DataFrame, ts: str = "ts", weather_ts: str | None = None,
                              size: str = "2 seconds", delay: str = DEFAULT_DELAY, exact: bool = False,
-                             trim: bool = True, lexicon: dict[str, int] | None = None) -> DataFrame:
+                             trim: bool = True, lexicon: dict[str, int] | None = None,
+                             scorer: Scorer | None = None) -> DataFrame:
     """P4 on two streams: two watermarked windowed aggregates joined on
     ``(window, place)`` in append mode."""
     weather_ts = weather_ts or ts
     return P.sentiment_weather(with_event_time(posts, ts, delay), with_event_time(weather, weather_ts, delay),
-                               ts, weather_ts, size, exact, trim, lexicon)
+                               ts, weather_ts, size, exact, trim, lexicon, scorer)

@@ -19,12 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.records import valid
+from ..plans import pipelines as P
 from ..plans import queries as Q
 from ..session import scratch_path
 from ..sources import feeds
 from ..sources.tables import read_parquet_stream
 from . import pipelines as S
-from .snapshot import read_snapshot, snapshot_writer
 
 # Fixed parameters of the replay.
 SLICES = 4
@@ -50,7 +51,9 @@ def _landing(spark: SparkSession, df: DataFrame, ts: str, base: str, name: str,
     # one bounded aggregate row for the time range
     lo, hi = df.agg(F.unix_micros(F.min(ts)), F.unix_micros(F.max(ts))).first()
     width = max(1, -(-(hi - lo + 1) // SLICES))
-    sliced = df.withColumn("_slice", ((F.unix_micros(F.col(ts)) - F.lit(lo)) / F.lit(width)).cast("int"))
+    # rows without an event time go with the first slice: an analysis that needs no time gets them too
+    number = ((F.unix_micros(F.col(ts)) - F.lit(lo)) / F.lit(width)).cast("int")
+    sliced = df.withColumn("_slice", F.coalesce(number, F.lit(0)))
     sliced.write.partitionBy("_slice").parquet(full)
     stored = spark.read.parquet(full)
     slices = [stored.where(F.col("_slice") == i).drop("_slice") for i in range(SLICES)]
@@ -74,9 +77,7 @@ def replay(spark: SparkSession, inputs: dict[str, tuple],
     sentinel rows removed.
 
     ``sink="topk"`` ranks each micro-batch with ``top_words(k)`` in
-    ``foreachBatch`` (P3); ``sink="snapshot"`` folds every micro-batch into
-    the live 50-state table and returns ``read_snapshot`` (P5); otherwise
-    rows go to a parquet file sink.
+    ``foreachBatch`` (P3); otherwise rows go to a parquet file sink.
     """
     base = scratch_path(spark, "replay")
     prepared = {name: _landing(spark, spec[0], spec[1], base, name, spec[2], spec[3] if len(spec) > 3 else None)
@@ -96,9 +97,7 @@ def replay(spark: SparkSession, inputs: dict[str, tuple],
     def run_once() -> None:
         w = result.writeStream.outputMode("append").option("checkpointLocation", ckpt)
         if sink == "topk":
-            w = w.foreachBatch(S.top_k_writer(S.parquet_epoch_sink(out), k or 5))
-        elif sink == "snapshot":
-            w = w.foreachBatch(snapshot_writer(out))
+            w = w.foreachBatch(S.top_k_writer(S.parquet_epoch_sink(out, ckpt), k or 5))
         else:
             w = w.format("parquet").option("path", out)
         q = w.trigger(availableNow=True).start()
@@ -119,11 +118,7 @@ def replay(spark: SparkSession, inputs: dict[str, tuple],
     finally:
         spark.conf.set(key, before)
 
-    if sink == "snapshot":
-        return _ntz(read_snapshot(spark, out))
-    got = spark.read.parquet(out)
-    if "epoch" in got.columns:
-        got = got.drop("epoch")
+    got = spark.read.parquet(out).drop("query", "epoch")
     if window_filter and "window_start" in got.columns:
         last = max(hi for (_, _, _, hi) in prepared.values())
         got = got.where(F.col("window_start").cast("timestamp") <= F.timestamp_micros(F.lit(last)))
@@ -160,19 +155,23 @@ def q_stream_sentiment_weather(spark: SparkSession, sf: str) -> DataFrame:
                   lambda s: S.stream_sentiment_weather(s["posts"], s["weather"], "ts", size=Q.DAY))
 
 
+def q_stream_state_sentiment_no_id(spark: SparkSession, sf: str) -> DataFrame:
+    """P2 as a stream of JSON records with string, numeric and no ids."""
+    def build(streams):
+        posts = valid(P.parse_posts(streams["posts"])).withColumnRenamed("timestamp", "ts")
+        return S.stream_state_sentiment(posts, "ts", Q.DAY)
+    return replay(spark, {"posts": (feeds.post_records_mixed_ids(spark, sf), "timestamp", "key")}, build)
+
+
 def q_stream_state_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    """P5 kept live by the P4 stream (versioned 50-row table)."""
-    # the far-future rows that close the windows get a place outside the
-    # 50 states, so they move the watermark but never enter the snapshot
-    return replay(spark, {"posts": (feeds.posts(spark, sf), "ts", "id", {"place_full_name": "Nowhere"}),
-                          "weather": (feeds.weather(spark, sf), "ts", None, {"state": "Nowhere"})},
-                  lambda s: S.stream_sentiment_weather(s["posts"], s["weather"], "ts", size=Q.DAY),
-                  sink="snapshot")
+    """P5 from the rows that the P4 stream has emitted."""
+    return P.state_snapshot(q_stream_sentiment_weather(spark, sf))
 
 
 STREAM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_classify": q_stream_classify,
     "stream_state_sentiment": q_stream_state_sentiment,
+    "stream_state_sentiment_no_id": q_stream_state_sentiment_no_id,
     "stream_trending": q_stream_trending,
     "stream_sentiment_weather": q_stream_sentiment_weather,
     "stream_state_snapshot": q_stream_state_snapshot,
@@ -185,6 +184,7 @@ def stream_oracle() -> dict[str, str]:
     return {
         "stream_classify": o["classify_posts"],
         "stream_state_sentiment": state,
+        "stream_state_sentiment_no_id": state,
         "stream_trending": o["trending_topics"],
         "stream_sentiment_weather": o["sentiment_weather"],
         "stream_state_snapshot": o["state_snapshot"],

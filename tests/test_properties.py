@@ -64,7 +64,7 @@ def model_sentiment(text):
 
 
 PLACE_PIECES = ["Texas", "new york", "OHIO", "Somecity", "USA", "usa", "TX", "fr", "DC", "a", "",
-                ",", ",", ", ", " ", "\t", "\x01", "  "]
+                ",", ",", ", ", " ", "\t", "\x01", "  ", "\n", "\r\n", ",\n", "\u2028", "\x85"]
 TEXT_PIECES = ["love", "great", "bad", "awful", "Good", "sad day", "x", "é", " ", "  ", "\t", ".", "!", "?",
                "\n", "...", "!?", ",", "#tag", "a b c d"]
 

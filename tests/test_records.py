@@ -72,3 +72,38 @@ def test_cheap_post_rejects_equal_scored_rejects(spark):
     cheap = {(r.key, r.reason) for r in P.post_rejects(parsed).select("key", "reason").collect()}
     full = {(r.key, r.reason) for r in rejects(P.score_posts(parsed)).select("key", "reason").collect()}
     assert cheap == full and len(cheap) > 0
+
+
+def test_text_after_the_object_is_trailing(spark):
+    from chirpwave.plans import pipelines as P
+    good = ['{"text":"hi"}', ' \n{"text":"hi"}\t\r\n', '{"text":"a} b"}', '{ "text" : "hi" }']
+    trailing = ['{"text":"hi"} trailing', '{"text":"hi"}{"text":"b"}', '{"text":"hi"}\x00', '{"text":"hi"},{"a":1}',
+                '{"text":"hi"}],[{}', '{"text":"hi"}]', '{"text":"hi"} 1']
+    bad = ["", " ", "null", "[1]", '"x"', '{"text":"hi"', '}{']
+    df = spark.createDataFrame([(v,) for v in good + trailing + bad], "value string")
+    got = {r.value: r._reject for r in parse_records(df, {"text": "string"}).collect()}
+    assert all(got[v] is None for v in good)
+    assert all(got[v] == "trailing" for v in trailing)
+    assert all(got[v] == "malformed" for v in bad)
+    for r in P.classify_posts(df).collect():
+        if r._reject is None:
+            assert json.loads(r.value)["sentiment"] == 0
+        else:
+            assert r.value in trailing + bad  # a rejected record leaves as it came
+    assert df.where(F.col("value").isin(*trailing)).select(enrich_json("value", "s", F.lit(1)).alias("e")).where("e is not null").count() == 0
+
+
+def test_a_string_the_parser_refuses_has_its_own_reason(spark):
+    df = spark.range(1).select(F.concat(F.lit('{"text":"'), F.repeat(F.lit("x"), 20_100_000), F.lit('"}')).alias("value"))
+    r = parse_records(df, {"text": "string"}).select("_reject", F.length("value").alias("n")).first()
+    assert r._reject == "too_long" and r.n == 20_100_011
+    fits = spark.range(1).select(F.concat(F.lit('{"text":"'), F.repeat(F.lit("x"), 19_900_000), F.lit('"}')).alias("value"))
+    assert parse_records(fits, {"text": "string"}).select("_reject").first()[0] is None
+
+
+def test_ids_of_any_kind_are_carried_and_none_is_needed(spark):
+    from chirpwave.plans import pipelines as P
+    vals = ['{"id":"a","text":"t","place_full_name":"Texas"}', '{"id":7,"text":"t","place_full_name":"Texas"}',
+            '{"text":"t","place_full_name":"Texas"}', '{"id":null,"text":"t","place_full_name":"Texas"}']
+    rows = P.parse_posts(spark.createDataFrame([(v,) for v in vals], "value string")).collect()
+    assert [(r.id, r._reject) for r in rows] == [("a", None), ("7", None), (None, None), (None, None)]

@@ -15,7 +15,7 @@ from oracle_compare import canon, duck
 
 
 @pytest.mark.parametrize("name", ["stream_state_sentiment", "stream_trending", "stream_sentiment_weather",
-                                  "stream_classify", "stream_state_snapshot"])
+                                  "stream_classify", "stream_state_snapshot", "stream_state_sentiment_no_id"])
 def test_stream_equals_batch(spark, name):
     df = E.queries()[name](spark, SF0001)
     res = duck(SF0001).sql(E.oracle_sql()[name])
@@ -94,27 +94,6 @@ def test_foreach_batch_helper(spark):
     assert sum(seen) == 2
 
 
-def test_snapshot_writer_versions(spark):
-    import datetime as dt
-    from chirpwave.streaming.snapshot import _versions, read_snapshot, snapshot_writer
-    path = scratch_path(spark, "snap")
-    fold = snapshot_writer(path, keep=2)
-    schema = "place string, window_start timestamp, window_end timestamp, sentiment double, temperature double"
-    t = dt.datetime(2024, 1, 1)
-    batches = [
-        [("TX", t, t + dt.timedelta(days=1), 0.5, 20.0), ("UND", t, t + dt.timedelta(days=1), 0.1, 1.0)],
-        [("TX", t, t + dt.timedelta(days=2), 0.7, 22.0)],
-        [("CA", t, t + dt.timedelta(days=2), 0.3, 18.0)],
-        [("TX", t, t + dt.timedelta(days=1), 0.9, 99.0)],   # older window: must not replace the newer TX row
-    ]
-    for epoch, rows in enumerate(batches):
-        fold(spark.createDataFrame(rows, schema), epoch)
-    fold(spark.createDataFrame(batches[-1], schema), len(batches) - 1)   # a replayed epoch is harmless
-    assert _versions(spark, path) == [2, 3]
-    snap = {r.code: (r.sentiment, r.weather) for r in read_snapshot(spark, path).collect()}
-    assert len(snap) == 50 and snap["TX"] == (0.7, 22) and snap["CA"] == (0.3, 18) and snap["NY"] == (None, None)
-
-
 def test_kafka_values_decode(spark):
     import datetime as dt
     from chirpwave.sources.kafka import kafka_values
@@ -138,3 +117,74 @@ def test_apply_cluster_conf_keeps_launcher_settings(spark):
         assert applied == {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m"}
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_start_by_time_replaces_latest():
+    o = kafka_source_options("b:9092", "posts", since_ms=1700000000000)
+    assert o["startingTimestamp"] == "1700000000000" and "startingOffsets" not in o
+
+
+def test_stream_settings_are_not_the_batch_settings(spark):
+    from chirpwave.session import CLUSTER_CONF, STREAM_CONF, apply_stream_conf
+    key = "spark.sql.shuffle.partitions"
+    assert key in CLUSTER_CONF and key not in STREAM_CONF
+    before = spark.conf.get(key)
+    try:
+        apply_stream_conf(spark)
+        assert spark.conf.get(key) == before  # the launcher's own value
+        assert apply_stream_conf(spark, 6)[key] == "6" and spark.conf.get(key) == "6"
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.unset("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage")
+
+
+def test_refused_settings_are_reported(spark):
+    from chirpwave.session import _apply
+    applied, refused = _apply(spark, {"spark.sql.extensions": "x", "spark.sql.cbo.enabled": "false"})
+    spark.conf.unset("spark.sql.cbo.enabled")
+    assert set(applied) == {"spark.sql.cbo.enabled"} and set(refused) == {"spark.sql.extensions"}
+
+
+@pytest.mark.parametrize("delay,lost", [("0 seconds", 1), ("6 hours", 0)])
+def test_uneven_inputs_and_the_count_of_late_rows(spark, delay, lost):
+    """Two inputs consumed unevenly: the slower one's row is behind the
+    watermark unless the delay covers it; what is dropped is counted."""
+    from chirpwave.streaming.sinks import LateRows
+    base = scratch_path(spark, "uneven")
+    schema = "ts timestamp, text string"
+    t0 = dt.datetime(2024, 1, 1, 12)
+
+    def land(part, *rows):
+        spark.createDataFrame(list(rows), schema).write.mode("append").parquet(f"{base}/{part}")
+
+    land("fast", (t0, "#a"), (t0 + dt.timedelta(hours=4), "#b"))
+    land("slow", (t0, "#c"))
+    kind = spark.read.parquet(f"{base}/fast").schema
+    both = read_parquet_stream(spark, f"{base}/fast", kind).union(read_parquet_stream(spark, f"{base}/slow", kind))
+    counts = S.stream_hashtag_counts(both, "ts", "1 hour", None, delay)
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    try:
+        for step in range(4):
+            if step == 1:
+                land("slow", (t0 + dt.timedelta(minutes=5), "#late"))
+            if step == 2:
+                land("fast", (t0 + dt.timedelta(days=2), "#end"))
+            q = (counts.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
+                 .trigger(availableNow=True).start())
+            q.awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        spark.streams.removeListener(listener)
+    words = {r.word for r in spark.read.parquet(f"{base}/out").collect()}
+    assert words == {"#a", "#b", "#c"} | (set() if lost else {"#late"})
+    assert sum(listener.dropped.values()) == lost
+
+
+def test_replay_keeps_rows_without_a_time(spark):
+    from chirpwave.streaming.replay import replay
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("k%d" % i, '{"text":"good"}', t0 + dt.timedelta(hours=i) if i % 3 else None) for i in range(6)]
+    records = spark.createDataFrame(rows, "key string, value string, timestamp timestamp")
+    out = replay(spark, {"posts": (records, "timestamp", "key")}, lambda s: S.stream_classify(s["posts"]))
+    assert out.count() == 6
