@@ -18,11 +18,13 @@ fewer words: the whole sequence as one).  Two documents link when
 3. *Signature trees.*  Each token's group becomes a tree; a dual traversal
    prunes node pairs by size range and by largest possible overlap of the
    OR-combined bitmaps.  Surviving pairs are verified on whole sets.
-4. *Large groups.*  In groups of more than ``star`` classes the smallest id is
-   first compared with all others, which connects a group of near copies
-   with one pair per member.  The tree of such a group then also prunes node
-   pairs below which all sets are already connected.  Every link between
-   sets of different components is found, so the components are exact.
+4. *Large groups* of more than ``star`` classes whose trees leave more than
+   ``CROWDED`` pairs per member hold many near copies.  There the smallest id
+   is first compared with all others, which connects near copies with one
+   pair per member; then the group's tree is traversed again, and also prunes
+   node pairs below which all sets are already connected.  Every link
+   between sets of different components is found, so the components are
+   exact.
 5. Components are contracted by joins; nothing is collected.
 
 Tokens are 64-bit hashes, class digests 128-bit.
@@ -54,6 +56,7 @@ RECORD = [np.dtype("<u8"), np.dtype("<i8"), np.dtype("<u4"), np.dtype("u1")]  #
 FOUND = "large boolean, u bigint, v bigint, n bigint, view int, flags int, bits binary"  # a pair, or a large group's record (id, token)
 HOT = 1000
 STAR = 64
+CROWDED = 8
 SHARD_BYTES = 4 << 20
 BROADCAST_IDS = 1_000_000
 GROUP_PAIRS = 5_000
@@ -149,27 +152,39 @@ def _members(token: np.ndarray) -> np.ndarray:
     return np.repeat(counts, counts)
 
 
-def _tree(token, ids, size, must, bits, component, native, percent: int):
-    """(u, v) of the pairs that the trees of the token groups leave possible."""
+def _tree(token, ids, size, must, bits, component, native, percent: int, limit: int | None = None):
+    """(u, v) arrays of the pairs that the trees of the token groups leave
+    possible; None as soon as there are more than ``limit``."""
     order = np.lexsort((size, component, token))
     token, ids, size, must, bits, component, native = (x[order] for x in (token, ids, size, must, bits, component, native))
     _, group = np.unique(token, return_inverse=True)
     _, component = np.unique(component, return_inverse=True)
-    out = []
+    out, total = [], 0
     for x, y in S.dual_traversal(S.build(bits, size.astype(np.int64), component, must, group), percent):
         ok = native[x] | native[y]
         out.append(np.stack([ids[x[ok]], ids[y[ok]]], axis=1))
+        total += len(out[-1])
+        if limit is not None and total > limit:
+            return None
     return out
 
 
+def _star(ids, size, must, bits, native, percent: int) -> np.ndarray:
+    """The possible pairs of a group's smallest id (the first one)."""
+    own = np.arange(len(ids))
+    level = S.build(bits, size.astype(np.int64), own, must, own)[0]
+    ok = S._possible(level, np.zeros(len(ids) - 1, dtype=np.int64), own[1:], percent) & (native[1:] | native[0])
+    return np.stack([np.full(ok.sum(), ids[0]), ids[1:][ok]], axis=1)
+
+
 def _distinct(pairs: list[np.ndarray]) -> np.ndarray:
     both = np.concatenate(pairs) if pairs else np.empty((0, 2), dtype=np.int64)
     return np.unique(np.sort(both[both[:, 0] != both[:, 1]], axis=1), axis=0)
 
 
 def _first_round(percent: int, star: int):
-    """All possible pairs of small groups; of large ones the star pairs and
-    the records, for the second round."""
+    """All possible pairs of small and uncrowded groups; of crowded ones the
+    star pairs and the records, for the second round."""
     def search(table):
         pairs, kept = [], []
         for view, fields, native in _groups(table):
@@ -177,20 +192,19 @@ def _first_round(percent: int, star: int):
             token, ids, size, must, bits = (f[order] for f in fields)
             native, must = native[order], must > 0
             members = _members(token)
-            small, large = (members > 1) & (members <= star), members > star
+            small = (members > 1) & (members <= star)
             if small.any():
-                own = np.arange(small.sum())
-                pairs += _tree(token[small], ids[small], size[small], must[small], bits[small], own, native[small], percent)
-            if large.any():
-                token, ids, size, must, bits, native = (x[large] for x in (token, ids, size, must, bits, native))
-                at = X.run_starts(token)
-                leader = np.repeat(at, np.diff(np.append(at, len(token))))
-                rest = np.nonzero(leader != np.arange(len(token)))[0]
-                own = np.arange(len(token))
-                level = S.build(bits, size.astype(np.int64), own, must, own)[0]
-                ok = S._possible(level, leader[rest], rest, percent) & (native[rest] | native[leader[rest]])
-                pairs.append(np.stack([ids[leader[rest[ok]]], ids[rest[ok]]], axis=1))
-                kept.append((view, ids, token, size, must + 2 * native, bits))
+                pairs += _tree(token[small], ids[small], size[small], must[small], bits[small], ids[small], native[small], percent)
+            at = X.run_starts(token)
+            for a in at[members[at] > star].tolist():
+                part = slice(a, a + members[a])
+                one = token[part], ids[part], size[part], must[part], bits[part]
+                found = _tree(*one, ids[part], native[part], percent, CROWDED * int(members[a]))
+                if found is None:
+                    pairs.append(_star(*one[1:], native[part], percent))
+                    kept.append((view, ids[part], token[part], size[part], must[part] + 2 * native[part], bits[part]))
+                else:
+                    pairs += found
         both = _distinct(pairs)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.zeros(len(both), dtype=bool)), pa.array(both[:, 0]), pa.array(both[:, 1])]

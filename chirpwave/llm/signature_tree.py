@@ -19,7 +19,8 @@ from dataclasses import dataclass
 import numpy as np
 
 FANOUT = 8
-PAIRS = 1 << 21  # node pairs expanded at a time
+PAIRS = 1 << 19  # node pairs expanded at a time
+WORDS = 1 << 21  # bitmap words compared at a time
 
 
 @dataclass
@@ -62,11 +63,14 @@ def _possible(level: Level, x: np.ndarray, y: np.ndarray, percent: int) -> np.nd
     ok = (100 * level.high[x] >= percent * level.low[y]) & (100 * level.high[y] >= percent * level.low[x])
     ok &= (level.component[x] < 0) | (level.component[x] != level.component[y])
     ok &= level.must[x] | level.must[y]
-    at = np.nonzero(ok)[0]
-    x, y = x[at], y[at]
-    most = np.bitwise_count(level.bits[x] & level.bits[y]).sum(axis=1) + np.minimum(level.slack[x], level.slack[y])
-    # 100 * shared >= percent * (a + b - shared)
-    ok[at] = (100 + percent) * most >= percent * (level.low[x] + level.low[y])
+    left = np.nonzero(ok)[0]
+    step = max(1, WORDS // level.bits.shape[1])
+    for start in range(0, len(left), step):
+        at = left[start:start + step]
+        a, b = x[at], y[at]
+        most = np.bitwise_count(level.bits[a] & level.bits[b]).sum(axis=1) + np.minimum(level.slack[a], level.slack[b])
+        # 100 * shared >= percent * (a + b - shared)
+        ok[at] = (100 + percent) * most >= percent * (level.low[a] + level.low[b])
     return ok
 
 

@@ -1,0 +1,114 @@
+"""The registered queries and the pipeline on whole (small) tables."""
+
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+import corpus_pipeline
+from chirpwave.llm.queries import ORACLE, QUERIES
+from oracle_compare import canon, duck
+
+from . import brute
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_every_operator_is_registered():
+    assert [next(q for q in E.queries() if q.startswith(f"op{n}_")) for n in range(1, 11)]
+    assert set(QUERIES) < set(E.queries()) and "pipeline" in E.queries()
+    assert set(ORACLE) <= set(E.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_its_sql(spark, name):
+    df = E.queries()[name](spark, SF)
+    want = duck(SF).sql(ORACLE[name])
+    assert canon([tuple(r) for r in df.collect()], df.columns) == canon(want.fetchall(), want.columns)
+
+
+def test_contract_columns(spark):
+    want = {
+        "op1": "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string",
+        "op2": "doc_id bigint, n_shingles bigint, component_id bigint",
+        "op3": "doc_id bigint, held_out boolean, score double, predicted int",
+        "op4": "page_id bigint, host string, path string, rule string, verdict string",
+        "op5": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
+        "op6": "query_id bigint, rank int, vec_id bigint, score bigint",
+        "op7": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
+        "op8": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
+        "op10": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    }
+    for op, columns in want.items():
+        name = next(q for q in QUERIES if q.startswith(f"{op}_"))
+        got = dict(QUERIES[name](spark, SF).dtypes)
+        for column in columns.split(", "):
+            c, kind = column.split()
+            assert got[c] == kind, (name, c, got[c])
+
+
+def test_encoding_query_is_lossless(spark):
+    rows = QUERIES["op9_merge_dropout"](spark, SF).collect()
+    assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert all(r["lossless"] and len(r["tokens"]) == r["n_tokens"] for r in rows)
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    # clear cases of each stage: a copy, a near copy, a repeated passage, a benchmark item, an untouched document
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    passage = " ".join(f"passage{i}" for i in range(60))
+    extra = [(900001, " ".join(f"own{i}" for i in range(80))), (900002, " ".join(f"own{i}" for i in range(80))),
+             (900003, " ".join(f"own{i}" for i in range(79)) + " end"), (900004, passage + " first of its kind"),
+             (900005, "another start " + passage), (900006, item), (900007, "a clean little document about nothing"), (900008, None)]
+    docs = docs.unionByName(spark.createDataFrame([(i, t, "en", "x", len(t or "")) for i, t in extra], docs.schema))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        before = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+        out = stage(spark, docs, SF).cache()
+        after = {r["doc_id"]: r["text"] for r in out.select("doc_id", "text").collect()}
+        assert 900007 in after and set(after) <= set(before)
+        if name == "toxicity":
+            assert {i for i, _ in extra} <= set(after) and len(after) >= 0.7 * len(before)
+        elif name == "ngram_join":
+            reach = brute.near(list(before.items()))
+            assert set(after) == {i for i in before if reach[i] == i}
+            assert 900001 in after and not {900002, 900003} & set(after)
+        elif name == "substring_dedup":
+            want = {i: sha for i, _, _, sha in brute.dedup(list(before.items()))}
+            assert {i: hashlib.sha256(" ".join(brute.words(t)).encode()).hexdigest() for i, t in after.items()} == want
+            assert after[900004] == before[900004] and "passage5" not in after[900005]
+            assert out.where("n_chars <> length(text)").count() == 0
+        elif name == "decontamination":
+            items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+            hit = {i: brute.hits(t, items) for i, t in before.items()}
+            assert set(after) == {i for i, (n, h, _) in hit.items() if not (h > 0 and 20 * h >= n)}
+            assert 900006 not in after
+        else:
+            assert set(after) == set(before) and out.where("not lossless").count() == 0
+        assert out.columns[:len(columns)] == columns
+        assert name == corpus_pipeline.STAGES[-1][0] or out.columns == columns
+        docs = out
+
+
+def test_pipeline_runs_on_empty_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        assert docs.count() == 0
+
+
+def test_url_query_labels(spark):
+    rows = QUERIES["op4_url_filter"](spark, SF).collect()
+    assert len(rows) == spark.read.parquet(f"{SF}/pages.parquet").count()
+    assert {r["verdict"] for r in rows} <= {"allow", "block"}
+    assert all(r["rule"] is None or r["host"].endswith(r["rule"].split("/")[0]) for r in rows)
+
+
+def test_folds_are_crc32_of_the_id(spark):
+    from chirpwave.llm.language_id import fold
+    rows = spark.range(200).select("id", fold("id", 5).alias("f")).collect()
+    assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 5 for r in rows)
+    assert spark.range(1).select(F.lit(None).cast("bigint").alias("id")).select(fold("id", 5)).first()[0] is None
