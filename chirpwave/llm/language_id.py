@@ -14,7 +14,9 @@ independent: they advance together, one table lookup per byte and language.
 Training uses at most ``train_rows`` labelled rows per language, those with
 the smallest content hash, and of their concatenation at most
 ``train_bytes`` bytes (whole rows until that size is reached, the last one
-cut).  Both are parameters; scoring always covers whole texts.
+cut).  The tables of all languages together take at most ``table_bytes``;
+with very many languages each gets a shorter sample.  All three are
+parameters; scoring always covers whole texts.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 without any training row all texts are ``und``; ties go to the
@@ -33,6 +35,7 @@ from pyspark.sql import types as T
 
 TRAIN_ROWS = 400
 TRAIN_BYTES = 60_000
+TABLE_BYTES = 512 << 20
 SEGMENT = 512
 
 
@@ -159,7 +162,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, folds: int
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              folds: int = 4, held_out: int = 2, train_rows: int = TRAIN_ROWS, train_bytes: int = TRAIN_BYTES,
-             segment: int = SEGMENT) -> DataFrame:
+             segment: int = SEGMENT, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """One row per input row: ``doc`` (the input row), ``held_out``,
     ``lang_pred``, ``score`` (0 to 1: by what part the best language needs
     fewer phrases than the second) and ``phrases`` (phrases per 1,000 bytes
@@ -170,8 +173,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     alphabet = len(used) + 1  # the last symbol is any other byte
     codes = np.full(256, len(used), dtype=np.int32)
     codes[used] = np.arange(len(used))
+    each = table_bytes // (max(len(langs), 1) * 2 * alphabet * 4)  # an automaton has at most two states per byte
     tables = docs.sparkSession.sparkContext.broadcast(
-        [parse_table(suffix_automaton(codes[np.frombuffer(samples[x], dtype=np.uint8)].tolist(), alphabet)) for x in langs])
+        [parse_table(suffix_automaton(codes[np.frombuffer(samples[x][:each], dtype=np.uint8)].tolist(), alphabet)) for x in langs])
 
     out = docs.select(F.struct("*").alias("doc"), F.coalesce(fold(id_col, folds) == held_out, F.lit(False)).alias("held_out"))
     schema = T.StructType(out.schema.fields + T.StructType.fromDDL(

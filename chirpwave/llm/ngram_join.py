@@ -280,12 +280,9 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, shingle: int, percent: i
     return left.groupBy("lg", "lsalt").cogroup(right.groupBy("g", "salt")).applyInArrow(check, "u bigint, v bigint")
 
 
-def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, percent: int = 85,
-               hot: int = HOT, star: int = STAR, slices: int | None = None) -> DataFrame:
-    """``(id, n_shingles, class_id, component_id)`` per input row: the smallest
-    id with an equal set, and the smallest id reachable by links."""
+def _candidates(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, hot: int, star: int, n: int):
+    """(texts, written sets of all documents, written output of the first round)."""
     spark = docs.sparkSession
-    n = X.slice_count(spark, slices)
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
 
     def describe(batches):
@@ -356,7 +353,34 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     path = scratch_path(spark, "candidates")
     records.groupBy("bucket").applyInArrow(_first_round(percent, star), FOUND).write.parquet(path)
     found = spark.read.schema(FOUND).parquet(path)
+    return texts, sets, found
 
+
+def _classes(sets: DataFrame) -> DataFrame:
+    """``(id, n, class_id)`` of every document; no class for an empty set."""
+    classes = sets.where("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("class_id"))
+    return sets.select("id", "n", "digest").join(classes, "digest", "left").drop("digest")
+
+
+def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, percent: int = 85,
+                hot: int = HOT, slices: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """All links: ``(u, v)``, every pair of classes whose sets link, and the
+    membership ``(id, n, class_id)``.  In a group of near copies their number
+    grows with the square of the group; ``ngram_join`` finds the same
+    components without listing them."""
+    n = X.slice_count(docs.sparkSession, slices)
+    texts, sets, found = _candidates(docs, id_col, text_col, shingle, percent, hot, 1 << 62, n)
+    known = texts.where("id is not null")
+    return verified(found.select("u", "v"), known, n, shingle, percent).distinct(), _classes(sets)
+
+
+def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, percent: int = 85,
+               hot: int = HOT, star: int = STAR, slices: int | None = None) -> DataFrame:
+    """``(id, n_shingles, class_id, component_id)`` per input row: the smallest
+    id with an equal set, and the smallest id reachable by links."""
+    spark = docs.sparkSession
+    n = X.slice_count(spark, slices)
+    texts, sets, found = _candidates(docs, id_col, text_col, shingle, percent, hot, star, n)
     known = texts.where("id is not null")
     path = scratch_path(spark, "links")
     verified(found.where("not large").select("u", "v"), known, n, shingle, percent).write.parquet(path)
@@ -365,8 +389,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .withColumn("component", F.coalesce("component", "u")))
     rest = (large.groupBy(F.pmod(F.xxhash64("v", "view"), F.lit(n)).alias("bucket"))
             .applyInArrow(_second_round(percent), "u bigint, v bigint"))
-    classes = sets.where("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("class_id"))
-    members = sets.select("id", "n", "digest").join(classes, "digest", "left")
+    members = _classes(sets)
     again = (members.where("id is not null and class_id is not null").groupBy("id")  # ids with several texts
              .agg(F.min("class_id").alias("u"), F.max("class_id").alias("v")).where("u <> v").select("u", "v"))
     reach = components(links.unionByName(verified(rest, known, n, shingle, percent)).unionByName(again))

@@ -61,8 +61,8 @@ def test_pipeline_stages_against_brute_force(spark):
     item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
     passage = " ".join(f"passage{i}" for i in range(60))
     extra = [(900001, " ".join(f"own{i}" for i in range(80))), (900002, " ".join(f"own{i}" for i in range(80))),
-             (900003, " ".join(f"own{i}" for i in range(79)) + " end"), (900004, passage + " first of its kind"),
-             (900005, "another start " + passage), (900006, item), (900007, "a clean little document about nothing"), (900008, None)]
+             (900003, " ".join(f"own{i}" for i in range(79)) + " end"), (900004, passage + "".join(f" first{i}" for i in range(40))),
+             (900005, "".join(f"second{i} " for i in range(40)) + passage), (900006, item), (900007, "a clean little document about nothing"), (900008, None)]
     docs = docs.unionByName(spark.createDataFrame([(i, t, "en", "x", len(t or "")) for i, t in extra], docs.schema))
     columns = docs.columns
     for name, stage in corpus_pipeline.STAGES:

@@ -12,7 +12,7 @@ from chirpwave.llm.components import components
 from chirpwave.llm.decontaminate import decontaminate
 from chirpwave.llm.fm_index import FMIndex
 from chirpwave.llm.merge_dropout import MergeVocabulary, agenda_encode, decode, encode_texts, encode_words, piece_decode, piece_encode
-from chirpwave.llm.ngram_join import ngram_join
+from chirpwave.llm.ngram_join import ngram_join, ngram_links
 from chirpwave.llm.substring_dedup import substring_dedup
 
 from . import brute
@@ -199,3 +199,24 @@ def test_encoding_an_empty_table(nothing):
 
 def test_decode_of_nothing(vocabulary):
     assert decode(np.empty(0, np.int64), np.zeros(3, np.int64), pa.array(vocabulary.bytes, type=pa.large_binary())) == [b"", b""]
+
+
+def test_all_links_and_membership(spark):
+    rng = random.Random(11)
+    rows = []
+    for g in range(4):
+        base = [f"t{g}_{i}" for i in range(50)]
+        for _ in range(6):
+            w = list(base)
+            for _ in range(rng.randrange(0, 3)):
+                w[rng.randrange(len(w))] = f"r{rng.random()}"
+            rows.append((len(rows), " ".join(w)))
+    rows += [(100, rows[0][1]), (101, ""), (102, None)]
+    links, members = ngram_links(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    sets = {i: brute.shingles(t) for i, t in rows}
+    classes = {i: min(j for j in sets if sets[j] == sets[i]) for i in sets if sets[i]}
+    assert {r["id"]: r["class_id"] for r in members.collect()} == {i: classes.get(i) for i in sets}
+    reps = sorted(set(classes.values()))
+    want = {(a, b) for a in reps for b in reps if a < b
+            and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert {tuple(r) for r in links.collect()} == want
