@@ -18,13 +18,15 @@ fewer words: the whole sequence as one).  Two documents link when
 3. *Signature trees.*  Each token's group becomes a tree; a dual traversal
    prunes node pairs by size range and by largest possible overlap of the
    OR-combined bitmaps.  Surviving pairs are verified on whole sets.
-4. *Large groups* of more than ``star`` classes whose trees leave more than
-   ``CROWDED`` pairs per member hold many near copies.  There the smallest id
-   is first compared with all others, which connects near copies with one
-   pair per member; then the group's tree is traversed again, and also prunes
-   node pairs below which all sets are already connected.  Every link
-   between sets of different components is found, so the components are
-   exact.
+4. *Families.*  Large groups of more than ``star`` classes whose trees leave
+   more than ``CROWDED`` pairs per member hold many near copies; listing their
+   pairs would grow with the square of the group.  Their members form
+   families (connected by such groups), and each member's whole set travels
+   to its family once per pair of blocks of ``BLOCK_SETS`` members.  There
+   central members are compared first, a signature tree with wide bitmaps
+   prunes node pairs below which all sets are already connected, and only
+   links that join components leave.  All pairs of a family are decided, so
+   the components are exact.
 5. Components are contracted by joins; nothing is collected.
 
 Tokens are 64-bit hashes, class digests 128-bit.
@@ -39,7 +41,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,10 +54,13 @@ from chirpwave.session import scratch_path
 SETS = "id bigint, n bigint, digest binary, tokens binary, bits binary"
 CLASSES = 8  # signatures of 64 << class bits
 RECORD = [np.dtype("<u8"), np.dtype("<i8"), np.dtype("<u4"), np.dtype("u1")]  # token, id, size, may start a pair
-FOUND = "large boolean, u bigint, v bigint, n bigint, view int, flags int, bits binary"  # a pair, or a large group's record (id, token)
+FOUND = "family boolean, u bigint, v bigint"  # a possible pair, or two members of a family
 HOT = 1000
 STAR = 64
 CROWDED = 8
+LEADERS = 8
+BLOCK_SETS = 2048
+WIDEST = 1 << 14  # bits of a family's signatures
 SHARD_BYTES = 4 << 20
 BROADCAST_IDS = 1_000_000
 GROUP_PAIRS = 5_000
@@ -169,14 +173,6 @@ def _tree(token, ids, size, must, bits, component, native, percent: int, limit:
     return out
 
 
-def _star(ids, size, must, bits, native, percent: int) -> np.ndarray:
-    """The possible pairs of a group's smallest id (the first one)."""
-    own = np.arange(len(ids))
-    level = S.build(bits, size.astype(np.int64), own, must, own)[0]
-    ok = S._possible(level, np.zeros(len(ids) - 1, dtype=np.int64), own[1:], percent) & (native[1:] | native[0])
-    return np.stack([np.full(ok.sum(), ids[0]), ids[1:][ok]], axis=1)
-
-
 def _distinct(pairs: list[np.ndarray]) -> np.ndarray:
     both = np.concatenate(pairs) if pairs else np.empty((0, 2), dtype=np.int64)
     return np.unique(np.sort(both[both[:, 0] != both[:, 1]], axis=1), axis=0)
@@ -184,10 +180,10 @@ def _distinct(pairs: list[np.ndarray]) -> np.ndarray:
 
 def _first_round(percent: int, star: int):
     """All possible pairs of small and uncrowded groups; of crowded ones the
-    star pairs and the records, for the second round."""
+    members, each with the group's smallest id."""
     def search(table):
-        pairs, kept = [], []
-        for view, fields, native in _groups(table):
+        pairs, family = [], []
+        for _, fields, native in _groups(table):
             order = np.lexsort((fields[1], fields[0]))
             token, ids, size, must, bits = (f[order] for f in fields)
             native, must = native[order], must > 0
@@ -198,63 +194,106 @@ def _first_round(percent: int, star: int):
             at = X.run_starts(token)
             for a in at[members[at] > star].tolist():
                 part = slice(a, a + members[a])
-                one = token[part], ids[part], size[part], must[part], bits[part]
-                found = _tree(*one, ids[part], native[part], percent, CROWDED * int(members[a]))
+                found = _tree(token[part], ids[part], size[part], must[part], bits[part], ids[part], native[part], percent,
+                              CROWDED * int(members[a]))
                 if found is None:
-                    pairs.append(_star(*one[1:], native[part], percent))
-                    kept.append((view, ids[part], token[part], size[part], must[part] + 2 * native[part], bits[part]))
+                    family.append(np.stack([np.full(members[a], ids[a]), ids[part]], axis=1))
                 else:
                     pairs += found
-        both = _distinct(pairs)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.zeros(len(both), dtype=bool)), pa.array(both[:, 0]), pa.array(both[:, 1])]
-            + [pa.nulls(len(both), t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.binary())], names=FOUND_NAMES)
-        for view, ids, token, size, flags, bits in kept:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.ones(len(ids), dtype=bool)), pa.array(ids), pa.array(token.view(np.int64)), pa.array(size.astype(np.int64)),
-                 pa.array(np.full(len(ids), view, dtype=np.int32)), pa.array(flags.astype(np.int32)),
-                 pa.array([b.tobytes() for b in bits], type=pa.binary())], names=FOUND_NAMES)
-
-    return lambda table: pa.Table.from_batches(list(search(table)))
-
-
-FOUND_NAMES = [f.split()[0] for f in FOUND.split(", ")]
-
-
-def _second_round(percent: int):
-    """Pairs of large groups that join different components."""
-    def search(table):
-        pairs = []
-        for view in sorted(set(table["view"].to_pylist())):
-            part = table.filter(pc.equal(table["view"], view))
-            flags = np.asarray(part["flags"])
-            bits = np.frombuffer(b"".join(part["bits"].to_pylist()), dtype=np.uint64).reshape(part.num_rows, 1 << view)
-            pairs += _tree(np.asarray(part["v"]), np.asarray(part["u"]), np.asarray(part["n"]), flags & 1 > 0, bits,
-                           np.asarray(part["component"]), flags & 2 > 0, percent)
-        both = _distinct(pairs)
-        return pa.table({"u": pa.array(both[:, 0]), "v": pa.array(both[:, 1])})
+        pairs, family = _distinct(pairs), _distinct(family)
+        return pa.table({"family": pa.array(np.repeat([False, True], [len(pairs), len(family)])),
+                         "u": pa.array(np.concatenate([pairs[:, 0], family[:, 0]])),
+                         "v": pa.array(np.concatenate([pairs[:, 1], family[:, 1]]))})
 
     return search
 
 
-def verified(pairs: DataFrame, docs: DataFrame, n: int, shingle: int, percent: int) -> DataFrame:
-    """The pairs whose whole sets link.  ``docs``: (id, text)."""
-    spark = pairs.sparkSession
-    path = scratch_path(spark, "pairs")
-    pairs.distinct().write.parquet(path)
-    pairs = spark.read.schema("u bigint, v bigint").parquet(path)
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared > 0 and 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
+def family_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that connect the components of all the sets given (a spanning
+    forest of the link graph)."""
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    width = min(WIDEST, max(64, 1 << int(16 * sizes.max() - 1).bit_length()))
+    bits = np.zeros((len(sets), width), dtype=np.uint8)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    bits[row, (np.concatenate(sets) & np.uint64(width - 1)).astype(np.int64)] = 1
+    # members that agree most with the majority are likely to link with many
+    common = 2 * bits.sum(axis=0, dtype=np.int64) > len(sets)
+    agreement = bits[:, common].sum(axis=1, dtype=np.int64) * 2 - bits.sum(axis=1, dtype=np.int64)
+    leaders = {int(ids.argmin()), *np.argsort(-agreement, kind="stable")[:LEADERS].tolist()}
+    bits = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+    parent, links = list(range(len(sets))), []
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    def compare(i, j):
+        a, b = root(i), root(j)
+        if a != b and _linked(sets[i], sets[j], percent):
+            parent[max(a, b)] = min(a, b)
+            links.append((int(ids[i]), int(ids[j])))
+
+    every, true = np.arange(len(sets)), np.ones(len(sets), dtype=bool)
+    level = S.build(bits, sizes, every, true, every)[0]
+    for lead in sorted(leaders):
+        rest = every[every != lead]
+        for j in rest[S._possible(level, np.full(len(rest), lead), rest, percent)].tolist():
+            compare(lead, j)
+    component = np.array([root(i) for i in range(len(sets))])
+    order = np.lexsort((sizes, component))
+    levels = S.build(bits[order], sizes[order], component[order], true, np.zeros(len(sets), dtype=np.int64))
+    for x, y in S.dual_traversal(levels, percent):
+        for i, j in zip(order[x].tolist(), order[y].tolist()):
+            compare(i, j)
+    return links
+
+
+def families(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links within the families that ``edges`` connect; ``sets``: (id, tokens)."""
+    named = components(edges)  # (node, component)
+    blocks = named.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("blocks"))
+    placed = (named.join(blocks, "component")
+              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+              .select(F.col("node").alias("id"), "component", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b")))
+
+    def link(table):
+        ids = table["id"].to_numpy()
+        found = family_links(ids, [np.frombuffer(t, dtype="<u8") for t in table["tokens"].to_pylist()], percent)
+        return pa.table({"u": pa.array([x[0] for x in found], type=pa.int64()), "v": pa.array([x[1] for x in found], type=pa.int64())})
+
+    return placed.join(sets, "id").groupBy("component", "a", "b").applyInArrow(link, "u bigint, v bigint")
+
+
+def sets_of(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """``(id, tokens)``: the whole sets of the documents in ``ids``."""
     if ids.count() <= BROADCAST_IDS:  # the text is then filtered where it is read
         ids = F.broadcast(ids)
 
-    def sets_of(batches):
+    def describe(batches):
         for batch in batches:
             for part in shards(batch, batch["text"], SHARD_BYTES):
                 sets = token_sets(part["text"], shingle)
                 yield pa.RecordBatch.from_arrays([part["id"], pa.array([s.tobytes() for s in sets], type=pa.binary())],
                                                  names=["id", "tokens"])
 
-    sets = docs.join(ids, "id", "left_semi").mapInArrow(sets_of, "id bigint, tokens binary")
+    return docs.join(ids, "id", "left_semi").mapInArrow(describe, "id bigint, tokens binary")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, n: int, shingle: int, percent: int) -> DataFrame:
+    """The pairs whose whole sets link.  ``docs``: (id, text)."""
+    spark = pairs.sparkSession
+    path = scratch_path(spark, "pairs")
+    pairs.distinct().write.parquet(path)
+    pairs = spark.read.schema("u bigint, v bigint").parquet(path)
+    sets = sets_of(docs, pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), shingle)
     uses = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("uses"))
     dealt = pairs.join(uses, "u").select(
         F.pmod(F.xxhash64("u"), F.lit(n)).alias("g"),
@@ -270,11 +309,8 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, shingle: int, percent: i
         out = []
         for u, v, b in zip(right["u"].to_pylist(), right["v"].to_pylist(), right["b"].to_pylist()):
             b = np.frombuffer(b, dtype="<u8")
-            for a in known.get(u, []):
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                if shared and 100 * shared >= percent * (len(a) + len(b) - shared):
-                    out.append((u, v))
-                    break
+            if any(_linked(a, b, percent) for a in known.get(u, [])):
+                out.append((u, v))
         return pa.table({"u": pa.array([x[0] for x in out], type=pa.int64()), "v": pa.array([x[1] for x in out], type=pa.int64())})
 
     return left.groupBy("lg", "lsalt").cogroup(right.groupBy("g", "salt")).applyInArrow(check, "u bigint, v bigint")
@@ -382,17 +418,14 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n = X.slice_count(spark, slices)
     texts, sets, found = _candidates(docs, id_col, text_col, shingle, percent, hot, star, n)
     known = texts.where("id is not null")
-    path = scratch_path(spark, "links")
-    verified(found.where("not large").select("u", "v"), known, n, shingle, percent).write.parquet(path)
-    links = spark.read.schema("u bigint, v bigint").parquet(path)
-    large = (found.where("large").join(components(links).withColumnRenamed("node", "u"), "u", "left")
-             .withColumn("component", F.coalesce("component", "u")))
-    rest = (large.groupBy(F.pmod(F.xxhash64("v", "view"), F.lit(n)).alias("bucket"))
-            .applyInArrow(_second_round(percent), "u bigint, v bigint"))
+    links = verified(found.where("not family").select("u", "v"), known, n, shingle, percent)
+    edges = found.where("family").select("u", "v")
+    crowd = edges.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    links = links.unionByName(families(edges, sets_of(known, crowd, shingle), percent))
     members = _classes(sets)
     again = (members.where("id is not null and class_id is not null").groupBy("id")  # ids with several texts
              .agg(F.min("class_id").alias("u"), F.max("class_id").alias("v")).where("u <> v").select("u", "v"))
-    reach = components(links.unionByName(verified(rest, known, n, shingle, percent)).unionByName(again))
+    reach = components(links.unionByName(again))
     named = F.col("id").isNotNull()
     return (members.join(reach.withColumnRenamed("node", "class_id"), "class_id", "left")
             .select("id", F.col("n").alias("n_shingles"), F.when(named, F.coalesce("class_id", "id")).alias("class_id"),
