@@ -220,3 +220,50 @@ def test_all_links_and_membership(spark):
     want = {(a, b) for a in reps for b in reps if a < b
             and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
     assert {tuple(r) for r in links.collect()} == want
+
+
+def test_family_links_span_the_components():
+    from chirpwave.llm.ngram_join import family_links
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(0, 2**63, 200).astype(np.uint64))
+    sets = [base]
+    for _ in range(60):  # each loses and gains a few tokens of the base or of another copy
+        old = sets[rng.integers(0, len(sets))]
+        keep = rng.random(len(old)) > 0.05
+        sets.append(np.unique(np.concatenate([old[keep], rng.integers(0, 2**63, rng.integers(0, 12)).astype(np.uint64)])))
+    sets += [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 50, 200)]
+    parent = list(range(len(sets)))
+
+    def find(parent, x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            x = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * x >= 85 * (len(sets[i]) + len(sets[j]) - x):
+                a, b = find(parent, i), find(parent, j)
+                parent[max(a, b)] = min(a, b)
+    got = list(range(len(sets)))
+    for u, v in family_links(np.arange(len(sets)), sets, 85):
+        x = len(np.intersect1d(sets[u], sets[v]))
+        assert 100 * x >= 85 * (len(sets[u]) + len(sets[v]) - x)
+        a, b = find(got, u), find(got, v)
+        assert a != b  # no link more than needed
+        got[max(a, b)] = min(a, b)
+    assert [find(got, i) for i in range(len(sets))] == [find(parent, i) for i in range(len(sets))]
+
+
+def test_crowded_groups_become_families(spark):
+    rng = random.Random(21)
+    base = [f"t{i}" for i in range(120)]
+    rows = []
+    for i in range(90):  # most copies link with the base only
+        w = list(base)
+        for _ in range(rng.randrange(0, 3)):
+            w[rng.randrange(len(w))] = f"r{i}_{rng.random()}"
+        rows.append((i, " ".join(w)))
+    rows += [(200 + i, " ".join(f"u{i}_{k}" for k in range(30))) for i in range(20)]
+    got = {r["id"]: r["component_id"] for r in ngram_join(spark.createDataFrame(rows, "doc_id bigint, text string"), star=8).collect()}
+    assert got == brute.near(rows)
