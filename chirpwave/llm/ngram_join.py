@@ -20,8 +20,8 @@ fewer words: the whole sequence as one).  Two documents link when
    OR-combined bitmaps.  Surviving pairs are verified on whole sets.
 4. *Families.*  Large groups of more than ``star`` classes whose trees leave
    more than ``CROWDED`` pairs per member hold many near copies; listing their
-   pairs would grow with the square of the group.  Their members form
-   families (connected by such groups), and each member's whole set travels
+   pairs would grow with the square of the group.  Their members that are in a
+   possible pair form families (connected by such groups), and each member's whole set travels
    to its family once per pair of blocks of ``BLOCK_SETS`` members.  There
    central members are compared first, a signature tree with wide bitmaps
    prunes node pairs below which all sets are already connected, and only
@@ -156,21 +156,23 @@ def _members(token: np.ndarray) -> np.ndarray:
     return np.repeat(counts, counts)
 
 
-def _tree(token, ids, size, must, bits, component, native, percent: int, limit: int | None = None):
+def _tree(token, ids, size, must, bits, native, percent: int, limit: int | None = None):
     """(u, v) arrays of the pairs that the trees of the token groups leave
-    possible; None as soon as there are more than ``limit``."""
-    order = np.lexsort((size, component, token))
-    token, ids, size, must, bits, component, native = (x[order] for x in (token, ids, size, must, bits, component, native))
+    possible.  As soon as there are more than ``limit``, pairs are only
+    marked, and (None, members of possible pairs) comes back."""
+    order = np.lexsort((size, token))
+    token, ids, size, must, bits, native = (x[order] for x in (token, ids, size, must, bits, native))
     _, group = np.unique(token, return_inverse=True)
-    _, component = np.unique(component, return_inverse=True)
-    out, total = [], 0
-    for x, y in S.dual_traversal(S.build(bits, size.astype(np.int64), component, must, group), percent):
+    out, total, seen = [], 0, np.zeros(len(ids), dtype=bool)
+    for x, y in S.dual_traversal(S.build(bits, size.astype(np.int64), np.arange(len(ids)), must, group), percent):
         ok = native[x] | native[y]
-        out.append(np.stack([ids[x[ok]], ids[y[ok]]], axis=1))
-        total += len(out[-1])
-        if limit is not None and total > limit:
-            return None
-    return out
+        seen[x[ok]] = seen[y[ok]] = True
+        total += ok.sum()
+        if limit is None or total <= limit:
+            out.append(np.stack([ids[x[ok]], ids[y[ok]]], axis=1))
+        elif seen.all():
+            break
+    return (out, None) if limit is None or total <= limit else (None, ids[seen])
 
 
 def _distinct(pairs: list[np.ndarray]) -> np.ndarray:
@@ -180,7 +182,7 @@ def _distinct(pairs: list[np.ndarray]) -> np.ndarray:
 
 def _first_round(percent: int, star: int):
     """All possible pairs of small and uncrowded groups; of crowded ones the
-    members, each with the group's smallest id."""
+    members of possible pairs, each with the smallest of them."""
     def search(table):
         pairs, family = [], []
         for _, fields, native in _groups(table):
@@ -190,14 +192,14 @@ def _first_round(percent: int, star: int):
             members = _members(token)
             small = (members > 1) & (members <= star)
             if small.any():
-                pairs += _tree(token[small], ids[small], size[small], must[small], bits[small], ids[small], native[small], percent)
+                pairs += _tree(token[small], ids[small], size[small], must[small], bits[small], native[small], percent)[0]
             at = X.run_starts(token)
             for a in at[members[at] > star].tolist():
                 part = slice(a, a + members[a])
-                found = _tree(token[part], ids[part], size[part], must[part], bits[part], ids[part], native[part], percent,
-                              CROWDED * int(members[a]))
+                found, crowd = _tree(token[part], ids[part], size[part], must[part], bits[part], native[part], percent,
+                                     CROWDED * int(members[a]))
                 if found is None:
-                    family.append(np.stack([np.full(members[a], ids[a]), ids[part]], axis=1))
+                    family.append(np.stack([np.full(len(crowd), crowd.min()), crowd], axis=1))
                 else:
                     pairs += found
         pairs, family = _distinct(pairs), _distinct(family)
@@ -293,7 +295,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, shingle: int, percent: i
     path = scratch_path(spark, "pairs")
     pairs.distinct().write.parquet(path)
     pairs = spark.read.schema("u bigint, v bigint").parquet(path)
-    sets = sets_of(docs, pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), shingle)
+    sets = sets_of(docs, pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct(), shingle)
     uses = pairs.groupBy("u").agg(F.count(F.lit(1)).alias("uses"))
     dealt = pairs.join(uses, "u").select(
         F.pmod(F.xxhash64("u"), F.lit(n)).alias("g"),
@@ -420,7 +422,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = texts.where("id is not null")
     links = verified(found.where("not family").select("u", "v"), known, n, shingle, percent)
     edges = found.where("family").select("u", "v")
-    crowd = edges.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    crowd = edges.select(F.col("u").alias("id")).union(edges.select("v")).distinct()
     links = links.unionByName(families(edges, sets_of(known, crowd, shingle), percent))
     members = _classes(sets)
     again = (members.where("id is not null and class_id is not null").groupBy("id")  # ids with several texts
