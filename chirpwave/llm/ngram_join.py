@@ -61,7 +61,7 @@ CROWDED = 8
 LEADERS = 8
 BLOCK_SETS = 2048
 WIDEST = 1 << 14  # bits of a family's signatures
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 BROADCAST_IDS = 1_000_000
 GROUP_PAIRS = 5_000
 

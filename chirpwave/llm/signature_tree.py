@@ -19,8 +19,8 @@ from dataclasses import dataclass
 import numpy as np
 
 FANOUT = 8
-PAIRS = 1 << 19  # node pairs expanded at a time
-WORDS = 1 << 21  # bitmap words compared at a time
+PAIRS = 1 << 17  # node pairs expanded at a time
+WORDS = 1 << 18  # bitmap words compared at a time
 
 
 @dataclass
