@@ -6,7 +6,8 @@ in the cluster's shared folder and rereads it for the next.
 
 1. toxicity: documents that the classifier rejects go.
 2. near duplicates: the document with the smallest id of every group of
-   linked documents stays.
+   documents linked by five-word shingles with a similarity of 0.8 or more
+   stays.
 3. substring dedup: text that repeats an earlier document is cut out; every
    document stays, its text possibly empty.
 4. decontamination: documents contaminated by the benchmark go.
@@ -28,6 +29,8 @@ from chirpwave.sources.tables import read_table
 
 #: vocabulary file of a public tokenizer (merge type, with byte pieces)
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+#: near duplicates: words of a shingle, least similarity (query op2 has its own)
+SHINGLE, PERCENT = 5, 80
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +39,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    others = ngram_join(docs).where("component_id <> id").select(F.col("id").alias("doc_id")).distinct()
+    linked = ngram_join(docs, shingle=SHINGLE, percent=PERCENT)
+    others = linked.where("component_id <> id").select(F.col("id").alias("doc_id")).distinct()
     return docs.join(others, "doc_id", "left_anti").select(docs.columns)
 
 

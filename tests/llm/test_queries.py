@@ -93,6 +93,19 @@ def test_pipeline_stages_against_brute_force(spark):
         docs = out
 
 
+def test_near_duplicates_by_five_words_and_four_fifths(spark):
+    def same(a, b):  # the stage's rule
+        x, y = brute.shingles(a, 5), brute.shingles(b, 5)
+        return bool(x & y) and 100 * len(x & y) >= 80 * len(x | y)
+
+    text = [f"a{i}" for i in range(100)]
+    rows = [(1, " ".join(text)), (2, " ".join(text + [f"b{i}" for i in range(20)]))]  # 96 of 116
+    rows += [(3, " ".join(f"c{i}" for i in range(190))), (4, " ".join(f"d{i}" if i % 47 == 20 else f"c{i}" for i in range(190)))]  # four words changed
+    rows += [(5, " ".join(f"e{i}" for i in range(100))), (6, " ".join(f"f{i}" if i % 30 == 20 else f"e{i}" for i in range(100)))]  # too many
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), SF).collect()
+    assert {r["doc_id"] for r in kept} == {i for i, t in rows if not any(same(t, other) for j, other in rows if j < i)} == {1, 3, 5, 6}
+
+
 def test_pipeline_runs_on_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
