@@ -12,7 +12,8 @@ fewer words: the whole sequence as one).  Two documents link when
 2. *Routing.*  Linked sets share one of the first ``n - ceil(percent n / 100) + 1``
    tokens of any common token order, so the join runs per prefix token.
    Tokens that only one class holds are dropped by the key exchange.  Tokens
-   in more than ``hot`` prefixes come last in the order: unrelated documents
+   in more than ``hot`` prefixes come last in the order, which every slice
+   learns for all tokens it may choose: unrelated documents
    that share a frequent passage do not meet.  A document whose prefix has too
    few other tokens (*dense*) still meets everyone at its frequent ones.
 3. *Signature trees.*  Each token's group becomes a tree; a dual traversal
@@ -350,8 +351,10 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, shingle: int, perce
     none = np.empty(0, dtype=np.uint64)
 
     def first_tokens(table):
+        # also asks, with count 0, for the tokens beyond the prefixes: a token is frequent in all slices or in none
         part = _Part(table, percent, none)
-        return np.unique(part.tokens[part.chosen], return_counts=True)
+        keys, which = np.unique(part.tokens, return_inverse=True)
+        return keys, np.bincount(which, weights=part.chosen, minlength=len(keys)).astype(np.int64)
 
     frequent = X.shared_keys(parts, n, first_tokens, least=hot + 1).withColumn("kind", F.lit(0))
 

@@ -91,6 +91,23 @@ def test_ngram_join_against_all_pairs(spark, hot):
     assert got == brute.near(rows)
 
 
+def test_one_token_order_in_all_slices(spark):
+    # texts of two passages that others share, and copies without the last word; a token that is in the prefix of
+    # one slice's texts only lies behind the prefix of another's
+    rng = random.Random(4)
+    passages = [" ".join(f"p4_{k}_{i}" for i in range(6)) for k in range(14)]
+    rows = []
+    for _ in range(40):
+        w = " ".join(rng.sample(passages, 2) + [f"own{rng.random()}"] * rng.randrange(0, 2)).split()
+        rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(w[:-1]))]
+    first = {}
+    for i, text in rows:
+        first.setdefault(frozenset(brute.shingles(text)), i)
+    want = {(i, j) for a, i in first.items() for b, j in first.items() if i < j and 100 * len(a & b) >= 85 * len(a | b)}
+    links, _ = ngram_links(spark.createDataFrame(rows, "doc_id bigint, text string"), hot=2, slices=16)
+    assert {tuple(r) for r in links.collect()} == want
+
+
 def test_signature_tree_drops_no_possible_pair():
     rng = np.random.default_rng(1)
     sets, group = [], []
