@@ -4,18 +4,18 @@ merge-dropout.
 A word (the text between two spaces, with the space marker in front) starts
 as its characters.  An agenda holds its mergeable neighbours, best score
 first, leftmost first among equals.  Each candidate taken from the agenda is
-skipped if a keyed hash of (seed, variant, word, position, merged piece)
-falls below ``dropout``; otherwise the two symbols merge and their new
-neighbours enter the agenda.  The hash makes the varied segmentation
-repeatable: the same seed gives the same ids on any cluster and after any
-retry.  ``variants`` is how many segmentations of a word one seed spreads over
-the documents (by id hash).  With ``dropout=0`` the ids are those of the
-sentencepiece library, apart from runs of spaces, whose marker-only pieces
-are not merged.
-
-The agendas of all distinct words of a shard advance together, one
-candidate per word and round, as array operations; words over ``LONG``
-characters use a heap.  Decoding concatenates piece bytes.  Characters
+skipped if a keyed hash of (seed, document id, number of the word in the
+document, position, merged piece) falls below ``dropout``; otherwise the two
+symbols merge and their new neighbours enter the agenda.  Every occurrence of
+a word draws anew.  The hash makes the varied segmentation repeatable: the
+same seed gives the same ids on any cluster and after any retry.  With
+``dropout=0`` the ids are those of the sentencepiece library, apart from runs
+of spaces, whose marker-only pieces are not merged.
+
+The agendas of all words of a shard advance together, one candidate per word
+and round, as array operations.  Occurrences of a word whose draws were alike
+so far share one agenda, which splits where their draws differ; words over
+``LONG`` characters use a heap each.  Decoding concatenates piece bytes.  Characters
 without a piece, and the marker character where a text itself holds it,
 become byte pieces, so decoding gives back every text byte for byte.
 
@@ -23,8 +23,8 @@ The vocabulary file is a parameter, read once on the driver; its 32,000-odd
 pieces travel with the tasks.  No shuffle.
 
 Defined cases: a null text has null tokens, an empty one none; both count 0
-tokens and are lossless; rows with a null id take the variant of the null
-hash; repeated rows are encoded one by one, alike; an empty table gives an
+tokens and are lossless; rows with a null id draw by their text instead;
+repeated rows are encoded one by one, alike; an empty table gives an
 empty result.
 """
 
@@ -45,6 +45,7 @@ MARK = "▁"
 LONG = 256
 SHARD_BYTES = 3 << 20
 NEVER = np.int64(1) << 40
+KEY = np.uint64(0x9E3779B97F4A7C15)
 
 
 class MergeVocabulary:
@@ -115,6 +116,13 @@ class MergeVocabulary:
         return out, at[offsets]
 
 
+def word_keys(documents: np.ndarray, counts: np.ndarray, seed: int) -> np.ndarray:
+    """A key for every word of documents with the given keys and word counts."""
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    document = mix(documents.astype(np.uint64) ^ mix(np.array([seed % 2**64], dtype=np.uint64) + KEY))
+    return mix(np.repeat(document, counts) + nth.astype(np.uint64))
+
+
 def skipped(word_keys: np.ndarray, position: np.ndarray, piece: np.ndarray, dropout: float) -> np.ndarray:
     """The keyed hash's decision for agenda candidates."""
     h = mix(word_keys ^ mix(position.astype(np.uint64) << np.uint64(32) | piece.astype(np.uint64)))
@@ -148,72 +156,99 @@ def agenda_encode(symbols: list[int], word_key: int, vocabulary: MergeVocabulary
     return [s for s in symbols if s >= 0]
 
 
-def _rounds(symbols, word, position, keys, vocabulary, dropout):
-    """Agendas of many words together; yields (word, symbol) of finished words."""
+def gather(flat: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Concatenate the lists ``which`` of a flat list array; also their end offsets."""
+    sizes = np.diff(offsets)[which]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(ends[-1]) + np.repeat(offsets[:-1][which] - ends[:-1], sizes)
+    return flat[at], ends
+
+
+def _rounds(symbols, sizes, use, at, keys, vocabulary, dropout):
+    """Agendas of many words together.  ``sizes``: symbols of each agenda;
+    ``at[k]``: the agenda that word use ``use[k]``, of key ``keys[use[k]]``, is in.  Yields finished
+    agendas' symbols and sizes, the uses that end in them, and in which."""
+    position = np.arange(len(symbols)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     rank = np.full(len(symbols), NEVER)
-    if len(symbols) > 1:
-        same = np.nonzero(word[1:] == word[:-1])[0]
-        rank[same] = vocabulary.rank(symbols[same], symbols[same + 1])
+    same = np.nonzero(position[1:])[0]
+    rank[same] = vocabulary.rank(symbols[same], symbols[same + 1])
     while len(symbols):
-        starts = np.nonzero(np.concatenate([[True], word[1:] != word[:-1]]))[0]
-        lengths = np.diff(np.append(starts, len(word)))
+        starts = np.cumsum(sizes) - sizes
         best = np.minimum.reduceat(rank, starts)
         done = best >= NEVER
-        over = np.repeat(done, lengths)
         if done.any():
-            yield word[over], symbols[over]
-        taken = np.nonzero(~over & (rank == np.repeat(best, lengths)))[0]
+            over, ends = np.repeat(done, sizes), done[at]
+            yield symbols[over], sizes[done], use[ends], (np.cumsum(done) - 1)[at[ends]]
+            use, at = use[~ends], at[~ends]
+        # the leftmost best candidate of each agenda that goes on
+        taken = np.nonzero(rank == np.repeat(np.where(done, -1, best), sizes))[0]
         if not len(taken):
             return
-        taken = taken[np.concatenate([[True], word[taken[1:]] != word[taken[:-1]]])]  # leftmost of each word
-        piece = vocabulary.piece_of_rank[rank[taken]]
-        if dropout:
-            skip = skipped(keys[word[taken]], position[taken], piece, dropout)
-            rank[taken[skip]] = NEVER
-            taken, piece = taken[~skip], piece[~skip]
+        agenda = np.searchsorted(starts, taken, "right") - 1
+        leftmost = np.concatenate([[True], agenda[1:] != agenda[:-1]])
+        taken, agenda = taken[leftmost], agenda[leftmost]
+        piece, at = vocabulary.piece_of_rank[rank[taken]], (np.cumsum(~done) - 1)[at]
+        skip = np.zeros(len(taken), dtype=bool)
+        source = np.arange(len(taken))
+        if dropout:  # an agenda goes on once for each decision that some use takes
+            both = 2 * at + skipped(keys[use], position[taken][at], piece[at], dropout)
+            some = np.bincount(both, minlength=2 * len(taken)) > 0
+            at = (np.cumsum(some) - 1)[both]
+            source, skip = np.nonzero(some)[0] >> 1, (np.nonzero(some)[0] & 1).astype(bool)
+        old, sizes = starts[agenda[source]], sizes[agenda[source]]
+        starts = np.cumsum(sizes) - sizes
+        of = np.arange(sizes.sum()) + np.repeat(old - starts, sizes)
+        symbols, position, rank = symbols[of], position[of], rank[of]
+        taken, piece = taken[source] - old + starts, piece[source]
+        rank[taken[skip]] = NEVER
+        taken, piece, sizes = taken[~skip], piece[~skip], sizes - ~skip
         symbols[taken] = piece
-        keep = ~over
+        keep = np.ones(len(symbols), dtype=bool)
         keep[taken + 1] = False
         moved = (np.cumsum(keep) - 1)[taken]
-        symbols, word, position, rank = symbols[keep], word[keep], position[keep], rank[keep]
-        if len(moved):
-            for at in (moved, moved[moved > 0] - 1):
-                rank[at] = NEVER
-                pair = at[at + 1 < len(word)]
-                pair = pair[word[pair] == word[pair + 1]]
-                rank[pair] = vocabulary.rank(symbols[pair], symbols[pair + 1])
-
-
-def encode_words(words: list[str], keys: np.ndarray, vocabulary: MergeVocabulary, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of all words (flat) and their offsets.  ``keys`` are the
-    words' 64-bit hash keys."""
+        symbols, position, rank = symbols[keep], position[keep], rank[keep]
+        first = position == 0
+        for place in (moved, moved[~first[moved]] - 1):
+            rank[place] = NEVER
+            pair = place[place + 1 < len(symbols)]
+            pair = pair[~first[pair + 1]]
+            rank[pair] = vocabulary.rank(symbols[pair], symbols[pair + 1])
+
+
+def encode_words(words: list[str], keys: np.ndarray, vocabulary: MergeVocabulary, dropout: float,
+                 of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of all word uses (flat) and their offsets.  ``keys`` are the
+    uses' 64-bit hash keys, ``of`` the word of each use (the words in turn)."""
+    of = np.arange(len(words)) if of is None else of
     symbols, offsets = vocabulary.symbols(words)
     sizes = np.diff(offsets)
-    word = np.repeat(np.arange(len(words)), sizes)
-    position = np.arange(len(symbols)) - offsets[word]
-    short = (sizes <= LONG)[word]
-    parts = list(_rounds(symbols[short], word[short], position[short], keys, vocabulary, dropout))
-    for i in np.nonzero(sizes > LONG)[0].tolist():
-        ids = agenda_encode(symbols[offsets[i]:offsets[i + 1]].tolist(), int(keys[i]), vocabulary, dropout)
-        parts.append((np.full(len(ids), i), np.array(ids, dtype=np.int64)))
+    short = sizes <= LONG
+    use = np.nonzero(short[of])[0]
+    result, parts, ends, found = np.empty(len(of), dtype=np.int64), [], [], 0
+    for ids, counts, uses, which in _rounds(symbols[np.repeat(short, sizes)], sizes[short], use, (np.cumsum(short) - 1)[of[use]],
+                                            keys, vocabulary, dropout):
+        result[uses] = found + which
+        parts.append(ids)
+        ends.append(counts)
+        found += len(counts)
+    known = {}  # without dropout all uses of a word are alike
+    for k in np.nonzero(~short[of])[0].tolist():
+        i = int(of[k])
+        if dropout or i not in known:
+            ids = agenda_encode(symbols[offsets[i]:offsets[i + 1]].tolist(), int(keys[k]), vocabulary, dropout)
+            parts.append(np.array(ids, dtype=np.int64))
+            ends.append(np.array([len(ids)]))
+            known[i] = found
+            found += 1
+        result[k] = known[i]
     if not parts:
         return np.empty(0, dtype=np.int64), offsets[:1]
-    word, ids = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    order = np.argsort(word, kind="stable")
-    counts = np.bincount(word, minlength=len(words))
-    return vocabulary.byte_fallback(ids[order], np.concatenate([[0], np.cumsum(counts)]))
-
-
-def gather(flat: np.ndarray, offsets: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Concatenate the lists ``which`` of a flat list array; also their end offsets."""
-    sizes = np.diff(offsets)[which]
-    ends = np.concatenate([[0], np.cumsum(sizes)])
-    at = np.arange(ends[-1]) + np.repeat(offsets[:-1][which] - ends[:-1], sizes)
-    return flat[at], ends
+    flat, ends = vocabulary.byte_fallback(np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(ends))]))
+    return gather(flat, ends, result)
 
 
-def encode_texts(texts: pa.Array, variant: np.ndarray, vocabulary: MergeVocabulary, dropout: float, seed: int):
-    """(flat ids, row offsets) of an Arrow string array."""
+def encode_texts(texts: pa.Array, documents: np.ndarray, vocabulary: MergeVocabulary, dropout: float, seed: int):
+    """(flat ids, row offsets) of an Arrow string array; ``documents`` are the rows' hash keys."""
     filled = pc.fill_null(texts, "").cast(pa.large_string())
     lists = pc.split_pattern(filled, " ")
     coded = lists.flatten().dictionary_encode()
@@ -222,13 +257,7 @@ def encode_texts(texts: pa.Array, variant: np.ndarray, vocabulary: MergeVocabula
     empty = np.asarray(pc.equal(pc.binary_length(filled), 0), dtype=bool)
     counts = np.where(empty, 0, np.diff(offsets))
     codes = np.asarray(coded.indices, dtype=np.int64)[np.repeat(~empty, np.diff(offsets))]
-    kinds = int(variant.max()) + 1 if len(variant) else 1
-    pair, which = np.unique(codes * kinds + np.repeat(variant, counts), return_inverse=True)
-    import xxhash
-    base = np.array([xxhash.xxh3_64_intdigest(u.encode(), seed) for u in units], dtype=np.uint64)
-    keys = mix(base[pair // kinds] + (pair % kinds).astype(np.uint64)) if len(pair) else np.empty(0, np.uint64)
-    flat, ends = encode_words([units[i] for i in (pair // kinds).tolist()], keys, vocabulary, dropout)
-    tokens, ends = gather(flat, ends, which)
+    tokens, ends = encode_words(units, word_keys(documents, counts, seed), vocabulary, dropout, codes)
     return tokens, ends[np.concatenate([[0], np.cumsum(counts)])]
 
 
@@ -241,11 +270,12 @@ def decode(tokens: np.ndarray, offsets: np.ndarray, pieces: pa.Array) -> list[by
 
 
 def piece_encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 dropout: float = 0.1, seed: int = 0, variants: int = 4) -> DataFrame:
+                 dropout: float = 0.1, seed: int = 0) -> DataFrame:
     """One row per input row: ``doc`` (the input row), ``tokens``,
     ``n_tokens`` and ``lossless`` (the tokens were decoded and equal the text)."""
     vocabulary = MergeVocabulary.load(model_path)
-    out = docs.select(F.struct("*").alias("doc"), F.pmod(F.xxhash64(id_col), F.lit(variants)).cast("int").alias("variant"))
+    key = F.when(F.col(id_col).isNull(), F.xxhash64(text_col)).otherwise(F.xxhash64(id_col))
+    out = docs.select(F.struct("*").alias("doc"), key.alias("key"))
     schema = T.StructType([out.schema["doc"]] + T.StructType.fromDDL("tokens array<int>, n_tokens bigint, lossless boolean").fields)
 
     def encode(batches):
@@ -253,7 +283,7 @@ def piece_encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
         for batch in batches:
             for shard in shards(batch, pc.struct_field(batch["doc"], text_col), SHARD_BYTES):
                 texts = pc.struct_field(shard["doc"], text_col)
-                tokens, offsets = encode_texts(texts, np.asarray(shard["variant"], dtype=np.int64), vocabulary, dropout, seed)
+                tokens, offsets = encode_texts(texts, np.asarray(shard["key"], dtype=np.int64), vocabulary, dropout, seed)
                 back = decode(tokens, offsets, pieces)
                 lossless = [b == (t or "").encode() for b, t in zip(back, texts.to_pylist())]
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(tokens.astype(np.int32)))

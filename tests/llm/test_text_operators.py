@@ -210,6 +210,25 @@ def test_dropout_varies_by_seed_and_decodes(spark, odd, vocabulary):
     assert sorted(map(tuple, back), key=_key) == sorted(ODD, key=_key)
 
 
+def test_every_occurrence_draws_anew(spark, vocabulary):
+    text, n = "segmentation", 2000
+    rows = [(1, " ".join([text] * n)), (2, " ".join([text] * n))]
+    out = {r["doc"]["doc_id"]: r["tokens"] for r in piece_encode(spark.createDataFrame(rows, "doc_id bigint, text string"), PIECES).collect()}
+    assert out[1] != out[2]
+    # as many forms as separate agendas give, each about as often
+    symbols = vocabulary.symbols([text])[0].tolist()
+    keys = np.random.default_rng(5).integers(0, 2**63, n).astype(np.uint64)
+    want = [tuple(agenda_encode(symbols, int(k), vocabulary, 0.1)) for k in keys]
+    flat, ends = encode_words([text], keys, vocabulary, 0.1, np.zeros(n, dtype=np.int64))
+    assert [tuple(flat[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])] == want
+    for tokens in out.values():
+        breaks = [i for i, x in enumerate(tokens) if vocabulary.bytes[x].startswith(b" ")] + [len(tokens)]
+        got = [tuple(tokens[a:b]) for a, b in zip(breaks[:-1], breaks[1:])]
+        assert len(got) == n and len(set(got)) > 8
+        whole = max(set(want), key=want.count)
+        assert abs(got.count(whole) - want.count(whole)) < 0.1 * n
+
+
 def test_encoding_an_empty_table(nothing):
     assert piece_encode(nothing, PIECES).collect() == []
 
