@@ -23,7 +23,9 @@ fewer words: the whole sequence as one).  Two documents link when
    more than ``CROWDED`` pairs per member hold many near copies; listing their
    pairs would grow with the square of the group.  Their members that are in a
    possible pair form families (connected by such groups), and each member's whole set travels
-   to its family once per pair of blocks of ``BLOCK_SETS`` members.  There
+   to its family; in a family of several blocks of ``BLOCK_SETS`` members it is
+   compared with ``LEADERS`` members first, and travels again once per block of
+   members that these leave unconnected.  There
    central members are compared first, a signature tree with wide bitmaps
    prunes node pairs below which all sets are already connected, and only
    links that join components leave.  All pairs of a family are decided, so
@@ -216,20 +218,28 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return shared > 0 and 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def family_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that connect the components of all the sets given (a spanning
-    forest of the link graph)."""
+def _central(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Sizes and wide bitmaps of the sets, and which of them agree most with
+    the majority: those are likely to link with many."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     width = min(WIDEST, max(64, 1 << int(16 * sizes.max() - 1).bit_length()))
     bits = np.zeros((len(sets), width), dtype=np.uint8)
     row = np.repeat(np.arange(len(sets)), sizes)
     bits[row, (np.concatenate(sets) & np.uint64(width - 1)).astype(np.int64)] = 1
-    # members that agree most with the majority are likely to link with many
     common = 2 * bits.sum(axis=0, dtype=np.int64) > len(sets)
     agreement = bits[:, common].sum(axis=1, dtype=np.int64) * 2 - bits.sum(axis=1, dtype=np.int64)
-    leaders = {int(ids.argmin()), *np.argsort(-agreement, kind="stable")[:LEADERS].tolist()}
-    bits = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+    return sizes, np.packbits(bits, axis=1, bitorder="little").view(np.uint64), np.argsort(-agreement, kind="stable")[:LEADERS].tolist()
+
+
+def family_links(ids: np.ndarray, sets: list[np.ndarray], percent: int, joined: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that connect the components of all the sets given (a spanning
+    forest of the link graph).  Those marked in ``joined`` are connected already."""
+    sizes, bits, central = _central(sets)
+    leaders = {int(ids.argmin()), *central}
     parent, links = list(range(len(sets))), []
+    if joined is not None and joined.any():
+        for i in np.nonzero(joined)[0].tolist():
+            parent[i] = int(joined.argmax())
 
     def root(i):
         while parent[i] != i:
@@ -258,21 +268,77 @@ def family_links(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[
     return links
 
 
+def _loose(members: DataFrame, star: DataFrame) -> DataFrame:
+    """``members`` with ``loose``: not in the largest part of the family that the links ``star`` connect."""
+    parts = members.join(components(star).withColumnsRenamed({"node": "id", "component": "part"}), "id", "left")
+    main = (parts.where("part is not null").groupBy("component", "part").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("component").agg(F.max_by("part", F.struct("n", "part")).alias("main")))
+    return (parts.join(F.broadcast(main), "component", "left")
+            .withColumn("loose", ~F.col("part").eqNullSafe(F.col("main")) | F.col("part").isNull()).drop("part", "main"))
+
+
+def _dealt(marked: DataFrame) -> DataFrame:
+    """``(id, component, a, b, loose)``: every loose member meets every member
+    of its family in a group (a, b) of a block of each."""
+    far = marked.where("loose").groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("far"))
+    marked = marked.join(F.broadcast(far), "component")
+
+    def up_to(n):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+
+    every = marked.select("id", "component", up_to("far").alias("a"), F.col("block").alias("b"), "loose")
+    loose = marked.where("loose").select("id", "component", F.pmod(F.xxhash64("id"), F.col("far")).alias("a"), up_to("blocks").alias("b"), "loose")
+    return every.unionByName(loose).distinct()
+
+
 def families(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links within the families that ``edges`` connect; ``sets``: (id, tokens)."""
-    named = components(edges)  # (node, component)
+    """Links within the families that ``edges`` connect; ``sets``: (id, tokens).
+    In a family of several blocks all members are compared with a few leaders
+    first; only members that these do not connect are compared block by block."""
+    spark, uv = edges.sparkSession, "u bigint, v bigint"
+    named = components(edges).withColumnRenamed("node", "id")  # (id, component)
     blocks = named.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("blocks"))
-    placed = (named.join(blocks, "component")
-              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-              .select(F.col("node").alias("id"), "component", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b")))
+    path = scratch_path(spark, "families")
+    placed = named.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    placed.select("id", "component", "blocks", "block").write.parquet(path)
+    placed = spark.read.schema("id bigint, component bigint, blocks bigint, block bigint").parquet(path)
 
-    def link(table):
-        ids = table["id"].to_numpy()
-        found = family_links(ids, [np.frombuffer(t, dtype="<u8") for t in table["tokens"].to_pylist()], percent)
+    def pairs(found):
         return pa.table({"u": pa.array([x[0] for x in found], type=pa.int64()), "v": pa.array([x[1] for x in found], type=pa.int64())})
 
-    return placed.join(sets, "id").groupBy("component", "a", "b").applyInArrow(link, "u bigint, v bigint")
+    def unpacked(table):
+        return table["id"].to_numpy(), [np.frombuffer(t, dtype="<u8") for t in table["tokens"].to_pylist()]
+
+    def link(table):
+        ids, found = unpacked(table)
+        return pairs(family_links(ids, found, percent, ~np.asarray(table["loose"], dtype=bool)))
+
+    small = placed.where("blocks = 1").join(sets, "id").withColumn("loose", F.lit(True)).groupBy("component").applyInArrow(link, uv)
+    if placed.where("blocks > 1").isEmpty():
+        return small
+    path = scratch_path(spark, "family-sets")
+    placed.where("blocks > 1").join(sets, "id").select("id", "component", "blocks", "block", "tokens").write.parquet(path)
+    held = spark.read.schema("id bigint, component bigint, blocks bigint, block bigint, tokens binary").parquet(path)
+
+    def choose(table):
+        return table.take(pa.array(_central(unpacked(table)[1])[2]))
+
+    def follow(members, leaders):
+        if not members.num_rows or not leaders.num_rows:
+            return pairs([])
+        (ids, own), (leads, theirs) = unpacked(members), unpacked(leaders)
+        return pairs([(int(u), int(v)) for u, a in zip(leads, theirs) for v, b in zip(ids, own) if u != v and _linked(a, b, percent)])
+
+    path = scratch_path(spark, "leaders")
+    (held.join(held.groupBy("component").agg(F.min("block").alias("block")), ["component", "block"]).select(held.columns)
+     .groupBy("component").applyInArrow(choose, held.schema)).write.parquet(path)
+    leaders = spark.read.schema(held.schema).parquet(path).withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    star = scratch_path(spark, "star")
+    held.groupBy("component", "block").cogroup(leaders.groupBy("component", "block")).applyInArrow(follow, uv).write.parquet(star)
+    star = spark.read.schema(uv).parquet(star)
+    dealt = _dealt(_loose(held.drop("tokens"), star)).join(held.select("id", "tokens"), "id")
+    return small.unionByName(star).unionByName(dealt.groupBy("component", "a", "b").applyInArrow(link, uv))
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:

@@ -303,3 +303,24 @@ def test_crowded_groups_become_families(spark):
     rows += [(200 + i, " ".join(f"u{i}_{k}" for k in range(30))) for i in range(20)]
     got = {r["id"]: r["component_id"] for r in ngram_join(spark.createDataFrame(rows, "doc_id bigint, text string"), star=8).collect()}
     assert got == brute.near(rows)
+
+
+def test_large_families_are_led_before_blocks_are_paired(spark, monkeypatch):
+    from chirpwave.llm import ngram_join as N
+    monkeypatch.setattr(N, "BLOCK_SETS", 16)
+    dealt = []
+    monkeypatch.setattr(N, "_dealt", lambda marked, deal=N._dealt: dealt.append(deal(marked)) or dealt[-1])
+    rng = random.Random(31)
+    base = [f"t{i}" for i in range(120)]
+    rows = []
+    for i in range(200):
+        w = list(base)
+        for _ in range(rng.randrange(0, 3)):
+            w[rng.randrange(len(w))] = f"r{i}_{rng.random()}"
+        if i % 40 == 0:  # not linked with the leaders, but with the next one
+            w[100:] = [f"x{i}_{k}" for k in range(20)]
+            rows.append((1000 + i, " ".join(w[:100] + [f"y{i}_{k}" for k in range(8)] + w[108:])))
+        rows.append((i, " ".join(w)))
+    got = {r["id"]: r["component_id"] for r in N.ngram_join(spark.createDataFrame(rows, "doc_id bigint, text string"), star=8).collect()}
+    assert got == brute.near(rows)
+    assert len(dealt) == 1 and 0 < dealt[0].count() < 6 * len(rows)  # in all pairs of blocks: 13 times each
