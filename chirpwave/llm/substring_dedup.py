@@ -1,14 +1,15 @@
-"""Operator 1: substring dedup by relative Lempel-Ziv parsing.
+"""Operator 1: substring dedup by a window exchange, with relative
+Lempel-Ziv factors derived from it.
 
 Every bucket of the key exchange is an indexed *reference block*: it holds
 the ``window``-word seeds of one range of the seed space with the earliest
-document and offset of each.  A document is factored against all blocks
-that can hold one of its seeds: where a seed of an earlier document
-matches, the factor takes that document as its source and grows greedily
-while the following seeds continue in the source; where it cannot grow, the
-windows that cross the factor's boundary are looked up on their own and open
-the next factor.  So a window that is covered by no single factor is still
-found.  All factors have ``window`` words or more; their union is the
+document and offset of each.  Every window of a document is looked up on its
+own, and the words of all windows that an earlier document holds are the
+duplicate text.  Factors are derived from these answers: a factor is a run of
+windows whose earliest occurrences follow each other in one document.  It is
+not grown in its source: where a single window occurs in a still earlier
+document, that window is a factor of its own, so factors are not the longest
+possible.  All factors have ``window`` words or more; their union is the
 duplicate text.
 
 Seeds are not all shuffled.  The smallest ``anchor``-word hash inside a
@@ -94,7 +95,8 @@ def _index_block(table: pa.Table) -> pa.Table:
 
 
 def factor(starts, row, source, offset, window):
-    """Greedy factors of the windows that match an earlier document.
+    """Factors of the windows that match an earlier document: runs of windows
+    whose sources follow each other.
 
     ``starts`` are stream positions in order; returns (row, start, length,
     source, source offset) arrays, start in stream positions."""
