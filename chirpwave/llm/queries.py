@@ -11,8 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chirpwave.llm.centroids import centroid_clusters
 from chirpwave.llm.decontaminate import decontaminate
 from chirpwave.llm.language_id import identify
+from chirpwave.llm.lexical_rank import lexical_rank
+from chirpwave.llm.line_dedup import kept_lines, line_dedup
 from chirpwave.llm.lm_score import lm_score
 from chirpwave.llm.merge_dropout import piece_encode
 from chirpwave.llm.ngram_join import ngram_join
@@ -160,6 +163,76 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs).select(F.col("doc.doc_id").alias("doc_id"), "held_out", "lang_pred", "score")
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id").drop("checked")
+
+
+def _op11_sql(k: int = 8, width: int = 64, rounds: int = 10) -> str:
+    """The rounds written out one after the other."""
+    near = """a{i} AS MATERIALIZED (SELECT r, vec_id, w, best % {k} AS c, best // {k} AS d FROM (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(w) AS w, min({k} * list_sum(list_transform(list_zip(w, cw),
+         lambda z: (z[1] - z[2]) * (z[1] - z[2]))) + c) AS best FROM v, c{i} GROUP BY r))"""
+    mean = """c{j} AS MATERIALIZED (SELECT p.c, coalesce(m.cw, p.cw) AS cw FROM c{i} AS p LEFT JOIN (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY x) AS cw FROM (
+    SELECT c, x, sum(y) AS s, count(*) AS n FROM (SELECT c, unnest(w) AS y, unnest(range({width})) AS x FROM a{i}) GROUP BY c, x)
+  GROUP BY c) AS m USING (c))"""
+    steps = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, w FROM (SELECT vec_id, list_transform(embedding,
+  lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = {width}
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0))""",
+             f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h NULLS LAST, w) - 1 AS c, w AS cw FROM (
+  SELECT w, sha256('3:' || CAST(vec_id AS VARCHAR)) AS h FROM v) ORDER BY h NULLS LAST, w LIMIT {k})"""]
+    for i in range(rounds):
+        steps += [near.format(i=i, k=k), mean.format(i=i, j=i + 1, width=width)]
+    steps.append(near.format(i=rounds, k=k))
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(cw, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN c{rounds} AS c ON a.c = c.c"""
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return kept_lines(docs, line_dedup(docs)).select(F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_dropped",
+                                                     F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP12_SQL = r"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, i, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+      FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM s)),
+g AS (SELECT k, max(doc_id) AS m FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+j AS (SELECT l.*, coalesce(l.doc_id < m, false) AS gone FROM l LEFT JOIN g USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
+
+
+def op13_lexical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_rank(docs, read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+OP13_SQL = r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM documents),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+d AS (SELECT doc_id, sum(tf) AS n FROM f GROUP BY doc_id),
+g AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM d),
+e AS (SELECT term, count(*) AS df FROM f GROUP BY term),
+q AS (SELECT item_id, term, count(*) AS c FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+      GROUP BY item_id, term),
+s AS (SELECT item_id, doc_id, CAST(sum(c * CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT)
+             * ((1000000000 * tf) // (1000 * tf + 12 * CAST(75 + (25 * n * docs) // total AS BIGINT)))) AS BIGINT) AS score
+      FROM q JOIN e USING (term) JOIN f USING (term) JOIN d USING (doc_id), g GROUP BY item_id, doc_id)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM s WHERE score > 0) WHERE r <= 20
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_ngram_join": op2_ngram_join,
@@ -171,6 +244,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_merge_dropout": op9_merge_dropout,
     "op10_language_id": op10_language_id,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_lexical_rank": op13_lexical_rank,
 }
 
 ORACLE: dict[str, str] = {
@@ -179,4 +255,7 @@ ORACLE: dict[str, str] = {
     "op6_topk_search": OP6_SQL,
     "op7_warc": OP7_SQL,
     "op8_decontamination": OP8_SQL,
+    "op11_centroid_clusters": _op11_sql(),
+    "op12_line_dedup": OP12_SQL,
+    "op13_lexical_rank": OP13_SQL,
 }

@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_registered():
-    assert [next(q for q in E.queries() if q.startswith(f"op{n}_")) for n in range(1, 11)]
+    assert [next(q for q in E.queries() if q.startswith(f"op{n}_")) for n in range(1, 14)]
     assert set(QUERIES) < set(E.queries()) and "pipeline" in E.queries()
     assert set(ORACLE) <= set(E.oracle_sql())
 
@@ -40,6 +40,9 @@ def test_contract_columns(spark):
         "op7": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
         "op8": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
         "op10": "doc_id bigint, held_out boolean, lang_pred string, score double",
+        "op11": "vec_id bigint, cluster int, distance bigint, cluster_inertia bigint, inertia bigint, centroid_sha256 string",
+        "op12": "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string",
+        "op13": "item_id bigint, rank int, doc_id bigint, score bigint",
     }
     for op, columns in want.items():
         name = next(q for q in QUERIES if q.startswith(f"{op}_"))
