@@ -12,8 +12,11 @@ document with the largest id.
    a third of all documents hold runs on over as many partitions as it needs.
    The sorted rows are streamed once: the first occurrence of a key in each
    document counts, partly summed where it is read.
-3. Only keys of enough documents meet the lines again (AQE splits a hot key of
-   that join); lines outside the first document of their key go.
+3. Only keys of enough documents meet the lines again; lines outside the first
+   document of their key go.  The ``HOT`` keys of most documents are broadcast
+   (so many rows, whatever the input); their lines need no partner in the
+   shuffled join and are spread over all its partitions, so that no key
+   outside them can hold more than one line in ``HOT`` there.
 4. What goes is folded into one keep bitmap per document: 64 lines a word, and
    words of which every line stays are left out.  ``line_dedup`` returns these
    bitmaps, no text; ``kept_lines`` applies them to the documents.
@@ -33,10 +36,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.rows import with_computed
+from ..session import scratch_path
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = 64
+HOT = 1000
 
 
 def line_key(line: Column) -> Column:
@@ -63,13 +68,25 @@ def hashed_lines(docs: DataFrame, id_col: str, text_col: str, least_chars: int)
 
 
 def frequent_keys(lines: DataFrame, least_docs: int) -> DataFrame:
-    """``(h1, h2, first_back)`` of the keys of ``least_docs`` documents or more."""
+    """``(h1, h2, n, first_back)`` of the keys of ``least_docs`` documents or more."""
     order = ["h1", "h2", "back"]
     ranged = lines.select(*order, "pos").repartitionByRange(*order).sortWithinPartitions(*order, "pos")
     nth = F.row_number().over(Window.partitionBy(*order).orderBy("pos"))  # streams the sorted rows, no exchange
     firsts = ranged.withColumn("nth", nth).where("nth = 1")
     seen = firsts.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("back").alias("first_back"))
-    return seen.where(F.col("n") >= least_docs).select("h1", "h2", "first_back")
+    return seen.where(F.col("n") >= least_docs)
+
+
+def dropped_lines(lines: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``(back, row, pos)`` of the lines of frequent keys outside the first document."""
+    hot = frequent.orderBy(F.desc("n"), "h1", "h2").limit(HOT).select("h1", "h2", F.col("first_back").alias("hot_back"))
+    marked = lines.join(F.broadcast(hot), ["h1", "h2"], "left")
+    is_hot = F.col("hot_back").isNotNull()
+    # a hot line looks for a key that depends on itself and, found or not, answers by its own column
+    spread = marked.select(F.when(is_hot, F.xxhash64("back", "row", "pos")).otherwise(F.col("h1")).alias("h1"), "h2",
+                           "hot_back", "back", "row", "pos")
+    met = spread.join(frequent.select("h1", "h2", "first_back"), ["h1", "h2"], "left")
+    return met.where(F.col("back") > F.coalesce("hot_back", "first_back")).select("back", "row", "pos")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = 20,
@@ -78,10 +95,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``keep`` holds ``(word, bits)``: bit b of word w says whether line
     64 * w + b stays; all lines of a word that is missing stay."""
     lines = hashed_lines(docs, id_col, text_col, least_chars)
-    dropped = lines.join(frequent_keys(lines, least_docs), ["h1", "h2"]).where("back > first_back")
+    spark = docs.sparkSession
+    path = scratch_path(spark, "frequent-lines")
+    frequent_keys(lines, least_docs).write.parquet(path)
+    dropped = dropped_lines(lines, spark.read.parquet(path))
     bit = F.expr(f"shiftleft(1L, pos % {WORD})")
     # one exchange: rows dealt by document serve both groupings
-    words = (dropped.select("back", "row", "pos").repartition("back", "row")
+    words = (dropped.repartition("back", "row")
              .groupBy("back", "row", F.expr(f"pos div {WORD}").cast("int").alias("word")).agg(F.bit_or(bit).alias("gone")))
     return words.groupBy("back", "row").agg(
         F.sum(F.bit_count("gone")).cast("bigint").alias("n_dropped"),

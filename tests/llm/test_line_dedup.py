@@ -56,6 +56,12 @@ def test_long_documents_and_a_line_that_most_documents_hold(spark):
     assert run(spark, rows) == plain(rows)
 
 
+def test_more_frequent_keys_than_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(L, "HOT", 2)
+    rows = [(i, "\n".join(f"this line is shared by many documents {j}" for j in range(9) if i % (j + 1) == 0)) for i in range(60)]
+    assert run(spark, rows) == plain(rows)
+
+
 def test_nothing(spark):
     assert run(spark, []) == [] and run(spark, [(None, None)]) == plain([(None, None)])
 
@@ -71,10 +77,12 @@ def test_bitmaps_hold_only_words_with_losses(spark):
 
 def test_plan_is_native_and_range_partitioned(spark):
     df = spark.createDataFrame([(1, COMMON, "k", 1, "l", 5)], SCHEMA)
-    plan = L.kept_lines(df, L.line_dedup(df))._jdf.queryExecution().toString()
+    lines = L.hashed_lines(df, "doc_id", "text", 20)
+    whole = L.kept_lines(df, L.line_dedup(df))._jdf.queryExecution().toString()
+    counted = L.frequent_keys(lines, 3)._jdf.queryExecution().toString()
     for python in ("PythonUDF", "InPandas", "InArrow", "PythonRDD"):
-        assert python not in plan
-    physical = plan[plan.index("== Physical Plan =="):]
+        assert python not in whole + counted
+    physical = counted[counted.index("== Physical Plan =="):]
     assert "rangepartitioning" in physical
     # the window streams the range-partitioned rows as they are
     window = physical[physical.index("Window [row_number()"):].splitlines()
