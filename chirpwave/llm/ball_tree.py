@@ -119,10 +119,12 @@ def search(root: Node, queries: np.ndarray, norms: np.ndarray, best: Best) -> in
     """Add the rows of the tree to ``best``; ``queries[term, query]`` are
     non-negative integer weights (stored as floats) and ``norms`` their
     lengths.  Returns how many (query, row) pairs were scored."""
-    def bounds(node: Node, who: np.ndarray) -> np.ndarray:
+    def middle(node: Node, who: np.ndarray) -> np.ndarray:
         terms, means = node.centre
-        top = means @ queries[terms][:, who].astype(np.float64) + norms[who] * node.radius
-        return top * (1 + 1e-9) + 1e-6
+        return means @ queries[terms][:, who].astype(np.float64)
+
+    def bounds(node: Node, who: np.ndarray) -> np.ndarray:
+        return (middle(node, who) + norms[who] * node.radius) * (1 + 1e-9) + 1e-6
 
     scored, turn = 0, 0
     heap: list = []
@@ -139,11 +141,12 @@ def search(root: Node, queries: np.ndarray, norms: np.ndarray, best: Best) -> in
         """Straight to each query's most promising leaf."""
         while node.rows is None:
             one, two = node.children
-            left = bounds(one, who) >= bounds(two, who)
-            if left.any() and not left.all():
+            left = middle(one, who) >= middle(two, who)
+            if not left.all():
                 descend(two, who[~left])
-                who = who[left]
-            node = one if left.any() else two
+            if not left.any():
+                return
+            node, who = one, who[left]
         score(node, who)
         done[id(node)] = who
 
