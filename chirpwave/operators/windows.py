@@ -48,22 +48,38 @@ def _seconds(interval: str) -> int | None:
     return int(number) * unit if unit and number.isdigit() else None
 
 
-def panes_divide(size: str, slide: str | None) -> bool:
-    """Whether windows of ``size`` are made of whole panes of ``slide``."""
+#: From so many panes a window, counting panes first is the cheaper plan
+#: (measured: plain grouping wins at 2 and 3 panes, they are even at 4).
+MIN_PANES = 5
+
+
+def pane_count(size: str, slide: str | None) -> int:
+    """How many whole panes of ``slide`` make up a window of ``size``; 0 if
+    they do not, or if a window is a single pane."""
     a, b = _seconds(size), _seconds(slide) if slide else None
-    return bool(a and b and a > b and a % b == 0)
+    return a // b if a and b and a > b and a % b == 0 else 0
+
+
+def _panes(df: DataFrame, key: str, ts: str, slide: str) -> DataFrame:
+    return df.groupBy(window_col(ts, slide).alias("pane"), F.col(key)).agg(F.count(F.lit(1)).alias("n"))
 
 
 def paned_counts(df: DataFrame, key: str, ts: str, size: str, slide: str) -> DataFrame:
-    """``windowed_counts`` for sliding windows of a batch table.
+    """``windowed_counts`` for sliding windows of whole panes, rows copied nowhere.
 
     Grouping by a sliding window copies every row size/slide times before
     the first aggregate.  Counting per slide-sized pane copies nothing; only
     the panes' counts, one per pane and key, are then copied to their windows
-    and added up.  Needs ``panes_divide(size, slide)``."""
-    panes = df.groupBy(window_col(ts, slide).alias("pane"), F.col(key)).agg(F.count(F.lit(1)).alias("n"))
+    and added up.  A stream does the same with two chained aggregates: a pane's
+    count leaves the first when the watermark closes the pane, and the second
+    groups it by the windows that hold the pane's time.  Needs ``pane_count``."""
+    panes = _panes(df, key, ts, slide)
+    if df.isStreaming:
+        window = F.window(F.window_time("pane"), size, slide).alias("window")
+        agg = panes.groupBy(window, F.col(key)).agg(F.sum("n").alias("count"))
+        return agg.select(*_flatten(), key, "count")
     step = F.expr(f"INTERVAL {_seconds(slide)} SECONDS")
-    nth = F.explode(F.sequence(F.lit(0), F.lit(_seconds(size) // _seconds(slide) - 1))).alias("nth")
+    nth = F.explode(F.sequence(F.lit(0), F.lit(pane_count(size, slide) - 1))).alias("nth")
     start = F.col("pane.start") - F.col("nth") * step
     copies = panes.select("pane", key, "n", nth).select(start.alias("window_start"), key, "n")
     agg = copies.groupBy("window_start", key).agg(F.sum("n").alias("count"))

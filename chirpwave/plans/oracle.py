@@ -85,11 +85,17 @@ def sentiment_expr(longest: str = "longest") -> str:
     return f"CASE WHEN {longest} IS NULL THEN NULL ELSE {lexicon_score(longest)} END"
 
 
-def scored_posts() -> str:
+def model_expr(longest: str = "longest") -> str:
+    """The stand-in model's class, the sentence's length modulo 6, less 2; class 5 is out of range and counts as 0."""
+    cls = f"(length({longest}) % 6)"
+    return f"CASE WHEN {longest} IS NULL THEN NULL WHEN {cls} <= 4 THEN CAST({cls} - 2 AS INTEGER) ELSE 0 END"
+
+
+def scored_posts(sentiment: str | None = None, where: str = "true") -> str:
     """posts + ``sentiment`` + ``place`` (valid rows only: text non-empty)."""
-    return f"""(SELECT id, ts, text, place_full_name, {sentiment_expr()} AS sentiment,
+    return f"""(SELECT id, ts, text, place_full_name, {sentiment or sentiment_expr()} AS sentiment,
     {state_code('place_full_name')} AS place
-  FROM {with_longest(posts_sql())})"""
+  FROM {with_longest(posts_sql())} WHERE {where})"""
 
 
 def hashtags(text: str, mode: str = "normal") -> str:
@@ -126,13 +132,13 @@ def squash(total: str, n: str, exact: bool = False) -> str:
     return f"1.0 / (1.0 + exp(CAST((-2 * {total}) // {n} AS DOUBLE)))"
 
 
-def state_sentiment(size: str, exact: bool = False) -> str:
+def state_sentiment(size: str, exact: bool = False, scored: str | None = None) -> str:
     return f"""(SELECT window_start, window_start + INTERVAL '{size}' AS window_end, place,
     {squash('s', 'n', exact)} AS sentiment, n AS count,
     epoch_ms(window_start + INTERVAL '{size}') - 1 AS time
   FROM (SELECT {window_starts('ts', size)} AS window_start, place,
           sum(CAST(sentiment AS BIGINT)) AS s, count(*) AS n
-        FROM {scored_posts()} WHERE sentiment IS NOT NULL AND place IS NOT NULL
+        FROM {scored or scored_posts()} WHERE sentiment IS NOT NULL AND place IS NOT NULL
         GROUP BY ALL))"""
 
 

@@ -26,7 +26,7 @@ from ..functions.text import hashtags
 from ..operators.joins import join_windows
 from ..operators.rows import with_computed
 from ..operators.topk import top_k_per_group
-from ..operators.windows import paned_counts, panes_divide, state_sentiment_agg, state_temperature, windowed_counts
+from ..operators.windows import MIN_PANES, pane_count, paned_counts, state_sentiment_agg, state_temperature, windowed_counts
 from ..sources.states import state_dim
 
 
@@ -134,6 +134,13 @@ def classify_posts(records: DataFrame, lexicon: dict[str, int] | None = None,
 # --------------------------------------------------------------------------
 # P2
 
+def sentiment_by_state(scored: DataFrame, ts: str = "ts", size: str = "5 seconds", slide: str | None = None,
+                       exact: bool = False) -> DataFrame:
+    """P2 from rows that are scored already (``ts, place, sentiment``)."""
+    agg = state_sentiment_agg(scored.select(ts, "place", "sentiment"), ts, size, slide, exact=exact)
+    return agg.withColumn("time", window_time_ms("window_end"))
+
+
 def state_sentiment(posts: DataFrame, ts: str = "ts", size: str = "5 seconds", slide: str | None = None,
                     exact: bool = False, trim: bool = True, lexicon: dict[str, int] | None = None,
                     scorer: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -142,9 +149,7 @@ def state_sentiment(posts: DataFrame, ts: str = "ts", size: str = "5 seconds", s
     Output ``window_start, window_end, place, sentiment, count, time``
     (``time`` = last millisecond of the window).
     """
-    scored = valid(score_posts(posts, lexicon, scorer, trim=trim)).select(ts, "place", "sentiment")
-    agg = state_sentiment_agg(scored, ts, size, slide, exact=exact)
-    return agg.withColumn("time", window_time_ms("window_end"))
+    return sentiment_by_state(valid(score_posts(posts, lexicon, scorer, trim=trim)), ts, size, slide, exact)
 
 
 def state_sentiment_json(result: DataFrame) -> DataFrame:
@@ -161,15 +166,19 @@ def tag_rows(posts: DataFrame, ts: str = "ts", mode: str = "normal", text_col: s
 
 
 def hashtag_counts(posts: DataFrame, ts: str = "ts", size: str = "4 seconds", slide: str | None = "2 seconds",
-                   mode: str = "normal", text_col: str = "text") -> DataFrame:
+                   mode: str = "normal", text_col: str = "text", panes: bool | None = None) -> DataFrame:
     """Hashtag occurrences per window: ``window_start, window_end, word, count``.
 
-    Batch inputs count panes where the panes divide the window (see
-    ``paned_counts``); streams count windows, whose state a watermark closes."""
+    ``panes`` says whether panes are counted and added up (see
+    ``paned_counts``) instead of copying every row to its windows; by default
+    they are from ``MIN_PANES`` panes a window.  The counts are the same."""
     tags = tag_rows(posts, ts, mode, text_col)
-    if posts.isStreaming or not panes_divide(size, slide):
-        return windowed_counts(tags, "word", ts, size, slide)
-    return paned_counts(tags, "word", ts, size, slide)
+    whole = pane_count(size, slide)
+    if panes and not whole:
+        raise ValueError(f"windows of {size} are not made of several panes of {slide}")
+    if panes or (panes is None and whole >= MIN_PANES):
+        return paned_counts(tags, "word", ts, size, slide)
+    return windowed_counts(tags, "word", ts, size, slide)
 
 
 def top_words(counts: DataFrame, k: int = 5, group: tuple[str, ...] = ("window_start", "window_end")) -> DataFrame:
@@ -178,10 +187,10 @@ def top_words(counts: DataFrame, k: int = 5, group: tuple[str, ...] = ("window_s
 
 
 def trending_topics(posts: DataFrame, ts: str = "ts", size: str = "4 seconds", slide: str | None = "2 seconds",
-                    k: int = 5, mode: str = "normal", text_col: str = "text") -> DataFrame:
+                    k: int = 5, mode: str = "normal", text_col: str = "text", panes: bool | None = None) -> DataFrame:
     """Top-k hashtags of every (sliding) window:
     ``window_start, window_end, word, count, rank``."""
-    return top_words(hashtag_counts(posts, ts, size, slide, mode, text_col), k)
+    return top_words(hashtag_counts(posts, ts, size, slide, mode, text_col, panes), k)
 
 
 # --------------------------------------------------------------------------
@@ -207,8 +216,14 @@ def sentiment_weather(posts: DataFrame, weather: DataFrame, ts: str = "ts", weat
     broadcast a side it measures small).  On streams the ``window`` struct
     carries the watermark that lets Spark drop join state.
     """
+    return join_weather(valid(score_posts(posts, lexicon, scorer, trim=trim)), weather, ts, weather_ts, size, exact, trim)
+
+
+def join_weather(scored: DataFrame, weather: DataFrame, ts: str = "ts", weather_ts: str | None = None,
+                 size: str = "2 seconds", exact: bool = False, trim: bool = True) -> DataFrame:
+    """P4 from posts that are scored already (``ts, place, sentiment``)."""
     weather_ts = weather_ts or ts
-    scored = valid(score_posts(posts, lexicon, scorer, trim=trim)).select(ts, "place", "sentiment")
+    scored = scored.select(ts, "place", "sentiment")
     s = state_sentiment_agg(scored, ts, size, exact=exact, flatten=False).select("window", "place", "sentiment")
     wt = valid(score_weather(weather, trim=trim)).select(weather_ts, "place", "temperature")
     t = state_temperature(wt, weather_ts, size, flatten=False).select("window", "place", "temperature")
@@ -220,6 +235,17 @@ def sentiment_weather(posts: DataFrame, weather: DataFrame, ts: str = "ts", weat
 # --------------------------------------------------------------------------
 # P5
 
+def parse_state_weather(records: DataFrame) -> DataFrame:
+    """P4's JSON records ``{time, place, sentiment, temperature}`` as rows
+    ``window_end, place, sentiment, temperature`` plus ``_reject``."""
+    fields = F.from_json("value", "time bigint, place string, sentiment double, temperature double")
+    cols = [c for c in ("key", "timestamp") if c in records.columns]
+    rows = records.select(*cols, "value", fields.alias("_r"))
+    bad = F.when(F.col("_r").isNull() | F.col("_r.time").isNull() | F.col("_r.place").isNull(), F.lit("malformed"))
+    return rows.select(*cols, "value", F.timestamp_millis(F.col("_r.time") + 1).alias("window_end"), "_r.place", "_r.sentiment",
+                       "_r.temperature", bad.alias("_reject"))
+
+
 def newest_per_state(p4: DataFrame) -> DataFrame:
     """For each of the 50 states, its newest P4 row (at most 50 rows:
     one per place, restricted to the dimension's codes)."""
@@ -230,8 +256,18 @@ def newest_per_state(p4: DataFrame) -> DataFrame:
     return top_k_per_group(known, ["place"], 1, [F.desc("window_end")], rank_col=None)
 
 
+def latest_per_state(p4: DataFrame) -> DataFrame:
+    """``newest_per_state`` as an aggregate, which a stream can keep as state:
+    ``place, sentiment, temperature, window_end``, at most one row (and one
+    state entry) per code of the dimension, whatever the stream's length."""
+    dim = state_dim(p4.sparkSession)
+    known = p4.join(F.broadcast(dim.select(F.col("code").alias("place"))), "place", "left_semi")
+    newest = known.groupBy("place").agg(F.max(F.struct("window_end", "sentiment", "temperature")).alias("newest"))
+    return newest.select("place", "newest.sentiment", "newest.temperature", "newest.window_end")
+
+
 def snapshot_frame(latest: DataFrame) -> DataFrame:
-    """The dashboard's 50 rows from ``newest_per_state`` output."""
+    """The dashboard's 50 rows from ``newest_per_state`` or ``latest_per_state`` output."""
     dim = state_dim(latest.sparkSession)
     # at most one row per dimension code: a proven bound of 50 rows
     snap = dim.join(F.broadcast(latest), dim.code == latest.place, "left")

@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import records as R
 from ..functions.numeric import window_time_ms
 from ..functions.places import state_code
-from ..functions.sentiment import sentiment
+from ..functions.sentiment import model_scorer, sentiment
 from ..functions.text import hashtags, longest_sentence
 from ..operators.topk import top_k
 from ..operators.windows import window_totals
@@ -28,6 +28,7 @@ from . import pipelines as P
 
 # Fixed parameters of the registered queries.
 SLIDING = ("4 hours", "2 hours")
+MANY_PANES = ("24 hours", "2 hours")
 TUMBLING = "1 hour"
 DAY = "1 day"
 K = 5
@@ -147,6 +148,11 @@ def q_hashtag_counts_sliding(spark: SparkSession, sf: str) -> DataFrame:
     return P.hashtag_counts(feeds.posts(spark, sf), "ts", *SLIDING)
 
 
+def q_hashtag_counts_many_panes(spark: SparkSession, sf: str) -> DataFrame:
+    """A1 over windows of twelve panes, counted by pane."""
+    return P.hashtag_counts(feeds.posts(spark, sf), "ts", *MANY_PANES)
+
+
 def q_hashtag_counts_tumbling(spark: SparkSession, sf: str) -> DataFrame:
     """Hashtag counts per 1 h window."""
     return P.hashtag_counts(feeds.posts(spark, sf), "ts", TUMBLING, None)
@@ -181,6 +187,18 @@ def q_state_sentiment(spark: SparkSession, sf: str) -> DataFrame:
     return P.state_sentiment(feeds.posts(spark, sf), "ts", DAY)
 
 
+def stand_in_model() -> Callable[[Column], Column]:
+    """A model any test can restate: the class is the sentence's length modulo 6."""
+    return model_scorer(lambda: lambda sentences: [len(s) % 6 for s in sentences])
+
+
+def q_state_sentiment_model(spark: SparkSession, sf: str) -> DataFrame:
+    """P2 with a user's model in place of the lexicon, over records of which
+    some are corrupt."""
+    posts = R.valid(P.parse_posts(corrupted_post_records(spark, sf))).withColumnRenamed("timestamp", "ts")
+    return P.state_sentiment(posts, "ts", DAY, scorer=stand_in_model()).select("time", "place", "sentiment", "count")
+
+
 def q_state_sentiment_no_id(spark: SparkSession, sf: str) -> DataFrame:
     """P2 from JSON records of which a third have a numeric id and a third none."""
     posts = R.valid(P.parse_posts(feeds.post_records_mixed_ids(spark, sf)))
@@ -246,12 +264,14 @@ BATCH: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hashtags": q_hashtags,
     "hashtags_raw": q_hashtags_raw,
     "hashtag_counts_sliding": q_hashtag_counts_sliding,
+    "hashtag_counts_many_panes": q_hashtag_counts_many_panes,
     "hashtag_counts_tumbling": q_hashtag_counts_tumbling,
     "hashtag_window_totals": q_hashtag_window_totals,
     "top_words_global": q_top_words_global,
     "trending_topics": q_trending_topics,
     "trending_topics_raw": q_trending_topics_raw,
     "state_sentiment": q_state_sentiment,
+    "state_sentiment_model": q_state_sentiment_model,
     "state_sentiment_no_id": q_state_sentiment_no_id,
     "state_sentiment_exact": q_state_sentiment_exact,
     "state_temperature": q_state_temperature,
@@ -275,6 +295,7 @@ def _oracle() -> dict[str, str]:
     c = CORRUPT_EVERY
     corrupt_kind = f"CAST(id AS BIGINT) % {c * 5}"
     snapshot_src = O.sentiment_weather(DAY)
+    modelled = O.scored_posts(O.model_expr(), f"CAST(id AS BIGINT) % {c} <> 0")
     return {
         "parse_posts": f"SELECT id, ts, text, place_full_name FROM {posts}",
         "parse_weather": f"SELECT ts, state, temperature FROM {weather}",
@@ -292,6 +313,7 @@ def _oracle() -> dict[str, str]:
         "hashtags": f"SELECT id, unnest({O.hashtags('text')}) AS tag FROM {posts}",
         "hashtags_raw": f"SELECT id, unnest({O.hashtags('value', 'raw')}) AS tag FROM {records}",
         "hashtag_counts_sliding": f"SELECT * FROM {O.hashtag_counts(sliding, slide)}",
+        "hashtag_counts_many_panes": f"SELECT * FROM {O.hashtag_counts(*MANY_PANES)}",
         "hashtag_counts_tumbling": f"SELECT * FROM {O.hashtag_counts(TUMBLING, None)}",
         "hashtag_window_totals": f"SELECT * FROM {O.window_totals(sliding, slide)}",
         "top_words_global": f"""SELECT word, count(*) AS count
@@ -300,6 +322,7 @@ def _oracle() -> dict[str, str]:
         "trending_topics": f"SELECT * FROM {O.trending(sliding, slide, K)}",
         "trending_topics_raw": f"SELECT * FROM {O.trending(sliding, slide, K, 'raw', records, 'value')}",
         "state_sentiment": f"SELECT * FROM {O.state_sentiment(DAY)}",
+        "state_sentiment_model": f"SELECT time, place, sentiment, count FROM {O.state_sentiment(DAY, scored=modelled)}",
         "state_sentiment_no_id": f"SELECT * FROM {O.state_sentiment(DAY)}",
         "state_sentiment_exact": f"SELECT * FROM {O.state_sentiment(DAY, exact=True)}",
         "state_temperature": f"SELECT * FROM {O.state_temperature(DAY)}",

@@ -9,13 +9,21 @@ Each job takes streaming record frames ``(key, value, timestamp)`` (from
 * the reject query: records that could not be parsed or scored, with the
   reason, to the reject sink (the reference fails the whole job instead).
   With the lexicon it uses cheap input checks, never the scoring itself, so
-  the expensive per-row work runs once; with a user model it takes the
-  scored rows, since only the model knows what it could not score.
+  the expensive per-row work runs once.
 
 P1 is one query that routes good and bad records.  In P2-P4 two queries read
 the same source frame; start it at explicit offsets or a timestamp (the
 command line does), so that both begin at the same record.
 
+With a user model, P2 and P4 score in a step of their own (``scored_stage``):
+one query scores every record once and writes it, with its reject reason, to
+a file sink under the checkpoint; the result and the reject query read that
+stream.  So both see the same class of a record, whatever the model would
+answer a second time.
+
+P5 (``snapshot_job``) keeps the dashboard's 50 rows up to date from the rows
+that P4 emits, into a sink that replaces rows by state.
+
 All queries checkpoint under the given folder, so a restarted job
 resumes from its offsets and state.
 
@@ -41,6 +49,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.numeric import window_time_ms
 from ..functions.records import TEXT_FIELDS, rejects, valid
 from ..plans import pipelines as P
+from ..session import make_folder
+from ..sources.tables import read_parquet_stream
 from . import pipelines as S
 from .sinks import DEFAULT_TRIGGER, LateRows, kafka_sink_options, start_foreach_batch, start_query, to_kafka_rows
 
@@ -61,6 +71,11 @@ class Sink:
     def files(path: str, fmt: str = "parquet") -> "Sink":
         return Sink(fmt, {"path": path})
 
+    @staticmethod
+    def table(name: str) -> "Sink":
+        """An in-memory table of the driver's session (small results only)."""
+        return Sink("memory", {"queryName": name})
+
     def write_batch(self, df: DataFrame, epoch_id: int, checkpoint: str) -> None:
         """Write one micro-batch (used from ``foreachBatch``).  A file sink
         writes each epoch of the query that owns ``checkpoint`` to its own
@@ -87,13 +102,14 @@ def _reject_rows(df: DataFrame, already_split: bool = False) -> DataFrame:
 
 @dataclass
 class Job:
-    """The running queries of one job."""
+    """The running queries of one job; ``stages`` feed the others."""
     result: StreamingQuery
     rejects: list[StreamingQuery]
+    stages: list[StreamingQuery] = field(default_factory=list)
 
     @property
     def queries(self) -> list[StreamingQuery]:
-        return [self.result, *self.rejects]
+        return [self.result, *self.rejects, *self.stages]
 
     def stop(self) -> None:
         for q in self.queries:
@@ -152,16 +168,48 @@ def classify_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str, t
 
 # ---------------------------------------------------------------- P2
 
+#: what the result and reject queries need of a scored record
+SCORED = ["key", "timestamp", "place", "sentiment", "_reject"]
+
+
+def scored_stage(posts: DataFrame, scorer: Scorer, checkpoint: str, trigger: dict | None = None,
+                 retention: str | None = None) -> tuple[StreamingQuery, DataFrame]:
+    """Score every parsed post once: the scoring query, and the stream of its
+    rows (``SCORED``, and the whole ``value`` of rejected records).
+
+    The rows pass through Spark's own file sink and source, exactly once: a
+    batch repeated after a failure is committed once, and readers follow the
+    sink's log.  ``retention`` (e.g. ``"7 days"``) lets the log forget older
+    files, which may then be deleted.  With an ``availableNow`` trigger the
+    step is finished before its readers start."""
+    rows = P.score_posts(posts, scorer=scorer)
+    rows = rows.select(*[c for c in SCORED if c in rows.columns], F.when(F.col("_reject").isNotNull(), F.col("value")).alias("value"))
+    path = f"{checkpoint}/scored/rows"
+    make_folder(posts.sparkSession, path)  # a file source needs its folder, which the sink makes with its first batch
+    query = start_query(rows, "parquet", f"{checkpoint}/scored/query", path=path, trigger=trigger,
+                        options={"retention": retention} if retention else None)
+    if (trigger or {}).get("availableNow"):
+        query.awaitTermination()
+    return query, read_parquet_stream(posts.sparkSession, path, rows.schema)
+
+
 def state_sentiment_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str,
                         size: str = "5 seconds", delay: str = S.DEFAULT_DELAY, trigger: dict | None = None,
                         exact: bool = False, lexicon: dict[str, int] | None = None, scorer: Scorer | None = None) -> Job:
     """Per closed window and state, ``{time, place, sentiment, count}``."""
     posts = P.parse_posts(records)
-    agg = S.stream_state_sentiment(valid(posts), "timestamp", size, delay, exact=exact, lexicon=lexicon, scorer=scorer)
+    stages = []
+    if scorer is not None:
+        stage, scored = scored_stage(posts, scorer, checkpoint, trigger)
+        stages.append(stage)
+        agg = P.sentiment_by_state(S.with_event_time(valid(scored), "timestamp", delay), "timestamp", size, exact=exact)
+        bad = _reject_rows(scored)
+    else:
+        agg = S.stream_state_sentiment(valid(posts), "timestamp", size, delay, exact=exact, lexicon=lexicon)
+        bad = _reject_rows(P.post_rejects(posts), already_split=True)
     result = to_kafka_rows(agg, ["time", "place", "sentiment", "count"])
-    bad = _reject_rows(P.post_rejects(posts, scorer=scorer), already_split=True)
     return Job(_start(result, out, f"{checkpoint}/result", trigger),
-               [_start(bad, reject, f"{checkpoint}/rejects", trigger)])
+               [_start(bad, reject, f"{checkpoint}/rejects", trigger)], stages)
 
 
 # ---------------------------------------------------------------- P3
@@ -169,17 +217,22 @@ def state_sentiment_job(records: DataFrame, out: Sink, reject: Sink, checkpoint:
 def trending_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str,
                  size: str = "4 seconds", slide: str = "2 seconds", k: int = 5,
                  delay: str = S.DEFAULT_DELAY, mode: str = "normal",
-                 trigger: dict | None = None, text_col: str = "text") -> Job:
+                 trigger: dict | None = None, text_col: str = "text", in_plan: bool = False) -> Job:
     """Every closed window's top-k hashtags, ``{time, word, count}``.
 
     Counts are emitted in append mode and ranked per micro-batch in
     ``foreachBatch`` (a window's counts all arrive in the batch that closes
-    it).  ``mode="raw", text_col="value"`` tokenises the whole raw record,
+    it), or with ``in_plan`` by a stateful operator of the plan, whose rows
+    any streaming sink takes.  ``mode="raw", text_col="value"`` tokenises the whole raw record,
     case kept (the reference's Spark variant); the default lower-cases the
     ``text`` field."""
     posts = P.parse_records(records, TEXT_FIELDS)
     counts = S.stream_hashtag_counts(valid(posts), "timestamp", size, slide, delay, mode, text_col)
     path = f"{checkpoint}/result"
+    if in_plan:
+        top = S.top_words_stream(counts, k).withColumn("time", window_time_ms("window_end"))
+        return Job(_start(to_kafka_rows(top, ["time", "word", "count"]), out, path, trigger),
+                   [_start(_reject_rows(posts), reject, f"{checkpoint}/rejects", trigger)])
 
     def emit(top: DataFrame, epoch_id: int) -> None:
         top = top.withColumn("time", window_time_ms("window_end"))
@@ -197,16 +250,61 @@ def sentiment_weather_job(post_records: DataFrame, weather_records: DataFrame, o
                           scorer: Scorer | None = None) -> Job:
     """Per closed window and state, ``{time, place, sentiment, temperature}``.
 
-    P5 is ``plans.pipelines.state_snapshot`` over the emitted rows."""
+    P5 is ``snapshot_job`` over the emitted records, or
+    ``plans.pipelines.state_snapshot`` over a table of them."""
     posts = P.parse_posts(post_records)
     weather = P.parse_weather(weather_records)
-    joined = S.stream_sentiment_weather(valid(posts), valid(weather), "timestamp", "timestamp", size, delay, exact,
-                                        lexicon=lexicon, scorer=scorer)
+    stages = []
+    if scorer is not None:
+        stage, scored = scored_stage(posts, scorer, checkpoint, trigger)
+        stages.append(stage)
+        joined = P.join_weather(S.with_event_time(valid(scored), "timestamp", delay),
+                                S.with_event_time(valid(weather), "timestamp", delay), "timestamp", "timestamp", size, exact)
+        bad_posts = _reject_rows(scored)
+    else:
+        joined = S.stream_sentiment_weather(valid(posts), valid(weather), "timestamp", "timestamp", size, delay, exact, lexicon=lexicon)
+        bad_posts = _reject_rows(P.post_rejects(posts), True)
     joined = joined.withColumn("time", window_time_ms("window_end"))
-    bad = _reject_rows(P.post_rejects(posts, scorer=scorer), True).unionByName(_reject_rows(P.weather_rejects(weather), True))
+    bad = bad_posts.unionByName(_reject_rows(P.weather_rejects(weather), True))
     result = to_kafka_rows(joined, ["time", "place", "sentiment", "temperature"])
     return Job(_start(result, out, f"{checkpoint}/result", trigger),
-               [_start(bad, reject, f"{checkpoint}/rejects", trigger)])
+               [_start(bad, reject, f"{checkpoint}/rejects", trigger)], stages)
+
+
+# ---------------------------------------------------------------- P5
+
+def start_snapshot(p4: DataFrame, out: Sink, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep the newest row of every state, from a stream of P4 rows, in a sink
+    that replaces rows by state:
+
+    * ``Sink.table(name)``: Spark's in-memory table, rewritten whole (at most
+      50 rows) at every trigger with new rows; ``live_snapshot`` reads it as the
+      dashboard's frame (after a restart the table is filled again, from the
+      state, by the first trigger with new rows);
+    * ``Sink.kafka``: the changed states only, keyed by state code; with a
+      compacted topic the newest record of a state replaces the older ones.
+
+    State: one row per state code, for the life of the checkpoint."""
+    latest = P.latest_per_state(p4)
+    if out.format == "memory":
+        return start_query(latest, "memory", checkpoint, output_mode="complete", trigger=trigger, query_name=out.options["queryName"])
+    if out.format == "kafka":
+        rows = to_kafka_rows(latest.withColumn("time", window_time_ms("window_end")), ["time", "place", "sentiment", "temperature"],
+                             key=F.col("place"))
+        return start_query(rows, "kafka", checkpoint, output_mode="update", trigger=trigger, options=out.options)
+    raise ValueError(f"a {out.format} sink cannot replace rows by state; use a table or Kafka")
+
+
+def live_snapshot(spark: SparkSession, name: str) -> DataFrame:
+    """P5's 50-row frame as of the last trigger of ``start_snapshot``."""
+    return P.snapshot_frame(spark.table(name))
+
+
+def snapshot_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str, trigger: dict | None = None) -> Job:
+    """P5 on a live feed of P4's JSON records."""
+    rows = P.parse_state_weather(records)
+    return Job(start_snapshot(valid(rows), out, f"{checkpoint}/result", trigger),
+               [_start(_reject_rows(rows), reject, f"{checkpoint}/rejects", trigger)])
 
 
 # ---------------------------------------------------------------- command line
@@ -216,14 +314,16 @@ JOBS: dict[str, Callable[..., Job]] = {
     "state-sentiment": state_sentiment_job,
     "trending": trending_job,
     "sentiment-weather": sentiment_weather_job,
+    "state-snapshot": snapshot_job,
 }
 
 # the job parameters each command takes from the command line
 PARAMETERS = {
     "classify": ("lexicon", "scorer"),
     "state-sentiment": ("size", "delay", "exact", "lexicon", "scorer"),
-    "trending": ("size", "slide", "k", "delay", "mode", "text_col"),
+    "trending": ("size", "slide", "k", "delay", "mode", "text_col", "in_plan"),
     "sentiment-weather": ("size", "delay", "exact", "lexicon", "scorer"),
+    "state-snapshot": (),
 }
 
 
@@ -247,6 +347,7 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--k", type=int, help="trending only")
     ap.add_argument("--mode", choices=["normal", "raw"], help="trending only: tokenizer")
     ap.add_argument("--text-col", choices=["text", "value"], help="trending only: the text field or the whole raw record")
+    ap.add_argument("--in-plan", action="store_true", default=None, help="trending only: rank in a stateful operator, not in foreachBatch")
     ap.add_argument("--exact", action="store_true", default=None, help="exact instead of integer means")
     ap.add_argument("--lexicon", help="JSON file of word weights")
     ap.add_argument("--model", help="module:function that loads a sentiment model (see functions.sentiment.model_scorer)")
@@ -256,6 +357,7 @@ def parser() -> argparse.ArgumentParser:
 def job_parameters(a: argparse.Namespace) -> dict:
     """Keyword arguments of the job from the command line."""
     given = {"size": a.size, "slide": a.slide, "k": a.k, "delay": a.delay, "mode": a.mode, "text_col": a.text_col, "exact": a.exact,
+             "in_plan": a.in_plan,
              "lexicon": None, "scorer": None}
     if a.lexicon:
         with open(a.lexicon, encoding="utf-8") as f:

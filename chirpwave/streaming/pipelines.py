@@ -7,9 +7,10 @@ emission of closed windows (R5), and two shapes that Structured
 Streaming only allows in a particular form:
 
 * top-k per window (P3): ``row_number`` is not allowed on a stream, so
-  the windowed counts are emitted in append mode and ranked inside
-  ``foreachBatch``.  This is exact: all rows of a window are emitted in
-  the one micro-batch that closes it.
+  the windowed counts are emitted in append mode and ranked either inside
+  ``foreachBatch`` (exact: all rows of a window are emitted in the one
+  micro-batch that closes it), or inside the plan by a second stateful
+  operator that keeps k rows per window (``streaming.topk``).
 * the stream-stream join of two windowed aggregates (P4) is joined on the
   ``window`` struct, which carries the watermark, so Spark can drop join
   state once both sides have passed a window.
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans import pipelines as P
+from .topk import top_words_stream
 
 Scorer = Callable[[Column], Column]
 
@@ -54,9 +56,19 @@ def stream_state_sentiment(posts: DataFrame, ts: str = "ts", size: str = "5 seco
 
 def stream_hashtag_counts(posts: DataFrame, ts: str = "ts", size: str = "4 seconds",
                           slide: str | None = "2 seconds", delay: str = DEFAULT_DELAY,
-                          mode: str = "normal", text_col: str = "text") -> DataFrame:
-    """A1 on a stream: closed-window hashtag counts (append mode)."""
-    return P.hashtag_counts(with_event_time(posts, ts, delay), ts, size, slide, mode, text_col)
+                          mode: str = "normal", text_col: str = "text", panes: bool | None = None) -> DataFrame:
+    """A1 on a stream: closed-window hashtag counts (append mode).  With
+    ``panes`` (see ``plans.pipelines.hashtag_counts``) a row updates the state
+    of one pane instead of size/slide windows."""
+    return P.hashtag_counts(with_event_time(posts, ts, delay), ts, size, slide, mode, text_col, panes)
+
+
+def stream_trending_inplan(posts: DataFrame, ts: str = "ts", size: str = "4 seconds", slide: str | None = "2 seconds",
+                           k: int = 5, delay: str = DEFAULT_DELAY, mode: str = "normal", text_col: str = "text",
+                           panes: bool | None = None) -> DataFrame:
+    """P3 on a stream, ranked inside the plan, for any sink:
+    ``window_start, window_end, word, count, rank``."""
+    return top_words_stream(stream_hashtag_counts(posts, ts, size, slide, delay, mode, text_col, panes), k)
 
 
 def top_k_writer(sink: Callable[[DataFrame, int], None], k: int = 5) -> Callable[[DataFrame, int], None]:

@@ -70,7 +70,7 @@ def test_state_codes_read_no_documents(spark):
 
 
 def test_sliding_counts_copy_pane_counts_not_rows(spark):
-    p = plan(spark, "hashtag_counts_sliding", "executed")
+    p = plan(spark, "hashtag_counts_many_panes", "executed")
     lines = p.splitlines()
     copies = [i for i, line in enumerate(lines) if "Generate explode" in line and "nth" in line]
     partial = [i for i, line in enumerate(lines) if "partial_count(1)" in line]
@@ -96,3 +96,10 @@ def test_weather_filter_reaches_the_scan(spark):
     scan = next(line for line in p.splitlines() if "FileScan parquet" in line and "events.parquet" in line)
     assert re.search(r"PushedFilters: \[[^\]]*In\(event_type, \[click,view\]\)", scan), scan
     assert "props" not in scan and "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint" in scan
+
+
+def test_few_panes_are_grouped_by_window(spark):
+    from chirpwave.operators.windows import MIN_PANES, pane_count
+    assert pane_count("4 hours", "2 hours") == 2 < MIN_PANES <= pane_count("24 hours", "2 hours") == 12
+    assert pane_count("5 hours", "2 hours") == pane_count("2 hours", "2 hours") == pane_count("1 month", "1 day") == 0
+    assert "nth" not in plan(spark, "hashtag_counts_sliding", "executed")

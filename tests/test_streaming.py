@@ -15,7 +15,8 @@ from oracle_compare import canon, duck
 
 
 @pytest.mark.parametrize("name", ["stream_state_sentiment", "stream_trending", "stream_sentiment_weather",
-                                  "stream_classify", "stream_state_snapshot", "stream_state_sentiment_no_id"])
+                                  "stream_classify", "stream_state_snapshot", "stream_state_sentiment_no_id",
+                                  "stream_hashtag_counts_paned", "stream_trending_inplan", "stream_state_sentiment_model"])
 def test_stream_equals_batch(spark, name):
     df = E.queries()[name](spark, SF0001)
     res = duck(SF0001).sql(E.oracle_sql()[name])
@@ -188,3 +189,133 @@ def test_replay_keeps_rows_without_a_time(spark):
     records = spark.createDataFrame(rows, "key string, value string, timestamp timestamp")
     out = replay(spark, {"posts": (records, "timestamp", "key")}, lambda s: S.stream_classify(s["posts"]))
     assert out.count() == 6
+
+
+def _tag_stream(spark, base, rows):
+    df = spark.createDataFrame(rows, "ts timestamp, text string")
+    df.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    return read_parquet_stream(spark, f"{base}/in", df.schema)
+
+
+def _hours(n, tags=7, per_hour=40):
+    t0 = dt.datetime(2024, 1, 1)
+    return [(t0 + dt.timedelta(seconds=90 * i), f"#t{i % tags} #all") for i in range(n * per_hour)]
+
+
+def _drain(df, base, name):
+    """Run on what is there, twice, so that closed windows leave; the last progress of every batch."""
+    progress = []
+    for _ in range(2):
+        q = df.writeStream.format("parquet").option("path", f"{base}/{name}").option("checkpointLocation", f"{base}/ckpt-{name}") \
+            .trigger(availableNow=True).start()
+        q.awaitTermination()
+        progress += q.recentProgress
+    return spark_rows(df.sparkSession, f"{base}/{name}"), progress
+
+
+def spark_rows(spark, path):
+    return sorted((tuple(r) for r in spark.read.parquet(path).collect()), key=str)
+
+
+def test_panes_on_a_stream(spark):
+    """The same counts; a row is copied nowhere and updates one pane, not every window."""
+    base = scratch_path(spark, "paned")
+    rows = _hours(20)
+    for hour in range(0, 6):  # a file, and so a micro-batch, an hour; the rest closes the windows
+        _tag_stream(spark, base, rows[40 * hour:40 * (hour + 1)])
+    _tag_stream(spark, base, rows[240:])
+    stream = spark.readStream.schema("ts timestamp, text string").option("maxFilesPerTrigger", "1").parquet(f"{base}/in")
+    size, slide = "12 hours", "1 hour"
+    plain, plain_progress = _drain(S.stream_hashtag_counts(stream, "ts", size, slide, panes=False), base, "plain")
+    paned_df = S.stream_hashtag_counts(stream, "ts", size, slide)  # twelve panes: panes by default
+    paned, paned_progress = _drain(paned_df, base, "paned")
+    assert plain and paned == plain
+    plan = paned_df._jdf.queryExecution().analyzed().toString()
+    window_copies = plan.index("Expand")  # of the panes' counts ...
+    assert "Aggregate" in plan[window_copies:] and plan.count("Expand") == 1  # ... below which the rows are counted
+
+    def updated(progress):  # state rows written by the operator that takes the rows
+        return sum(p["stateOperators"][-1]["numRowsUpdated"] for p in progress if p["stateOperators"])
+
+    assert updated(paned_progress) * 3 < updated(plain_progress)
+    print("state rows updated by rows:", updated(plain_progress), "plain,", updated(paned_progress), "paned")
+
+
+def test_panes_need_whole_panes(spark):
+    with pytest.raises(ValueError, match="not made of several panes"):
+        S.stream_hashtag_counts(spark.createDataFrame([], "ts timestamp, text string"), "ts", "3 hours", "2 hours", panes=True)
+
+
+def test_in_plan_ranking_keeps_k_rows_a_window(spark):
+    base = scratch_path(spark, "inplan")
+    stream = _tag_stream(spark, base, _hours(12, tags=400))
+    k = 3
+    ranked = S.stream_trending_inplan(stream, "ts", "4 hours", "2 hours", k)
+    got, progress = _drain(ranked, base, "out")
+    batch = spark.read.parquet(f"{base}/in")
+    from chirpwave.plans import pipelines as P
+    want = P.trending_topics(batch, "ts", "4 hours", "2 hours", k)
+    closed = {r[0] for r in got}
+    assert len(closed) >= 4 and got == sorted((tuple(r) for r in want.collect() if r["window_start"] in closed), key=str)
+    windows = want.select("window_start").distinct().count()
+    states = [o for p in progress for o in p["stateOperators"] if o["operatorName"].startswith("transformWithState")]
+    assert states and all(o["numRowsTotal"] <= k * windows for o in states)
+    assert states[-1]["numRowsTotal"] == 0  # nothing stays of closed windows
+
+
+def test_top_words_are_bounded_and_ordered():
+    import pandas as pd
+
+    from chirpwave.streaming.topk import best_words
+    t = pd.Timestamp("2024-01-01")
+    rows = pd.DataFrame({"window_start": t, "window_end": t, "word": ["#b", "#a", "#\U0001F600", "#\uffff", "#z"], "count": [5, 5, 5, 5, 9]})
+    assert best_words(rows, 4)["word"].tolist() == ["#z", "#a", "#b", "#\uffff"]  # by code point, as Spark orders
+
+
+def test_live_snapshot_follows_every_slice(spark):
+    from chirpwave.plans import pipelines as P
+    from chirpwave.streaming.replay import live_snapshots
+    steps = []
+
+    def seen(frame, rows):
+        live, batch = ({tuple(r) for r in df.collect()} for df in (frame, P.state_snapshot(rows)))
+        steps.append((len(live), live == batch, rows.count()))
+
+    last = live_snapshots(spark, SF0001, seen)
+    assert len(steps) == 6 and all(n == 50 and same for n, same, _ in steps)
+    assert steps[0][2] < steps[-1][2]
+    res = duck(SF0001).sql(E.oracle_sql()["stream_state_snapshot_live"])
+    assert canon([tuple(r) for r in last.collect()], last.columns) == canon(res.fetchall(), res.columns)
+
+
+def test_live_snapshot_restarts_from_its_state(spark):
+    from chirpwave.streaming import jobs as J
+    base = scratch_path(spark, "live")
+    schema = "key string, value string, timestamp timestamp"
+    t0 = dt.datetime(2024, 1, 1)
+
+    def land(rows):
+        rows = [(None, v, t0) for v in rows]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+
+    def record(place, hour, sentiment, temperature):
+        return f'{{"time":{hour * 3600000 - 1},"place":"{place}","sentiment":{sentiment},"temperature":{temperature}}}'
+
+    land([record("TX", 1, 0.5, 20.4), record("OH", 2, 0.1, 3), record("UND", 9, 0.9, 9), "{broken", '{"place":"TX"}'])
+    table = J.Sink.table("live_" + base.rpartition("-")[2])
+
+    def run():
+        stream = read_parquet_stream(spark, f"{base}/in", spark.createDataFrame([], schema).schema)
+        J.snapshot_job(stream, table, J.Sink.files(f"{base}/rejects"), f"{base}/ckpt", {"availableNow": True}).await_all()
+        frame = J.live_snapshot(spark, table.options["queryName"])
+        rows = frame.collect()
+        assert len(rows) == 50
+        return {r["code"]: (r["sentiment"], r["weather"]) for r in rows if r["as_of"] is not None}
+
+    assert run() == {"TX": (0.5, 20), "OH": (0.1, 3)}
+    land([record("TX", 3, 0.7, 25), record("OH", 1, 0.9, 30), record("NY", 1, 0.2, -1)])  # one newer, one older, one new
+    assert run() == {"TX": (0.7, 25), "OH": (0.1, 3), "NY": (0.2, -1)}
+    assert spark.read.parquet(f"{base}/rejects").count() == 2
+    with pytest.raises(ValueError, match="cannot replace"):
+        J.start_snapshot(spark.createDataFrame([], "window_end timestamp, place string, sentiment double, temperature double"),
+                         J.Sink.files(base), base)
