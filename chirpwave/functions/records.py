@@ -24,6 +24,8 @@ replaced; every other field is kept either way.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,13 +57,13 @@ def json_int(text: Column) -> Column:
     return F.coalesce(text.try_cast("int"), text.try_cast("double").try_cast("int"))
 
 
-def _whole_variant(value: Column) -> Column:
+def _whole_variant(value: Column, seal: str) -> Column:
     """The JSON value that makes up the whole text, in element 0 of an array.
 
     The parser stops after the first value and ignores what follows, so the
-    text is parsed between ``[`` and a seal (its own hash): only if the
-    seal comes out as element 1 did the value end where the text ends."""
-    return F.try_parse_json(F.concat(F.lit("["), value, F.lit(","), F.xxhash64(value).cast("string"), F.lit("]")))
+    text is parsed between ``[`` and a seal: only if the seal comes out as
+    element 1 did the value end where the text ends."""
+    return F.try_parse_json(F.concat(F.lit("["), value, F.lit(f',"{seal}"]')))
 
 
 def parse_records(records: DataFrame, fields: dict[str, str], value_col: str = "value",
@@ -90,8 +92,9 @@ def parse_records(records: DataFrame, fields: dict[str, str], value_col: str = "
             raise ValueError(f"unsupported field kind {kind!r}")
     cols = [k for k in keep if k in records.columns]
     value = F.col(value_col)
-    staged = records.select(*cols, value, _whole_variant(value).alias("_w"))
-    sealed = ((F.try_variant_get("_w", "$[1]", "bigint") == F.xxhash64(value))
+    seal = uuid.uuid4().hex  # drawn per query: no record can hold it
+    staged = records.select(*cols, value, _whole_variant(value, seal).alias("_w"))
+    sealed = ((F.try_variant_get("_w", "$[1]", "string") == seal)
               & F.try_variant_get("_w", "$[2]", "variant").isNull() & F.ltrim(value, F.lit(JSON_BLANKS)).startswith("{"))
     staged = staged.select(*cols, value_col, F.coalesce(sealed, F.lit(False)).alias("_whole"),
                            F.try_variant_get("_w", "$[0]", "variant").alias("_v"))
@@ -172,8 +175,9 @@ def enrich_json(value: Column | str, name: str, col: Column) -> Column:
     """``add_json_field`` for JSON text: parses ``value`` first; NULL when
     the text is not exactly one JSON object."""
     value = F.col(value) if isinstance(value, str) else value
-    whole = _whole_variant(value)
-    sealed = ((F.try_variant_get(whole, "$[1]", "bigint") == F.xxhash64(value))
+    seal = uuid.uuid4().hex
+    whole = _whole_variant(value, seal)
+    sealed = ((F.try_variant_get(whole, "$[1]", "string") == seal)
               & F.try_variant_get(whole, "$[2]", "variant").isNull())
     return F.when(sealed, add_json_field(value, F.try_variant_get(whole, "$[0]", "variant"), name, col))
 

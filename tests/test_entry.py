@@ -13,6 +13,13 @@ def test_entry_imports_without_the_optional_part():
     assert out.returncode == 0 and int(out.stdout) >= 34, out.stderr
 
 
+def test_a_fault_inside_the_optional_part_is_not_hidden():
+    code = "import sys; sys.modules['xxhash'] = None\nimport __spark_entry__"
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True)
+    if os.path.isdir(os.path.join(ROOT, "chirpwave", "llm")):
+        assert out.returncode != 0 and "xxhash" in out.stderr
+
+
 def test_nothing_else_imports_the_optional_part():
     for folder, _, names in os.walk(os.path.join(ROOT, "chirpwave")):
         if os.path.basename(folder) == "llm":

@@ -107,3 +107,22 @@ def test_ids_of_any_kind_are_carried_and_none_is_needed(spark):
             '{"text":"t","place_full_name":"Texas"}', '{"id":null,"text":"t","place_full_name":"Texas"}']
     rows = P.parse_posts(spark.createDataFrame([(v,) for v in vals], "value string")).collect()
     assert [(r.id, r._reject) for r in rows] == [("a", None), ("7", None), (None, None), (None, None)]
+
+
+def test_no_record_can_forge_the_seal(spark, monkeypatch):
+    from chirpwave.functions import records as R
+    used = []
+
+    class Drawn:
+        def __init__(self):
+            self.hex = f"{len(used):032x}"
+            used.append(self.hex)
+    monkeypatch.setattr(R.uuid, "uuid4", Drawn)
+    # a record that holds another query's seal, and one that holds a seal without ending where it should
+    rows = [('{"text":"a"},"' + "f" * 32 + '"',), ('{"text":"b"},"x"],["',), ('{"text":"c"}',)]
+    df = spark.createDataFrame(rows, "value string")
+    got = {r["value"]: r["_reject"] for r in parse_records(df, {"text": "string"}, keep=()).collect()}
+    assert [got[r[0]] for r in rows] == ["trailing", "trailing", None]
+    assert len(used) == 1  # one seal a query
+    parse_records(df, {"text": "string"}, keep=())
+    assert len(set(used)) == 2
