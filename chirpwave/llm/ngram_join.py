@@ -56,7 +56,8 @@ from chirpwave.session import scratch_path
 
 SETS = "id bigint, n bigint, digest binary, tokens binary, bits binary"
 CLASSES = 8  # signatures of 64 << class bits
-RECORD = [np.dtype("<u8"), np.dtype("<i8"), np.dtype("<u4"), np.dtype("u1")]  # token, id, size, may start a pair
+MEMBER = [np.dtype("<i8"), np.dtype("<u4")]  # id, size; its bitmap follows
+RECORD = [np.dtype("<u8"), np.dtype("<u4"), np.dtype("u1")]  # token, which of the members sent along, may start a pair
 FOUND = "family boolean, u bigint, v bigint"  # a possible pair, or two members of a family
 HOT = 1000
 STAR = 64
@@ -64,6 +65,7 @@ CROWDED = 8
 LEADERS = 8
 BLOCK_SETS = 2048
 WIDEST = 1 << 14  # bits of a family's signatures
+CHUNK_WORDS = 1 << 20  # bitmap words of the small groups compared together
 SHARD_BYTES = 2 << 20
 BROADCAST_IDS = 1_000_000
 GROUP_PAIRS = 5_000
@@ -133,24 +135,32 @@ def _folded(bits: np.ndarray) -> np.ndarray:
     return bits[:, :half] | bits[:, half:]
 
 
+def _received(table: pa.Table, c: int):
+    """(ids, sizes, bitmaps) of the members of bitmap class ``c`` that a
+    bucket got, and (token, member, may start a pair) of its records."""
+    here = table.filter(pa.array([k == c for k in table["class"].to_pylist()]))
+    sender, (ids, sizes, bits) = X.unpack(here["members"].to_pylist(), MEMBER + [np.dtype(f"V{8 << c}")])
+    bits = bits.view(np.uint64).reshape(len(ids), 1 << c)
+    blob, (token, member, must) = X.unpack(here["records"].to_pylist(), RECORD)
+    return (ids, sizes.astype(np.int64), bits), (token, member + np.searchsorted(sender, blob), must > 0)
+
+
 def _groups(table: pa.Table):
-    """Per bitmap class (view), the bucket's records of that class and the
-    next larger one (folded): sets that may link differ by one class at most."""
-    held = {}
-    for c in range(CLASSES):
-        rows = [p for p, k in zip(table["payload"].to_pylist(), table["class"].to_pylist()) if k == c]
-        if rows:
-            _, fields = X.unpack(rows, RECORD + [np.dtype(f"V{8 << c}")])
-            fields[4] = np.frombuffer(fields[4].tobytes(), dtype=np.uint64).reshape(len(fields[0]), 1 << c)
-            held[c] = fields
-    for c, own in held.items():
-        native = np.ones(len(own[0]), dtype=bool)
+    """Per bitmap class (view), the bucket's members and records of that class
+    and the next larger one (folded): sets that may link differ by one class
+    at most.  Records sorted by token, with whether they are of the view's own class."""
+    held = set(table["class"].to_pylist())
+    for c in sorted(held):
+        (ids, sizes, bits), (token, member, must) = _received(table, c)
+        native = np.ones(len(token), dtype=bool)
         if c + 1 in held:
-            above = held[c + 1]
-            near = np.isin(above[0], own[0])
-            own = [np.concatenate([x, (_folded(y[near]) if i == 4 else y[near])]) for i, (x, y) in enumerate(zip(own, above))]
-            native = np.concatenate([native, np.zeros(near.sum(), dtype=bool)])
-        yield c, own, native
+            more, (other, which, may) = _received(table, c + 1)
+            near = np.isin(other, token)
+            token, member = np.concatenate([token, other[near]]), np.concatenate([member, which[near] + len(ids)])
+            must, native = np.concatenate([must, may[near]]), np.concatenate([native, np.zeros(near.sum(), dtype=bool)])
+            ids, sizes, bits = (np.concatenate(x) for x in zip((ids, sizes, bits), (*more[:2], _folded(more[2]))))
+        order = np.argsort(token, kind="stable")
+        yield (ids, sizes, bits), (token[order], member[order], must[order], native[order])
 
 
 def _members(token: np.ndarray) -> np.ndarray:
@@ -188,19 +198,23 @@ def _first_round(percent: int, star: int):
     members of possible pairs, each with the smallest of them."""
     def search(table):
         pairs, family = [], []
-        for _, fields, native in _groups(table):
-            order = np.lexsort((fields[1], fields[0]))
-            token, ids, size, must, bits = (f[order] for f in fields)
-            native, must = native[order], must > 0
+        for (ids, sizes, bits), (token, member, must, native) in _groups(table):
+            def tree(part, limit=None):
+                m = member[part]
+                return _tree(token[part], ids[m], sizes[m], must[part], bits[m], native[part], percent, limit)
+
             members = _members(token)
-            small = (members > 1) & (members <= star)
-            if small.any():
-                pairs += _tree(token[small], ids[small], size[small], must[small], bits[small], native[small], percent)[0]
             at = X.run_starts(token)
+            small = at[(members[at] > 1) & (members[at] <= star)]
+            # whole groups, so many that their bitmaps stay within a bound
+            cuts = X.run_starts(np.cumsum(members[small]) // max(1, CHUNK_WORDS // bits.shape[1]))
+            for first, last in zip(cuts.tolist(), np.append(cuts[1:], len(small)).tolist()):
+                starts = small[first:last]
+                part = np.concatenate([np.arange(a, a + m) for a, m in zip(starts.tolist(), members[starts].tolist())])
+                pairs = [_distinct(pairs + tree(part)[0])]  # near copies meet at many tokens
             for a in at[members[at] > star].tolist():
-                part = slice(a, a + members[a])
-                found, crowd = _tree(token[part], ids[part], size[part], must[part], bits[part], native[part], percent,
-                                     CROWDED * int(members[a]))
+                part = np.arange(a, a + members[a])
+                found, crowd = tree(part, CROWDED * int(members[a]))
                 if found is None:
                     family.append(np.stack([np.full(len(crowd), crowd.min()), crowd], axis=1))
                 else:
@@ -444,19 +458,23 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, shingle: int, perce
             doc, token = part.doc[live], part.tokens[live]
             start = ~part.hot[live] | part.dense[doc]
             kind = size_class(part.sizes)
-            bits = part.table["bits"].to_pylist()
             for c in np.unique(kind[doc]).tolist():
                 own = np.nonzero(kind[doc] == c)[0]
-                at = doc[own]
-                blob = np.frombuffer(b"".join([bits[i] for i in at.tolist()]), dtype=f"V{8 << c}")
-                buckets, blobs = X.pack(X.bucket_of(token[own], n), [
-                    token[own].astype("<u8"), part.ids[at], part.sizes[at].astype("<u4"), start[own].astype("u1"), blob])
-                rows += [(int(b), c, p) for b, p in zip(buckets, blobs)]
-        return pa.table({"bucket": pa.array([r[0] for r in rows], type=pa.int32()), "class": pa.array([r[1] for r in rows], type=pa.int32()),
-                         "payload": pa.array([r[2] for r in rows], type=pa.binary())})
+                buckets = X.bucket_of(token[own], n).astype(np.int64)
+                # a document and its bitmap go once to each bucket, however many of its tokens do
+                both, member = np.unique(buckets * len(part.ids) + doc[own], return_inverse=True)
+                to, which = both // len(part.ids), both % len(part.ids)
+                blob = np.frombuffer(b"".join(part.table["bits"].take(pa.array(which)).to_pylist()), dtype=f"V{8 << c}")
+                _, members = X.pack(to, [part.ids[which], part.sizes[which].astype("<u4"), blob])
+                member = (member - np.searchsorted(to, buckets)).astype("<u4")
+                names, records = X.pack(buckets, [token[own].astype("<u8"), member, start[own].astype("u1")])
+                rows += [(int(b), c, m, r) for b, m, r in zip(names, members, records)]
+        columns = list(zip(*rows)) or [[]] * 4
+        return pa.table({"bucket": pa.array(columns[0], type=pa.int32()), "class": pa.array(columns[1], type=pa.int32()),
+                         "members": pa.array(columns[2], type=pa.binary()), "records": pa.array(columns[3], type=pa.binary())})
 
     records = (parts.groupBy("slice").cogroup(replies.groupBy("slice"))
-               .applyInArrow(send, "bucket int, class int, payload binary"))
+               .applyInArrow(send, "bucket int, class int, members binary, records binary"))
     path = scratch_path(spark, "candidates")
     records.groupBy("bucket").applyInArrow(_first_round(percent, star), FOUND).write.parquet(path)
     found = spark.read.schema(FOUND).parquet(path)
