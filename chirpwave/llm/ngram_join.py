@@ -32,7 +32,8 @@ fewer words: the whole sequence as one).  Two documents link when
    the components are exact.
 5. Components are contracted by joins; nothing is collected.
 
-Tokens are 64-bit hashes, class digests 128-bit.
+Tokens are 64-bit hashes (prefix tokens travel as their upper 48 bits), class
+digests 128-bit.
 
 Defined cases: a null, empty or wordless text has an empty set, size 0,
 and is linked with nothing; rows that share an id are one document (they are
@@ -102,6 +103,19 @@ def signature(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(marks, bitorder="little").view(np.uint64)
 
 
+def routing_keys(tokens: np.ndarray) -> bytes:
+    """The upper 48 bits of sorted tokens, byte plane by byte plane.  Prefix
+    tokens only route; that keeps their order, and tokens that agree in it
+    merely meet needlessly."""
+    return np.ascontiguousarray(tokens).view(np.uint8).reshape(-1, 8)[:, 2:].T.tobytes()
+
+
+def _keys(blob: bytes) -> np.ndarray:
+    planes = np.zeros((len(blob) // 6, 8), dtype=np.uint8)
+    planes[:, 2:] = np.frombuffer(blob, dtype=np.uint8).reshape(6, -1).T
+    return planes.view("<u8").ravel()
+
+
 class _Part:
     """The classes of one slice, with flat prefix tokens."""
 
@@ -110,7 +124,7 @@ class _Part:
         digest = np.frombuffer(b"".join(table["digest"].to_pylist()), dtype=np.uint64).reshape(-1, 2)
         self.table = table = table.take(pa.array(X.run_starts(digest[:, 0], digest[:, 1])))
         self.ids, self.sizes = np.asarray(table["id"], dtype=np.int64), np.asarray(table["n"], dtype=np.int64)
-        parts = [np.frombuffer(b, dtype="<u8") for b in table["tokens"].to_pylist()]
+        parts = [_keys(b) for b in table["tokens"].to_pylist()]
         counts = np.array([len(p) for p in parts], dtype=np.int64)
         self.tokens = np.concatenate(parts) if parts else np.empty(0, np.uint64)
         self.doc = np.repeat(np.arange(len(parts)), counts)
@@ -416,7 +430,7 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, shingle: int, perce
                     new = i is not None and len(s) > 0 and i < first.get(d, 1 << 63)
                     if new:
                         first[d] = i
-                    tokens.append(s[:prefix_size(len(s), percent) * 3 // 2 + 8].tobytes() if new else None)
+                    tokens.append(routing_keys(s[:prefix_size(len(s), percent) * 3 // 2 + 8]) if new else None)
                     bits.append(signature(s).tobytes() if new else None)
                 done.append(pa.RecordBatch.from_arrays(
                     [part["id"], pa.array([len(s) for s in sets], type=pa.int64()), pa.array(digest, type=pa.binary()),
