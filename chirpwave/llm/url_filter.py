@@ -9,14 +9,16 @@ no rule fits are judged by their host's template tree:
    the number of labelled and of bad pages among them.  The tree is built on
    these counts, so a host that holds a third of all pages costs no more than
    its number of distinct shapes.
-2. Level by level, segments with fewer than ``min_support`` pages, or too few
-   labels to place their bad rate within ``width``, are variable and
-   generalise into the wildcard ``*``.  The others are compared by the
-   arcsine of their bad rate, whose standard error depends on the number of
-   labels only: siblings in the same band of ``width`` (``z`` standard errors
-   or more) are statistically alike and merge into one branch ``*band``; one
-   that is alone in its band keeps its name.  Segments below ``depth`` are
-   part of their ancestor's template.
+2. Level by level, a node with ``min_support`` pages or more (and every host)
+   is opened.  Its segments with fewer pages than that, or too few labels to
+   place their bad rate within ``width``, are variable and generalise into the
+   wildcard ``*``.  The others are ordered by the arcsine of their bad rate,
+   whose standard error depends on the number of labels only, and neighbours
+   that a two-sample test of ``z`` standard errors does not tell apart merge,
+   as far as the merged rates span less than ``width``; the branch is called
+   ``*`` and its first segment (a segment that itself begins with ``*`` gets a
+   backslash).  The steps end when no node has support; paths of any depth
+   are followed that far, and what lies below belongs to the last node.
 3. A template's purity is its share of good labelled pages, smoothed by
    ``weight`` pages towards its host's, and that towards the whole table's.
    Templates of a purity below ``min_purity`` are blocked.
@@ -26,12 +28,14 @@ Everything is DataFrame operations; counts aggregate before they shuffle.
 Defined cases: a null url, or one without ``://``, has empty host and path
 and is judged as that host's root; without labels every purity is 1 and the
 method allows; null or other labels than 0 and 1 do not count; repeated rows
-are judged alike; an empty table gives an empty result.
+are judged alike; equal rates are ordered by segment; urls of any length are
+read whole; an empty table gives an empty result; the input row stays in the
+struct ``page``, so extra columns clash with nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chirpwave.session import ensure_checkpoint_dir
@@ -64,27 +68,49 @@ def shape_of(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(shaped, r"[0-9]+", "#"), r"[^/]{40,}", "@")
 
 
-def templates(shapes: DataFrame, depth: int, min_support: int, z: float, width: float) -> DataFrame:
-    """Adds ``template`` to ``(host, shape, n, labelled, bad)`` rows."""
-    tree = shapes.withColumn("parts", F.split("shape", "/")).withColumn("template", F.lit(""))
-    for level in range(1, depth + 1):
-        tree = tree.withColumn("part", F.coalesce(F.try_element_at("parts", F.lit(level + 1)), F.lit("")))
-        child = tree.groupBy("host", "template", "part").agg(
+def _branches(child: DataFrame, min_support: int, z: float, width: float) -> DataFrame:
+    """``(host, template, part, branch)`` from the counts of the segments below each node."""
+    keys = ["host", "template"]
+    known = (F.col("n") >= min_support) & (F.col("labelled") >= (z / (2 * width)) ** 2)
+    rate = child.where(known).withColumn("rate", F.asin(F.sqrt(F.col("bad") / F.col("labelled"))))
+    order = Window.partitionBy(*keys).orderBy("rate", "part")
+    error = F.sqrt(1 / (4 * F.col("labelled")) + 1 / (4 * F.lag("labelled").over(order)))
+    apart = F.col("rate") - F.lag("rate").over(order) > z * error
+    chained = rate.withColumn("chain", F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(order))
+    low = F.min("rate").over(Window.partitionBy(*keys, "chain"))
+    chained = chained.withColumn("band", F.floor((F.col("rate") - low) / width))
+    alike = Window.partitionBy(*keys, "chain", "band")
+    named = F.when(F.col("part").startswith("*"), F.concat(F.lit("\\"), "part")).otherwise(F.col("part"))
+    branch = F.when(F.count(F.lit(1)).over(alike) == 1, named).otherwise(F.concat(F.lit("*"), F.min("part").over(alike)))
+    return (chained.select(*keys, "part", branch.alias("branch"))
+            .unionByName(child.where(~known).select(*keys, "part", F.lit("*").alias("branch"))))
+
+
+def templates(shapes: DataFrame, min_support: int, z: float, width: float) -> DataFrame:
+    """Adds ``template`` to ``(host, shape, n, labelled, bad)`` rows.  Each
+    level is written once and read by the next."""
+    tree = (shapes.withColumn("parts", F.split("shape", "/")).withColumn("template", F.lit(""))
+            .withColumn("open", F.lit(True)).checkpoint())
+    level = 1
+    while True:
+        deeper = F.col("open") & (F.size("parts") > level)
+        if tree.where(deeper).isEmpty():
+            return tree.select("host", "shape", "n", "labelled", "bad", "template")
+        step = tree.withColumn("part", F.when(deeper, F.get("parts", F.lit(level))))
+        child = step.where("part is not null").groupBy("host", "template", "part").agg(
             F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-        known = (F.col("part") != "") & (F.col("n") >= min_support) & (F.col("labelled") >= (z / (2 * width)) ** 2)
-        band = F.when(known, F.round(F.asin(F.sqrt(F.col("bad") / F.col("labelled"))) / width).cast("int"))
-        child = child.withColumn("band", F.coalesce(band, F.lit(-1)))
-        alike = child.groupBy("host", "template", "band").agg(F.count(F.lit(1)).alias("siblings"))
-        branch = (child.join(alike, ["host", "template", "band"])
-                  .select("host", "template", "part", F.when(F.col("part") == "", F.lit("")).when(F.col("band") < 0, F.lit("*"))
-                          .when(F.col("siblings") == 1, F.col("part")).otherwise(F.concat(F.lit("*"), "band")).alias("branch")))
-        tree = (tree.join(branch, ["host", "template", "part"])
-                .withColumn("template", F.when(F.size("parts") > level, F.concat("template", F.lit("/"), "branch"))
-                            .otherwise(F.col("template"))).drop("part", "branch").checkpoint())
-    return tree.select("host", "shape", "n", "labelled", "bad", "template")
-
-
-def url_filter(pages: DataFrame, label: Column | None = None, url_col: str = "url", rules=RULES, depth: int = 3,
+        branch = _branches(child, min_support, z, width)
+        support = (child.join(branch, ["host", "template", "part"]).groupBy("host", "template", "branch")
+                   .agg((F.sum("n") >= min_support).alias("goes_on")))
+        branch = branch.join(support, ["host", "template", "branch"])
+        tree = (step.join(branch, ["host", "template", "part"], "left")
+                .withColumn("template", F.when(F.col("branch").isNotNull(), F.concat("template", F.lit("/"), "branch"))
+                            .otherwise(F.col("template")))
+                .withColumn("open", F.coalesce("goes_on", F.lit(False))).drop("part", "branch", "goes_on").checkpoint())
+        level += 1
+
+
+def url_filter(pages: DataFrame, label: Column | None = None, url_col: str = "url", rules=RULES,
                min_support: int = 20, z: float = 1.96, width: float = 0.2, weight: float = 10.0, min_purity: float = 0.7) -> DataFrame:
     """One row per input row: ``page`` (the input row), ``host``, ``path``,
     ``rule``, ``template``, ``purity`` and ``verdict``.  ``label`` is a column
@@ -97,7 +123,7 @@ def url_filter(pages: DataFrame, label: Column | None = None, url_col: str = "ur
     shapes = rows.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("labelled"),
                                               F.coalesce(F.sum("label"), F.lit(0)).alias("bad"))
     ensure_checkpoint_dir(pages.sparkSession)
-    tree = templates(shapes.checkpoint(), depth, min_support, z, width)  # each level is written once and read by the next
+    tree = templates(shapes, min_support, z, width)
     node = tree.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
     hosts = node.groupBy("host").agg(F.sum("labelled").alias("h_labelled"), F.sum("bad").alias("h_bad"))
     whole = hosts.agg(F.sum("h_labelled").alias("a_labelled"), F.sum("h_bad").alias("a_bad"))  # one row

@@ -11,12 +11,13 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from chirpwave.llm.language_id import identify, parse_table, phrases, suffix_automaton
+from chirpwave.llm.language_id import BYTES, compact, identify, phrases, suffix_automaton, train
+from chirpwave.session import ensure_checkpoint_dir
 from chirpwave.llm.lattice import PieceTrie, word_lattices
 from chirpwave.llm.lm_score import lm_score, load_pieces, starting_weights
 from chirpwave.llm.topk_search import block_search, topk_search
 from chirpwave.llm.toxicity import Vocabulary, gram_keys, toxicity
-from chirpwave.llm.url_filter import RULES, host_of, path_of, url_filter
+from chirpwave.llm.url_filter import RULES, host_of, path_of, templates, url_filter
 from chirpwave.llm.warc import deduplicate_archives, read_archives, resolve_revisits, write_archives
 
 from . import brute
@@ -102,12 +103,74 @@ def test_bad_branch_is_blocked_and_alike_branches_merge(spark):
     rows += [(f"http://clean.net/{i}.html", 0) for i in range(50)] + [("http://rare.net/a", None)]
     pages = spark.createDataFrame(rows, "url string, bad int")
     out = {(r["host"], r["template"]): r["verdict"] for r in url_filter(pages, F.col("bad")).collect()}
-    assert out["h.net", "/promo/#"] == "block"  # alone in its band: keeps its name
-    assert out["h.net", "/*0/#"] == "allow" and ("h.net", "/news/#") not in out
+    assert out["h.net", "/promo/#"] == "block"  # unlike its siblings: keeps its name
+    assert out["h.net", "/*blog/#"] == "allow" and ("h.net", "/news/#") not in out
     assert out["clean.net", "/#.html"] == "allow" and out["rare.net", "/*"] == "allow"
     assert url_filter(pages.limit(0), F.col("bad")).collect() == []
 
 
+def test_bad_branch_far_down_the_path(spark):
+    """Only the bad branch is blocked, however deep it is."""
+    rows = [(f"http://h.net/a/b/c/d/e/{seg}/x{'yz'[i % 2]}{i}", int(seg == "promo")) for i in range(200) for seg in ("news", "promo")]
+    out = url_filter(spark.createDataFrame(rows, "url string, bad int"), F.col("bad")).collect()
+    assert all((r["verdict"] == "block") == ("/promo/" in r["path"]) for r in out)
+
+
+def plain_templates(shapes, support=20, z=1.96, width=0.2):
+    """(host, shape) -> template, node by node."""
+    out = {}
+
+    def grow(rows, level, name):
+        ended = [r for r in rows if len(r[1].split("/")) <= level]
+        out.update({(r[0], r[1]): name for r in ended})
+        groups = {}
+        for r in rows:
+            if len(r[1].split("/")) > level:
+                groups.setdefault(r[1].split("/")[level], []).append(r)
+        known, branches = [], {}
+        for part, rs in groups.items():
+            n, labelled, bad = (sum(r[k] for r in rs) for k in (2, 3, 4))
+            if n >= support and labelled >= (z / (2 * width)) ** 2:
+                known.append((math.asin(math.sqrt(bad / labelled)), part, labelled))
+            else:
+                branches.setdefault("*", []).extend(rs)
+        known.sort()
+        chains = []
+        for k, x in enumerate(known):
+            if k == 0 or x[0] - known[k - 1][0] > z * math.sqrt(1 / (4 * x[2]) + 1 / (4 * known[k - 1][2])):
+                chains.append({})
+                first = x[0]
+            chains[-1].setdefault(int((x[0] - first) / width), []).append(x[1])
+        for parts in (p for chain in chains for p in chain.values()):
+            label = ("\\" if parts[0][:1] == "*" else "") + parts[0] if len(parts) == 1 else "*" + min(parts)
+            branches.setdefault(label, []).extend(r for p in parts for r in groups[p])
+        for label, rs in branches.items():
+            below = f"{name}/{label}"
+            if sum(r[2] for r in rs) >= support:
+                grow(rs, level + 1, below)
+            else:
+                out.update({(r[0], r[1]): below for r in rs})
+
+    for host in {r[0] for r in shapes}:
+        grow([r for r in shapes if r[0] == host], 1, "")
+    return out
+
+
+def test_template_tree_equals_a_plain_one(spark):
+    rng = random.Random(8)
+    shapes = {}
+    for _ in range(400):
+        path = "".join("/" + rng.choice(["a", "b", "c", "*", "", "long", f"v{rng.randint(0, 40)}"]) for _ in range(rng.randint(0, 6)))
+        n = rng.choice([1, 3, 30, 400])
+        labelled = rng.randint(0, n)
+        shapes[rng.choice(["h", "g", ""]), path] = (n, labelled, rng.choice([0, labelled, labelled // 2, labelled // 3]))
+    rows = [(*k, *v) for k, v in shapes.items()]
+    df = spark.createDataFrame(rows, "host string, shape string, n bigint, labelled bigint, bad bigint")
+    ensure_checkpoint_dir(spark)
+    got = {(r["host"], r["shape"]): r["template"] for r in templates(df, 20, 1.96, 0.2).collect()}
+    assert got == plain_templates(rows) and max(t.count("/") for t in got.values()) > 3
+
+
 # --- 5 language-model scores
 
 
@@ -241,7 +304,7 @@ def test_warc_round_trip(spark, tmp_path):
 def test_phrases_are_longest_matches():
     rng = random.Random(1)
     train = [rng.randrange(3) for _ in range(80)]
-    table = parse_table(suffix_automaton(train, 4))
+    table = compact(suffix_automaton(train), 4)
     text = [rng.randrange(4) for _ in range(200)]
     joined = "".join(map(str, train))
 
@@ -278,6 +341,61 @@ def test_language_edge_cases(spark, odd, nothing):
     assert identify(nothing).collect() == []
 
 
+def test_double_array_holds_every_move():
+    rng = random.Random(3)
+    moves = suffix_automaton([rng.choice([0, 1, 2, 3, 40, 41, 199]) for _ in range(3000)])
+    c = compact(moves, 200)
+    for s, m in enumerate(moves):
+        for symbol in (0, 1, 2, 3, 40, 41, 100, 199):
+            slot = c.base[s] + symbol
+            if s == 0:
+                assert c.root[symbol] == m.get(symbol, 0) and c.owner[slot] != 0
+            else:
+                assert (int(c.target[slot]) if c.owner[slot] == s else None) == m.get(symbol)
+    assert len(c.owner) * 8 + len(c.base) * 4 <= 40 * 3000 + 32 * 200  # whatever the text: at most 3 moves and 2 states a symbol
+
+
+def test_rows_that_share_an_id_all_train(spark):
+    words = "the of and to in is that it was for on are as with his they be at one have this".split()
+    rng = random.Random(2)
+    rows = [(8, " ".join(rng.choice(words) for _ in range(12)), "en") for _ in range(3000)]
+    rows += [(i, "la casa de los perros y el gato en la calle", "es") for i in (1, 3, 4)] + [(11, "the one that was with his", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    sample = train(df, "doc_id", "text", "lang", 4, 2, 64, 8192)
+    assert set(sample) == {"en", "es"} and len(sample["en"].split()) == 64 * 12  # 64 different rows, whole
+    assert sample["es"].count(b"casa") == 1  # equal texts are one row
+    assert identify(df).where("doc.doc_id = 11").first()["lang_pred"] == "en"
+
+
+def test_long_rows_are_sampled_last(spark):
+    rows = [(4, f"short row number {i}", "en") for i in range(5)] + [(4, f"{i} " + "long row " * 2000, "en") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert b"long" not in train(df, "doc_id", "text", "lang", 4, 2, 5, 8192)["en"]
+    assert train(df, "doc_id", "text", "lang", 4, 2, 7, 8192)["en"].count(b"long row") == 2 * 2000  # whole
+
+
+def test_language_equals_plain_parsing(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 600").limit(150)
+    samples = train(docs, "doc_id", "text", "lang", 4, 2, 6, 8192)
+
+    def count(piece, sample):
+        n, at = 0, 0
+        while at < len(piece):
+            k = 1
+            while at + k < len(piece) and piece[at:at + k] in sample and piece[at:at + k + 1] in sample:
+                k += 1
+            n, at = n + 1, at + k
+        return n
+
+    for r in identify(docs, train_rows=6).collect():
+        data = bytes(BYTES[np.frombuffer((r["doc"]["text"] or "").lower().encode(), dtype=np.uint8)])
+        counts = [sum(count(data[k:k + 512], samples[x]) for k in range(0, len(data), 512)) for x in sorted(samples)]
+        if r["lang_pred"] != "und":
+            assert r["lang_pred"] == sorted(samples)[int(np.argmin(counts))]
+            low, second = sorted(counts)[:2]
+            assert r["score"] == pytest.approx(1 - low / second)
+
+
 def test_struct_keeps_clashing_columns(odd):
     r = identify(odd).where("doc.doc_id = 10").first()
     assert r["doc"]["doc"] == "s" and r["doc"]["score"] == 1.0
