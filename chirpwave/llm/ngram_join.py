@@ -38,7 +38,9 @@ digests 128-bit.
 Defined cases: a null, empty or wordless text has an empty set, size 0,
 and is linked with nothing; rows that share an id are one document (they are
 in one component); rows with a null id are linked with nothing and have a
-null component; an empty table gives an empty result.
+null component; equal sets are one class, named by its smallest id; texts of
+any length are read whole; an empty table gives an empty result; only the two
+columns named are read, so extra columns clash with nothing.
 """
 
 from __future__ import annotations
@@ -301,7 +303,7 @@ def _loose(members: DataFrame, star: DataFrame) -> DataFrame:
     parts = members.join(components(star).withColumnsRenamed({"node": "id", "component": "part"}), "id", "left")
     main = (parts.where("part is not null").groupBy("component", "part").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("component").agg(F.max_by("part", F.struct("n", "part")).alias("main")))
-    return (parts.join(F.broadcast(main), "component", "left")
+    return (parts.join(main, "component", "left")
             .withColumn("loose", ~F.col("part").eqNullSafe(F.col("main")) | F.col("part").isNull()).drop("part", "main"))
 
 
@@ -309,7 +311,7 @@ def _dealt(marked: DataFrame) -> DataFrame:
     """``(id, component, a, b, loose)``: every loose member meets every member
     of its family in a group (a, b) of a block of each."""
     far = marked.where("loose").groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("far"))
-    marked = marked.join(F.broadcast(far), "component")
+    marked = marked.join(far, "component")
 
     def up_to(n):
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))

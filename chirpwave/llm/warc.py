@@ -152,9 +152,13 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
               .agg(F.first("page_id").alias("refers_to"), F.first("payload_bytes").alias("o_bytes"), F.first("payload").alias("o_payload")))
     wanted = records.where("record_type = 'revisit'").select("refers_record").distinct()
     source = source.join(wanted, "refers_record", "left_semi")
-    joined = records.join(source, "refers_record", "left")
-    return joined.select(*[c for c in records.columns if c not in ("payload_bytes", "payload")], "refers_to",
-                         F.coalesce("payload_bytes", "o_bytes").alias("payload_bytes"), F.coalesce("payload", "o_payload").alias("payload"))
+    # only revisits are joined: responses, most of the archive, have no key to join on
+    plain = [c for c in records.columns if c not in ("payload_bytes", "payload")]
+    is_revisit = F.col("record_type").eqNullSafe("revisit")
+    met = records.where(is_revisit).join(source, "refers_record", "left").select(
+        *plain, "refers_to", F.coalesce("payload_bytes", "o_bytes").alias("payload_bytes"), F.coalesce("payload", "o_payload").alias("payload"))
+    own = records.where(~is_revisit).select(*plain, F.lit(None).cast("bigint").alias("refers_to"), "payload_bytes", "payload")
+    return own.unionByName(met)
 
 
 def deduplicate_archives(spark: SparkSession, source: str, target: str, date: str = "2026-01-01T00:00:00Z",

@@ -109,6 +109,25 @@ def test_near_duplicates_by_five_words_and_four_fifths(spark):
     assert {r["doc_id"] for r in kept} == {i for i, t in rows if not any(same(t, other) for j, other in rows if j < i)} == {1, 3, 5, 6}
 
 
+def test_pipeline_rules_for_repeated_rows_and_clashing_columns(spark, tmp_path):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, text, "en", "a", 5, "t", 1, 7), (1, text, "en", "a", 5, "t", 1, 7), (1, "another text", "en", "a", 5, "u", 1, 7),
+            (2, None, None, None, None, None, None, None), (2, "", "en", "b", 0, "v", 1, 7), (3, "alone here", "en", "b", 0, "w", 1, 7),
+            (None, "no id", "en", "c", 5, "x", 1, 7), (None, "no id", "en", "c", 5, "x", 1, 7), (4, text, "en", "a", 5, "t", 1, 7)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, tokens string, "
+                                       "slice int, doc_tokens int")
+    for name, stage in corpus_pipeline.STAGES:
+        path = str(tmp_path / name)
+        stage(spark, docs, SF).write.parquet(path)  # no two columns of one name
+        docs = spark.read.parquet(path)
+        if name == "ngram_join":  # one row of document 1 (its smallest text), of 2 (the null text); 4 is a copy of 1
+            assert sorted((r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"]) == [(1, "another text"), (2, None), (3, "alone here")]
+            assert docs.where("doc_id is null").count() == 2
+    assert docs.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert set(docs.columns) == {"doc_id", "text", "lang", "source", "n_chars", "doc_doc_tokens", "slice", "doc_tokens", "tokens", "n_tokens", "lossless"}
+    assert docs.count() == 5 and docs.where("not lossless").count() == 0
+
+
 def test_pipeline_runs_on_empty_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
