@@ -12,6 +12,15 @@ in the cluster's shared folder and rereads it for the next.
    document stays, its text possibly empty.
 4. decontamination: documents contaminated by the benchmark go.
 5. encoding: the texts' token ids.
+
+Defined cases: a null or empty text goes through all stages as it is (it is
+clean, near nothing, without repeats, and has no tokens).  Rows that share a
+doc_id are one document: stage 2 keeps one of them, the one with the smallest
+text, then the smallest other columns as JSON; rows with a null doc_id are
+documents of their own, which no stage links or cuts.  Texts of any length are
+read whole.  Ties cannot occur elsewhere: the smallest doc_id stays.  Extra
+columns are kept; one that has the name of a column the last stage adds comes
+out with ``doc_`` before its name.  Empty documents give an empty result.
 """
 
 from __future__ import annotations
@@ -41,7 +50,13 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     linked = ngram_join(docs, shingle=SHINGLE, percent=PERCENT)
     others = linked.where("component_id <> id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    rows = docs.select("doc_id", F.struct("*").alias("row"))
+    order = F.struct(F.col("row.text"), F.to_json("row"))
+    one = (rows.join(repeated.join(others, "doc_id", "left_anti"), "doc_id", "left_semi")
+           .groupBy("doc_id").agg(F.min_by("row", order).alias("row")).select("row.*"))
+    single = docs.join(others.union(repeated), "doc_id", "left_anti").select(docs.columns)
+    return single.unionByName(one.select(docs.columns))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +71,15 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return piece_encode(docs, PIECES).select("doc.*", "tokens", "n_tokens", "lossless")
+    added = ["tokens", "n_tokens", "lossless"]
+    names = {c.lower() for c in docs.columns} | set(added)
+    kept = []
+    for c in docs.columns:
+        name = c
+        while name.lower() in added or (name != c and name.lower() in names):
+            name = f"doc_{name}"
+        kept.append(F.col(f"doc.`{c}`").alias(name))
+    return piece_encode(docs, PIECES).select(*kept, *added)
 
 
 STAGES = [("toxicity", reject_toxic), ("ngram_join", drop_near_duplicates), ("substring_dedup", cut_repeats),
