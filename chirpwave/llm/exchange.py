@@ -32,12 +32,26 @@ ANSWERED = "slice int, payload binary"
 KEY_COUNT = (np.dtype("<u8"), np.dtype("<u4"))
 
 
+#: text of a slice that its task holds at a time
+SLICE_BYTES = 16 << 20
+
+
 def slice_count(spark: SparkSession, slices: int | None = None) -> int:
-    """Slices default to two per shuffle partition: the cluster sizes its
-    shuffle partitions to fit its executors, and slices follow."""
+    """Two per shuffle partition: for buckets, and for slices of records that
+    are bounded already."""
     return slices or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def byte_slices(docs: DataFrame, text_col: str, slices: int | None = None) -> int:
+    """Slices of whole texts: as many as the corpus has ``SLICE_BYTES`` of
+    text, whatever the number of partitions (a task works through its slices
+    one by one).  Counts the bytes in one pass."""
+    if slices:
+        return slices
+    size = docs.agg(F.sum(F.octet_length(text_col).cast("bigint"))).first()[0] or 0
+    return max(1, -(-size // SLICE_BYTES))
+
+
 def sliced(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     """``(slice, doc)`` with every input column inside the struct ``doc``, so
     that no input column can clash with an operator's own.  The text is part

@@ -110,7 +110,7 @@ def lm_score(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     trie_pieces, scores, byte_ids = load_pieces(model_path)
     part = fold(id_col, folds)
-    parts = (X.sliced(docs, n, id_col, text_col)
+    parts = (X.sliced(docs, X.byte_slices(docs, text_col, slices), id_col, text_col)
              .withColumn("train", F.coalesce(fold(f"doc.{id_col}", folds) != held_out, F.lit(False)))
              .withColumn("held_out", F.coalesce(fold(f"doc.{id_col}", folds) == held_out, F.lit(False))))
 

@@ -118,7 +118,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined by one space) and ``factors`` (start, length, source document and
     start there, in words)."""
     n = X.slice_count(docs.sparkSession, slices)
-    parts = X.sliced(docs, n, id_col, text_col)
+    parts = X.sliced(docs, X.byte_slices(docs, text_col, slices), id_col, text_col)
 
     def cut(table):
         return _Slice(table, id_col, text_col, window, anchor)

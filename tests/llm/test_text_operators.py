@@ -324,3 +324,18 @@ def test_large_families_are_led_before_blocks_are_paired(spark, monkeypatch):
     got = {r["id"]: r["component_id"] for r in N.ngram_join(spark.createDataFrame(rows, "doc_id bigint, text string"), star=8).collect()}
     assert got == brute.near(rows)
     assert len(dealt) == 1 and 0 < dealt[0].count() < 6 * len(rows)  # in all pairs of blocks: 13 times each
+
+
+def test_slices_follow_the_text_not_the_partitions(spark, monkeypatch):
+    from chirpwave.llm import exchange as X
+    monkeypatch.setattr(X, "SLICE_BYTES", 10_000)
+    docs = spark.createDataFrame([(i, f"{i} " * 500) for i in range(100)] + [(None, None)], "doc_id bigint, text string")
+    size = sum(len(r["text"]) for r in docs.collect() if r["text"])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("2", "4"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            assert X.byte_slices(docs, "text") == -(-size // 10_000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert X.byte_slices(docs.limit(0), "text") == 1 and X.byte_slices(docs, "text", 3) == 3
