@@ -27,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chirpwave.llm.memory import releasing
+
 ASKED = "slice int, bucket int, payload binary"
 ANSWERED = "slice int, payload binary"
 KEY_COUNT = (np.dtype("<u8"), np.dtype("<u4"))
 
 
 #: text of a slice that its task holds at a time
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 
 def slice_count(spark: SparkSession, slices: int | None = None) -> int:
@@ -134,7 +136,7 @@ def count_keys(asks: DataFrame, least: int = 2) -> DataFrame:
         enough = totals >= least
         return answered(senders[enough], [keys[enough], np.minimum(totals[enough], 2**32 - 1).astype("<u4")])
 
-    return asks.groupBy("bucket").applyInArrow(count, ANSWERED)
+    return asks.groupBy("bucket").applyInArrow(releasing(count), ANSWERED)
 
 
 def ask_counts(slice_id: int, keys: np.ndarray, counts: np.ndarray, n: int) -> pa.Table:
@@ -152,4 +154,4 @@ def shared_keys(slices: DataFrame, n: int, keys_of: Callable[[pa.Table], tuple[n
     def ask(key, table):
         return ask_counts(key[0].as_py(), *keys_of(table), n)
 
-    return count_keys(slices.groupBy("slice").applyInArrow(ask, ASKED), least)
+    return count_keys(slices.groupBy("slice").applyInArrow(releasing(ask), ASKED), least)

@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 
 from chirpwave.llm import exchange as X
 from chirpwave.llm.language_id import fold
+from chirpwave.llm.memory import releasing
 from chirpwave.llm.lattice import PieceTrie, word_lattices
 from chirpwave.llm.words import LOWER, digests, split_words, vocab_bytes
 from chirpwave.session import scratch_path
@@ -126,7 +127,7 @@ def lm_score(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
                          "counts": pa.array([counts[a:b].tobytes() for a, b in zip(at, ends)], type=pa.binary())})
 
     path = scratch_path(spark, "lm-words")
-    (parts.groupBy("slice").applyInArrow(send, SENT).groupBy("bucket").applyInArrow(_combine, BUCKET)
+    (parts.groupBy("slice").applyInArrow(releasing(send), SENT).groupBy("bucket").applyInArrow(releasing(_combine), BUCKET)
      .write.parquet(path))
     buckets = spark.read.schema(BUCKET).parquet(path)
     ends = docs.where(part != held_out).count()
@@ -196,4 +197,4 @@ def lm_score(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
             "base_score": pa.array(per_row(base[part.words.codes], math.log10((ends + 0.5) / floor))),
             "score": pa.array(per_row((log_sum / LN10)[part.words.codes], logp[-1] / LN10))})
 
-    return parts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(score, schema)
+    return parts.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(releasing(score), schema)

@@ -54,6 +54,7 @@ from pyspark.sql import functions as F
 from chirpwave.llm import exchange as X
 from chirpwave.llm import signature_tree as S
 from chirpwave.llm.components import components
+from chirpwave.llm.memory import releasing
 from chirpwave.llm.words import LOWER, digests, grams, shards, split_words, vocab_bytes
 from chirpwave.session import scratch_path
 
@@ -343,7 +344,7 @@ def families(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         ids, found = unpacked(table)
         return pairs(family_links(ids, found, percent, ~np.asarray(table["loose"], dtype=bool)))
 
-    small = placed.where("blocks = 1").join(sets, "id").withColumn("loose", F.lit(True)).groupBy("component").applyInArrow(link, uv)
+    small = placed.where("blocks = 1").join(sets, "id").withColumn("loose", F.lit(True)).groupBy("component").applyInArrow(releasing(link), uv)
     if placed.where("blocks > 1").isEmpty():
         return small
     path = scratch_path(spark, "family-sets")
@@ -365,10 +366,10 @@ def families(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     leaders = spark.read.schema(held.schema).parquet(path).withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     star = scratch_path(spark, "star")
-    held.groupBy("component", "block").cogroup(leaders.groupBy("component", "block")).applyInArrow(follow, uv).write.parquet(star)
+    held.groupBy("component", "block").cogroup(leaders.groupBy("component", "block")).applyInArrow(releasing(follow), uv).write.parquet(star)
     star = spark.read.schema(uv).parquet(star)
     dealt = _dealt(_loose(held.drop("tokens"), star)).join(held.select("id", "tokens"), "id")
-    return small.unionByName(star).unionByName(dealt.groupBy("component", "a", "b").applyInArrow(link, uv))
+    return small.unionByName(star).unionByName(dealt.groupBy("component", "a", "b").applyInArrow(releasing(link), uv))
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
@@ -412,7 +413,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, shingle: int, percent: i
                 out.append((u, v))
         return pa.table({"u": pa.array([x[0] for x in out], type=pa.int64()), "v": pa.array([x[1] for x in out], type=pa.int64())})
 
-    return left.groupBy("lg", "lsalt").cogroup(right.groupBy("g", "salt")).applyInArrow(check, "u bigint, v bigint")
+    return left.groupBy("lg", "lsalt").cogroup(right.groupBy("g", "salt")).applyInArrow(releasing(check), "u bigint, v bigint")
 
 
 def _candidates(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, hot: int, star: int, n: int):
@@ -463,7 +464,7 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, shingle: int, perce
             return X.asked(0, np.empty(0, np.int32), [])
         return X.ask_counts(key[0].as_py(), *_Part(table, percent, keys_in(replies, 0)).asks(), n)
 
-    asks = parts.groupBy("slice").cogroup(frequent.groupBy("slice")).applyInArrow(ask, X.ASKED)
+    asks = parts.groupBy("slice").cogroup(frequent.groupBy("slice")).applyInArrow(releasing(ask), X.ASKED)
     replies = frequent.unionByName(X.count_keys(asks).withColumn("kind", F.lit(1)))
 
     def send(key, table, replies):
@@ -490,9 +491,9 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, shingle: int, perce
                          "members": pa.array(columns[2], type=pa.binary()), "records": pa.array(columns[3], type=pa.binary())})
 
     records = (parts.groupBy("slice").cogroup(replies.groupBy("slice"))
-               .applyInArrow(send, "bucket int, class int, members binary, records binary"))
+               .applyInArrow(releasing(send), "bucket int, class int, members binary, records binary"))
     path = scratch_path(spark, "candidates")
-    records.groupBy("bucket").applyInArrow(_first_round(percent, star), FOUND).write.parquet(path)
+    records.groupBy("bucket").applyInArrow(releasing(_first_round(percent, star)), FOUND).write.parquet(path)
     found = spark.read.schema(FOUND).parquet(path)
     return texts, sets, found
 

@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from chirpwave.llm import exchange as X
+from chirpwave.llm.memory import releasing
 from chirpwave.llm.words import digests, grams, inside, sliding_min, split_words, vocab_bytes
 
 SEED = (np.dtype("<u8"), np.dtype("<u4"), np.dtype("<i8"), np.dtype("<u4"))  # digest, digest, document, offset
@@ -149,8 +150,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         fields = [f[at] for f in fields]
         return X.asked(key[0].as_py(), X.bucket_of(fields[0], n), fields)
 
-    index = (parts.groupBy("slice").cogroup(live.groupBy("slice")).applyInArrow(send_seeds, X.ASKED)
-             .groupBy("bucket").applyInArrow(_index_block, X.ANSWERED))
+    index = (parts.groupBy("slice").cogroup(live.groupBy("slice")).applyInArrow(releasing(send_seeds), X.ASKED)
+             .groupBy("bucket").applyInArrow(releasing(_index_block), X.ANSWERED))
 
     schema = T.StructType([parts.schema["doc"]] + T.StructType.fromDDL(
         f"n_words bigint, n_removed bigint, kept_text string, kept_sha256 string, factors {FACTORS}").fields)
@@ -185,7 +186,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         out = parse(key, table, reply)
         return out if out is not None else _empty(schema)
 
-    return parts.groupBy("slice").cogroup(index.groupBy("slice")).applyInArrow(run, schema)
+    return parts.groupBy("slice").cogroup(index.groupBy("slice")).applyInArrow(releasing(run), schema)
 
 
 def _empty(schema: T.StructType) -> pa.Table:
