@@ -72,6 +72,7 @@ WIDEST = 1 << 14  # bits of a family's signatures
 CHUNK_WORDS = 1 << 20  # bitmap words of the small groups compared together
 SHARD_BYTES = 2 << 20
 BROADCAST_IDS = 1_000_000
+SLICE_SHINGLES = 1 << 20  # of a slice of sets; their tokens are dealt to as many buckets
 GROUP_PAIRS = 5_000
 
 
@@ -416,7 +417,15 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, shingle: int, percent: i
     return left.groupBy("lg", "lsalt").cogroup(right.groupBy("g", "salt")).applyInArrow(releasing(check), "u bigint, v bigint")
 
 
-def _candidates(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, hot: int, star: int, n: int):
+def set_slices(sets: DataFrame) -> int:
+    """Slices that hold ``SLICE_SHINGLES`` each, whatever the number of
+    partitions; a family is named once per bucket that holds a token of it."""
+    total = sets.where("tokens is not null").agg(F.sum("n")).first()[0] or 0
+    return max(1, -(-total // SLICE_SHINGLES))
+
+
+def _candidates(docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, hot: int, star: int,
+                slices: int | None):
     """(texts, written sets of all documents, written output of the first round)."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
@@ -443,6 +452,7 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, shingle: int, perce
     path = scratch_path(spark, "shingle-sets")
     texts.mapInArrow(describe, SETS).write.parquet(path)
     sets = spark.read.schema(SETS).parquet(path)
+    n = slices or set_slices(sets)
     parts = sets.where("tokens is not null").select(
         F.pmod(F.xxhash64("digest"), F.lit(n)).cast("int").alias("slice"), "id", "n", "digest", "tokens", "bits")
     none = np.empty(0, dtype=np.uint64)
@@ -511,7 +521,7 @@ def ngram_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     grows with the square of the group; ``ngram_join`` finds the same
     components without listing them."""
     n = X.slice_count(docs.sparkSession, slices)
-    texts, sets, found = _candidates(docs, id_col, text_col, shingle, percent, hot, 1 << 62, n)
+    texts, sets, found = _candidates(docs, id_col, text_col, shingle, percent, hot, 1 << 62, slices)
     known = texts.where("id is not null")
     return verified(found.select("u", "v"), known, n, shingle, percent).distinct(), _classes(sets)
 
@@ -522,7 +532,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id with an equal set, and the smallest id reachable by links."""
     spark = docs.sparkSession
     n = X.slice_count(spark, slices)
-    texts, sets, found = _candidates(docs, id_col, text_col, shingle, percent, hot, star, n)
+    texts, sets, found = _candidates(docs, id_col, text_col, shingle, percent, hot, star, slices)
     known = texts.where("id is not null")
     links = verified(found.where("not family").select("u", "v"), known, n, shingle, percent)
     edges = found.where("family").select("u", "v")

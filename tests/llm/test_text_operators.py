@@ -339,3 +339,16 @@ def test_slices_follow_the_text_not_the_partitions(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert X.byte_slices(docs.limit(0), "text") == 1 and X.byte_slices(docs, "text", 3) == 3
+
+
+def test_set_slices_follow_the_shingles_not_the_partitions(spark, monkeypatch):
+    from chirpwave.llm import ngram_join as J
+    monkeypatch.setattr(J, "SLICE_SHINGLES", 500)
+    sets = spark.createDataFrame([(i, 100, b"d", b"t" if i < 12 else None, b"") for i in range(20)], J.SETS)
+    assert J.set_slices(sets) == 3  # of the 12 sets that take part
+    assert J.set_slices(sets.limit(0)) == 1
+    rng = random.Random(8)
+    base = [[f"{b}_{i}" for i in range(60)] for b in range(4)]
+    rows = [(i, " ".join(w if rng.random() > 0.01 else f"r{rng.random()}" for w in rng.choice(base))) for i in range(80)]
+    got = {r["id"]: r["component_id"] for r in ngram_join(spark.createDataFrame(rows, "doc_id bigint, text string"), star=8).collect()}
+    assert got == brute.near(rows)
