@@ -1,16 +1,21 @@
-"""Operator 1: substring dedup by a window exchange, with relative
-Lempel-Ziv factors derived from it.
+"""Operator 1: substring dedup by relative Lempel-Ziv parsing against
+indexed reference blocks.
 
 Every bucket of the key exchange is an indexed *reference block*: it holds
 the ``window``-word seeds of one range of the seed space with the earliest
-document and offset of each.  Every window of a document is looked up on its
-own, and the words of all windows that an earlier document holds are the
-duplicate text.  Factors are derived from these answers: a factor is a run of
-windows whose earliest occurrences follow each other in one document.  It is
-not grown in its source: where a single window occurs in a still earlier
-document, that window is a factor of its own, so factors are not the longest
-possible.  All factors have ``window`` words or more; their union is the
-duplicate text.
+document and offset of each.  Every window of a document is looked up in the
+block of its seed.  The document is then factored greedily from left to
+right: a factor is anchored at the earliest occurrence of its first window,
+grows in that source, and the next one is anchored where it ends.  At factor
+ends the windows that reach across are checked, so that a passage over the
+seam of two factors is found too.  Factors have ``window`` words or more;
+their union, the duplicate text, is exactly the words of all windows that an
+earlier document holds.
+
+Growth follows the looked-up occurrences.  Where up to ``window`` windows in a
+row occur in a still earlier document, the windows around them prove the
+source's words equal and the factor goes on; after a longer stretch of that
+kind the parse is anchored anew.
 
 Seeds are not all shuffled.  The smallest ``anchor``-word hash inside a
 window is the same wherever the window occurs, so a window can only repeat if
@@ -27,6 +32,7 @@ removal never cascades; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from itertools import compress
 
 import numpy as np
@@ -96,19 +102,47 @@ def _index_block(table: pa.Table) -> pa.Table:
 
 
 def factor(starts, row, source, offset, window):
-    """Factors of the windows that match an earlier document: runs of windows
-    whose sources follow each other.
-
-    ``starts`` are stream positions in order; returns (row, start, length,
+    """Greedy parse into factors of the windows that match an earlier document.
+
+    ``starts`` are the windows' stream positions in order, with the earliest
+    occurrence of each.  A factor is anchored at its first window's occurrence
+    and grows there: windows on the same diagonal (same document, same
+    distance) that overlap or touch prove all words between them equal, also
+    where a window in between occurs in a still earlier document.  The next
+    factor starts where this one ends, and windows across the seam become
+    factors of their own; if no matching window starts at the end, the next
+    factor is the first window that reaches across or lies behind.  Returns (row, start, length,
     source, source offset) arrays, start in stream positions."""
     if not len(starts):
         return [np.empty(0, dtype=np.int64)] * 5
     new = np.ones(len(starts), dtype=bool)
     new[1:] = ((starts[1:] != starts[:-1] + 1) | (row[1:] != row[:-1])
                | (source[1:] != source[:-1]) | (offset[1:] != offset[:-1] + 1))
-    at = np.nonzero(new)[0]
-    length = np.diff(np.append(at, len(starts))) + window - 1
-    return [row[at], starts[at], length, source[at], offset[at]]
+    at = np.nonzero(new)[0]  # runs along a diagonal
+    run = np.cumsum(new) - 1
+    ends = starts[np.append(at[1:], len(starts)) - 1] + window
+    order = np.lexsort((starts[at], (offset - starts)[at], source[at], row[at]))
+    first, until = at[order], ends[order]
+    apart = np.ones(len(at), dtype=bool)
+    apart[1:] = ((row[first][1:] != row[first][:-1]) | (source[first][1:] != source[first][:-1])
+                 | ((offset - starts)[first][1:] != (offset - starts)[first][:-1]) | (starts[first][1:] > until[:-1]))
+    grown = np.empty(len(at), dtype=np.int64)  # where each run's diagonal stops matching
+    grown[order] = until[np.append(np.nonzero(apart)[0][1:], len(at)) - 1][np.cumsum(apart) - 1]
+    places, stops = starts.tolist(), grown[run].tolist()
+    chosen, i = [], 0
+    while i < len(places):
+        chosen.append(i)
+        end = stops[i]
+        seam, following = bisect_left(places, end - window + 1, i + 1), bisect_left(places, end, i + 1)
+        if following == len(places) or places[following] != end:
+            i = seam
+            continue
+        while seam < following:
+            chosen.append(seam)
+            seam = bisect_left(places, stops[seam] - window + 1, seam + 1)
+        i = following
+    chosen = np.array(chosen)
+    return [row[chosen], starts[chosen], grown[run][chosen] - starts[chosen], source[chosen], offset[chosen]]
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 13,

@@ -65,6 +65,58 @@ def test_factor_boundaries_are_checked(spark):
     assert out["n_removed"] == 40 and {f["source"] for f in out["factors"]} == {1, 2, 3}
 
 
+def test_a_factor_grows_past_a_window_held_earlier(spark):
+    words = [f"w{i}" for i in range(100)]
+    rows = [(2, " ".join(["x"] + words[50:63])), (7, " ".join(["a", "b"] + words)), (9, " ".join(["c"] + words + ["d"]))]
+    out = substring_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).where("doc.doc_id = 9").first()
+    assert [tuple(f) for f in out["factors"]] == [(1, 100, 7, 2)] and out["n_removed"] == 100
+
+
+def test_factors_equal_a_plain_greedy_parse(spark):
+    rng = random.Random(15)
+    pool = [[rng.choice("abcdefghij") for _ in range(60)] for _ in range(5)]
+    rows = []
+    for i in range(50):
+        words = []
+        for _ in range(rng.randrange(1, 5)):
+            part = rng.choice(pool)[rng.randrange(30):][:rng.randrange(5, 60)]
+            words += part + [f"u{i}"] * rng.randrange(2)
+        rows.append((i, " ".join(words)))
+    earliest: dict[tuple, tuple] = {}
+    want = {}
+    for i, text in rows:  # by ascending id
+        words = text.split()
+        holder = [earliest.get(tuple(words[p:p + 13])) for p in range(len(words) - 12)]
+        for p in range(len(words) - 12):
+            earliest.setdefault(tuple(words[p:p + 13]), (i, p))
+        factors, p = [], 0
+
+        def grow(p):
+            source, at = holder[p]
+            end, q = p + 13, p + 1
+            while q <= end and q < len(holder):
+                if holder[q] == (source, at + q - p):
+                    end = q + 13
+                q += 1
+            factors.append((p, end - p, source, at))
+            return end
+
+        while p < len(holder):
+            if holder[p] is None:
+                p += 1
+                continue
+            end = grow(p)
+            p = end - 12  # the first window that reaches across
+            if end < len(holder) and holder[end]:
+                while p < end:  # seam
+                    p = grow(p) - 12 if holder[p] else p + 1
+                p = end
+        want[i] = factors
+    out = substring_dedup(spark.createDataFrame(rows, "doc_id bigint, text string"), slices=3)
+    got = {r["doc_id"]: [tuple(f) for f in r["factors"]] for r in out.select("doc.doc_id", "factors").collect()}
+    assert got == want and sum(map(len, want.values())) > 50
+
+
 def test_ngram_join_odd_rows(odd):
     got = {(r["id"], r["n_shingles"], r["component_id"]) for r in ngram_join(odd).collect()}
     reach = brute.near(ODD)
