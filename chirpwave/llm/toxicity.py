@@ -1,7 +1,7 @@
 """Operator 3: toxicity by a naive-Bayes-scaled character n-gram classifier.
 
-Features are the presence of byte n-grams of the lower-cased text (words
-separated by one boundary space).  On the labelled training rows each n-gram
+Features are the presence of character n-grams (code points, A-Z lower-cased)
+of the text, its words separated by one boundary space.  On the labelled training rows each n-gram
 gets its naive Bayes log-count ratio r = log((p + a) / P) - log((q + a) / Q)
 over toxic and other documents; the ``features`` n-grams that separate the
 classes best (largest likelihood-ratio statistic) are kept.  A logistic
@@ -54,9 +54,10 @@ def _table() -> np.ndarray:
 BYTES = _table()
 
 
-def boundary_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all rows with ASCII punctuation as spaces, every word between
-    two single spaces, and the row of every byte."""
+def boundary_chars(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of all rows with ASCII punctuation as spaces, every word
+    between two single spaces, and the row of every character.  A character
+    is the number that its UTF-8 bytes spell."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     space = pa.scalar(" ", pa.large_string())
@@ -69,18 +70,36 @@ def boundary_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     row = np.repeat(np.arange(len(raw), dtype=np.int32), np.diff(offsets))
     keep = np.ones(len(flat), dtype=bool)  # one space between words
     keep[1:] = (flat[1:] != 32) | (flat[:-1] != 32) | (row[1:] != row[:-1])
-    return flat[keep], row[keep]
-
-
-def gram_keys(flat: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Every n-gram inside a row as its bytes in an integer (its order in the top byte)."""
-    m = len(flat) - n + 1
+    flat, row = flat[keep], row[keep]
+    if not len(flat) or flat.max() < 128:
+        return flat, row
+    tail = (flat & 0xC0) == 0x80
+    at = np.nonzero(~tail)[0]
+    chars, row = flat[at].astype(np.uint32), row[at]
+    more = np.diff(np.append(at, len(flat))) - 1
+    for i in (1, 2, 3):
+        long = np.nonzero(more >= i)[0]
+        chars[long] = chars[long] << np.uint32(8) | flat[at[long] + i]
+    return chars, row
+
+
+def gram_keys(chars: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every n-gram inside a row as an integer whose top byte tells its order:
+    the ASCII characters themselves, or a 56-bit hash if one lies beyond ASCII."""
+    m = len(chars) - n + 1
     if m <= 0:
         return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int32)
+    same = row[:m] == row[n - 1:]
     key = np.full(m, n << 56, dtype=np.uint64)
     for i in range(n):
-        key |= flat[i:i + m].astype(np.uint64) << np.uint64(8 * i)
-    same = row[:m] == row[n - 1:]
+        key |= chars[i:i + m].astype(np.uint64) << np.uint64(8 * i)
+    if chars.max() > 127:
+        foreign = np.concatenate([[0], np.cumsum(chars > 127)])
+        wide = np.nonzero(foreign[n:] > foreign[:m])[0]
+        spelt = np.zeros(len(wide), dtype=np.uint64)
+        for i in range(n):
+            spelt = mix(spelt ^ chars[wide + i].astype(np.uint64)) + np.uint64(i + 1)
+        key[wide] = spelt >> np.uint64(8) | np.uint64((n | 0x80) << 56)
     return key[same], row[:m][same]
 
 
@@ -112,10 +131,10 @@ class Vocabulary:
 
     def presence(self, texts: pa.Array) -> np.ndarray:
         """Rows x features."""
-        flat, row = boundary_bytes(texts)
+        chars, row = boundary_chars(texts)
         present = np.zeros((len(texts), self.size), dtype=bool)
         for n in ORDERS:
-            keys, rows = gram_keys(flat, row, n)
+            keys, rows = gram_keys(chars, row, n)
             ids = self.find(keys)
             hit = ids >= 0
             present[rows[hit], ids[hit]] = True
@@ -155,9 +174,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     def count(batches):
         for batch in batches:
             y = np.asarray(batch["y"], dtype=np.int64)
-            flat, row = boundary_bytes(batch["text"])
+            chars, row = boundary_chars(batch["text"])
             for n in ORDERS:
-                keys, rows = gram_keys(flat, row, n)
+                keys, rows = gram_keys(chars, row, n)
                 order = np.lexsort((rows, keys))
                 keys, rows = keys[order], rows[order]
                 new = np.ones(len(keys), dtype=bool)

@@ -16,7 +16,7 @@ from chirpwave.session import ensure_checkpoint_dir
 from chirpwave.llm.lattice import PieceTrie, word_lattices
 from chirpwave.llm.lm_score import lm_score, load_pieces, starting_weights
 from chirpwave.llm.topk_search import block_search, topk_search
-from chirpwave.llm.toxicity import Vocabulary, gram_keys, toxicity
+from chirpwave.llm.toxicity import ORDERS, Vocabulary, boundary_chars, gram_keys, toxicity
 from chirpwave.llm.url_filter import RULES, host_of, path_of, templates, url_filter
 from chirpwave.llm.warc import deduplicate_archives, read_archives, resolve_revisits, write_archives
 
@@ -70,6 +70,27 @@ def test_vocabulary_finds_exactly_its_grams():
     assert rows.tolist() == [0, 0, 1] and grams[0] == grams[2]
 
 
+def test_grams_are_of_whole_characters():
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abAB .,7éß漢字仮名🙂") for _ in range(rng.randrange(60))) for _ in range(200)] + [None, "", "漢" * 6, "plain words"]
+
+    def characters(text):  # ASCII but letters and digits parts words
+        text = "".join((c.lower() if c.isalnum() else " ") if ord(c) < 128 else c for c in text or "")
+        return " " + "".join(w + " " for w in text.split(" ") if w)
+
+    for some in (texts, ["plain", "words, and More"]):
+        chars, row = boundary_chars(pa.array(some, type=pa.string()))
+        for n in ORDERS:
+            keys, rows = gram_keys(chars, row, n)
+            want = [(i, t[a:a + n]) for i, t in enumerate(map(characters, some)) for a in range(len(t) - n + 1)]
+            assert rows.tolist() == [i for i, _ in want]
+            grams = dict(zip((g for _, g in want), keys.tolist()))  # one key a gram, one gram a key
+            assert [grams[g] for _, g in want] == keys.tolist() and len(set(grams.values())) == len(grams)
+    alone = gram_keys(*boundary_chars(pa.array(["plain"])), 4)[0]
+    beside = gram_keys(*boundary_chars(pa.array(["plain", "漢字"])), 4)  # the same keys in any company
+    assert beside[0][beside[1] == 0].tolist() == alone.tolist()
+
+
 # --- 4 url filters
 
 URLS = ["http://A.Example.ORG/es/1?x", "https://example.org/en/12#f", "http://example.org/en/2", "http://foo.com/fr/9", "http://foo.com/de/9",
