@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chirpwave.llm.fm_index import FMIndex
+from chirpwave.llm.memory import releasing_map
 from chirpwave.llm.words import ALNUM, shards, split_words, vocab_bytes
 
 SPANS = "array<struct<start:int,length:int>>"
@@ -143,7 +144,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id"
                 for shard in shards(batch, pc.struct_field(batch["doc"], text_col), SHARD_BYTES):
                     yield _mark(shard, windows, text_col)
 
-        out = out.mapInArrow(mark, schema)
+        out = out.mapInArrow(releasing_map(mark), schema)
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["length"])
     return (out.withColumn("n_hit", n_hit)
             .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))))

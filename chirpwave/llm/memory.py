@@ -2,7 +2,8 @@
 
 Spark reuses Python workers, and a worker's allocator keeps what a large step
 has freed: executors that run stage after stage then hold the largest step of
-all stages in every worker.  ``releasing`` gives it back after each step.
+all stages in every worker.  ``releasing`` gives it back after each step of a
+grouped map, ``releasing_map`` around a map over batches.
 """
 
 from __future__ import annotations
@@ -49,3 +50,15 @@ def releasing(step: Callable) -> Callable:
             finally:
                 release()
     return run
+
+
+def releasing_map(step: Callable) -> Callable:
+    """``step`` of a ``mapInArrow``, with memory released before it starts
+    (what the worker kept of an earlier stage) and when it ends."""
+    def run(batches):
+        release()
+        try:
+            yield from step(batches)
+        finally:
+            release()
+    return run

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chirpwave.llm.memory import releasing_map
 from chirpwave.llm.words import mix, shards
 
 MARK = "▁"
@@ -292,7 +293,7 @@ def piece_encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
                     [shard["doc"], lists, pa.array(np.diff(offsets)), pa.array(lossless, type=pa.bool_())],
                     names=["doc", "tokens", "n_tokens", "lossless"])
 
-    return out.mapInArrow(encode, schema)
+    return out.mapInArrow(releasing_map(encode), schema)
 
 
 def piece_decode(encoded: DataFrame, model_path: str, tokens_col: str = "tokens") -> DataFrame:
@@ -311,4 +312,4 @@ def piece_decode(encoded: DataFrame, model_path: str, tokens_col: str = "tokens"
             texts = [t.decode() if ok else None for t, ok in zip(texts, lists.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([batch["row"], pa.array(texts, type=pa.string())], names=["row", "text"])
 
-    return out.mapInArrow(restore, schema)
+    return out.mapInArrow(releasing_map(restore), schema)

@@ -54,7 +54,7 @@ from pyspark.sql import functions as F
 from chirpwave.llm import exchange as X
 from chirpwave.llm import signature_tree as S
 from chirpwave.llm.components import components
-from chirpwave.llm.memory import releasing
+from chirpwave.llm.memory import releasing, releasing_map
 from chirpwave.llm.words import LOWER, digests, grams, shards, split_words, vocab_bytes
 from chirpwave.session import scratch_path
 
@@ -385,7 +385,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part["id"], pa.array([s.tobytes() for s in sets], type=pa.binary())],
                                                  names=["id", "tokens"])
 
-    return docs.join(ids, "id", "left_semi").mapInArrow(describe, "id bigint, tokens binary")
+    return docs.join(ids, "id", "left_semi").mapInArrow(releasing_map(describe), "id bigint, tokens binary")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, n: int, shingle: int, percent: int) -> DataFrame:
@@ -450,7 +450,7 @@ def _candidates(docs: DataFrame, id_col: str, text_col: str, shingle: int, perce
             yield from done
 
     path = scratch_path(spark, "shingle-sets")
-    texts.mapInArrow(describe, SETS).write.parquet(path)
+    texts.mapInArrow(releasing_map(describe), SETS).write.parquet(path)
     sets = spark.read.schema(SETS).parquet(path)
     n = slices or set_slices(sets)
     parts = sets.where("tokens is not null").select(

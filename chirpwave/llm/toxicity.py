@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chirpwave.llm.language_id import fold
-from chirpwave.llm.words import LOWER, mix
+from chirpwave.llm.memory import releasing_map
+from chirpwave.llm.words import LOWER, mix, shards
 from chirpwave.session import scratch_path
 
 ORDERS = (4, 5, 6)
@@ -39,6 +40,8 @@ FEATURES = 1_000
 MIN_DOCS = 5
 SMOOTH = 1.0
 PENALTY = 1.0
+SHARD_BYTES = 1 << 20  # of text whose n-grams are held at a time
+SHARD_ROWS = 1_000  # of the presence matrix
 _SLOTS = 1 << 16
 
 
@@ -103,6 +106,14 @@ def gram_keys(chars: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, n
     return key[same], row[:m][same]
 
 
+def bounded(batches, texts_of):
+    """Consecutive rows with at most ``SHARD_BYTES`` of text (or one row) and ``SHARD_ROWS`` rows."""
+    for batch in batches:
+        for part in shards(batch, texts_of(batch), SHARD_BYTES):
+            for start in range(0, part.num_rows, SHARD_ROWS):
+                yield part.slice(start, SHARD_ROWS)
+
+
 class Vocabulary:
     """Feature ids of n-gram keys, by an exact open-addressing table."""
 
@@ -172,9 +183,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     chosen = docs.sparkSession.read.schema("y int, text string").parquet(path)
 
     def count(batches):
-        for batch in batches:
-            y = np.asarray(batch["y"], dtype=np.int64)
-            chars, row = boundary_chars(batch["text"])
+        for part in (p for batch in batches for p in shards(batch, batch["text"], SHARD_BYTES)):
+            y = np.asarray(part["y"], dtype=np.int64)
+            chars, row = boundary_chars(part["text"])
             for n in ORDERS:
                 keys, rows = gram_keys(chars, row, n)
                 order = np.lexsort((rows, keys))
@@ -194,7 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     n_other = sum(r["count"] for r in sizes if r["y"] == 0)
     if not n_toxic or not n_other:
         return np.empty(0, np.uint64), np.empty(0, np.float32), float(np.log((n_toxic + 1) / (n_other + 1)))
-    grams = (chosen.mapInArrow(count, "gram bigint, toxic bigint, total bigint").groupBy("gram")
+    grams = (chosen.mapInArrow(releasing_map(count), "gram bigint, toxic bigint, total bigint").groupBy("gram")
              .agg(F.sum("toxic").alias("p"), F.sum("total").alias("n")).where(F.col("n") >= MIN_DOCS))
     p, q = F.col("p").cast("double"), (F.col("n") - F.col("p")).cast("double")
 
@@ -212,12 +223,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     vocabulary = Vocabulary(keys)
 
     def rows(batches):
-        for batch in batches:
-            bits = np.packbits(vocabulary.presence(batch["text"]), axis=1)
-            yield pa.RecordBatch.from_arrays([batch["y"], pa.array([b.tobytes() for b in bits], type=pa.binary())],
+        for part in bounded(batches, lambda batch: batch["text"]):
+            bits = np.packbits(vocabulary.presence(part["text"]), axis=1)
+            yield pa.RecordBatch.from_arrays([part["y"], pa.array([b.tobytes() for b in bits], type=pa.binary())],
                                              names=["y", "bits"])
 
-    table = chosen.mapInArrow(rows, "y int, bits binary").toArrow()  # train_rows x features / 8 bytes
+    table = chosen.mapInArrow(releasing_map(rows), "y int, bits binary").toArrow()  # train_rows x features / 8 bytes
     bits = np.frombuffer(b"".join(table["bits"].to_pylist()), dtype=np.uint8).reshape(table.num_rows, -1)
     x = np.unpackbits(bits, axis=1, count=len(keys)).astype(np.float32) * r
     w, b = fit_logistic(x, np.asarray(table["y"], dtype=np.float32), PENALTY)
@@ -235,13 +246,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     schema = T.StructType(out.schema.fields + T.StructType.fromDDL("score double").fields)
 
     def score(batches):
-        for batch in batches:
-            texts, parts = pc.struct_field(batch["doc"], text_col), []
-            for start in range(0, len(texts), 1000):  # bounds the presence matrix
-                z = vocabulary.presence(texts.slice(start, 1000)) @ weights + intercept
-                parts.append(1 / (1 + np.exp(-np.clip(z, -500, 500, dtype=np.float64))))
-            scores = np.concatenate(parts) if parts else np.empty(0)
-            yield pa.RecordBatch.from_arrays([batch["doc"], batch["held_out"], pa.array(scores)],
+        for part in bounded(batches, lambda batch: pc.struct_field(batch["doc"], text_col)):
+            z = vocabulary.presence(pc.struct_field(part["doc"], text_col)) @ weights + intercept
+            scores = 1 / (1 + np.exp(-np.clip(z, -500, 500, dtype=np.float64)))
+            yield pa.RecordBatch.from_arrays([part["doc"], part["held_out"], pa.array(scores)],
                                              names=["doc", "held_out", "score"])
 
-    return out.mapInArrow(score, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return out.mapInArrow(releasing_map(score), schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
