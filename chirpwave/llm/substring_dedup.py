@@ -12,7 +12,7 @@ seam of two factors is found too.  Factors have ``window`` words or more;
 their union, the duplicate text, is exactly the words of all windows that an
 earlier document holds.
 
-Growth follows the looked-up occurrences.  Where up to ``window`` windows in a
+Growth follows the looked-up occurrences.  Where fewer than ``window`` windows in a
 row occur in a still earlier document, the windows around them prove the
 source's words equal and the factor goes on; after a longer stretch of that
 kind the parse is anchored anew.
