@@ -11,12 +11,17 @@ from __future__ import annotations
 import logging
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 log = logging.getLogger(__name__)
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Settings every session of ours uses.  Event time is compared with
 # DuckDB, so the session zone is pinned to UTC.
 BASE_CONF = {
@@ -31,8 +36,7 @@ BASE_CONF = {
     "spark.sql.streaming.statefulOperator.checkCorrectness.enabled": "true",
     # window state lives in RocksDB (off-heap, spills to local disk) and is
     # checkpointed incrementally as a changelog, not as full snapshots
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_PROVIDER: ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
@@ -100,6 +104,19 @@ def apply_stream_conf(spark: SparkSession, state_partitions: int | None = None)
     return applied
 
 
+@contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Session settings for the length of a ``with`` block."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
                   app: str = "chirpwave", extra: dict | None = None) -> SparkSession:
     """A local session for tests and the bench (never used on a cluster)."""

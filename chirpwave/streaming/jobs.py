@@ -49,10 +49,11 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.numeric import window_time_ms
 from ..functions.records import TEXT_FIELDS, rejects, valid
 from ..plans import pipelines as P
-from ..session import make_folder
+from ..session import make_folder, settings
 from ..sources.tables import read_parquet_stream
 from . import pipelines as S
 from .sinks import DEFAULT_TRIGGER, LateRows, kafka_sink_options, start_foreach_batch, start_query, to_kafka_rows
+from .topk import state_conf
 
 Scorer = Callable[[Column], Column]
 
@@ -231,8 +232,9 @@ def trending_job(records: DataFrame, out: Sink, reject: Sink, checkpoint: str,
     path = f"{checkpoint}/result"
     if in_plan:
         top = S.top_words_stream(counts, k).withColumn("time", window_time_ms("window_end"))
-        return Job(_start(to_kafka_rows(top, ["time", "word", "count"]), out, path, trigger),
-                   [_start(_reject_rows(posts), reject, f"{checkpoint}/rejects", trigger)])
+        with settings(records.sparkSession, state_conf(records.sparkSession)):
+            result = _start(to_kafka_rows(top, ["time", "word", "count"]), out, path, trigger)
+        return Job(result, [_start(_reject_rows(posts), reject, f"{checkpoint}/rejects", trigger)])
 
     def emit(top: DataFrame, epoch_id: int) -> None:
         top = top.withColumn("time", window_time_ms("window_end"))

@@ -22,18 +22,27 @@ from pyspark.sql import types as T
 from ..functions.records import valid
 from ..plans import pipelines as P
 from ..plans import queries as Q
-from ..session import make_folder, scratch_path
+from ..session import make_folder, scratch_path, settings
 from ..sources import feeds
 from ..sources.tables import read_parquet_stream
 from . import jobs as J
 from . import pipelines as S
 from .sinks import start_foreach_batch, start_query
+from .topk import state_conf
 
 # Fixed parameters of the replay.
 SLICES = 4
 SENTINEL_KEY = "~sentinel"
 SENTINEL_GAP_DAYS = 60
 
+# RocksDB state of runs of one or two batches: a store left open after its run
+# keeps files of 4 MB and more until the next maintenance, and a snapshot per
+# batch is more than its changes.
+SHORT_RUNS = {
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def _ntz(df: DataFrame) -> DataFrame:
     """TIMESTAMP columns back to TIMESTAMP_NTZ (same UTC wall clock)."""
@@ -93,23 +102,19 @@ class Feed:
         """Without the windows that only the sentinel row fills."""
         return df.where(time.cast("timestamp") <= F.timestamp_micros(F.lit(self.last)))
 
-    def run(self, step: Callable[[], None]) -> None:
+    def run(self, step: Callable[[], None], conf: dict[str, str] | None = None) -> None:
         """``step()`` after every slice, and once more without new data, so
-        that the final watermark closes windows.
+        that the final watermark closes windows; under ``conf`` meanwhile.
 
         State partitions are fixed by the first run of a checkpoint; they are
         sized to the cores available rather than to a generic default."""
-        key = "spark.sql.shuffle.partitions"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, str(max(1, self.spark.sparkContext.defaultParallelism)))
-        try:
+        partitions = str(max(1, self.spark.sparkContext.defaultParallelism))
+        with settings(self.spark, {"spark.sql.shuffle.partitions": partitions, **(conf or {})}):
             for i in range(self.steps):
                 if i:
                     self.land(i)
                 step()
             step()
-        finally:
-            self.spark.conf.set(key, before)
 
 
 def run_once(result: DataFrame, path: str, checkpoint: str) -> None:
@@ -120,9 +125,10 @@ def run_once(result: DataFrame, path: str, checkpoint: str) -> None:
 def replay(spark: SparkSession, inputs: dict[str, tuple],
            build: Callable[[dict[str, DataFrame]], DataFrame],
            sink: str = "parquet", k: int | None = None,
-           window_filter: bool = True) -> DataFrame:
+           window_filter: bool = True, conf: dict[str, str] | None = None) -> DataFrame:
     """Run ``build(streams)`` as a streaming query over ``inputs`` (see
-    ``Feed``) and return what reached the sink, sentinel rows removed.
+    ``Feed``), under the settings ``conf``, and return what reached the sink,
+    sentinel rows removed.
 
     ``sink="topk"`` ranks each micro-batch with ``top_words(k)`` in
     ``foreachBatch`` (P3); otherwise rows go to a parquet file sink.
@@ -138,7 +144,7 @@ def replay(spark: SparkSession, inputs: dict[str, tuple],
         else:
             run_once(result, out, ckpt)
 
-    feed.run(step)
+    feed.run(step, conf)
     got = spark.read.parquet(out).drop("query", "epoch")
     if window_filter and "window_start" in got.columns:
         got = feed.real(got, F.col("window_start"))
@@ -192,7 +198,8 @@ def q_stream_hashtag_counts_paned(spark: SparkSession, sf: str) -> DataFrame:
 def q_stream_trending_inplan(spark: SparkSession, sf: str) -> DataFrame:
     """P3 as a stream ranked inside its plan, into a plain file sink."""
     return replay(spark, {"posts": (feeds.posts(spark, sf), "ts", "id")},
-                  lambda s: S.stream_trending_inplan(s["posts"], "ts", *Q.SLIDING, k=Q.K))
+                  lambda s: S.stream_trending_inplan(s["posts"], "ts", *Q.SLIDING, k=Q.K),
+                  conf={**SHORT_RUNS, **state_conf(spark)})
 
 
 def q_stream_state_sentiment_model(spark: SparkSession, sf: str) -> DataFrame:

@@ -10,17 +10,27 @@ append mode as the watermark closes their windows, pass two steps instead:
 
 The step before the shuffle makes the window as a key harmless; the state
 holds at most k rows per open window, not the list of its words.
+
+Both steps travel with the query (pickled by value), so the workers need pandas
+but not this package, nor does the worker with which Spark's driver checks the
+processor's state schema.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..session import ROCKSDB, STATE_PROVIDER
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 WINDOW = ["window_start", "window_end"]
 RANKED = "window_start timestamp, window_end timestamp, word string, count bigint, rank int"
 
@@ -33,6 +43,14 @@ def best_words(rows: pd.DataFrame, k: int) -> pd.DataFrame:
     return ordered.groupby(WINDOW, sort=False, dropna=False).head(k).drop(columns="_word")
 
 
+def state_conf(spark: SparkSession) -> dict[str, str]:
+    """What the session must be set to when the query starts: the processor's
+    list state and timers need column families, which Spark's default state
+    store does not have.  The checkpoint keeps the setting for restarts."""
+    current = spark.conf.get(STATE_PROVIDER, "")
+    return {STATE_PROVIDER: ROCKSDB} if not current or current.endswith("HDFSBackedStateStoreProvider") else {}
+
+
 class TopWords(StatefulProcessor):
     """State per window: its k best ``(word, count)`` rows so far."""
 
@@ -66,7 +84,8 @@ class TopWords(StatefulProcessor):
 
 def top_words_stream(counts: DataFrame, k: int = 5) -> DataFrame:
     """``counts`` (closed windows of a stream: ``window_start, window_end,
-    word, count``) ranked inside the plan; adds ``rank``."""
+    word, count``) ranked inside the plan; adds ``rank``.  Start the query under
+    ``state_conf``."""
     def first(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None  # k rows per window of this task
         for part in parts:

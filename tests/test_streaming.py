@@ -1,5 +1,8 @@
 """Streams equal batch on closed windows; late data; sink shapes."""
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -263,6 +266,47 @@ def test_in_plan_ranking_keeps_k_rows_a_window(spark):
     assert states[-1]["numRowsTotal"] == 0  # nothing stays of closed windows
 
 
+PLAIN_SESSION = """
+import datetime as dt, sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.shuffle.partitions", "4").config("spark.checkpoint.dir", sys.argv[2] + "/kept").getOrCreate())
+from chirpwave.plans import pipelines as P
+from chirpwave.streaming import jobs as J
+from chirpwave.streaming import replay as R
+t0 = dt.datetime(2024, 1, 1)
+rows = [(str(i), t0 + dt.timedelta(minutes=7 * i), f"#a{i % 9} #b{i % 4}", "Texas") for i in range(200)]
+posts = spark.createDataFrame(rows, "id string, ts timestamp, text string, place_full_name string")
+provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+R.feeds.posts = lambda spark, sf: posts
+got = R.q_stream_trending_inplan(spark, "")
+want = P.trending_topics(posts, "ts", *R.Q.SLIDING, R.Q.K)
+ours, batch = (sorted(map(str, df.select("word", "count", "rank", F.unix_millis(F.col("window_start").cast("timestamp"))).collect()))
+               for df in (got, want))
+assert ours == batch and ours, (ours[:3], batch[:3])
+path = sys.argv[2] + "/records"
+(posts.select(F.col("id").alias("key"), F.to_json(F.struct("id", "text", "place_full_name")).alias("value"), F.col("ts").alias("timestamp"))
+ .write.parquet(path))
+records = J.read_parquet_stream(spark, path, spark.read.parquet(path).schema)
+J.trending_job(records, J.Sink.files(path + "-out"), J.Sink.files(path + "-bad"), path + "-kept", "4 hours", "2 hours",
+               trigger={"availableNow": True}, in_plan=True).await_all()
+assert spark.read.parquet(path + "-out").count() > 0
+assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider  # the session is left as it was
+print("AS", "BATCH", len(ours))
+"""
+
+
+def test_in_plan_ranking_in_a_session_without_our_settings(tmp_path):
+    """Spark's default state store, and workers that cannot import the package."""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    (tmp_path / "plain.py").write_text(PLAIN_SESSION)
+    run = subprocess.run([sys.executable, "plain.py", os.path.dirname(os.path.abspath(E.__file__)), str(tmp_path)],
+                         cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "AS BATCH" in run.stdout, run.stderr[-3000:]
+
+
 def test_top_words_are_bounded_and_ordered():
     import pandas as pd
 
