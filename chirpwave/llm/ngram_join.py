@@ -47,6 +47,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -399,22 +400,24 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, shingle: int, percent: i
     dealt = pairs.join(uses, "u").select(
         F.pmod(F.xxhash64("u"), F.lit(n)).alias("g"),
         F.pmod(F.xxhash64("v"), F.ceil(F.col("uses") / GROUP_PAIRS)).alias("salt"), "u", "v")
-    left = (dealt.select(F.col("g").alias("lg"), F.col("salt").alias("lsalt"), F.col("u").alias("id")).distinct()
-            .join(sets, "id").withColumnsRenamed({"id": "lu", "tokens": "a"}))
-    right = dealt.join(sets.withColumnsRenamed({"id": "v", "tokens": "b"}), "v")
+    # both sides of the pairs (the left ones without ``u``) take their sets in one join: texts are read and sets shuffled once
+    sides = (dealt.select("g", "salt", F.lit(None).cast("bigint").alias("u"), F.col("u").alias("id")).distinct()
+             .unionByName(dealt.select("g", "salt", "u", F.col("v").alias("id"))).join(sets, "id"))
 
-    def check(key, left, right):
+    def check(table):
+        left = table.filter(pc.is_null(table["u"]))
+        right = table.filter(pc.is_valid(table["u"]))
         known: dict[int, list] = {}
-        for u, a in zip(left["lu"].to_pylist(), left["a"].to_pylist()):
+        for u, a in zip(left["id"].to_pylist(), left["tokens"].to_pylist()):
             known.setdefault(u, []).append(np.frombuffer(a, dtype="<u8"))
         out = []
-        for u, v, b in zip(right["u"].to_pylist(), right["v"].to_pylist(), right["b"].to_pylist()):
+        for u, v, b in zip(right["u"].to_pylist(), right["id"].to_pylist(), right["tokens"].to_pylist()):
             b = np.frombuffer(b, dtype="<u8")
             if any(_linked(a, b, percent) for a in known.get(u, [])):
                 out.append((u, v))
         return pa.table({"u": pa.array([x[0] for x in out], type=pa.int64()), "v": pa.array([x[1] for x in out], type=pa.int64())})
 
-    return left.groupBy("lg", "lsalt").cogroup(right.groupBy("g", "salt")).applyInArrow(releasing(check), "u bigint, v bigint")
+    return sides.groupBy("g", "salt").applyInArrow(releasing(check), "u bigint, v bigint")
 
 
 def set_slices(sets: DataFrame) -> int:

@@ -404,3 +404,15 @@ def test_set_slices_follow_the_shingles_not_the_partitions(spark, monkeypatch):
     rows = [(i, " ".join(w if rng.random() > 0.01 else f"r{rng.random()}" for w in rng.choice(base))) for i in range(80)]
     got = {r["id"]: r["component_id"] for r in ngram_join(spark.createDataFrame(rows, "doc_id bigint, text string"), star=8).collect()}
     assert got == brute.near(rows)
+
+
+def test_pairs_take_their_sets_in_one_join(spark):
+    """Both sides of the pairs: texts are read, and sets shuffled, once; an id with several texts links by any."""
+    from chirpwave.llm.ngram_join import verified
+    words = [f"w{i}" for i in range(60)]
+    texts = [(1, " ".join(words)), (2, " ".join(words[:-1])), (3, " ".join(words[30:])), (3, " ".join([*words, "x"])), (4, "a b c d e")]
+    docs = spark.createDataFrame(texts, "id bigint, text string")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (1, 4), (1, 2)], "u bigint, v bigint")
+    links = verified(pairs, docs, 4, 4, 85)
+    assert links._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(tuple, links.distinct().collect())) == [(1, 2), (1, 3), (2, 3)]
