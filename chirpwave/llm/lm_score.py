@@ -103,6 +103,30 @@ def starting_weights(scores: list[float]) -> np.ndarray:
     return np.log(weight / weight.sum())
 
 
+def expected_uses(buckets: DataFrame, pieces: list[str], byte_ids: list[int], start: np.ndarray) -> DataFrame:
+    """``(piece, uses, n, v)``: the expected uses, in millionths, of every piece
+    in the training words, and in a row of piece -1 how many words there are
+    with repeats and distinct.  Each task adds up its buckets, so there are at
+    most as many rows as pieces and one more for each task."""
+    def expect(batches):
+        trie = PieceTrie(pieces, byte_ids)
+        spent, total, distinct = np.zeros(len(pieces), dtype=np.int64), 0, 0
+        for batch in batches:
+            for words, counts in zip(batch["words"].to_pylist(), batch["counts"].to_pylist()):
+                counts, words = np.frombuffer(counts, dtype="<u8"), _blob_words(words)
+                seen = np.nonzero(counts)[0]
+                _, uses = word_lattices(_text([words[i] for i in seen.tolist()]), trie, start, counts[seen].astype(float))
+                spent += np.rint(uses * 1e6).astype(np.int64)  # whole millionths, so that the sum has one value in any order
+                total, distinct = total + int(counts.sum()), distinct + len(seen)
+        piece = np.nonzero(spent)[0]
+        none = np.zeros(len(piece), dtype=np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(piece, -1)), pa.array(np.append(spent[piece], 0)), pa.array(np.append(none, total)),
+             pa.array(np.append(none, distinct))], names=["piece", "uses", "n", "v"])
+
+    return buckets.select("words", "counts").mapInArrow(expect, "piece bigint, uses bigint, n bigint, v bigint")
+
+
 def lm_score(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", folds: int = 5,
              held_out: int = 1, slices: int | None = None) -> DataFrame:
     """One row per input row: ``doc`` (the input row), ``held_out``,
@@ -133,21 +157,7 @@ def lm_score(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
     ends = docs.where(part != held_out).count()
     start = starting_weights(scores)
 
-    def expect(batches):
-        trie = PieceTrie(trie_pieces, byte_ids)
-        for batch in batches:
-            for words, counts in zip(batch["words"].to_pylist(), batch["counts"].to_pylist()):
-                counts, words = np.frombuffer(counts, dtype="<u8"), _blob_words(words)
-                seen = np.nonzero(counts)[0]
-                _, uses = word_lattices(_text([words[i] for i in seen.tolist()]), trie, start, counts[seen].astype(float))
-                piece = np.nonzero(uses)[0]
-                yield pa.RecordBatch.from_arrays(  # millionths, so that the sum has one value in any order
-                    [pa.array(piece), pa.array(np.rint(uses[piece] * 1e6).astype(np.int64)),
-                     pa.array(np.full(len(piece), 0)), pa.array(np.full(len(piece), 0))], names=["piece", "uses", "n", "v"])
-                yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([0]), pa.array([int(counts.sum())]), pa.array([len(seen)])],
-                                                 names=["piece", "uses", "n", "v"])
-
-    sums = (buckets.select("words", "counts").mapInArrow(expect, "piece bigint, uses bigint, n bigint, v bigint")
+    sums = (expected_uses(buckets, trie_pieces, byte_ids, start)
             .groupBy("piece").agg(F.sum("uses").alias("uses"), F.sum("n").alias("n"), F.sum("v").alias("v")).collect())
     uses = np.zeros(len(trie_pieces) + 1)  # the last one is the end
     uses[-1] = ends

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from chirpwave.llm.language_id import BYTES, compact, identify, phrases, suffix_automaton, train
 from chirpwave.session import ensure_checkpoint_dir
 from chirpwave.llm.lattice import PieceTrie, word_lattices
-from chirpwave.llm.lm_score import lm_score, load_pieces, starting_weights
+from chirpwave.llm.lm_score import expected_uses, lm_score, load_pieces, starting_weights
 from chirpwave.llm.topk_search import block_search, topk_search
 from chirpwave.llm.toxicity import ORDERS, Vocabulary, boundary_chars, gram_keys, toxicity
 from chirpwave.llm.url_filter import RULES, host_of, path_of, templates, url_filter
@@ -420,3 +420,17 @@ def test_language_equals_plain_parsing(spark):
 def test_struct_keeps_clashing_columns(odd):
     r = identify(odd).where("doc.doc_id = 10").first()
     assert r["doc"]["doc"] == "s" and r["doc"]["score"] == 1.0
+
+
+def test_expected_uses_are_added_up_in_the_task(spark):
+    """Rows follow tasks and pieces, not the buckets; the sums are those of the buckets."""
+    pieces, scores, byte_ids = load_pieces(PIECES)
+    words = [b"the", b"house", b"of", b"green", b"word"]
+    counts = np.array([5, 0, 3, 1, 2], dtype="<u8").tobytes()
+    rows = [(bytearray(b"\n".join(words)), bytearray(counts))] * 40 + [(bytearray(), bytearray())]
+    buckets = spark.createDataFrame(rows, "words binary, counts binary").coalesce(1)
+    got = expected_uses(buckets, pieces, byte_ids, starting_weights(scores)).collect()
+    one = expected_uses(buckets.limit(1), pieces, byte_ids, starting_weights(scores)).collect()
+    assert len({r["piece"] for r in got}) == len(got)
+    assert {r["piece"]: (r["uses"], r["n"], r["v"]) for r in got} == {r["piece"]: (40 * r["uses"], 40 * r["n"], 40 * r["v"]) for r in one}
+    assert [(r["n"], r["v"]) for r in one if r["piece"] == -1] == [(11, 4)]
